@@ -72,14 +72,16 @@ def period_definitions(perf: DataFrame, date_col: str = "trading_date") -> DataF
 
 def tag_periods(perf: DataFrame, date_col: str = "trading_date") -> DataFrame:
     """Each row once per period containing it, with ``period_name``. The
-    anchors are scalar subqueries over ``perf`` itself."""
+    anchors are scalar subqueries over ``perf`` itself (evaluated once, before
+    the scan of ``perf``), so tagging is a projection plus a ≤ 6-way explode."""
     bounds = perf.select(F.max(date_col).alias("l"), F.min(date_col).alias("e"))
     latest = bounds.select("l").scalar()
     earliest = bounds.select("e").scalar()
+    starts = period_starts(latest, earliest)
     d = F.col(date_col)
-    hits = F.filter(_period_array(latest, earliest),
-                    lambda p: (d >= p["period_start"]) & (d <= p["period_end"]))
-    return perf.select("*", F.explode(hits)["period_name"].alias("period_name"))
+    names = F.array_compact(F.array(*[
+        F.when((d >= starts[name]) & (d <= latest), F.lit(name)) for name in PERIOD_NAMES]))
+    return perf.select("*", F.explode(names).alias("period_name"))
 
 
 def period_summary(perf: DataFrame, tickers: DataFrame) -> DataFrame:

@@ -84,3 +84,88 @@ QUERIES = {
     "stage_tickers": stage_tickers,
     "dim_ticker": dim_ticker,
 }
+
+
+# -- calendar -------------------------------------------------------------------
+
+def date_spine(spark, sf_dir):
+    """Whole years covered by feed A's trade dates."""
+    from tickspan.sources.spine import covering_years
+    return covering_years(testfeeds.feed_a_raw_prices(spark, sf_dir), "trade_date")
+
+
+def dim_date(spark, sf_dir):
+    """Trading calendar over the years of feed B's bars, with the holiday seed."""
+    return feed_b(spark, sf_dir).dim_date
+
+
+def trading_day_counters(spark, sf_dir):
+    return dim_date(spark, sf_dir).select("date_day", "is_trading_day", "trading_day_of_month",
+                                          "trading_day_of_year")
+
+
+def adjacent_trading_dates(spark, sf_dir):
+    return dim_date(spark, sf_dir).select("date_day", "is_trading_day", "previous_trading_date",
+                                          "next_trading_date")
+
+
+def trading_calendar_bars(spark, sf_dir):
+    """Daily bars of feed B conformed to the trading calendar (weekend and
+    holiday bars are kept and flagged)."""
+    m = feed_b(spark, sf_dir)
+    from tickspan.plans.core import conform
+    return conform(m.stg_market__stock_prices, m.dim_date, m.dim_ticker,
+                   date_cols=["is_trading_day", "is_market_holiday", "market_holiday_name",
+                              "day_of_week_short_name"]).select(
+        "ticker_symbol", "trading_date", "date_key", "open_price", "high_price", "low_price",
+        "close_price", "volume", "is_trading_day", "is_market_holiday", "market_holiday_name",
+        "day_of_week_short_name")
+
+
+# -- core facts and marts ------------------------------------------------------
+
+def fact_price_daily(spark, sf_dir):
+    return feed_a(spark, sf_dir).fact_stock_price_daily
+
+
+def fact_performance_daily(spark, sf_dir):
+    """Performance fact on a calendar that starts a year after the data: the
+    1995 rows are dropped by the calendar join, yet still feed the first
+    in-calendar returns and averages."""
+    return _round(feed_a(spark, sf_dir, calendar=FEED_A_SHORT_CALENDAR).fact_stock_performance_daily,
+                  ["volatility_20d", "annualized_volatility_20d"], VOL_DIGITS)
+
+
+def mart_active_performance(spark, sf_dir):
+    return _round(feed_a(spark, sf_dir).mart_watchlist_performance,
+                  ["volatility_20d", "annualized_volatility_20d"], VOL_DIGITS)
+
+
+def period_anchors(spark, sf_dir):
+    from tickspan.operators.periods import anchors
+    return anchors(feed_a(spark, sf_dir).fact_stock_performance_daily)
+
+
+def period_definitions(spark, sf_dir):
+    from tickspan.operators.periods import period_definitions as defs
+    return defs(feed_a(spark, sf_dir).fact_stock_performance_daily)
+
+
+def period_summary(spark, sf_dir):
+    return _round(feed_a(spark, sf_dir).mart_ticker_performance_summary,
+                  ["avg_daily_return_pct", "volatility_pct", "avg_volume"], AVG_DIGITS)
+
+
+QUERIES.update({
+    "date_spine": date_spine,
+    "dim_date": dim_date,
+    "trading_day_counters": trading_day_counters,
+    "adjacent_trading_dates": adjacent_trading_dates,
+    "trading_calendar_bars": trading_calendar_bars,
+    "fact_price_daily": fact_price_daily,
+    "fact_performance_daily": fact_performance_daily,
+    "mart_active_performance": mart_active_performance,
+    "period_anchors": period_anchors,
+    "period_definitions": period_definitions,
+    "period_summary": period_summary,
+})

@@ -117,3 +117,224 @@ ORACLE_SQL = {
     "stage_tickers": with_(WATCHLIST_A, STG_TICKERS) + "SELECT * FROM stg_tickers",
     "dim_ticker": with_(WATCHLIST_A, STG_TICKERS, DIM_TICKER) + "SELECT * FROM dim_ticker",
 }
+
+
+# -- calendar ------------------------------------------------------------------
+from tickspan.sources.holidays import holidays_values_sql  # noqa: E402
+
+# Feed B bars from events.
+RAW_B = """
+raw_b AS (
+    SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS trade_date,
+           arg_min(value, ts) AS open, max(value) AS high, min(value) AS low, arg_max(value, ts) AS close,
+           count(*) AS volume, 'alpha_vantage' AS source, max(ts) AS loaded_at
+    FROM events GROUP BY 1, 2
+)"""
+
+WATCHLIST_B = """
+watchlist_b AS (
+    SELECT CAST(NULL AS BIGINT) AS watchlist_id, symbol, CAST(NULL AS VARCHAR) AS company_name,
+           CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS notes, TRUE AS is_active,
+           TIMESTAMP '2024-01-01 00:00:00' AS created_at, TIMESTAMP '2024-01-01 00:00:00' AS updated_at
+    FROM (SELECT DISTINCT symbol FROM raw_b) s
+)"""
+
+
+def spine_years(date_expr: str, relation: str) -> str:
+    """Whole calendar years covering the dates of a relation."""
+    return f"""
+spine AS (
+    SELECT CAST(unnest(generate_series(CAST(date_trunc('year', min({date_expr})) AS TIMESTAMP),
+                                       CAST(make_date(year(max({date_expr})), 12, 31) AS TIMESTAMP),
+                                       INTERVAL 1 DAY)) AS DATE) AS date_day
+    FROM {relation}
+)"""
+
+
+def spine_fixed(start: str, end: str) -> str:
+    return f"""
+spine AS (
+    SELECT CAST(unnest(generate_series(TIMESTAMP '{start}', TIMESTAMP '{end}', INTERVAL 1 DAY)) AS DATE) AS date_day
+)"""
+
+
+DIM_DATE = f"""
+hol AS (
+    SELECT holiday_date, holiday_name FROM {holidays_values_sql()}
+    WHERE market_code = 'NYSE' AND is_full_day_closure = TRUE
+),
+day_attrs AS (
+    SELECT d.date_day,
+           CAST(strftime(d.date_day, '%Y%m%d') AS INTEGER) AS date_key,
+           CAST(year(d.date_day) AS INTEGER) AS calendar_year,
+           CAST(quarter(d.date_day) AS INTEGER) AS calendar_quarter,
+           CAST(month(d.date_day) AS INTEGER) AS calendar_month,
+           monthname(d.date_day) AS calendar_month_name,
+           strftime(d.date_day, '%b') AS calendar_month_short_name,
+           CAST(weekofyear(d.date_day) AS INTEGER) AS calendar_week,
+           CAST(day(d.date_day) AS INTEGER) AS day_of_month,
+           CAST(isodow(d.date_day) AS INTEGER) AS day_of_week,
+           dayname(d.date_day) AS day_of_week_name,
+           strftime(d.date_day, '%a') AS day_of_week_short_name,
+           CAST(dayofyear(d.date_day) AS INTEGER) AS day_of_year,
+           CAST(date_trunc('week', d.date_day) AS DATE) AS week_start_date,
+           CAST(date_trunc('week', d.date_day) + INTERVAL 6 DAY AS DATE) AS week_end_date,
+           CAST(date_trunc('month', d.date_day) AS DATE) AS month_start_date,
+           last_day(d.date_day) AS month_end_date,
+           CAST(date_trunc('quarter', d.date_day) AS DATE) AS quarter_start_date,
+           last_day(CAST(date_trunc('quarter', d.date_day) + INTERVAL 2 MONTH AS DATE)) AS quarter_end_date,
+           CAST(date_trunc('year', d.date_day) AS DATE) AS year_start_date,
+           make_date(year(d.date_day), 12, 31) AS year_end_date,
+           isodow(d.date_day) IN (6, 7) AS is_weekend,
+           isodow(d.date_day) NOT IN (6, 7) AS is_weekday,
+           h.holiday_date IS NOT NULL AS is_market_holiday,
+           h.holiday_name AS market_holiday_name,
+           isodow(d.date_day) NOT IN (6, 7) AND h.holiday_date IS NULL AS is_trading_day
+    FROM spine d LEFT JOIN hol h ON d.date_day = h.holiday_date
+),
+dim_date AS (
+    SELECT *,
+           lag(CASE WHEN is_trading_day THEN date_day END IGNORE NULLS) OVER (ORDER BY date_day) AS previous_trading_date,
+           lead(CASE WHEN is_trading_day THEN date_day END IGNORE NULLS) OVER (ORDER BY date_day) AS next_trading_date,
+           CAST(sum(CASE WHEN is_trading_day THEN 1 ELSE 0 END) OVER (
+                PARTITION BY calendar_year, calendar_month ORDER BY date_day
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS trading_day_of_month,
+           CAST(sum(CASE WHEN is_trading_day THEN 1 ELSE 0 END) OVER (
+                PARTITION BY calendar_year ORDER BY date_day
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS trading_day_of_year
+    FROM day_attrs
+)"""
+
+DIM_DATE_COLS = """date_key, date_day, calendar_year, calendar_quarter, calendar_month, calendar_month_name,
+    calendar_month_short_name, calendar_week, day_of_month, day_of_week, day_of_week_name, day_of_week_short_name,
+    day_of_year, week_start_date, week_end_date, month_start_date, month_end_date, quarter_start_date,
+    quarter_end_date, year_start_date, year_end_date, is_weekend, is_weekday, is_market_holiday,
+    market_holiday_name, is_trading_day, previous_trading_date, next_trading_date, trading_day_of_month,
+    trading_day_of_year"""
+
+B_CAL = (RAW_B, stg_prices("raw_b"), spine_years("trading_date", "stg"), DIM_DATE)
+
+ORACLE_SQL.update({
+    "date_spine": with_(RAW_A, spine_years("trade_date", "raw_a")) + "SELECT date_day FROM spine",
+    "dim_date": with_(*B_CAL) + f"SELECT {DIM_DATE_COLS} FROM dim_date",
+    "trading_day_counters": with_(*B_CAL) +
+        "SELECT date_day, is_trading_day, trading_day_of_month, trading_day_of_year FROM dim_date",
+    "adjacent_trading_dates": with_(*B_CAL) +
+        "SELECT date_day, is_trading_day, previous_trading_date, next_trading_date FROM dim_date",
+    "trading_calendar_bars": with_(*B_CAL, WATCHLIST_B) + """
+        SELECT s.ticker_symbol, s.trading_date, d.date_key, s.open_price, s.high_price, s.low_price,
+               s.close_price, s.volume, d.is_trading_day, d.is_market_holiday, d.market_holiday_name,
+               d.day_of_week_short_name
+        FROM stg s
+        JOIN dim_date d ON s.trading_date = d.date_day
+        JOIN (SELECT upper(symbol) AS ticker_symbol FROM watchlist_b) t ON s.ticker_symbol = t.ticker_symbol""",
+})
+
+
+# -- facts, marts, periods -------------------------------------------------------
+
+SIMPLE_DIM_DATE = """
+dim_date AS (SELECT CAST(strftime(date_day, '%Y%m%d') AS INTEGER) AS date_key, date_day FROM spine)"""
+
+PRICE_FACT = """
+fact_price AS (
+    SELECT sp.ticker_symbol, dt.ticker_key, dd.date_key, sp.trading_date, sp.open_price, sp.high_price,
+           sp.low_price, sp.close_price, sp.volume, sp.data_source, sp.loaded_at
+    FROM stg sp
+    JOIN dim_date dd ON sp.trading_date = dd.date_day
+    JOIN dim_ticker dt ON sp.ticker_symbol = dt.ticker_symbol
+)"""
+
+PERF_FACT = """
+fact_perf AS (
+    SELECT r.ticker_symbol, dt.ticker_key, dd.date_key, r.trading_date, r.close_price, r.previous_close_price,
+           r.price_change, r.daily_return_pct, ma.moving_average_7d, ma.moving_average_20d, ma.moving_average_50d,
+           v.volatility_20d, v.annualized_volatility_20d
+    FROM returns r
+    JOIN moving ma ON r.ticker_symbol = ma.ticker_symbol AND r.trading_date = ma.trading_date
+    JOIN volatility v ON r.ticker_symbol = v.ticker_symbol AND r.trading_date = v.trading_date
+    JOIN dim_date dd ON r.trading_date = dd.date_day
+    JOIN dim_ticker dt ON r.ticker_symbol = dt.ticker_symbol
+)"""
+
+A_STAR = (RAW_A, WATCHLIST_A, stg_prices("raw_a"), RETURNS, MOVING, VOLATILITY, STG_TICKERS, DIM_TICKER)
+A_FULL = A_STAR + (spine_fixed("1995-01-01", "2001-12-31"), SIMPLE_DIM_DATE, PRICE_FACT, PERF_FACT)
+A_SHORT = A_STAR + (spine_fixed("1996-01-01", "2001-12-31"), SIMPLE_DIM_DATE, PRICE_FACT, PERF_FACT)
+
+MART_ACTIVE = """
+dates AS (SELECT date_key, date_day, CAST(year(date_day) AS INTEGER) AS calendar_year,
+                 CAST(quarter(date_day) AS INTEGER) AS calendar_quarter,
+                 CAST(month(date_day) AS INTEGER) AS calendar_month, monthname(date_day) AS calendar_month_name
+          FROM dim_date),
+mart_active AS (
+    SELECT t.ticker_symbol, t.company_name, t.category, t.currency, t.country, t.is_active,
+           d.date_day AS trading_date, d.calendar_year, d.calendar_quarter, d.calendar_month, d.calendar_month_name,
+           p.close_price, p.previous_close_price, p.daily_return_pct, p.moving_average_7d, p.moving_average_20d,
+           p.moving_average_50d, round(p.volatility_20d, 6) AS volatility_20d,
+           round(p.annualized_volatility_20d, 6) AS annualized_volatility_20d, pr.volume
+    FROM fact_perf p
+    JOIN dim_ticker t ON p.ticker_symbol = t.ticker_symbol
+    JOIN dates d ON p.date_key = d.date_key
+    JOIN fact_price pr ON p.ticker_symbol = pr.ticker_symbol AND p.trading_date = pr.trading_date
+    WHERE t.is_active = TRUE
+)"""
+
+ANCHORS = """
+anchors AS (
+    SELECT max(trading_date) AS latest_date,
+           CAST(max(trading_date) - INTERVAL 29 DAY AS DATE) AS start_30d,
+           CAST(max(trading_date) - INTERVAL 89 DAY AS DATE) AS start_90d,
+           CAST(date_trunc('year', max(trading_date)) AS DATE) AS start_ytd,
+           CAST(date_trunc('month', max(trading_date)) AS DATE) AS start_mtd,
+           CAST(max(trading_date) - INTERVAL 1 YEAR AS DATE) AS start_1y,
+           min(trading_date) AS start_all
+    FROM fact_perf
+),
+period_defs AS (
+    SELECT 'ALL_AVAILABLE' AS period_name, start_all AS period_start, latest_date AS period_end FROM anchors
+    UNION ALL SELECT 'YTD', start_ytd, latest_date FROM anchors
+    UNION ALL SELECT 'MTD', start_mtd, latest_date FROM anchors
+    UNION ALL SELECT '30D', start_30d, latest_date FROM anchors
+    UNION ALL SELECT '90D', start_90d, latest_date FROM anchors
+    UNION ALL SELECT '1Y', start_1y, latest_date FROM anchors
+)"""
+
+SUMMARY = """
+ticker_periods AS (
+    SELECT p.ticker_symbol, pd.period_name,
+           min(p.trading_date) AS actual_start_date, max(p.trading_date) AS actual_end_date,
+           count(p.trading_date) AS trading_days_count,
+           min(p.close_price) AS min_close_price, max(p.close_price) AS max_close_price,
+           avg(p.daily_return_pct) AS avg_daily_return_pct, avg(p.volatility_20d) AS volatility_pct,
+           avg(pr.volume) AS avg_volume
+    FROM fact_perf p
+    CROSS JOIN period_defs pd
+    JOIN fact_price pr ON p.ticker_symbol = pr.ticker_symbol AND p.trading_date = pr.trading_date
+    WHERE p.trading_date BETWEEN pd.period_start AND pd.period_end
+    GROUP BY p.ticker_symbol, pd.period_name, pd.period_start, pd.period_end
+),
+summary AS (
+    SELECT tp.ticker_symbol, t.company_name, t.category, tp.period_name,
+           tp.actual_start_date AS period_start_date, tp.actual_end_date AS period_end_date,
+           ps.close_price AS start_close_price, pe.close_price AS end_close_price,
+           CASE WHEN ps.close_price = 0 OR ps.close_price IS NULL THEN NULL
+                ELSE CAST(pe.close_price - ps.close_price AS DOUBLE) / CAST(ps.close_price AS DOUBLE)
+           END AS period_return_pct,
+           round(tp.avg_daily_return_pct, 6) AS avg_daily_return_pct, round(tp.volatility_pct, 6) AS volatility_pct,
+           tp.min_close_price, tp.max_close_price, round(tp.avg_volume, 6) AS avg_volume, tp.trading_days_count
+    FROM ticker_periods tp
+    JOIN dim_ticker t ON tp.ticker_symbol = t.ticker_symbol
+    JOIN fact_perf ps ON tp.ticker_symbol = ps.ticker_symbol AND tp.actual_start_date = ps.trading_date
+    JOIN fact_perf pe ON tp.ticker_symbol = pe.ticker_symbol AND tp.actual_end_date = pe.trading_date
+)"""
+
+ORACLE_SQL.update({
+    "fact_price_daily": with_(*A_FULL) + "SELECT * FROM fact_price",
+    "fact_performance_daily": with_(*A_SHORT) +
+        "SELECT * REPLACE (round(volatility_20d, 6) AS volatility_20d, "
+        "round(annualized_volatility_20d, 6) AS annualized_volatility_20d) FROM fact_perf",
+    "mart_active_performance": with_(*A_FULL, MART_ACTIVE) + "SELECT * FROM mart_active",
+    "period_anchors": with_(*A_FULL, ANCHORS) + "SELECT * FROM anchors",
+    "period_definitions": with_(*A_FULL, ANCHORS) + "SELECT * FROM period_defs",
+    "period_summary": with_(*A_FULL, ANCHORS, SUMMARY) + "SELECT * FROM summary",
+})
