@@ -9,11 +9,17 @@ from pyspark.sql import DataFrame, functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+_checked: dict[tuple, bool] = {}
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows. The count is bounded:
     it stops after ``max_rows + 1`` rows, so an unexpectedly large side is not
-    scanned in full."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    scanned in full. Results are remembered per logical plan."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _checked:
+        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _checked[key]
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

@@ -70,11 +70,16 @@ def period_definitions(perf: DataFrame, date_col: str = "trading_date") -> DataF
     return agg.select(F.inline(_period_array(F.col("l"), F.col("e"))))
 
 
-def tag_periods(perf: DataFrame, date_col: str = "trading_date") -> DataFrame:
-    """Each row once per period containing it, with ``period_name``. The
-    anchors are scalar subqueries over ``perf`` itself (evaluated once, before
-    the scan of ``perf``), so tagging is a projection plus a ≤ 6-way explode."""
-    bounds = perf.select(F.max(date_col).alias("l"), F.min(date_col).alias("e"))
+def tag_periods(perf: DataFrame, date_col: str = "trading_date",
+                anchor_dates: DataFrame | None = None) -> DataFrame:
+    """Each row once per period containing it, with ``period_name``.
+
+    The anchors are scalar subqueries (evaluated once, before the scan of
+    ``perf``) over ``anchor_dates`` – any relation holding the same set of
+    dates as ``perf`` under the column ``date_col``, typically a cheaper one
+    than ``perf`` itself. Tagging is then a projection plus a ≤ 6-way explode."""
+    src = anchor_dates if anchor_dates is not None else perf
+    bounds = src.select(F.max(date_col).alias("l"), F.min(date_col).alias("e"))
     latest = bounds.select("l").scalar()
     earliest = bounds.select("e").scalar()
     starts = period_starts(latest, earliest)
@@ -84,19 +89,22 @@ def tag_periods(perf: DataFrame, date_col: str = "trading_date") -> DataFrame:
     return perf.select("*", F.explode(names).alias("period_name"))
 
 
-def period_summary(perf: DataFrame, tickers: DataFrame) -> DataFrame:
+def period_summary(perf: DataFrame, tickers: DataFrame,
+                   anchor_dates: DataFrame | None = None) -> DataFrame:
     """Per (ticker, period) summary.
 
     ``perf``: ticker_symbol, trading_date, close_price, daily_return_pct,
     volatility_20d, volume (one row per ticker and date).
     ``tickers``: ticker_symbol, company_name, category.
+    ``anchor_dates``: optional cheaper relation with the same trading dates.
 
     period_start/end_date are the ticker's actual first/last dates in the
     period; volatility_pct is the mean of the rolling 20-row volatility; a
     ticker with no row in a period has no row for it.
     """
     tagged = tag_periods(perf.select("ticker_symbol", "trading_date", "close_price",
-                                     "daily_return_pct", "volatility_20d", "volume"))
+                                     "daily_return_pct", "volatility_20d", "volume"),
+                         anchor_dates=anchor_dates)
     g = tagged.groupBy("ticker_symbol", "period_name").agg(
         F.min("trading_date").alias("period_start_date"),
         F.max("trading_date").alias("period_end_date"),

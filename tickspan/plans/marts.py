@@ -31,7 +31,8 @@ def mart_watchlist_performance(indicators: DataFrame, dim_date: DataFrame, dim_t
     return j.select(*MART_COLUMNS)
 
 
-def mart_ticker_performance_summary(performance_with_volume: DataFrame, dim_ticker: DataFrame) -> DataFrame:
+def mart_ticker_performance_summary(performance_with_volume: DataFrame, dim_ticker: DataFrame,
+                                    anchor_dates: DataFrame | None = None) -> DataFrame:
     """Per (ticker, period) summary over the conformed performance fact
     (inactive tickers included; anchors global over all tickers)."""
-    return period_summary(performance_with_volume, dim_ticker)
+    return period_summary(performance_with_volume, dim_ticker, anchor_dates)

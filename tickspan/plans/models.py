@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickspan.operators.calendar import dim_date as build_dim_date
 from tickspan.operators.indicators import daily_indicators
+from tickspan.operators.joins import join_small
 from tickspan.plans import core, marts, staging
 from tickspan.sources.holidays import market_holidays
 from tickspan.sources.spine import covering_years, date_spine, spine_size
@@ -117,6 +118,18 @@ class PriceModels:
                             calendar_rows=self.calendar_rows).select(
             *core.PERFORMANCE_FACT_COLUMNS, "volume")
 
+    @cached_property
+    def conformed_dates(self) -> DataFrame:
+        """Trading dates of raw rows that survive both dimension joins: the
+        same date set as either fact, without dedup or windows. Used for the
+        global period anchors (a scan, two broadcast semi-joins, a partial
+        max/min)."""
+        r = staging.renamed_prices(self.raw_prices).select("ticker_symbol", "trading_date")
+        dd = self.dim_date.select(F.col("date_day").alias("trading_date"))
+        dt = self.dim_ticker.select("ticker_symbol")
+        r = join_small(r, dd, "trading_date", "left_semi", known_rows=self.calendar_rows)
+        return join_small(r, dt, "ticker_symbol", "left_semi").select("trading_date")
+
     @cached_property
     def fact_stock_performance_daily(self) -> DataFrame:
         return self.performance_with_volume.select(*core.PERFORMANCE_FACT_COLUMNS)
@@ -129,7 +142,8 @@ class PriceModels:
 
     @cached_property
     def mart_ticker_performance_summary(self) -> DataFrame:
-        return marts.mart_ticker_performance_summary(self.performance_with_volume, self.dim_ticker)
+        return marts.mart_ticker_performance_summary(self.performance_with_volume, self.dim_ticker,
+                                                     self.conformed_dates)
 
     def model(self, name: str) -> DataFrame:
         if name not in MODEL_LAYERS:
