@@ -169,3 +169,69 @@ QUERIES.update({
     "period_definitions": period_definitions,
     "period_summary": period_summary,
 })
+
+
+# -- page analytics (all tickers at once) ------------------------------------------
+from tickspan.operators import analytics as an  # noqa: E402
+
+ANALYTICS_PERIOD = "90D"
+_VOL = ["volatility_20d", "annualized_volatility_20d"]
+
+
+def _history(spark, sf_dir):
+    return feed_a(spark, sf_dir).history(ANALYTICS_PERIOD)
+
+
+def ticker_history_90d(spark, sf_dir):
+    return _round(_history(spark, sf_dir), _VOL, VOL_DIGITS)
+
+
+def summary_ordered(spark, sf_dir):
+    return _round(an.ordered_summary(feed_a(spark, sf_dir).mart_ticker_performance_summary),
+                  ["avg_daily_return_pct", "volatility_pct", "avg_volume"], AVG_DIGITS)
+
+
+def latest_snapshot(spark, sf_dir):
+    return _round(an.latest_snapshot(_history(spark, sf_dir)), ["annualized_volatility_20d"], VOL_DIGITS)
+
+
+def signals(spark, sf_dir):
+    return an.signals(an.latest_snapshot(_history(spark, sf_dir)))
+
+
+def benchmark_cumulative_return(spark, sf_dir):
+    return an.benchmark_comparison(_history(spark, sf_dir))
+
+
+def investment_scenario(spark, sf_dir):
+    return _round(an.investment_scenario(_history(spark, sf_dir)), ["avg_daily_volume"], AVG_DIGITS)
+
+
+def chart_series(spark, sf_dir):
+    return an.chart_series(_history(spark, sf_dir))
+
+
+def summary_display(spark, sf_dir):
+    return an.summary_display(feed_a(spark, sf_dir).mart_ticker_performance_summary)
+
+
+def watchlist_listing(spark, sf_dir):
+    return an.watchlist_listing(testfeeds.feed_a_watchlist(spark, sf_dir))
+
+
+def active_symbols(spark, sf_dir):
+    return an.active_symbols(testfeeds.feed_a_watchlist(spark, sf_dir))
+
+
+QUERIES.update({
+    "ticker_history_90d": ticker_history_90d,
+    "summary_ordered": summary_ordered,
+    "latest_snapshot": latest_snapshot,
+    "signals": signals,
+    "benchmark_cumulative_return": benchmark_cumulative_return,
+    "investment_scenario": investment_scenario,
+    "chart_series": chart_series,
+    "summary_display": summary_display,
+    "watchlist_listing": watchlist_listing,
+    "active_symbols": active_symbols,
+})

@@ -130,6 +130,21 @@ class PriceModels:
         r = join_small(r, dd, "trading_date", "left_semi", known_rows=self.calendar_rows)
         return join_small(r, dt, "ticker_symbol", "left_semi").select("trading_date")
 
+    @cached_property
+    def active_dates(self) -> DataFrame:
+        """Trading dates of the active-ticker mart, from the raw scan (the
+        page's period anchor is the active-only mart, not all tickers)."""
+        r = staging.renamed_prices(self.raw_prices).select("ticker_symbol", "trading_date")
+        dd = self.dim_date.select(F.col("date_day").alias("trading_date"))
+        dt = self.dim_ticker.where(F.col("is_active") == F.lit(True)).select("ticker_symbol")
+        r = join_small(r, dd, "trading_date", "left_semi", known_rows=self.calendar_rows)
+        return join_small(r, dt, "ticker_symbol", "left_semi").select("trading_date")
+
+    def history(self, period: str = "ALL_AVAILABLE", symbol: str | None = None) -> DataFrame:
+        """Ticker history view over the active mart (numeric, ordered)."""
+        from tickspan.operators.analytics import ticker_history
+        return ticker_history(self.mart_watchlist_performance, period, symbol, anchor_dates=self.active_dates)
+
     @cached_property
     def fact_stock_performance_daily(self) -> DataFrame:
         return self.performance_with_volume.select(*core.PERFORMANCE_FACT_COLUMNS)

@@ -270,8 +270,7 @@ mart_active AS (
     SELECT t.ticker_symbol, t.company_name, t.category, t.currency, t.country, t.is_active,
            d.date_day AS trading_date, d.calendar_year, d.calendar_quarter, d.calendar_month, d.calendar_month_name,
            p.close_price, p.previous_close_price, p.daily_return_pct, p.moving_average_7d, p.moving_average_20d,
-           p.moving_average_50d, round(p.volatility_20d, 6) AS volatility_20d,
-           round(p.annualized_volatility_20d, 6) AS annualized_volatility_20d, pr.volume
+           p.moving_average_50d, p.volatility_20d, p.annualized_volatility_20d, pr.volume
     FROM fact_perf p
     JOIN dim_ticker t ON p.ticker_symbol = t.ticker_symbol
     JOIN dates d ON p.date_key = d.date_key
@@ -333,8 +332,108 @@ ORACLE_SQL.update({
     "fact_performance_daily": with_(*A_SHORT) +
         "SELECT * REPLACE (round(volatility_20d, 6) AS volatility_20d, "
         "round(annualized_volatility_20d, 6) AS annualized_volatility_20d) FROM fact_perf",
-    "mart_active_performance": with_(*A_FULL, MART_ACTIVE) + "SELECT * FROM mart_active",
+    "mart_active_performance": with_(*A_FULL, MART_ACTIVE) +
+        "SELECT * REPLACE (round(volatility_20d, 6) AS volatility_20d, "
+        "round(annualized_volatility_20d, 6) AS annualized_volatility_20d) FROM mart_active",
     "period_anchors": with_(*A_FULL, ANCHORS) + "SELECT * FROM anchors",
     "period_definitions": with_(*A_FULL, ANCHORS) + "SELECT * FROM period_defs",
     "period_summary": with_(*A_FULL, ANCHORS, SUMMARY) + "SELECT * FROM summary",
 })
+
+
+# -- page analytics -----------------------------------------------------------------
+HISTORY_90D = """
+hist AS (
+    SELECT ticker_symbol, trading_date,
+           TRY_CAST(close_price AS DOUBLE) AS close_price,
+           TRY_CAST(moving_average_7d AS DOUBLE) AS moving_average_7d,
+           TRY_CAST(moving_average_20d AS DOUBLE) AS moving_average_20d,
+           TRY_CAST(moving_average_50d AS DOUBLE) AS moving_average_50d,
+           TRY_CAST(daily_return_pct AS DOUBLE) AS daily_return_pct,
+           TRY_CAST(volume AS DOUBLE) AS volume,
+           TRY_CAST(volatility_20d AS DOUBLE) AS volatility_20d,
+           TRY_CAST(annualized_volatility_20d AS DOUBLE) AS annualized_volatility_20d
+    FROM mart_active
+    WHERE trading_date >= CAST((SELECT max(trading_date) FROM mart_active) - INTERVAL 89 DAY AS DATE)
+),
+snap AS (
+    SELECT ticker_symbol, max(trading_date) AS trading_date,
+           arg_max(close_price, trading_date) AS close_price,
+           arg_max(daily_return_pct, trading_date) AS daily_return_pct,
+           arg_max(moving_average_20d, trading_date) AS moving_average_20d,
+           arg_max(annualized_volatility_20d, trading_date) AS annualized_volatility_20d
+    FROM hist GROUP BY ticker_symbol
+),
+ends AS (
+    SELECT ticker_symbol, arg_min(close_price, trading_date) AS first_close,
+           arg_max(close_price, trading_date) AS last_close,
+           avg(volume) AS avg_daily_volume, count(*) AS trading_days
+    FROM hist GROUP BY ticker_symbol
+),
+cum AS (
+    SELECT h.ticker_symbol, h.trading_date,
+           (CASE WHEN b.base = 0 OR b.base IS NULL THEN NULL ELSE h.close_price / b.base END - 1) * 100
+               AS cumulative_return_pct
+    FROM hist h JOIN (SELECT ticker_symbol, arg_min(close_price, trading_date) AS base
+                      FROM hist GROUP BY ticker_symbol) b ON h.ticker_symbol = b.ticker_symbol
+)"""
+
+A_HIST = A_FULL + (MART_ACTIVE, HISTORY_90D)
+
+ORACLE_SQL.update({
+    "ticker_history_90d": with_(*A_HIST) +
+        "SELECT * REPLACE (round(volatility_20d, 6) AS volatility_20d, "
+        "round(annualized_volatility_20d, 6) AS annualized_volatility_20d) FROM hist",
+    "summary_ordered": with_(*A_FULL, ANCHORS, SUMMARY) + """
+        SELECT ticker_symbol,
+               CASE period_name WHEN 'MTD' THEN 1 WHEN '30D' THEN 2 WHEN '90D' THEN 3 WHEN 'YTD' THEN 4
+                                WHEN '1Y' THEN 5 WHEN 'ALL_AVAILABLE' THEN 6 END AS period_rank,
+               period_name, period_start_date, period_end_date,
+               TRY_CAST(start_close_price AS DOUBLE) AS start_close_price,
+               TRY_CAST(end_close_price AS DOUBLE) AS end_close_price,
+               TRY_CAST(period_return_pct AS DOUBLE) AS period_return_pct,
+               TRY_CAST(avg_daily_return_pct AS DOUBLE) AS avg_daily_return_pct,
+               TRY_CAST(volatility_pct AS DOUBLE) AS volatility_pct,
+               TRY_CAST(min_close_price AS DOUBLE) AS min_close_price,
+               TRY_CAST(max_close_price AS DOUBLE) AS max_close_price,
+               TRY_CAST(avg_volume AS DOUBLE) AS avg_volume,
+               TRY_CAST(trading_days_count AS DOUBLE) AS trading_days_count
+        FROM summary""",
+    "latest_snapshot": with_(*A_HIST) +
+        "SELECT * REPLACE (round(annualized_volatility_20d, 6) AS annualized_volatility_20d) FROM snap",
+    "signals": with_(*A_HIST) + """
+        SELECT ticker_symbol, trading_date,
+               CASE WHEN close_price IS NULL OR moving_average_20d IS NULL OR close_price = 0
+                         OR moving_average_20d = 0 THEN NULL
+                    WHEN close_price > moving_average_20d THEN 'bullish' ELSE 'bearish' END AS ma20_signal,
+               coalesce(annualized_volatility_20d > 0.30, FALSE) AS high_volatility,
+               coalesce(abs(daily_return_pct) > 0.03, FALSE) AS unusual_move
+        FROM snap""",
+    "benchmark_cumulative_return": with_(*A_HIST) + """
+        SELECT c.ticker_symbol, b.ticker_symbol AS benchmark_symbol, c.trading_date,
+               c.cumulative_return_pct AS ticker_cumulative_return_pct,
+               b.cumulative_return_pct AS benchmark_cumulative_return_pct
+        FROM cum c
+        JOIN cum b ON c.trading_date = b.trading_date
+        WHERE b.ticker_symbol = (SELECT min(ticker_symbol) FROM hist)
+          AND c.ticker_symbol <> b.ticker_symbol""",
+    "investment_scenario": with_(*A_HIST) + """
+        SELECT ticker_symbol, first_close, last_close,
+               CASE WHEN first_close = 0 OR first_close IS NULL THEN NULL
+                    ELSE (last_close - first_close) / first_close END * 100 AS period_return_pct,
+               CASE WHEN first_close = 0 OR first_close IS NULL THEN NULL ELSE 10000.0 / first_close END AS shares,
+               CASE WHEN first_close = 0 OR first_close IS NULL THEN NULL ELSE 10000.0 / first_close END
+                   * last_close AS end_value,
+               CASE WHEN first_close = 0 OR first_close IS NULL THEN NULL ELSE 10000.0 / first_close END
+                   * last_close - 10000.0 AS gain_loss,
+               round(avg_daily_volume, 6) AS avg_daily_volume, trading_days
+        FROM ends""",
+    "chart_series": with_(*A_HIST) + """
+        SELECT ticker_symbol, trading_date, close_price AS "Close", moving_average_7d AS "MA 7d",
+               moving_average_20d AS "MA 20d", moving_average_50d AS "MA 50d"
+        FROM hist""",
+    "watchlist_listing": with_(WATCHLIST_A) +
+        "SELECT symbol, company_name, category, notes, is_active, created_at, updated_at FROM watchlist_a "
+        "ORDER BY is_active DESC, symbol ASC",
+    "active_symbols": with_(WATCHLIST_A) + "SELECT symbol FROM watchlist_a WHERE is_active ORDER BY symbol",
+})
