@@ -235,3 +235,47 @@ QUERIES.update({
     "watchlist_listing": watchlist_listing,
     "active_symbols": active_symbols,
 })
+
+
+# -- watchlist changes (feed C) ----------------------------------------------------
+from tickspan.operators import watchlist as wl  # noqa: E402
+
+FEED_C_LOAD_TS = "2024-02-01 00:00:00"
+
+
+def watchlist_apply_changes(spark, sf_dir):
+    return wl.apply_changes(testfeeds.feed_c_changes(spark, sf_dir))
+
+
+def watchlist_change_outcomes(spark, sf_dir):
+    return wl.change_outcomes(testfeeds.feed_c_changes(spark, sf_dir))
+
+
+def watchlist_fold_from_snapshot(spark, sf_dir):
+    """Two-step fold: the change log applied on top of the snapshot produced by
+    the same log's ``add`` events alone (snapshot rows enter as seeds)."""
+    ch = testfeeds.feed_c_changes(spark, sf_dir)
+    first = wl.apply_changes(ch.where(F.col("op") == "add"))
+    return wl.apply_changes(ch.where(F.col("op") != "add"), snapshot=first)
+
+
+def insert_if_absent(spark, sf_dir):
+    """Bar symbols of feed B and staged tickers of feed A inserted into the
+    watchlist folded from feed C, where not already present (feed B's symbols
+    all are; feed A's are not)."""
+    current = wl.apply_changes(testfeeds.feed_c_changes(spark, sf_dir))
+    bars = (testfeeds.feed_b_raw_prices(spark, sf_dir).select("symbol").distinct()
+            .select("symbol", F.lit(None).cast("string").alias("company_name"),
+                    F.lit("auto").alias("category"), F.lit(None).cast("string").alias("notes")))
+    staged = feed_a(spark, sf_dir).stg_market__tickers.select(
+        F.col("ticker_symbol").alias("symbol"), "company_name", "category", "notes")
+    cands = bars.unionByName(staged)
+    return wl.insert_if_absent(current, cands, load_ts=FEED_C_LOAD_TS)
+
+
+QUERIES.update({
+    "watchlist_apply_changes": watchlist_apply_changes,
+    "watchlist_change_outcomes": watchlist_change_outcomes,
+    "watchlist_fold_from_snapshot": watchlist_fold_from_snapshot,
+    "insert_if_absent": insert_if_absent,
+})

@@ -437,3 +437,113 @@ ORACLE_SQL.update({
         "ORDER BY is_active DESC, symbol ASC",
     "active_symbols": with_(WATCHLIST_A) + "SELECT symbol FROM watchlist_a WHERE is_active ORDER BY symbol",
 })
+
+
+# -- watchlist changes ----------------------------------------------------------------
+CHANGES_C = """
+changes_c AS (
+    SELECT event_id, ts AS event_ts, 'U' || CAST(user_id AS VARCHAR) AS symbol,
+           CASE event_type WHEN 'signup' THEN 'add' WHEN 'error' THEN 'deactivate'
+                           WHEN 'view' THEN 'reactivate' WHEN 'click' THEN 'update' END AS op,
+           CAST(NULL AS VARCHAR) AS company_name, event_type AS category, CAST(value AS VARCHAR) AS notes
+    FROM events WHERE event_type IN ('signup', 'error', 'view', 'click')
+)"""
+
+
+def fold(name: str, changes: str, snapshot: str | None = None) -> str:
+    """Closed-form fold of a change log over an optional snapshot relation."""
+    seed = "" if snapshot is None else f"""
+        UNION ALL
+        SELECT symbol, 0 AS phase, updated_at AS event_ts, -1 AS event_id, 'seed' AS op, company_name, category,
+               notes, is_active AS seed_active, created_at AS seed_created, watchlist_id AS seed_id
+        FROM {snapshot}"""
+    top = "0" if snapshot is None else f"(SELECT coalesce(max(watchlist_id), 0) FROM {snapshot})"
+    return f"""
+{name}_ev AS (
+    SELECT CASE WHEN op = 'add' THEN regexp_replace(upper(symbol), '^\\s+|\\s+$', '', 'g') ELSE symbol END AS symbol,
+           1 AS phase, event_ts, event_id, op, nullif(company_name, '') AS company_name,
+           nullif(category, '') AS category, nullif(notes, '') AS notes,
+           CAST(NULL AS BOOLEAN) AS seed_active, CAST(NULL AS TIMESTAMP) AS seed_created, CAST(NULL AS BIGINT) AS seed_id
+    FROM {changes}{seed}
+),
+{name}_e1 AS (
+    SELECT *,
+           row_number() OVER (PARTITION BY symbol ORDER BY phase, event_ts, event_id) AS ord,
+           max(CASE WHEN op IN ('seed', 'add') THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY phase, event_ts, event_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1 AS exists_at,
+           coalesce(max(CASE WHEN op IN ('seed', 'add') THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY phase, event_ts, event_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 1, FALSE) AS exists_before
+    FROM {name}_ev
+),
+{name}_e2 AS (
+    SELECT *, CASE WHEN exists_at THEN CASE WHEN op = 'seed' THEN seed_active WHEN op IN ('add', 'reactivate') THEN TRUE
+                                            WHEN op = 'deactivate' THEN FALSE END END AS status
+    FROM {name}_e1
+),
+{name}_e3 AS (
+    SELECT *, last_value(status IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY phase, event_ts, event_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS active_before
+    FROM {name}_e2
+),
+{name}_e4 AS (
+    SELECT *, CASE WHEN op = 'seed' THEN TRUE
+                   WHEN op = 'add' THEN (NOT exists_before) OR (NOT active_before)
+                   WHEN op = 'deactivate' THEN exists_before AND active_before
+                   WHEN op = 'reactivate' THEN exists_before AND NOT active_before
+                   WHEN op = 'update' THEN exists_before ELSE FALSE END AS effective
+    FROM {name}_e3
+),
+{name}_g AS (
+    SELECT symbol,
+           max(CAST(exists_at AS INTEGER)) AS ex,
+           arg_max(status, ord) FILTER (WHERE status IS NOT NULL) AS is_active,
+           arg_max({{'c': company_name, 'k': category, 'n': notes}}, ord)
+               FILTER (WHERE effective AND op IN ('seed', 'add', 'update')) AS attrs,
+           arg_max(event_ts, ord) FILTER (WHERE effective) AS updated_at,
+           max(seed_created) AS seed_created,
+           arg_min(event_ts, ord) FILTER (WHERE op = 'add') AS first_add,
+           max(seed_id) AS seed_id
+    FROM {name}_e4 GROUP BY symbol
+),
+{name} AS (
+    SELECT coalesce(seed_id, {top} + row_number() OVER (PARTITION BY seed_id IS NULL ORDER BY symbol)) AS watchlist_id,
+           symbol, attrs.c AS company_name, attrs.k AS category, attrs.n AS notes, is_active,
+           coalesce(seed_created, first_add) AS created_at, updated_at
+    FROM {name}_g WHERE ex = 1
+)"""
+
+
+OUTCOMES_SQL = """
+SELECT event_id, event_ts, symbol, op,
+       CASE WHEN op = 'add' AND NOT exists_before THEN 'added'
+            WHEN op = 'add' AND NOT active_before THEN 'reactivated'
+            WHEN op = 'add' THEN 'already_active'
+            WHEN NOT exists_before THEN 'not_found'
+            WHEN op = 'deactivate' AND active_before THEN 'deactivated'
+            WHEN op = 'deactivate' THEN 'already_inactive'
+            WHEN op = 'reactivate' AND NOT active_before THEN 'reactivated'
+            WHEN op = 'reactivate' THEN 'already_active'
+            WHEN op = 'update' THEN 'updated' ELSE 'not_found' END AS outcome,
+       effective AS changed
+FROM wl_e4 WHERE op <> 'seed'"""
+
+FOLD_C = (CHANGES_C, fold("wl", "changes_c"))
+
+ORACLE_SQL.update({
+    "watchlist_apply_changes": with_(*FOLD_C) + "SELECT * FROM wl",
+    "watchlist_change_outcomes": with_(*FOLD_C) + OUTCOMES_SQL,
+    "watchlist_fold_from_snapshot": with_(
+        CHANGES_C, "adds AS (SELECT * FROM changes_c WHERE op = 'add')",
+        "rest AS (SELECT * FROM changes_c WHERE op <> 'add')",
+        fold("snap1", "adds"), fold("snap2", "rest", "snap1")) + "SELECT * FROM snap2",
+    "insert_if_absent": with_(*FOLD_C, RAW_B, WATCHLIST_A, STG_TICKERS) + """
+        , cand AS (SELECT DISTINCT symbol, CAST(NULL AS VARCHAR) AS company_name, 'auto' AS category,
+                          CAST(NULL AS VARCHAR) AS notes FROM raw_b
+                   UNION ALL
+                   SELECT ticker_symbol, company_name, category, notes FROM stg_tickers)
+        SELECT (SELECT coalesce(max(watchlist_id), 0) FROM wl) + row_number() OVER (ORDER BY c.symbol) AS watchlist_id,
+               c.symbol, c.company_name, c.category, c.notes,
+               TRUE AS is_active, TIMESTAMP '2024-02-01 00:00:00' AS created_at,
+               TIMESTAMP '2024-02-01 00:00:00' AS updated_at
+        FROM cand c WHERE NOT EXISTS (SELECT 1 FROM wl w WHERE w.symbol = c.symbol)""",
+})
