@@ -279,3 +279,36 @@ QUERIES.update({
     "watchlist_fold_from_snapshot": watchlist_fold_from_snapshot,
     "insert_if_absent": insert_if_absent,
 })
+
+
+# -- data quality over feed A's models --------------------------------------------
+from tickspan.operators import quality as dq  # noqa: E402
+
+
+def dq_not_null(spark, sf_dir):
+    return dq.not_null_suite(feed_a(spark, sf_dir))
+
+
+def dq_unique(spark, sf_dir):
+    return dq.unique_suite(feed_a(spark, sf_dir))
+
+
+def dq_accepted(spark, sf_dir):
+    return dq.accepted_suite(feed_a(spark, sf_dir))
+
+
+def dq_relationships(spark, sf_dir):
+    return dq.relationships_suite(feed_a(spark, sf_dir))
+
+
+def dq_grain(spark, sf_dir):
+    return dq.grain_suite(feed_a(spark, sf_dir))
+
+
+QUERIES.update({
+    "dq_not_null": dq_not_null,
+    "dq_unique": dq_unique,
+    "dq_accepted": dq_accepted,
+    "dq_relationships": dq_relationships,
+    "dq_grain": dq_grain,
+})

@@ -547,3 +547,63 @@ ORACLE_SQL.update({
                TIMESTAMP '2024-02-01 00:00:00' AS updated_at
         FROM cand c WHERE NOT EXISTS (SELECT 1 FROM wl w WHERE w.symbol = c.symbol)""",
 })
+
+
+# -- data quality (generated from the same declared-test table) ---------------------
+from tickspan.operators.quality import DECLARED_TESTS, GRAIN_TESTS  # noqa: E402
+
+DQ_RELATION = {
+    "stg_market__stock_prices": "stg", "stg_market__tickers": "stg_tickers",
+    "int_stock_daily_returns": "returns", "int_stock_moving_averages": "moving",
+    "int_stock_volatility": "volatility", "dim_ticker": "dim_ticker", "dim_date": "dim_date",
+    "fact_stock_price_daily": "fact_price", "fact_stock_performance_daily": "fact_perf",
+    "mart_watchlist_performance": "mart_active", "mart_ticker_performance_summary": "summary",
+}
+A_DQ = A_STAR + (spine_fixed("1995-01-01", "2001-12-31"), DIM_DATE, PRICE_FACT, PERF_FACT,
+                 MART_ACTIVE, ANCHORS, SUMMARY)
+
+
+def _lit_list(values) -> str:
+    return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
+
+
+def _dq_sql(kind: str) -> str:
+    parts = []
+    for m, c, t, a in DECLARED_TESTS:
+        r = DQ_RELATION[m]
+        head = f"SELECT '{m}' AS model, '{c}' AS column_name, '{t}' AS test, "
+        if t != kind:
+            continue
+        if t == "not_null":
+            parts.append(head + f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {r}")
+        elif t == "unique":
+            parts.append(head + f"CAST(count(*) AS BIGINT) AS failures FROM "
+                         f"(SELECT {c} FROM {r} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1) x")
+        elif t == "accepted_values":
+            parts.append(head + f"CAST(count(*) AS BIGINT) AS failures FROM "
+                         f"(SELECT {c} AS v FROM {r} GROUP BY {c}) x WHERE v NOT IN ({_lit_list(a)})")
+        elif t == "relationships":
+            pr, pf = DQ_RELATION[a[0]], a[1]
+            parts.append(head + f"CAST(count(*) AS BIGINT) AS failures FROM {r} ch WHERE ch.{c} IS NOT NULL "
+                         f"AND NOT EXISTS (SELECT 1 FROM {pr} p WHERE p.{pf} = ch.{c})")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _grain_sql() -> str:
+    parts = []
+    for m, cols in GRAIN_TESTS:
+        r, k = DQ_RELATION[m], ", ".join(cols)
+        nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+        parts.append(f"SELECT '{m}' AS model, '{','.join(cols)}' AS column_name, 'unique_grain' AS test, "
+                     f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {k} FROM {r} WHERE {nn} "
+                     f"GROUP BY {k} HAVING count(*) > 1) x")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLE_SQL.update({
+    "dq_not_null": with_(*A_DQ) + _dq_sql("not_null"),
+    "dq_unique": with_(*A_DQ) + _dq_sql("unique"),
+    "dq_accepted": with_(*A_DQ) + _dq_sql("accepted_values"),
+    "dq_relationships": with_(*A_DQ) + _dq_sql("relationships"),
+    "dq_grain": with_(*A_DQ) + _grain_sql(),
+})
