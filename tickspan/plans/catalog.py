@@ -312,3 +312,34 @@ QUERIES.update({
     "dq_relationships": dq_relationships,
     "dq_grain": dq_grain,
 })
+
+
+# -- landed API documents (round trip through JSON) -----------------------------------
+from tickspan.sources import api_json  # noqa: E402
+
+REJECT_NOTE = "Thank you for using the API. Request limit reached."
+
+
+def _landed_documents(spark, sf_dir):
+    """Documents built from feed A's raw rows (one per symbol, month and
+    copy), plus a rate-limit note for every inactive watchlist symbol."""
+    docs = api_json.series_documents(testfeeds.feed_a_raw_prices(spark, sf_dir))
+    inactive = (testfeeds.feed_a_watchlist(spark, sf_dir).where(~F.col("is_active"))
+                .select(F.upper("symbol").alias("symbol"), F.col("updated_at").alias("fetched_at"),
+                        F.to_json(F.struct(F.lit(REJECT_NOTE).alias("Note"))).alias("body")))
+    return api_json.parse_bodies(docs.unionByName(inactive))
+
+
+def json_series_flatten(spark, sf_dir):
+    rows = api_json.flatten_series(_landed_documents(spark, sf_dir))
+    return rows.drop("loaded_at")
+
+
+def json_series_rejects(spark, sf_dir):
+    return api_json.rejects(_landed_documents(spark, sf_dir)).drop("fetched_at")
+
+
+QUERIES.update({
+    "json_series_flatten": json_series_flatten,
+    "json_series_rejects": json_series_rejects,
+})

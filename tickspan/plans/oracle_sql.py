@@ -607,3 +607,13 @@ ORACLE_SQL.update({
     "dq_relationships": with_(*A_DQ) + _dq_sql("relationships"),
     "dq_grain": with_(*A_DQ) + _grain_sql(),
 })
+
+
+# -- landed documents: flattening must give back the raw rows -------------------------
+ORACLE_SQL.update({
+    "json_series_flatten": with_(RAW_A) +
+        "SELECT symbol, trade_date, open, high, low, close, volume, source FROM raw_a",
+    "json_series_rejects": with_(WATCHLIST_A) +
+        "SELECT upper(symbol) AS symbol, 'Thank you for using the API. Request limit reached.' AS message "
+        "FROM watchlist_a WHERE NOT is_active",
+})
