@@ -4,11 +4,18 @@ Returns, 7/20/50-row moving averages and 20-row rolling volatility share the
 (ticker, date) grain, so they are computed together over one partitioning and
 one sort instead of three models joined back on (ticker, date).
 
-Skew: every frame here is bounded (at most 49 preceding rows), so a ticker's
+Partitioning: by default the windows run per ticker. Input rows are unique per
+(ticker, date), so one ticker's partition holds at most one row per calendar
+day of the data's span – a bound set by the calendar, not by data volume (a
+century of daily bars is ≈ 36.6k rows). Copies of a hot (ticker, date) are cut
+down before the shuffle by the dedup's map-side group limit.
+
+For bars finer than daily, ``split_by_year=True`` removes even that bound:
+every frame here is bounded (at most 49 preceding rows), so a ticker's
 history can be cut into calendar-year buckets. Each bucket is sent the last 49
 rows that precede it (its *halo*), the windows run per (ticker, year), and halo
 rows are dropped afterwards. Results are exact, and no window task ever holds
-more than one ticker-year plus 49 rows, however many rows one ticker has.
+more than one ticker-year (plus 49 rows), however many rows one ticker has.
 """
 
 from __future__ import annotations
@@ -27,25 +34,26 @@ TRADING_DAYS_PER_YEAR = 252
 # volatility needs 19 returns, each needing one earlier close (20 rows).
 HALO_ROWS = max(MA_LONG - 1, VOL_ROWS)
 
-_BUCKET, _IS_HALO = "_bucket", "_is_halo"
+_BUCKET, _IS_HALO, _POS, _CNT = "_bucket", "_is_halo", "_pos", "_cnt"
 
 
 def _year_bucket(date_col: str = "trading_date"):
     return F.year(F.col(date_col))
 
 
-def add_halo(core: DataFrame, key: str = "ticker_symbol", date_col: str = "trading_date",
-             halo: int = HALO_ROWS) -> DataFrame:
-    """``core`` (unique per key and date) plus, for every (key, year) bucket,
-    copies of the ``halo`` rows that directly precede it, re-labelled with that
-    bucket and flagged ``_is_halo``.
+def halo_rows(d: DataFrame, key: str = "ticker_symbol", halo: int = HALO_ROWS) -> DataFrame:
+    """For rows already numbered within their (key, bucket) – ``_pos`` from 1,
+    ``_cnt`` the bucket size – return, for every bucket, copies of the
+    ``halo`` rows that directly precede it, re-labelled with that bucket and
+    flagged ``_is_halo``.
 
-    Only per-bucket counts (keys × years rows) and at most ``halo`` tail rows
-    per bucket travel; the bulk of the data is not copied.
+    Only bucket sizes (keys × years rows) and at most ``halo`` tail rows per
+    bucket travel; the bulk of the data is not copied.
     """
-    core = core.withColumn(_BUCKET, _year_bucket(date_col)).withColumn(_IS_HALO, F.lit(False))
-
-    counts = core.groupBy(key, _BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    tail = d.where(F.col(_POS) > F.col(_CNT) - halo).withColumn("_r", F.col(_CNT) - F.col(_POS) + 1)
+    # Sizes come from the last row of each bucket, itself a tail row, so every
+    # branch reads the same upstream exchange.
+    sizes = tail.where(F.col("_r") == 1).select(key, _BUCKET, F.col(_CNT).alias("_n"))
     # Earlier buckets that reach into the `halo` rows before bucket b: at most
     # `halo` of them, because every bucket holds at least one row.
     wb = Window.partitionBy(key).orderBy(_BUCKET).rowsBetween(-halo, -1)
@@ -57,43 +65,17 @@ def add_halo(core: DataFrame, key: str = "ticker_symbol", date_col: str = "tradi
             x["b"].alias("src"),
             F.aggregate(F.slice(F.col("_prev"), i + 2, F.greatest(F.size("_prev") - i - 1, F.lit(0))),
                         F.lit(0).cast("long"), lambda acc, y: acc + y["n"]).alias("gap")))
-    targets = (counts.select(key, _BUCKET, prev.alias("_prev"))
+    targets = (sizes.select(key, _BUCKET, prev.alias("_prev"))
                .select(key, F.col(_BUCKET).alias("_dst"), F.explode(gaps).alias("_t"))
                .select(key, "_dst", F.col("_t.src").alias(_BUCKET), F.col("_t.gap").alias("_gap"))
                .where(F.col("_gap") < halo))
+    return (tail.join(targets, [key, _BUCKET])
+            .where(F.col("_r") + F.col("_gap") <= halo)
+            .withColumn(_BUCKET, F.col("_dst"))
+            .withColumn(_IS_HALO, F.lit(True)))
 
-    tail_w = Window.partitionBy(key, _BUCKET).orderBy(F.col(date_col).desc())
-    tail = core.withColumn("_r", F.row_number().over(tail_w)).where(F.col("_r") <= halo)
-    halo_rows = (tail.join(targets, [key, _BUCKET])
-                 .where(F.col("_r") + F.col("_gap") <= halo)
-                 .withColumn(_BUCKET, F.col("_dst"))
-                 .withColumn(_IS_HALO, F.lit(True))
-                 .select(*core.columns))
-    return core.unionByName(halo_rows)
-
-
-def daily_indicators(prices: DataFrame, split_by_year: bool = True) -> DataFrame:
-    """Staged prices (ticker_symbol, trading_date, open/high/low/close_price,
-    volume) → one row per input row with
-
-    previous_close_price, price_change, daily_return_pct (a fraction),
-    moving_average_7d/20d/50d, volatility_20d (sample stddev of the last 20
-    returns), annualized_volatility_20d.
-
-    Windows count rows, not days: the previous row is the previous trading row
-    even across gaps, and short early frames are kept. Returns are NULL on the
-    first row (and when the previous close is 0); volatility is NULL on the
-    first two rows (a sample stddev needs two returns).
-    """
-    key, day = "ticker_symbol", "trading_date"
-    base_cols = [c for c in prices.columns]
-    if split_by_year:
-        df = add_halo(prices, key, day)
-        w = Window.partitionBy(key, _BUCKET).orderBy(day)
-    else:
-        df = prices
-        w = Window.partitionBy(key).orderBy(day)
 
+def _with_indicators(df: DataFrame, w) -> DataFrame:
     prev_close = F.lag("close_price").over(w)
     df = df.select(
         "*",
@@ -112,11 +94,49 @@ def daily_indicators(prices: DataFrame, split_by_year: bool = True) -> DataFrame
     df = df.withColumn("volatility_20d",
                        F.stddev_samp("daily_return_pct").over(w.rowsBetween(-(VOL_ROWS - 1), 0)))
     # The stddev is evaluated once; annualising is a plain projection.
-    df = df.withColumn("annualized_volatility_20d",
-                       F.col("volatility_20d") * F.lit(math.sqrt(TRADING_DAYS_PER_YEAR)))
-    if split_by_year:
-        df = df.where(~F.col(_IS_HALO)).drop(_BUCKET, _IS_HALO)
-    out = base_cols + ["previous_close_price", "price_change", "daily_return_pct",
-                       "moving_average_7d", "moving_average_20d", "moving_average_50d",
-                       "volatility_20d", "annualized_volatility_20d"]
-    return df.select(*out)
+    return df.withColumn("annualized_volatility_20d",
+                         F.col("volatility_20d") * F.lit(math.sqrt(TRADING_DAYS_PER_YEAR)))
+
+
+INDICATOR_COLUMNS = ["previous_close_price", "price_change", "daily_return_pct",
+                     "moving_average_7d", "moving_average_20d", "moving_average_50d",
+                     "volatility_20d", "annualized_volatility_20d"]
+
+
+def daily_indicators(prices: DataFrame, split_by_year: bool = False) -> DataFrame:
+    """Staged prices (ticker_symbol, trading_date, open/high/low/close_price,
+    volume) → one row per input row with
+
+    previous_close_price, price_change, daily_return_pct (a fraction),
+    moving_average_7d/20d/50d, volatility_20d (sample stddev of the last 20
+    returns), annualized_volatility_20d.
+
+    Windows count rows, not days: the previous row is the previous trading row
+    even across gaps, and short early frames are kept. Returns are NULL on the
+    first row (and when the previous close is 0); volatility is NULL on the
+    first two rows (a sample stddev needs two returns).
+
+    With ``split_by_year`` the windows run per (ticker, year): one shuffle of
+    the data, as for per-ticker windows. Rows from the 50th of their year on
+    see only rows of that year, so their values are already exact; the first
+    49 rows of each year are recomputed together with their halo (the 49 rows
+    before the year) in a second, small pass, and the two parts are
+    concatenated without a further shuffle.
+    """
+    key, day = "ticker_symbol", "trading_date"
+    out = list(prices.columns) + INDICATOR_COLUMNS
+    if not split_by_year:
+        return _with_indicators(prices, Window.partitionBy(key).orderBy(day)).select(*out)
+
+    wb = Window.partitionBy(key, _BUCKET).orderBy(day)
+    # Position as a running count (dates are unique per ticker): unlike
+    # row_number it is not rewritten into a group limit below the exchange,
+    # so the body, head and tail branches all reuse one shuffle.
+    d = (prices.withColumn(_BUCKET, _year_bucket(day))
+         .withColumn(_POS, F.count(F.lit(1)).over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+         .withColumn(_CNT, F.count(F.lit(1)).over(Window.partitionBy(key, _BUCKET))))
+    body = _with_indicators(d, wb).where(F.col(_POS) > HALO_ROWS).select(*out)
+    head = d.where(F.col(_POS) <= HALO_ROWS).withColumn(_IS_HALO, F.lit(False))
+    ctx = halo_rows(d, key).select(*head.columns)
+    head_done = _with_indicators(head.unionByName(ctx), wb).where(~F.col(_IS_HALO)).select(*out)
+    return body.unionByName(head_done)

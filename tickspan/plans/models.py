@@ -42,12 +42,17 @@ class PriceModels:
     holidays    – seed rows (default: the built-in NYSE seed)
     calendar    – (start, end) of the date dimension; ``None`` covers the whole
                   years spanned by the staged prices
-    split_by_year – skew-safe indicator windows (see ``operators.indicators``)
+    split_by_year – run the indicator windows per (ticker, year) with halos
+                  instead of per ticker (see ``operators.indicators``). Off by
+                  default: after dedup a ticker holds at most one row per
+                  calendar day, so a per-ticker window partition is bounded by
+                  the date span (≈ 36.6k rows a century), not by data volume.
+                  Turn it on for finer-than-daily bars.
     """
 
     def __init__(self, raw_prices: DataFrame, watchlist: DataFrame, holidays: DataFrame | None = None,
                  calendar: tuple | None = ("2024-01-01", "2027-12-31"), market_code: str = "NYSE",
-                 split_by_year: bool = True):
+                 split_by_year: bool = False):
         self.spark = raw_prices.sparkSession
         self.raw_prices = raw_prices
         self.watchlist = watchlist

@@ -32,7 +32,7 @@ def dedup_order():
     return [F.col("loaded_at").desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in TIE_BREAK]
 
 
-def stg_stock_prices(raw: DataFrame, align_to_year_buckets: bool = True) -> DataFrame:
+def stg_stock_prices(raw: DataFrame, align_to_year_buckets: bool = False) -> DataFrame:
     """One row per (ticker, date): the latest load wins.
 
     With ``align_to_year_buckets`` the dedup shuffle is keyed on (ticker, year),
