@@ -38,7 +38,8 @@ def active_symbols(watchlist: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def ticker_history(mart: DataFrame, period: str = "ALL_AVAILABLE", symbol: str | None = None,
-                   anchor_dates: DataFrame | None = None, numeric: bool = True) -> DataFrame:
+                   anchor_dates: DataFrame | None = None, numeric: bool = True,
+                   ordered: bool = True) -> DataFrame:
     """Daily history (price, averages, return, volume, volatility) from
     ``period``'s start, ordered by date.
 
@@ -54,7 +55,8 @@ def ticker_history(mart: DataFrame, period: str = "ALL_AVAILABLE", symbol: str |
     cols = [F.col("ticker_symbol"), F.col("trading_date")]
     for c in HISTORY_COLUMNS[1:]:
         cols.append(F.col(c).try_cast("double").alias(c) if numeric else F.col(c))
-    return df.select(*cols).orderBy("ticker_symbol", "trading_date")
+    df = df.select(*cols)
+    return df.orderBy("ticker_symbol", "trading_date") if ordered else df
 
 
 def _last(cols: list[str], order: str = "trading_date") -> list[Column]:
@@ -110,35 +112,39 @@ def investment_scenario(history: DataFrame, amount: float = SCENARIO_AMOUNT) ->
     )
 
 
-def cumulative_returns(history: DataFrame) -> DataFrame:
+def cumulative_returns(history: DataFrame, ticker_rows: int | None = None) -> DataFrame:
     """(close / first close − 1) · 100 per row, each ticker based on its own
     first row. The first close per ticker is a partial aggregate joined back
     (one row per ticker), not a window over a whole ticker history."""
     base = history.groupBy("ticker_symbol").agg(F.min_by("close_price", "trading_date").alias("_base"))
-    j = join_small(history, base, "ticker_symbol", "inner")
+    j = join_small(history, base, "ticker_symbol", "inner", known_rows=ticker_rows)
     return j.select("ticker_symbol", "trading_date",
                     ((safe_divide(F.col("close_price"), F.col("_base")) - 1) * 100)
                     .alias("cumulative_return_pct"))
 
 
-def benchmark_comparison(history: DataFrame, benchmark: str | Column | None = None) -> DataFrame:
+def benchmark_comparison(history: DataFrame, benchmark: str | Column | None = None,
+                         ticker_rows: int | None = None, series_rows: int | None = None,
+                         symbols: DataFrame | None = None) -> DataFrame:
     """Cumulative return of every ticker next to a benchmark ticker's, on the
     dates both have (the benchmark itself is not compared with itself).
 
-    ``benchmark``: a symbol, a Column, or ``None`` for the first active symbol
-    in order (a scalar subquery). The benchmark series is one ticker over one
-    period, joined on date behind a size check."""
+    ``benchmark``: a symbol, a Column, or ``None`` for the first symbol of the
+    history in order (a scalar subquery; ``symbols`` may hold the same symbols
+    more cheaply). The benchmark series is one ticker over one period (at most
+    ``series_rows`` dates), joined on date behind that bound or a size check."""
     if benchmark is None:
-        benchmark = history.select(F.min("ticker_symbol")).scalar()
+        benchmark = (symbols if symbols is not None else history).select(F.min("ticker_symbol")).scalar()
     bsym = F.lit(benchmark) if isinstance(benchmark, str) else benchmark
-    cum = cumulative_returns(history)
+    cum = cumulative_returns(history, ticker_rows)
     bench = (cum.where(F.col("ticker_symbol") == bsym)
              .select(F.col("ticker_symbol").alias("benchmark_symbol"), "trading_date",
                      F.col("cumulative_return_pct").alias("benchmark_cumulative_return_pct")))
     mine = cum.where(F.col("ticker_symbol") != bsym).select(
         "ticker_symbol", "trading_date", F.col("cumulative_return_pct").alias("ticker_cumulative_return_pct"))
     # A full outer join followed by dropping incomplete rows equals an inner join.
-    return join_small(mine, bench, "trading_date", "inner", max_rows=1_000_000).select(
+    return join_small(mine, bench, "trading_date", "inner", max_rows=1_000_000,
+                      known_rows=series_rows).select(
         "ticker_symbol", "benchmark_symbol", "trading_date",
         "ticker_cumulative_return_pct", "benchmark_cumulative_return_pct")
 

@@ -22,15 +22,17 @@ def closures(holidays: DataFrame, market_code: str = "NYSE") -> DataFrame:
 
 
 def dim_date(spine: DataFrame, holidays: DataFrame, market_code: str = "NYSE",
-             spine_rows: int | None = None) -> DataFrame:
+             holiday_rows: int | None = None) -> DataFrame:
     """Calendar attributes, holiday flags, adjacent trading days and running
     trading-day counters for every ``date_day`` of ``spine``.
 
     A date with two closures appears twice (left join), as in a plain SQL
-    left join; keep the seed unique per date.
+    left join; keep the seed unique per date. ``holiday_rows``: a known row
+    bound of the seed (else it is counted, with a cap, before broadcasting).
     """
     hol = closures(holidays, market_code)
-    d = join_small(spine, hol, spine["date_day"] == hol["holiday_date"], "left", max_rows=100_000)
+    d = join_small(spine, hol, spine["date_day"] == hol["holiday_date"], "left", max_rows=100_000,
+                   known_rows=holiday_rows)
     day = F.col("date_day")
     dow = tf.iso_day_of_week(day)
     weekend = dow.isin(6, 7)

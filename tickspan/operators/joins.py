@@ -22,6 +22,13 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return _checked[key]
 
 
+def bounded_count(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> int:
+    """Row count of ``df`` capped at ``max_rows + 1`` (stops scanning there).
+    A result ≤ ``max_rows`` is the exact count and a proven broadcast bound
+    for ``df`` and for every projection or filter of it."""
+    return df.limit(max_rows + 1).count()
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                known_rows: int | None = None) -> DataFrame:

@@ -90,7 +90,7 @@ def tag_periods(perf: DataFrame, date_col: str = "trading_date",
 
 
 def period_summary(perf: DataFrame, tickers: DataFrame,
-                   anchor_dates: DataFrame | None = None) -> DataFrame:
+                   anchor_dates: DataFrame | None = None, ticker_rows: int | None = None) -> DataFrame:
     """Per (ticker, period) summary.
 
     ``perf``: ticker_symbol, trading_date, close_price, daily_return_pct,
@@ -118,7 +118,7 @@ def period_summary(perf: DataFrame, tickers: DataFrame,
         F.count("trading_date").alias("trading_days_count"),
     )
     t = tickers.select("ticker_symbol", "company_name", "category")
-    j = join_small(g, t, "ticker_symbol", "inner")
+    j = join_small(g, t, "ticker_symbol", "inner", known_rows=ticker_rows)
     return j.select(
         "ticker_symbol", "company_name", "category", "period_name",
         "period_start_date", "period_end_date", "start_close_price", "end_close_price",

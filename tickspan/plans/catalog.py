@@ -179,11 +179,11 @@ _VOL = ["volatility_20d", "annualized_volatility_20d"]
 
 
 def _history(spark, sf_dir):
-    return feed_a(spark, sf_dir).history(ANALYTICS_PERIOD)
+    return feed_a(spark, sf_dir).history(ANALYTICS_PERIOD, ordered=False)
 
 
 def ticker_history_90d(spark, sf_dir):
-    return _round(_history(spark, sf_dir), _VOL, VOL_DIGITS)
+    return _round(feed_a(spark, sf_dir).history(ANALYTICS_PERIOD), _VOL, VOL_DIGITS)
 
 
 def summary_ordered(spark, sf_dir):
@@ -200,7 +200,7 @@ def signals(spark, sf_dir):
 
 
 def benchmark_cumulative_return(spark, sf_dir):
-    return an.benchmark_comparison(_history(spark, sf_dir))
+    return feed_a(spark, sf_dir).benchmark_comparison(ANALYTICS_PERIOD)
 
 
 def investment_scenario(spark, sf_dir):

@@ -18,7 +18,7 @@ MART_COLUMNS = [
 
 
 def mart_watchlist_performance(indicators: DataFrame, dim_date: DataFrame, dim_ticker: DataFrame,
-                               calendar_rows: int | None = None) -> DataFrame:
+                               calendar_rows: int | None = None, ticker_rows: int | None = None) -> DataFrame:
     """Daily performance of *active* tickers with calendar attributes.
 
     Volume rides along from the one-pass indicators (same rows as the price
@@ -27,12 +27,13 @@ def mart_watchlist_performance(indicators: DataFrame, dim_date: DataFrame, dim_t
     active = dim_ticker.where(F.col("is_active") == F.lit(True))
     j = conform(indicators, dim_date, active, date_cols=MART_DATE_COLUMNS,
                 ticker_cols=["company_name", "category", "currency", "country", "is_active"],
-                calendar_rows=calendar_rows)
+                calendar_rows=calendar_rows, ticker_rows=ticker_rows)
     return j.select(*MART_COLUMNS)
 
 
 def mart_ticker_performance_summary(performance_with_volume: DataFrame, dim_ticker: DataFrame,
-                                    anchor_dates: DataFrame | None = None) -> DataFrame:
+                                    anchor_dates: DataFrame | None = None,
+                                    ticker_rows: int | None = None) -> DataFrame:
     """Per (ticker, period) summary over the conformed performance fact
     (inactive tickers included; anchors global over all tickers)."""
-    return period_summary(performance_with_volume, dim_ticker, anchor_dates)
+    return period_summary(performance_with_volume, dim_ticker, anchor_dates, ticker_rows)

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickspan.operators.calendar import dim_date as build_dim_date
 from tickspan.operators.indicators import daily_indicators
-from tickspan.operators.joins import join_small
+from tickspan.operators.joins import bounded_count, join_small
 from tickspan.plans import core, marts, staging
-from tickspan.sources.holidays import market_holidays
+from tickspan.sources.holidays import market_holidays, seed_size
 from tickspan.sources.spine import covering_years, date_spine, spine_size
 
 # (layer, materialization) of each model.
@@ -57,6 +57,7 @@ class PriceModels:
         self.raw_prices = raw_prices
         self.watchlist = watchlist
         self.holidays = holidays if holidays is not None else market_holidays(self.spark)
+        self.holiday_rows = None if holidays is not None else seed_size()
         self.calendar = calendar
         self.market_code = market_code
         self.split_by_year = split_by_year
@@ -93,8 +94,16 @@ class PriceModels:
 
     # -- core --------------------------------------------------------------
     @cached_property
-    def calendar_rows(self) -> int | None:
-        return spine_size(*self.calendar) if self.calendar else None
+    def calendar_rows(self) -> int:
+        """Row bound of the date dimension: known from the parameters, or one
+        bounded count when the calendar is derived from the data."""
+        return spine_size(*self.calendar) if self.calendar else bounded_count(self.dim_date)
+
+    @cached_property
+    def ticker_rows(self) -> int:
+        """Row bound of the ticker dimension (one bounded count, reused by
+        every join with it)."""
+        return bounded_count(self.dim_ticker)
 
     @cached_property
     def date_spine(self) -> DataFrame:
@@ -104,7 +113,7 @@ class PriceModels:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return build_dim_date(self.date_spine, self.holidays, self.market_code)
+        return build_dim_date(self.date_spine, self.holidays, self.market_code, self.holiday_rows)
 
     @cached_property
     def dim_ticker(self) -> DataFrame:
@@ -113,14 +122,14 @@ class PriceModels:
     @cached_property
     def fact_stock_price_daily(self) -> DataFrame:
         return core.fact_stock_price_daily(self.stg_market__stock_prices, self.dim_date,
-                                           self.dim_ticker, self.calendar_rows)
+                                           self.dim_ticker, self.calendar_rows, self.ticker_rows)
 
     @cached_property
     def performance_with_volume(self) -> DataFrame:
         """Performance fact plus volume (the price fact's rows are the same
         (ticker, date) set, so no join back to it is needed)."""
         return core.conform(self.indicators, self.dim_date, self.dim_ticker,
-                            calendar_rows=self.calendar_rows).select(
+                            calendar_rows=self.calendar_rows, ticker_rows=self.ticker_rows).select(
             *core.PERFORMANCE_FACT_COLUMNS, "volume")
 
     @cached_property
@@ -133,22 +142,40 @@ class PriceModels:
         dd = self.dim_date.select(F.col("date_day").alias("trading_date"))
         dt = self.dim_ticker.select("ticker_symbol")
         r = join_small(r, dd, "trading_date", "left_semi", known_rows=self.calendar_rows)
-        return join_small(r, dt, "ticker_symbol", "left_semi").select("trading_date")
+        return join_small(r, dt, "ticker_symbol", "left_semi", known_rows=self.ticker_rows).select("trading_date")
 
     @cached_property
-    def active_dates(self) -> DataFrame:
-        """Trading dates of the active-ticker mart, from the raw scan (the
-        page's period anchor is the active-only mart, not all tickers)."""
+    def active_keys(self) -> DataFrame:
+        """(ticker_symbol, trading_date) of the active-ticker mart, from the raw
+        scan: two broadcast semi-joins, no dedup or windows (the page's period
+        anchor is the active-only mart, not all tickers)."""
         r = staging.renamed_prices(self.raw_prices).select("ticker_symbol", "trading_date")
         dd = self.dim_date.select(F.col("date_day").alias("trading_date"))
         dt = self.dim_ticker.where(F.col("is_active") == F.lit(True)).select("ticker_symbol")
         r = join_small(r, dd, "trading_date", "left_semi", known_rows=self.calendar_rows)
-        return join_small(r, dt, "ticker_symbol", "left_semi").select("trading_date")
+        return join_small(r, dt, "ticker_symbol", "left_semi", known_rows=self.ticker_rows)
 
-    def history(self, period: str = "ALL_AVAILABLE", symbol: str | None = None) -> DataFrame:
-        """Ticker history view over the active mart (numeric, ordered)."""
+    @cached_property
+    def active_dates(self) -> DataFrame:
+        return self.active_keys.select("trading_date")
+
+    def history(self, period: str = "ALL_AVAILABLE", symbol: str | None = None,
+                ordered: bool = True) -> DataFrame:
+        """Ticker history view over the active mart (numeric)."""
         from tickspan.operators.analytics import ticker_history
-        return ticker_history(self.mart_watchlist_performance, period, symbol, anchor_dates=self.active_dates)
+        return ticker_history(self.mart_watchlist_performance, period, symbol,
+                              anchor_dates=self.active_dates, ordered=ordered)
+
+    def benchmark_comparison(self, period: str = "90D", benchmark: str | None = None) -> DataFrame:
+        """Cumulative returns of every active ticker next to ``benchmark``'s
+        (default: the first active symbol with history in the period)."""
+        from tickspan.operators.analytics import benchmark_comparison
+        from tickspan.operators.periods import history_start
+        latest = self.active_dates.select(F.max("trading_date")).scalar()
+        symbols = self.active_keys.where(F.col("trading_date") >= history_start(period, latest))
+        return benchmark_comparison(self.history(period, ordered=False), benchmark,
+                                    ticker_rows=self.ticker_rows, series_rows=self.calendar_rows,
+                                    symbols=symbols)
 
     @cached_property
     def fact_stock_performance_daily(self) -> DataFrame:
@@ -158,12 +185,12 @@ class PriceModels:
     @cached_property
     def mart_watchlist_performance(self) -> DataFrame:
         return marts.mart_watchlist_performance(self.indicators, self.dim_date, self.dim_ticker,
-                                                self.calendar_rows)
+                                                self.calendar_rows, self.ticker_rows)
 
     @cached_property
     def mart_ticker_performance_summary(self) -> DataFrame:
         return marts.mart_ticker_performance_summary(self.performance_with_volume, self.dim_ticker,
-                                                     self.conformed_dates)
+                                                     self.conformed_dates, self.ticker_rows)
 
     def model(self, name: str) -> DataFrame:
         if name not in MODEL_LAYERS:

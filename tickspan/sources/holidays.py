@@ -84,6 +84,10 @@ def market_holidays(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame(seed_rows(), MARKET_HOLIDAYS)
 
 
+def seed_size(text: str = MARKET_HOLIDAYS_CSV) -> int:
+    return len(seed_rows(text))
+
+
 def holidays_values_sql(text: str = MARKET_HOLIDAYS_CSV) -> str:
     """The seed as an SQL ``VALUES`` relation (for oracle queries)."""
     rows = []

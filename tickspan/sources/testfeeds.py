@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickspan.operators.joins import join_small
 
 FEED_A_LOAD_BASE = "2002-01-01 00:00:00"
 FEED_A_WATCHLIST_TS = "2002-01-01 00:00:00"
@@ -57,7 +56,10 @@ def feed_a_watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     ts = F.lit(FEED_A_WATCHLIST_TS).cast("timestamp_ntz")
-    j = join_small(sup, nat, sup["s_nationkey"] == nat["n_nationkey"], "left", max_rows=10_000)
+    # A scan of a tiny table: the planner's file-size statistic puts it under
+    # spark.sql.autoBroadcastJoinThreshold, so it is broadcast without a
+    # counting job (a sort-merge join would be planned beyond the threshold).
+    j = sup.join(nat, sup["s_nationkey"] == nat["n_nationkey"], "left")
     return j.select(
         F.col("s_suppkey").alias("watchlist_id"),
         F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("symbol"),
