@@ -25,8 +25,11 @@ UNUSUAL_MOVE = 0.03         # |daily return| strictly above → flag
 SCENARIO_AMOUNT = 10_000.0
 
 
-def watchlist_listing(watchlist: DataFrame) -> DataFrame:
-    """All tickers, active first, then by symbol."""
+def watchlist_listing(watchlist: DataFrame, include_inactive: bool = True) -> DataFrame:
+    """Tickers, active first, then by symbol; ``include_inactive=False`` keeps
+    active ones only."""
+    if not include_inactive:
+        watchlist = watchlist.where(F.col("is_active") == F.lit(True))
     return (watchlist.select("symbol", "company_name", "category", "notes", "is_active",
                              "created_at", "updated_at")
             .orderBy(F.col("is_active").desc(), F.col("symbol").asc()))

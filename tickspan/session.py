@@ -44,13 +44,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests,
-    local runs) fall back to a fresh local scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``. Only in local mode (tests,
+    local runs) and only when it is unset, fall back to a fresh scratch
+    folder; on a cluster a missing setting is an error, never a machine-local
+    folder."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         configured = tempfile.mkdtemp(prefix="tickspan-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir()

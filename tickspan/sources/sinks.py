@@ -53,3 +53,13 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
             w.format("parquet").saveAsTable(loc)
         out[name] = loc
     return out
+
+
+def fetch_bounded(df: DataFrame, max_rows: int = 100_000):
+    """A small final result as pandas, column names lower-cased (the client
+    edge). Refuses – rather than truncates – a result above ``max_rows``."""
+    rows = df.limit(max_rows + 1).toPandas()
+    if len(rows) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; write it to a table instead")
+    rows.columns = [c.lower() for c in rows.columns]
+    return rows
