@@ -2,8 +2,9 @@
 local[$BENCH_CPUS] and print one JSON line.
 
 Each query is executed in full with the ``noop`` sink (every row is produced,
-nothing is collected to the driver). A warm-up pass on sf0.001 runs first and
-is not timed.
+nothing is collected to the driver), building its DataFrame from scratch each
+time. A warm-up pass on sf0.001 runs first and is not timed; each query then
+runs $BENCH_REPEAT times (default 2) and the best time is reported.
 """
 
 from __future__ import annotations
@@ -47,11 +48,16 @@ def main():
     if os.path.isdir(warm):
         for n in names:
             run(spark, n, warm)
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     times = {}
     for n in names:
-        t0 = time.perf_counter()
-        run(spark, n, sf_dir)
-        times[n] = round(time.perf_counter() - t0, 3)
+        best = None
+        for _ in range(repeat):
+            t0 = time.perf_counter()
+            run(spark, n, sf_dir)
+            dt = time.perf_counter() - t0
+            best = dt if best is None else min(best, dt)
+        times[n] = round(best, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}))
