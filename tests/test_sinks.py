@@ -64,3 +64,13 @@ def test_listing_toggle(spark):
     assert [r.symbol for r in an.watchlist_listing(w).collect()] == ["b", "c", "a"]
     assert [r.symbol for r in an.watchlist_listing(w, include_inactive=False).collect()] == ["b", "c"]
     assert [r.symbol for r in an.active_symbols(w).collect()] == ["b", "c"]
+
+
+def test_shared_intermediates_give_same_marts(spark):
+    def build():
+        return PriceModels(testfeeds.feed_a_raw_prices(spark, SF_SMALL), testfeeds.feed_a_watchlist(spark, SF_SMALL),
+                           calendar=("1995-01-01", "2001-12-31"))
+    plain, shared = build(), build()
+    shared.share_intermediates()
+    for name in ("fact_stock_performance_daily", "mart_watchlist_performance", "mart_ticker_performance_summary"):
+        assert sorted(plain.model(name).collect()) == sorted(shared.model(name).collect()), name

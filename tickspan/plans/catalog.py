@@ -343,3 +343,15 @@ QUERIES.update({
     "json_series_flatten": json_series_flatten,
     "json_series_rejects": json_series_rejects,
 })
+
+
+# -- skew-safe indicator path on the whole data ---------------------------------------
+
+def indicators_year_buckets(spark, sf_dir):
+    """All indicator columns computed per (ticker, year) with 49-row halos
+    (the option for finer-than-daily bars), checked against the three
+    separate window models joined back."""
+    return _round(feed_a(spark, sf_dir, split_by_year=True).indicators, _VOL, VOL_DIGITS)
+
+
+QUERIES["indicators_year_buckets"] = indicators_year_buckets

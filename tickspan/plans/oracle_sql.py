@@ -617,3 +617,14 @@ ORACLE_SQL.update({
         "SELECT upper(symbol) AS symbol, 'Thank you for using the API. Request limit reached.' AS message "
         "FROM watchlist_a WHERE NOT is_active",
 })
+
+
+ORACLE_SQL["indicators_year_buckets"] = with_(*A_BASE, RETURNS, MOVING, VOLATILITY) + """
+SELECT s.ticker_symbol, s.trading_date, s.open_price, s.high_price, s.low_price, s.close_price, s.volume,
+       s.data_source, s.loaded_at, r.previous_close_price, r.price_change, r.daily_return_pct,
+       m.moving_average_7d, m.moving_average_20d, m.moving_average_50d,
+       round(v.volatility_20d, 6) AS volatility_20d, round(v.annualized_volatility_20d, 6) AS annualized_volatility_20d
+FROM stg s
+JOIN returns r ON s.ticker_symbol = r.ticker_symbol AND s.trading_date = r.trading_date
+JOIN moving m ON s.ticker_symbol = m.ticker_symbol AND s.trading_date = m.trading_date
+JOIN volatility v ON s.ticker_symbol = v.ticker_symbol AND s.trading_date = v.trading_date"""

@@ -20,16 +20,24 @@ def append_raw(rows: DataFrame, path: str) -> None:
 
 
 def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
-                names: list[str] | None = None, partition_by: dict | None = None) -> dict:
+                names: list[str] | None = None, partition_by: dict | None = None,
+                share_intermediates: bool = True) -> dict:
     """Materialize the model graph layer by layer.
 
     Views are registered as temporary views ``<LAYER>__<model>``; tables are
     rebuilt in full (overwrite) as parquet under ``root/<LAYER>/<model>``, or
     as catalog tables ``<LAYER>.<model>`` when ``root`` is None. Returns
     {model: location}. Each write is one job whose output is committed
-    atomically, so a lost executor only retries tasks."""
+    atomically, so a lost executor only retries tasks.
+
+    With ``share_intermediates`` the deduplicated prices and the indicator
+    pass are each computed once and checkpointed (reliably, into
+    ``spark.checkpoint.dir``) before the tables that read them are written,
+    instead of being recomputed for every fact and mart."""
     from tickspan.plans.models import MODEL_LAYERS
     spark = models.spark
+    if share_intermediates:
+        models.share_intermediates()
     out = {}
     for name in names or list(MODEL_LAYERS):
         layer, kind = MODEL_LAYERS[name]
