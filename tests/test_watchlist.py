@@ -112,3 +112,14 @@ def test_assign_ids_dense_across_partitions(spark):
                                   F.lit(T).alias("created_at"), F.lit(T).alias("updated_at")).repartition(7)
     got = sorted((r.symbol, r.watchlist_id) for r in wl.assign_ids(df, 100).collect())
     assert [i for _, i in got] == list(range(101, 5101))
+
+
+def test_segmented_scan_equals_per_symbol_scan(spark):
+    ch = testfeeds.feed_c_changes(spark, SF_MID)
+    for days in (1, 3):
+        a = sorted(wl.change_outcomes(ch, bucket_days=days).collect())
+        b = sorted(wl.change_outcomes(ch, bucket_days=None).collect())
+        assert a == b
+    snap = wl.apply_changes(ch.where(F.col("op") == "add"), bucket_days=None)
+    rest = ch.where(F.col("op") != "add")
+    assert sorted(wl.apply_changes(rest, snap).collect()) == sorted(wl.apply_changes(rest, snap, bucket_days=None).collect())

@@ -16,10 +16,11 @@ Rules of the four operations (``op``):
                    attributes ('' → NULL), updated = event time. Absent: nothing.
 
 Closed form (no per-row loop): snapshot rows enter as ``seed`` events that
-precede every change. Per symbol, ordered by (phase, event_ts, event_id),
-running windows give whether the symbol exists and its status before each
-event; from those an event is *effective* or not. The next snapshot is then a
-grouped aggregate (``max_by`` / ``min_by`` over effective events), which Spark
+precede every change. Per symbol, ordered by (phase, event_ts, event_id), a
+prefix scan gives whether the symbol exists and its status before each event
+(split into day segments with carried state, see ``classify_events``); from
+those an event is *effective* or not. The next snapshot is then a grouped
+aggregate (``max_by`` / ``min_by`` over effective events), which Spark
 combines partially before the shuffle.
 """
 
@@ -70,24 +71,56 @@ def _event_stream(snapshot: DataFrame | None, changes: DataFrame) -> DataFrame:
     return seeds.unionByName(ch)
 
 
-def classify_events(snapshot: DataFrame | None, changes: DataFrame) -> DataFrame:
+def classify_events(snapshot: DataFrame | None, changes: DataFrame, bucket_days: int | None = 1) -> DataFrame:
     """Every event with ``_exists_before``, ``_active_before`` (NULL when the
-    symbol does not exist), ``_effective`` and ``_ord`` (its position)."""
+    symbol does not exist), ``_effective`` and ``_ord`` (its position).
+
+    The state before an event is a prefix scan over the symbol's events. With
+    ``bucket_days`` the scan is split so that no task holds one symbol's whole
+    log: events are grouped into (symbol, day-bucket) segments; a partial
+    aggregate summarises each segment (does it create the symbol, what status
+    does it leave), small windows over those summaries give each segment its
+    state on entry, and the per-event windows then run per segment. Snapshot
+    seeds form their own first segment. ``bucket_days=None`` scans per symbol.
+    """
     ev = _event_stream(snapshot, changes)
     op = F.col("op")
-    w = Window.partitionBy("symbol").orderBy("_phase", "event_ts", "event_id")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    starts = op.isin("seed", "add").cast("int")
-    ev = ev.withColumn("_exists_at", F.max(starts).over(upto) == 1)
     status = (F.when(op == "seed", F.col("_seed_active"))
               .when(op.isin("add", "reactivate"), F.lit(True))
               .when(op == "deactivate", F.lit(False)))
+    day = (F.floor(F.unix_date(F.to_date("event_ts")) / F.lit(bucket_days)).cast("long")
+           if bucket_days else F.lit(0).cast("long"))
+    ev = ev.withColumns({
+        "_start": op.isin("seed", "add").cast("int"),
+        "_sv": status,
+        "_ord": F.struct("_phase", "event_ts", "event_id"),
+        "_day": F.when(F.col("_phase") == 0, F.lit(0).cast("long")).otherwise(day),
+    })
+    seg = ["symbol", "_phase", "_day"]
+
+    # Segment summaries and the state each segment starts from.
+    summ = ev.groupBy(*seg).agg(
+        F.max("_start").alias("_has_start"),
+        F.max_by("_sv", F.when(F.col("_sv").isNotNull(), F.col("_ord"))).alias("_last_sv"))
+    ws = Window.partitionBy("symbol").orderBy("_phase", "_day")
+    before_seg = ws.rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumn("_x_in", F.coalesce(F.max("_has_start").over(before_seg), F.lit(0)) == 1)
+    # A segment changes the status only once the symbol exists in it.
+    summ = summ.withColumn("_sv_out", F.when(F.col("_x_in") | (F.col("_has_start") == 1), F.col("_last_sv")))
+    summ = summ.withColumn("_s_in", F.last("_sv_out", ignorenulls=True).over(before_seg))
+    # A shuffle join on the segment key: its exchange is also the one the
+    # per-segment windows below need.
+    ev = ev.join(summ.select(*seg, "_x_in", "_s_in"), seg)
+
+    w = Window.partitionBy(*seg).orderBy("_ord")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    ev = ev.withColumn("_exists_at", F.col("_x_in") | (F.max("_start").over(upto) == 1))
     # Status changes of a symbol that does not exist yet are no-ops.
-    ev = ev.withColumn("_status", F.when(F.col("_exists_at"), status))
+    ev = ev.withColumn("_status", F.when(F.col("_exists_at"), F.col("_sv")))
     ev = ev.withColumns({
-        "_exists_before": F.coalesce(F.max(starts).over(before) == 1, F.lit(False)),
-        "_active_before": F.last("_status", ignorenulls=True).over(before),
+        "_exists_before": F.col("_x_in") | F.coalesce(F.max("_start").over(before) == 1, F.lit(False)),
+        "_active_before": F.coalesce(F.last("_status", ignorenulls=True).over(before), F.col("_s_in")),
     })
     eb, ab = F.col("_exists_before"), F.col("_active_before")
     effective = (F.when(op == "seed", F.lit(True))
@@ -96,18 +129,16 @@ def classify_events(snapshot: DataFrame | None, changes: DataFrame) -> DataFrame
                  .when(op == "reactivate", eb & ~ab)
                  .when(op == "update", eb)
                  .otherwise(F.lit(False)))
-    return ev.withColumns({
-        "_effective": effective,
-        "_ord": F.struct("_phase", "event_ts", "event_id"),
-    })
+    return ev.withColumn("_effective", effective)
 
 
-def change_outcomes(changes: DataFrame, snapshot: DataFrame | None = None) -> DataFrame:
+def change_outcomes(changes: DataFrame, snapshot: DataFrame | None = None,
+                    bucket_days: int | None = 1) -> DataFrame:
     """One row per change: event_id, symbol (as matched), op, outcome.
 
     Outcomes: added, reactivated, already_active, deactivated,
     already_inactive, updated, not_found (a change to an absent symbol)."""
-    ev = classify_events(snapshot, changes).where(F.col("op") != "seed")
+    ev = classify_events(snapshot, changes, bucket_days).where(F.col("op") != "seed")
     prior = (F.when(~F.col("_exists_before"), F.lit("absent"))
              .when(F.col("_active_before"), F.lit("active")).otherwise(F.lit("inactive")))
     label = F.lit(NOT_FOUND)
@@ -118,13 +149,13 @@ def change_outcomes(changes: DataFrame, snapshot: DataFrame | None = None) -> Da
 
 
 def apply_changes(changes: DataFrame, snapshot: DataFrame | None = None,
-                  id_offset=None) -> DataFrame:
+                  id_offset=None, bucket_days: int | None = 1) -> DataFrame:
     """Next watchlist snapshot (``WATCHLIST`` layout).
 
     Symbols kept from ``snapshot`` keep their ids; new symbols get ids above
     the snapshot's maximum (or above ``id_offset``), numbered in symbol order
     (see ``assign_ids``)."""
-    ev = classify_events(snapshot, changes)
+    ev = classify_events(snapshot, changes, bucket_days)
     ordv = F.col("_ord")
     eff = F.col("_effective")
     carries = eff & F.col("op").isin("seed", "add", "update")

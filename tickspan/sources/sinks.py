@@ -71,3 +71,15 @@ def fetch_bounded(df: DataFrame, max_rows: int = 100_000):
         raise ValueError(f"result has more than {max_rows} rows; write it to a table instead")
     rows.columns = [c.lower() for c in rows.columns]
     return rows
+
+
+def with_load_defaults(rows: DataFrame, loaded_at=None, source: str = "alpha_vantage") -> DataFrame:
+    """Fill the raw table's load-time defaults: ``source`` and ``loaded_at``
+    (a parameter, so that a re-run stamps the same time; the session's
+    current time only when none is given). Existing non-NULL values are kept."""
+    from pyspark.sql import functions as F
+    ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at is not None else F.localtimestamp()
+    cols = rows.columns
+    src = F.coalesce(F.col("source"), F.lit(source)) if "source" in cols else F.lit(source)
+    at = F.coalesce(F.col("loaded_at").cast("timestamp_ntz"), ts) if "loaded_at" in cols else ts
+    return rows.withColumns({"source": src, "loaded_at": at}).select(*RAW_STOCK_PRICES.fieldNames())
