@@ -67,3 +67,12 @@ def test_load_defaults(spark):
     rows = raw(spark, [("A", "2024-01-02", 1.0)]).drop("source", "loaded_at")
     r = with_load_defaults(rows, loaded_at="2024-01-03 06:00:00").first()
     assert r.source == "alpha_vantage" and r.loaded_at == dt.datetime(2024, 1, 3, 6)
+
+
+def test_point_filter_on_symbol(spark):
+    items = [("A", "2024-01-02", 1.0), ("A", "2024-01-03", 2.0), ("B", "2024-01-03", 5.0)]
+    m = _models(spark, items, [(1, "a", True), (2, "b", True)])
+    h = m.history("ALL_AVAILABLE", symbol="A")
+    assert [(r.ticker_symbol, r.close_price) for r in h.collect()] == [("A", 1.0), ("A", 2.0)]
+    s = an.ordered_summary(m.mart_ticker_performance_summary, symbol="B").collect()
+    assert {r.ticker_symbol for r in s} == {"B"} and [r.period_rank for r in s] == sorted(r.period_rank for r in s)
