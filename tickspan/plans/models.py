@@ -109,7 +109,8 @@ class PriceModels:
     def date_spine(self) -> DataFrame:
         if self.calendar:
             return date_spine(self.spark, *self.calendar)
-        return covering_years(self.stg_market__stock_prices, "trading_date")
+        # Dedup never changes the set of dates: take the bounds from the raw scan.
+        return covering_years(staging.renamed_prices(self.raw_prices).select("trading_date"), "trading_date")
 
     @cached_property
     def dim_date(self) -> DataFrame:
