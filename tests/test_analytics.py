@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tickspan.operators import analytics as an
 from tickspan.operators.periods import period_definitions

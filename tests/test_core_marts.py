@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tickspan.plans.models import PriceModels
 from tickspan.sources.holidays import market_holidays

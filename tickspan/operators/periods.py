@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickspan.functions import decimal_mean, month_start, one_year_before, safe_divide, year_start
+from tickspan.functions import month_start, one_year_before, safe_divide, year_start
 from tickspan.operators.joins import join_small
 
 # Period names and the display rank used to order a summary.

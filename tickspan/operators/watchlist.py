@@ -159,12 +159,11 @@ def apply_changes(changes: DataFrame, snapshot: DataFrame | None = None,
     ordv = F.col("_ord")
     eff = F.col("_effective")
     carries = eff & F.col("op").isin("seed", "add", "update")
-    touched_ts = F.when(F.col("op") == "seed", F.col("event_ts")).otherwise(F.col("event_ts"))
     g = ev.groupBy("symbol").agg(
         F.max(F.col("_exists_at").cast("int")).alias("_exists"),
         F.max_by("_status", F.when(F.col("_status").isNotNull(), ordv)).alias("is_active"),
         F.max_by(F.struct("company_name", "category", "notes"), F.when(carries, ordv)).alias("_attrs"),
-        F.max_by(touched_ts, F.when(eff, ordv)).alias("updated_at"),
+        F.max_by("event_ts", F.when(eff, ordv)).alias("updated_at"),
         F.max("_seed_created").alias("_seed_created"),
         F.min_by("event_ts", F.when(F.col("op") == "add", ordv)).alias("_first_add"),
         F.max("_seed_id").alias("watchlist_id"),
@@ -189,15 +188,19 @@ def assign_ids(df: DataFrame, offset, id_col: str = "watchlist_id", order_col: s
     ``order_col`` order: dense, deterministic, independent of partitioning.
 
     The rank is distributed: rows are range-partitioned on ``order_col``
-    (partitions hold consecutive key ranges), each partition is numbered
-    locally, and partition offsets come from one row per partition."""
+    (partitions hold consecutive key ranges) and numbered locally; partition
+    offsets come from one row per partition. The numbered rows are
+    checkpointed (reliably, in the shared checkpoint folder) before both the
+    offsets and the final numbering read them, so range bounds sampled once
+    serve both."""
+    from tickspan.session import cut_lineage
     offset = F.lit(offset) if not hasattr(offset, "_jc") else offset
     new = df.where(F.col(id_col).isNull())
     kept = df.where(F.col(id_col).isNotNull())
-    ranged = (new.repartitionByRange(order_col)
-              .withColumn("_p", F.spark_partition_id()))
     local = Window.partitionBy("_p").orderBy(order_col)
-    ranged = ranged.withColumn("_i", F.row_number().over(local))
+    ranged = cut_lineage(new.repartitionByRange(order_col)
+                         .withColumn("_p", F.spark_partition_id())
+                         .withColumn("_i", F.row_number().over(local)))
     sizes = ranged.groupBy("_p").agg(F.max("_i").alias("_n"))
     # One row per partition: a single-task window over at most
     # spark.sql.shuffle.partitions rows.
@@ -211,13 +214,18 @@ def assign_ids(df: DataFrame, offset, id_col: str = "watchlist_id", order_col: s
 
 def insert_if_absent(current: DataFrame, candidates: DataFrame, load_ts=None) -> DataFrame:
     """Rows of ``candidates`` (symbol, company_name, category, notes) whose
-    symbol is not in ``current`` (exact match), as new watchlist rows with
+    symbol is not in ``current`` (exact match; one row per symbol, the least
+    attribute triple if a symbol repeats), as new watchlist rows with
     defaults: active, created = updated = ``load_ts``, ids above the current
     maximum. A hash anti-join; ``current`` is broadcast only if small."""
     from tickspan.operators.joins import join_small
     ts = F.lit(load_ts).cast("timestamp_ntz") if load_ts is not None else F.localtimestamp()
     cur = current.select("symbol")
-    new = join_small(candidates.dropDuplicates(["symbol"]), cur, "symbol", "left_anti")
+    # One candidate per symbol, chosen deterministically.
+    cands = (candidates.groupBy("symbol")
+             .agg(F.min(F.struct("company_name", "category", "notes")).alias("_a"))
+             .select("symbol", "_a.company_name", "_a.category", "_a.notes"))
+    new = join_small(cands, cur, "symbol", "left_anti")
     rows = new.select(
         F.lit(None).cast("bigint").alias("watchlist_id"), "symbol", "company_name", "category", "notes",
         F.lit(True).alias("is_active"), ts.alias("created_at"), ts.alias("updated_at"))
