@@ -60,3 +60,15 @@ def test_streaming_ingest_is_incremental(spark, scratch):
     assert rawdf.count() == 4
     stg = staging.stg_stock_prices(rawdf.withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz")))
     assert stg.count() == 2 and {str(r.loaded_at) for r in stg.collect()} == {"2024-01-04 06:00:00"}
+
+
+def test_malformed_lines_are_rejected_not_landed(spark, scratch):
+    path = f"{scratch}/landed/bad.json"
+    _write(path, [DOC_OK])
+    with open(path, "a") as f:
+        f.write('{"symbol": "BAD", "body": {"Time Series (Daily)": \n')
+        f.write(json.dumps({"fetched_at": "2024-01-03T06:00:00", "body": DOC_OK["body"]}) + "\n")
+    docs = api_json.read_landed(spark, f"{scratch}/landed")
+    rows = api_json.flatten_series(docs).collect()
+    assert {r.symbol for r in rows} == {"AAPL"} and len(rows) == 2
+    assert api_json.rejects(docs).count() == 2

@@ -47,7 +47,7 @@ def flatten_series(docs: DataFrame, loaded_at: Column | None = None) -> DataFram
     """One raw price row per (document, date) in the ``RAW_STOCK_PRICES``
     layout. ``loaded_at`` defaults to the document's fetch time. Documents
     without a series yield no rows (see ``rejects``)."""
-    ok = docs.where(_series(F.col("body")).isNotNull())
+    ok = docs.where(_series(F.col("body")).isNotNull() & F.col("symbol").isNotNull())
     rows = ok.select("symbol", "fetched_at",
                      F.explode(_series(F.col("body"))).alias("day", "bar"))
     bar = F.col("bar")
@@ -65,9 +65,10 @@ def flatten_series(docs: DataFrame, loaded_at: Column | None = None) -> DataFram
 
 
 def rejects(docs: DataFrame) -> DataFrame:
-    """Documents without a series: symbol, fetch time and the message – the
-    ``Note`` if non-empty, else ``Information``, else the whole document."""
-    bad = docs.where(_series(F.col("body")).isNull())
+    """Documents without a series (or without a symbol, or unparseable):
+    symbol, fetch time and the message – the ``Note`` if non-empty, else
+    ``Information``, else the whole document."""
+    bad = docs.where(_series(F.col("body")).isNull() | F.col("symbol").isNull())
     whole = F.col("raw_body") if "raw_body" in docs.columns else F.to_json(F.col("body"))
     msg = F.coalesce(F.nullif(F.col("body.Note"), F.lit("")),
                      F.nullif(F.col("body.Information"), F.lit("")), whole)
