@@ -20,13 +20,32 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for large clusters (≈100 TB inputs): start shuffles wide and let AQE
+# coalesce them to ~256 MB partitions, so no reducer has to hold more than it
+# can sort in memory before spilling; split scans at 256 MB; let AQE split
+# skewed join partitions. Applied by ``get_session(cluster=True)``; on a real
+# cluster these normally live in the job's own configuration.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tickspan", extra: dict | None = None) -> SparkSession:
-    """Build (or fetch) a session with the settings above."""
+                app_name: str = "tickspan", extra: dict | None = None,
+                cluster: bool = False) -> SparkSession:
+    """Build (or fetch) a session with the settings above (plus
+    ``CLUSTER_CONF`` when ``cluster``)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
