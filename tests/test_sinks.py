@@ -74,3 +74,23 @@ def test_shared_intermediates_give_same_marts(spark):
     shared.share_intermediates()
     for name in ("fact_stock_performance_daily", "mart_watchlist_performance", "mart_ticker_performance_summary"):
         assert sorted(plain.model(name).collect()) == sorted(shared.model(name).collect()), name
+
+
+def test_build_then_check_written_tables(spark, scratch):
+    from tickspan.plans.build import build
+    m = PriceModels(testfeeds.feed_a_raw_prices(spark, SF_SMALL), testfeeds.feed_a_watchlist(spark, SF_SMALL),
+                    calendar=("1995-01-01", "2001-12-31"))
+    locs, checks = build(m, root=f"{scratch}/wh")
+    res = checks.collect()
+    assert len(res) == 72 and all(r.failures == 0 for r in res)
+    # table models now read the written parquet
+    assert "parquet" in m.fact_stock_price_daily._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_interactive_changes(spark):
+    import datetime as dt
+    ch = wl.make_changes(spark, [("add", " nvda ", "Nvidia", "Semis", ""), ("deactivate", "NVDA"),
+                                 ("update", "NVDA", "NVIDIA Corp", "", "n")], start=dt.datetime(2024, 1, 1))
+    r = wl.apply_changes(ch).first()
+    assert (r.symbol, r.is_active, r.company_name, r.category, r.notes) == ("NVDA", False, "NVIDIA Corp", None, "n")
+    assert [x.outcome for x in wl.change_outcomes(ch).orderBy("event_id").collect()] == ["added", "deactivated", "updated"]

@@ -48,6 +48,23 @@ OUTCOMES = {
 NOT_FOUND = "not_found"
 
 
+def make_changes(spark, items, start=None) -> DataFrame:
+    """A change log from ``(op, symbol, company_name, category, notes)``
+    tuples, in order (one second apart from ``start``, default now) – the
+    interactive add / deactivate / reactivate / update calls as data."""
+    import datetime as dt
+    t0 = start or dt.datetime.now().replace(microsecond=0)
+    rows = []
+    for i, it in enumerate(items):
+        op, symbol, *attrs = it
+        attrs = (list(attrs) + [None, None, None])[:3]
+        if op not in OPS:
+            raise ValueError(f"unknown operation {op!r}")
+        rows.append((i, t0 + dt.timedelta(seconds=i), symbol, op, *attrs))
+    from tickspan.schemas import WATCHLIST_CHANGES
+    return spark.createDataFrame(rows, WATCHLIST_CHANGES)
+
+
 def _event_stream(snapshot: DataFrame | None, changes: DataFrame) -> DataFrame:
     ch = changes.select(
         F.when(F.col("op") == "add", normalize_symbol("symbol")).otherwise(F.col("symbol")).alias("symbol"),

@@ -21,7 +21,7 @@ def append_raw(rows: DataFrame, path: str) -> None:
 
 def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
                 names: list[str] | None = None, partition_by: dict | None = None,
-                share_intermediates: bool = True) -> dict:
+                share_intermediates: bool = True, rebind: bool = False) -> dict:
     """Materialize the model graph layer by layer.
 
     Views are registered as temporary views ``<LAYER>__<model>``; tables are
@@ -33,7 +33,9 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
     With ``share_intermediates`` the deduplicated prices and the indicator
     pass are each computed once and checkpointed (reliably, into
     ``spark.checkpoint.dir``) before the tables that read them are written,
-    instead of being recomputed for every fact and mart."""
+    instead of being recomputed for every fact and mart. With ``rebind`` each
+    written table replaces the model's lazy definition, so later readers (the
+    data-quality checks, say) read the table."""
     from tickspan.plans.models import MODEL_LAYERS
     spark = models.spark
     if share_intermediates:
@@ -55,10 +57,14 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
         if root is not None:
             loc = f"{root.rstrip('/')}/{schema}/{name}"
             w.parquet(loc)
+            written = spark.read.parquet(loc) if rebind else None
         else:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
             loc = f"{schema}.{name}"
             w.format("parquet").saveAsTable(loc)
+            written = spark.table(loc) if rebind else None
+        if written is not None:
+            models.__dict__[name] = written
         out[name] = loc
     return out
 
