@@ -1,7 +1,7 @@
 """The model graph: raw inputs → staging → intermediate → marts.
 
-``PriceModels`` builds each dataset lazily from the ones below it, the way the
-dbt models reference one another. Views stay lazy ``DataFrame``s; marts are
+``PriceModels`` builds each dataset lazily from the ones below it, each model
+referring to the ones it reads. Views stay lazy ``DataFrame``s; marts are
 what ``tickspan.sources.sinks.materialize`` writes as tables.
 """
 
