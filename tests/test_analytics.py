@@ -75,3 +75,13 @@ def test_point_filter_on_symbol(spark):
     assert [(r.ticker_symbol, r.close_price) for r in h.collect()] == [("A", 1.0), ("A", 2.0)]
     s = an.ordered_summary(m.mart_ticker_performance_summary, symbol="B").collect()
     assert {r.ticker_symbol for r in s} == {"B"} and [r.period_rank for r in s] == sorted(r.period_rank for r in s)
+
+
+def test_default_benchmark_is_first_other_symbol(spark):
+    hist = spark.createDataFrame([
+        ("A", dt.date(2024, 1, 2), 10.0), ("A", dt.date(2024, 1, 3), 20.0),
+        ("B", dt.date(2024, 1, 2), 5.0), ("B", dt.date(2024, 1, 3), 6.0),
+        ("C", dt.date(2024, 1, 3), 7.0)],
+        "ticker_symbol string, trading_date date, close_price double")
+    got = sorted((r.ticker_symbol, r.benchmark_symbol, r.trading_date.day) for r in an.benchmark_comparison(hist).collect())
+    assert got == [("A", "B", 2), ("A", "B", 3), ("B", "A", 2), ("B", "A", 3), ("C", "A", 3)]

@@ -130,24 +130,35 @@ def benchmark_comparison(history: DataFrame, benchmark: str | Column | None = No
                          ticker_rows: int | None = None, series_rows: int | None = None,
                          symbols: DataFrame | None = None) -> DataFrame:
     """Cumulative return of every ticker next to a benchmark ticker's, on the
-    dates both have (the benchmark itself is not compared with itself).
-
-    ``benchmark``: a symbol, a Column, or ``None`` for the first symbol of the
-    history in order (a scalar subquery; ``symbols`` may hold the same symbols
-    more cheaply). The benchmark series is one ticker over one period (at most
-    ``series_rows`` dates), joined on date behind that bound or a size check."""
-    if benchmark is None:
-        benchmark = (symbols if symbols is not None else history).select(F.min("ticker_symbol")).scalar()
-    bsym = F.lit(benchmark) if isinstance(benchmark, str) else benchmark
+    dates both have.
+
+    ``benchmark``: a symbol or Column (the benchmark itself is then not
+    compared with itself), or ``None`` for the page's default: the first
+    symbol in order other than the ticker – the first symbol for every ticker
+    but itself, which gets the second. Both come from scalar subqueries over
+    ``symbols`` (default: the history's symbols). Benchmark series are at
+    most two tickers over one period (``series_rows`` dates each), joined on
+    (date, benchmark) behind that bound or a size check."""
     cum = cumulative_returns(history, ticker_rows)
-    bench = (cum.where(F.col("ticker_symbol") == bsym)
+    if benchmark is None:
+        src = (symbols if symbols is not None else history).select("ticker_symbol")
+        first = src.select(F.min("ticker_symbol")).scalar()
+        second = src.where(F.col("ticker_symbol") > first).select(F.min("ticker_symbol")).scalar()
+        choice = F.when(F.col("ticker_symbol") == first, second).otherwise(first)
+        bench_filter = F.col("ticker_symbol").isin(first, second)
+    else:
+        bsym = F.lit(benchmark) if isinstance(benchmark, str) else benchmark
+        choice = F.when(F.col("ticker_symbol") != bsym, bsym)
+        bench_filter = F.col("ticker_symbol") == bsym
+    bench = (cum.where(bench_filter)
              .select(F.col("ticker_symbol").alias("benchmark_symbol"), "trading_date",
                      F.col("cumulative_return_pct").alias("benchmark_cumulative_return_pct")))
-    mine = cum.where(F.col("ticker_symbol") != bsym).select(
-        "ticker_symbol", "trading_date", F.col("cumulative_return_pct").alias("ticker_cumulative_return_pct"))
+    mine = cum.select("ticker_symbol", choice.alias("benchmark_symbol"), "trading_date",
+                      F.col("cumulative_return_pct").alias("ticker_cumulative_return_pct"))
     # A full outer join followed by dropping incomplete rows equals an inner join.
-    return join_small(mine, bench, "trading_date", "inner", max_rows=1_000_000,
-                      known_rows=series_rows).select(
+    bound = 2 * series_rows if series_rows is not None else None
+    return join_small(mine, bench, ["trading_date", "benchmark_symbol"], "inner", max_rows=2_000_000,
+                      known_rows=bound).select(
         "ticker_symbol", "benchmark_symbol", "trading_date",
         "ticker_cumulative_return_pct", "benchmark_cumulative_return_pct")
 

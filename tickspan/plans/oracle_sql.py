@@ -410,13 +410,17 @@ ORACLE_SQL.update({
                coalesce(abs(daily_return_pct) > 0.03, FALSE) AS unusual_move
         FROM snap""",
     "benchmark_cumulative_return": with_(*A_HIST) + """
-        SELECT c.ticker_symbol, b.ticker_symbol AS benchmark_symbol, c.trading_date,
+        , choice AS (
+            SELECT t.ticker_symbol,
+                   (SELECT min(o.ticker_symbol) FROM (SELECT DISTINCT ticker_symbol FROM hist) o
+                    WHERE o.ticker_symbol <> t.ticker_symbol) AS benchmark_symbol
+            FROM (SELECT DISTINCT ticker_symbol FROM hist) t)
+        SELECT c.ticker_symbol, ch.benchmark_symbol, c.trading_date,
                c.cumulative_return_pct AS ticker_cumulative_return_pct,
                b.cumulative_return_pct AS benchmark_cumulative_return_pct
         FROM cum c
-        JOIN cum b ON c.trading_date = b.trading_date
-        WHERE b.ticker_symbol = (SELECT min(ticker_symbol) FROM hist)
-          AND c.ticker_symbol <> b.ticker_symbol""",
+        JOIN choice ch ON c.ticker_symbol = ch.ticker_symbol
+        JOIN cum b ON b.ticker_symbol = ch.benchmark_symbol AND b.trading_date = c.trading_date""",
     "investment_scenario": with_(*A_HIST) + """
         SELECT ticker_symbol, first_close, last_close,
                CASE WHEN first_close = 0 OR first_close IS NULL THEN NULL
