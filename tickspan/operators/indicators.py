@@ -12,10 +12,12 @@ down before the shuffle by the dedup's map-side group limit.
 
 For bars finer than daily, ``split_by_year=True`` removes even that bound:
 every frame here is bounded (at most 49 preceding rows), so a ticker's
-history can be cut into calendar-year buckets. Each bucket is sent the last 49
-rows that precede it (its *halo*), the windows run per (ticker, year), and halo
-rows are dropped afterwards. Results are exact, and no window task ever holds
-more than one ticker-year (plus 49 rows), however many rows one ticker has.
+history can be cut into calendar-year buckets. The windows run per (ticker,
+year); rows from the 50th of their year on are exact as they are, and the
+first 49 rows of each year are recomputed together with the 49 rows that
+precede the year (its *halo*), whose copies are then dropped. Results are
+exact, and no window task ever holds more than one ticker-year (plus 49 rows),
+however many rows one ticker has.
 """
 
 from __future__ import annotations
@@ -51,8 +53,8 @@ def halo_rows(d: DataFrame, key: str = "ticker_symbol", halo: int = HALO_ROWS) -
     bucket travel; the bulk of the data is not copied.
     """
     tail = d.where(F.col(_POS) > F.col(_CNT) - halo).withColumn("_r", F.col(_CNT) - F.col(_POS) + 1)
-    # Sizes come from the last row of each bucket, itself a tail row, so every
-    # branch reads the same upstream exchange.
+    # Sizes come from the last row of each bucket (itself a tail row), so they
+    # need no pass of their own over the data.
     sizes = tail.where(F.col("_r") == 1).select(key, _BUCKET, F.col(_CNT).alias("_n"))
     # Earlier buckets that reach into the `halo` rows before bucket b: at most
     # `halo` of them, because every bucket holds at least one row.
