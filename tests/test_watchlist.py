@@ -123,3 +123,37 @@ def test_segmented_scan_equals_per_symbol_scan(spark):
     snap = wl.apply_changes(ch.where(F.col("op") == "add"), bucket_days=None)
     rest = ch.where(F.col("op") != "add")
     assert sorted(wl.apply_changes(rest, snap).collect()) == sorted(wl.apply_changes(rest, snap, bucket_days=None).collect())
+
+
+def test_random_logs_match_row_fold(spark):
+    """Many random change logs at once (random snapshots, case variants,
+    blanks, same-second events): closed form = row-by-row fold."""
+    import random
+    rnd = random.Random(20241203)
+    ops = ["add", "add", "deactivate", "reactivate", "update"]
+    events, snap = [], []
+    base = dt.datetime(2024, 3, 1)
+    for k in range(300):
+        sym = f"K{k:03d}"
+        if rnd.random() < 0.3:
+            created = base - dt.timedelta(days=rnd.randint(1, 30))
+            snap.append(dict(watchlist_id=k + 1, symbol=sym, company_name=f"seed{k}", category=None, notes=None,
+                             is_active=rnd.random() < 0.5, created_at=created, updated_at=created))
+        t = base
+        for _ in range(rnd.randint(1, 12)):
+            t += dt.timedelta(hours=rnd.choice([0, 1, 5, 30]))
+            op = rnd.choice(ops)
+            shown = rnd.choice([sym, sym.lower(), f" {sym} "]) if op == "add" else sym
+            attrs = [rnd.choice(["", None, f"v{rnd.randint(0, 9)}"]) for _ in range(3)]
+            events.append(dict(event_id=len(events), event_ts=t, symbol=shown, op=op,
+                               company_name=attrs[0], category=attrs[1], notes=attrs[2]))
+    from tickspan.schemas import WATCHLIST
+    snap_df = spark.createDataFrame([tuple(r[c] for c in WATCHLIST.fieldNames()) for r in snap], WATCHLIST)
+    ch = spark.createDataFrame([tuple(e[c] for c in WATCHLIST_CHANGES.fieldNames()) for e in events],
+                               WATCHLIST_CHANGES)
+    want = python_fold(events, snapshot=[dict(r) for r in snap])
+    got = _as_dict(wl.apply_changes(ch, snapshot=snap_df))
+    assert got.keys() == want.keys()
+    for s in want:
+        for k in ("watchlist_id", "is_active", "company_name", "category", "notes", "created_at", "updated_at"):
+            assert got[s][k] == want[s][k], (s, k, got[s][k], want[s][k])
