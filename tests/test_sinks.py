@@ -94,3 +94,18 @@ def test_interactive_changes(spark):
     r = wl.apply_changes(ch).first()
     assert (r.symbol, r.is_active, r.company_name, r.category, r.notes) == ("NVDA", False, "NVIDIA Corp", None, "n")
     assert [x.outcome for x in wl.change_outcomes(ch).orderBy("event_id").collect()] == ["added", "deactivated", "updated"]
+
+
+def test_history_prunes_year_partitions(spark, scratch):
+    from tickspan.operators.analytics import ticker_history
+    m = PriceModels(testfeeds.feed_a_raw_prices(spark, SF_SMALL), testfeeds.feed_a_watchlist(spark, SF_SMALL),
+                    calendar=("1995-01-01", "2001-12-31"))
+    locs = sinks.materialize(m, root=f"{scratch}/wh", names=["mart_watchlist_performance"],
+                             share_intermediates=False)
+    mart = spark.read.parquet(locs["mart_watchlist_performance"])
+    h = ticker_history(mart, "90D")
+    h.collect()
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(calendar_year" in plan and "calendar_year#" in plan
+    want = m.history("90D").collect()
+    assert sorted(h.collect()) == sorted(want)

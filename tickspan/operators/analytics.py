@@ -52,7 +52,12 @@ def ticker_history(mart: DataFrame, period: str = "ALL_AVAILABLE", symbol: str |
     when not a number), as the page does."""
     src = anchor_dates if anchor_dates is not None else mart
     latest = src.select(F.max("trading_date")).scalar()
-    df = mart.where(F.col("trading_date") >= history_start(period, latest))
+    start = history_start(period, latest)
+    df = mart.where(F.col("trading_date") >= start)
+    if "calendar_year" in mart.columns:
+        # Implied by the date bound; on a mart partitioned by year it becomes
+        # a partition filter, so earlier years are never read.
+        df = df.where(F.col("calendar_year") >= F.year(start))
     if symbol is not None:
         df = df.where(F.col("ticker_symbol") == F.lit(symbol))
     cols = [F.col("ticker_symbol"), F.col("trading_date")]

@@ -19,6 +19,11 @@ def append_raw(rows: DataFrame, path: str) -> None:
     rows.select(*RAW_STOCK_PRICES.fieldNames()).write.mode("append").parquet(path)
 
 
+# Default physical layout: the daily mart is read by period (a date range), so
+# it is partitioned by year; facts and dimensions are left unpartitioned.
+DEFAULT_PARTITIONING = {"mart_watchlist_performance": ["calendar_year"]}
+
+
 def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
                 names: list[str] | None = None, partition_by: dict | None = None,
                 share_intermediates: bool = True, rebind: bool = False) -> dict:
@@ -51,7 +56,7 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
             out[name] = view
             continue
         w = df.write.mode("overwrite")
-        parts = (partition_by or {}).get(name)
+        parts = (DEFAULT_PARTITIONING if partition_by is None else partition_by).get(name)
         if parts:
             w = w.partitionBy(*parts)
         if root is not None:
