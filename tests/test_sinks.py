@@ -109,3 +109,13 @@ def test_history_prunes_year_partitions(spark, scratch):
     assert "PartitionFilters: [isnotnull(calendar_year" in plan and "calendar_year#" in plan
     want = m.history("90D").collect()
     assert sorted(h.collect()) == sorted(want)
+
+
+def test_cli_build(spark, scratch):
+    from tickspan.__main__ import main
+    raw_dir, wl_dir = f"{scratch}/raw", f"{scratch}/wl"
+    testfeeds.feed_a_raw_prices(spark, SF_SMALL).write.parquet(raw_dir)
+    testfeeds.feed_a_watchlist(spark, SF_SMALL).write.parquet(wl_dir)
+    assert main(["build", "--raw", raw_dir, "--watchlist", wl_dir, "--out", f"{scratch}/wh"]) == 0
+    assert spark.read.parquet(f"{scratch}/wh/CHECKS").count() == 72
+    assert spark.read.parquet(f"{scratch}/wh/MARTS/mart_ticker_performance_summary").count() > 0
