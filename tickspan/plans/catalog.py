@@ -10,8 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickspan.operators import analytics as an
+from tickspan.operators import periods
+from tickspan.operators.periods import anchors
+from tickspan.operators import quality as dq
+from tickspan.operators import watchlist as wl
+from tickspan.plans.core import conform
 from tickspan.plans.models import PriceModels
-from tickspan.sources import testfeeds
+from tickspan.sources import api_json, testfeeds
+from tickspan.sources.spine import covering_years
 
 # Calendars used with the provided tables (they hold no real price dates):
 # feed A spans 1995-01-02..2001-11-04 (no holidays in the seed's years);
@@ -37,7 +44,7 @@ def feed_b(spark: SparkSession, sf_dir: str, calendar=FEED_B_CALENDAR) -> PriceM
 
 def _watchlist_from_symbols(raw: DataFrame) -> DataFrame:
     ts = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    syms = raw.groupBy("symbol").agg(F.min("trade_date").alias("_first"))
+    syms = raw.select("symbol").distinct()
     return syms.select(
         F.lit(None).cast("bigint").alias("watchlist_id"), F.col("symbol"),
         F.lit(None).cast("string").alias("company_name"), F.lit(None).cast("string").alias("category"),
@@ -90,7 +97,6 @@ QUERIES = {
 
 def date_spine(spark, sf_dir):
     """Whole years covered by feed A's trade dates."""
-    from tickspan.sources.spine import covering_years
     return covering_years(testfeeds.feed_a_raw_prices(spark, sf_dir), "trade_date")
 
 
@@ -113,7 +119,6 @@ def trading_calendar_bars(spark, sf_dir):
     """Daily bars of feed B conformed to the trading calendar (weekend and
     holiday bars are kept and flagged)."""
     m = feed_b(spark, sf_dir)
-    from tickspan.plans.core import conform
     return conform(m.stg_market__stock_prices, m.dim_date, m.dim_ticker,
                    date_cols=["is_trading_day", "is_market_holiday", "market_holiday_name",
                               "day_of_week_short_name"]).select(
@@ -142,13 +147,11 @@ def mart_active_performance(spark, sf_dir):
 
 
 def period_anchors(spark, sf_dir):
-    from tickspan.operators.periods import anchors
     return anchors(feed_a(spark, sf_dir).fact_stock_performance_daily)
 
 
 def period_definitions(spark, sf_dir):
-    from tickspan.operators.periods import period_definitions as defs
-    return defs(feed_a(spark, sf_dir).fact_stock_performance_daily)
+    return periods.period_definitions(feed_a(spark, sf_dir).fact_stock_performance_daily)
 
 
 def period_summary(spark, sf_dir):
@@ -172,7 +175,6 @@ QUERIES.update({
 
 
 # -- page analytics (all tickers at once) ------------------------------------------
-from tickspan.operators import analytics as an  # noqa: E402
 
 ANALYTICS_PERIOD = "90D"
 _VOL = ["volatility_20d", "annualized_volatility_20d"]
@@ -238,7 +240,6 @@ QUERIES.update({
 
 
 # -- watchlist changes (feed C) ----------------------------------------------------
-from tickspan.operators import watchlist as wl  # noqa: E402
 
 FEED_C_LOAD_TS = "2024-02-01 00:00:00"
 
@@ -282,7 +283,6 @@ QUERIES.update({
 
 
 # -- data quality over feed A's models --------------------------------------------
-from tickspan.operators import quality as dq  # noqa: E402
 
 
 def dq_not_null(spark, sf_dir):
@@ -315,7 +315,6 @@ QUERIES.update({
 
 
 # -- landed API documents (round trip through JSON) -----------------------------------
-from tickspan.sources import api_json  # noqa: E402
 
 REJECT_NOTE = "Thank you for using the API. Request limit reached."
 
