@@ -119,3 +119,20 @@ def test_cli_build(spark, scratch):
     assert main(["build", "--raw", raw_dir, "--watchlist", wl_dir, "--out", f"{scratch}/wh"]) == 0
     assert spark.read.parquet(f"{scratch}/wh/CHECKS").count() == 72
     assert spark.read.parquet(f"{scratch}/wh/MARTS/mart_ticker_performance_summary").count() > 0
+
+
+def test_cli_watchlist_jobs(spark, scratch):
+    import datetime as dt
+    from tickspan.__main__ import main
+    path = f"{scratch}/watchlist"
+    assert main(["seed-watchlist", "--watchlist", path, "--load-ts", "2024-01-01 00:00:00"]) == 0
+    assert main(["seed-watchlist", "--watchlist", path, "--load-ts", "2024-01-02 00:00:00"]) == 0
+    w = spark.read.parquet(path)
+    assert w.count() == 6 and w.where("created_at = timestamp_ntz'2024-01-01 00:00:00'").count() == 6
+    ch = wl.make_changes(spark, [("deactivate", "SPY"), ("add", "nvda", "NVIDIA", "Tech", "")],
+                         start=dt.datetime(2024, 2, 1))
+    ch.write.parquet(f"{scratch}/changes")
+    assert main(["apply-changes", "--watchlist", path, "--changes", f"{scratch}/changes",
+                 "--out", f"{scratch}/next"]) == 0
+    nxt = {r.symbol: r for r in spark.read.parquet(f"{scratch}/next").collect()}
+    assert len(nxt) == 7 and not nxt["SPY"].is_active and nxt["NVDA"].watchlist_id == 7

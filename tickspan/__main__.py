@@ -2,11 +2,16 @@
 
     python -m tickspan ingest --landed DIR --raw DIR --rejects DIR [--checkpoint DIR]
     python -m tickspan build --raw DIR --watchlist DIR --out DIR [--calendar START END]
+    python -m tickspan seed-watchlist --watchlist DIR [--load-ts TS]
+    python -m tickspan apply-changes --watchlist DIR --changes DIR --out DIR
 
 ``ingest`` appends every new landed API document to the raw price table
 (exactly once, incremental). ``build`` rebuilds every layer from the raw
 prices and the watchlist, then runs the data-quality checks on the written
 tables, writes them under ``<out>/CHECKS`` and exits non-zero on failures.
+``seed-watchlist`` appends the starter tickers that are not yet present
+(creating the watchlist if the folder is empty). ``apply-changes`` folds a
+change log into the watchlist and writes the next snapshot to ``--out``.
 """
 
 from __future__ import annotations
@@ -30,6 +35,13 @@ def main(argv=None) -> int:
     b.add_argument("--holidays")
     b.add_argument("--calendar", nargs=2, metavar=("START", "END"))
     b.add_argument("--market", default="NYSE")
+    sd = sub.add_parser("seed-watchlist")
+    sd.add_argument("--watchlist", required=True)
+    sd.add_argument("--load-ts")
+    ac = sub.add_parser("apply-changes")
+    ac.add_argument("--watchlist", required=True)
+    ac.add_argument("--changes", required=True)
+    ac.add_argument("--out", required=True)
     a = p.parse_args(argv)
 
     from pyspark.sql import functions as F
@@ -40,6 +52,8 @@ def main(argv=None) -> int:
         from tickspan.streaming.ingest import run_once
         run_once(spark, a.landed, a.raw, a.rejects, a.checkpoint)
         return 0
+    if a.cmd in ("seed-watchlist", "apply-changes"):
+        return _watchlist_job(spark, a)
 
     from tickspan.plans.build import build
     from tickspan.plans.models import PriceModels
@@ -56,5 +70,34 @@ def main(argv=None) -> int:
     return 1 if failed else 0
 
 
+def _read_watchlist(spark, path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tickspan.schemas import WATCHLIST
+    if path.startswith("/") and not (os.path.isdir(path) and any(
+            f.endswith(".parquet") for _, _, fs in os.walk(path) for f in fs)):
+        return spark.createDataFrame([], WATCHLIST)
+    return spark.read.parquet(path).select(*[F.col(f.name).cast(f.dataType) for f in WATCHLIST])
+
+
+def _watchlist_job(spark, a) -> int:
+    from pyspark.sql import functions as F
+
+    from tickspan.operators import watchlist as wl
+    from tickspan.schemas import WATCHLIST_CHANGES
+    current = _read_watchlist(spark, a.watchlist)
+    if a.cmd == "seed-watchlist":
+        from tickspan.sources.starter import starter_tickers
+        new = wl.insert_if_absent(current, starter_tickers(spark), load_ts=a.load_ts)
+        new.write.mode("append").parquet(a.watchlist)
+        print(f"seeded {spark.read.parquet(a.watchlist).count() - current.count()} tickers")
+        return 0
+    changes = spark.read.parquet(a.changes).select(*[F.col(f.name).cast(f.dataType) for f in WATCHLIST_CHANGES])
+    wl.apply_changes(changes, snapshot=current).write.mode("overwrite").parquet(a.out)
+    return 0
+
+
 if __name__ == "__main__":
     sys.exit(main())
