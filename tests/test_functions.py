@@ -43,3 +43,33 @@ def test_display_strings(spark):
     df = spark.createDataFrame([(0.01234, 1234.5)], "r double, p double")
     got = df.select(tf.signed_percent("r"), tf.percent("r"), tf.currency("p"), tf.whole_number("p")).first()
     assert tuple(got) == ("+1.23%", "1.23%", "$1,234.50", "{:,.0f}".format(1234.5))
+
+
+def test_date_helpers_match_python_on_random_dates(spark):
+    import calendar
+    import random
+    rnd = random.Random(11)
+    days = [dt.date(1900, 1, 1) + dt.timedelta(days=rnd.randint(0, 73000)) for _ in range(3000)]
+    days += [dt.date(2024, 2, 29), dt.date(2000, 2, 29), dt.date(1900, 3, 1), dt.date(2027, 12, 31)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = df.select("d", tf.date_key("d").alias("k"), tf.iso_day_of_week("d").alias("dow"),
+                    F.weekofyear("d").alias("wk"), tf.week_start("d").alias("ws"), tf.week_end("d").alias("we"),
+                    tf.month_end("d").alias("me"), tf.quarter_start("d").alias("qs"), tf.quarter_end("d").alias("qe"),
+                    tf.year_end("d").alias("ye"), tf.one_year_before("d").alias("y1"),
+                    tf.month_name("d").alias("mn"), tf.day_short_name("d").alias("dn")).collect()
+    for r in got:
+        d = r.d
+        assert r.k == d.year * 10000 + d.month * 100 + d.day
+        assert r.dow == d.isoweekday() and r.wk == d.isocalendar()[1]
+        assert r.ws == d - dt.timedelta(days=d.weekday()) and r.we == r.ws + dt.timedelta(days=6)
+        assert r.me == d.replace(day=calendar.monthrange(d.year, d.month)[1])
+        q0 = 3 * ((d.month - 1) // 3) + 1
+        assert r.qs == dt.date(d.year, q0, 1)
+        assert r.qe == dt.date(d.year, q0 + 2, calendar.monthrange(d.year, q0 + 2)[1])
+        assert r.ye == dt.date(d.year, 12, 31)
+        try:
+            want = d.replace(year=d.year - 1)
+        except ValueError:  # 29 February
+            want = dt.date(d.year - 1, 2, 28)
+        assert r.y1 == want
+        assert r.mn == calendar.month_name[d.month] and r.dn == calendar.day_abbr[d.weekday()]
