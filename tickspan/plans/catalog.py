@@ -285,24 +285,32 @@ QUERIES.update({
 # -- data quality over feed A's models --------------------------------------------
 
 
+def _checked_models(spark, sf_dir) -> PriceModels:
+    """Feed A's models with dedup and the indicator pass computed once and
+    checkpointed, so the checks over eleven models do not re-run them."""
+    m = feed_a(spark, sf_dir)
+    m.share_intermediates()
+    return m
+
+
 def dq_not_null(spark, sf_dir):
-    return dq.not_null_suite(feed_a(spark, sf_dir))
+    return dq.not_null_suite(_checked_models(spark, sf_dir))
 
 
 def dq_unique(spark, sf_dir):
-    return dq.unique_suite(feed_a(spark, sf_dir))
+    return dq.unique_suite(_checked_models(spark, sf_dir))
 
 
 def dq_accepted(spark, sf_dir):
-    return dq.accepted_suite(feed_a(spark, sf_dir))
+    return dq.accepted_suite(_checked_models(spark, sf_dir))
 
 
 def dq_relationships(spark, sf_dir):
-    return dq.relationships_suite(feed_a(spark, sf_dir))
+    return dq.relationships_suite(_checked_models(spark, sf_dir))
 
 
 def dq_grain(spark, sf_dir):
-    return dq.grain_suite(feed_a(spark, sf_dir))
+    return dq.grain_suite(_checked_models(spark, sf_dir))
 
 
 QUERIES.update({
