@@ -37,3 +37,17 @@ def test_dim_ticker_constants(spark):
     r = m.dim_ticker.first()
     assert (r.ticker_key, r.ticker_symbol, r.currency, r.country, r.asset_type) == (7, "AAPL", "USD", "US", None)
     assert dict(m.dim_ticker.dtypes)["sector"] == "string"
+
+
+def test_window_partitioning_choice_is_checked(spark):
+    from tickspan.plans import models as pm
+    m = _models(spark, [("AAA", "2024-01-02", 1.0), ("AAA", "2024-03-01", 2.0)], [(1, "aaa", True)])
+    assert m.day_span == 60 and m.split_by_year is False
+    old = pm.MAX_ROWS_PER_TICKER
+    try:
+        pm.MAX_ROWS_PER_TICKER = 10
+        m2 = _models(spark, [("AAA", "2024-01-02", 1.0), ("AAA", "2024-03-01", 2.0)], [(1, "aaa", True)])
+        assert m2.split_by_year is True
+        assert sorted(m2.fact_stock_performance_daily.collect()) == sorted(m.fact_stock_performance_daily.collect())
+    finally:
+        pm.MAX_ROWS_PER_TICKER = old

@@ -31,7 +31,7 @@ VOL_DIGITS = 6
 AVG_DIGITS = 6
 
 
-def feed_a(spark: SparkSession, sf_dir: str, calendar=FEED_A_CALENDAR, split_by_year: bool = False) -> PriceModels:
+def feed_a(spark: SparkSession, sf_dir: str, calendar=FEED_A_CALENDAR, split_by_year: bool | None = None) -> PriceModels:
     return PriceModels(testfeeds.feed_a_raw_prices(spark, sf_dir), testfeeds.feed_a_watchlist(spark, sf_dir),
                        calendar=calendar, split_by_year=split_by_year)
 

@@ -18,6 +18,11 @@ from tickspan.plans import core, marts, staging
 from tickspan.sources.holidays import market_holidays, seed_size
 from tickspan.sources.spine import covering_years, date_spine, spine_size
 
+# Largest per-ticker window partition accepted (rows; ≈ 100 MB at ~100 B a
+# row, which one task sorts and windows comfortably). Daily data stays far
+# below it (≈ 36.6k rows a century); beyond it the year-bucket split is used.
+MAX_ROWS_PER_TICKER = 1_000_000
+
 # (layer, materialization) of each model.
 MODEL_LAYERS = {
     "stg_market__stock_prices": ("STAGING", "view"),
@@ -43,16 +48,18 @@ class PriceModels:
     calendar    – (start, end) of the date dimension; ``None`` covers the whole
                   years spanned by the staged prices
     split_by_year – run the indicator windows per (ticker, year) with halos
-                  instead of per ticker (see ``operators.indicators``). Off by
-                  default: after dedup a ticker holds at most one row per
-                  calendar day, so a per-ticker window partition is bounded by
-                  the date span (≈ 36.6k rows a century), not by data volume.
-                  Turn it on for finer-than-daily bars.
+                  instead of per ticker (see ``operators.indicators``).
+                  ``None`` (default) decides from a checked bound: after dedup
+                  a ticker holds at most one row per calendar day, so a
+                  per-ticker window partition holds at most D rows, D being
+                  the day span of the data (one partial min/max aggregate).
+                  Per-ticker windows are used while D ≤ ``MAX_ROWS_PER_TICKER``,
+                  the split beyond it.
     """
 
     def __init__(self, raw_prices: DataFrame, watchlist: DataFrame, holidays: DataFrame | None = None,
                  calendar: tuple | None = ("2024-01-01", "2027-12-31"), market_code: str = "NYSE",
-                 split_by_year: bool = False):
+                 split_by_year: bool | None = None):
         self.spark = raw_prices.sparkSession
         self.raw_prices = raw_prices
         self.watchlist = watchlist
@@ -60,7 +67,21 @@ class PriceModels:
         self.holiday_rows = None if holidays is not None else seed_size()
         self.calendar = calendar
         self.market_code = market_code
-        self.split_by_year = split_by_year
+        self._split = split_by_year
+
+    @cached_property
+    def day_span(self) -> int:
+        """Days between the first and last trade date (inclusive): an upper
+        bound of rows per ticker after dedup."""
+        r = staging.renamed_prices(self.raw_prices).agg(
+            F.min("trading_date").alias("lo"), F.max("trading_date").alias("hi")).first()
+        return 0 if r.lo is None else (r.hi - r.lo).days + 1
+
+    @cached_property
+    def split_by_year(self) -> bool:
+        if self._split is not None:
+            return self._split
+        return self.day_span > MAX_ROWS_PER_TICKER
 
     # -- staging -----------------------------------------------------------
     @cached_property
