@@ -86,7 +86,7 @@ class PriceModels:
     # -- staging -----------------------------------------------------------
     @cached_property
     def stg_market__stock_prices(self) -> DataFrame:
-        return staging.stg_stock_prices(self.raw_prices, align_to_year_buckets=self.split_by_year)
+        return staging.stg_stock_prices(self.raw_prices)
 
     @cached_property
     def stg_market__tickers(self) -> DataFrame:

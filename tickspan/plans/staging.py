@@ -32,15 +32,11 @@ def dedup_order():
     return [F.col("loaded_at").desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in TIE_BREAK]
 
 
-def stg_stock_prices(raw: DataFrame, align_to_year_buckets: bool = False) -> DataFrame:
-    """One row per (ticker, date): the latest load wins.
-
-    With ``align_to_year_buckets`` the dedup shuffle is keyed on (ticker, year),
-    the partitioning the indicator windows use, so dedup and indicators share
-    one exchange. The symbol is not upper-cased here."""
-    extra = [F.year("trading_date")] if align_to_year_buckets else None
-    return latest_per_key(renamed_prices(raw), ["ticker_symbol", "trading_date"], dedup_order(),
-                          extra_partition=extra).select(*STG_STOCK_PRICES_COLUMNS)
+def stg_stock_prices(raw: DataFrame) -> DataFrame:
+    """One row per (ticker, date): the latest load wins. The symbol is not
+    upper-cased here."""
+    return latest_per_key(renamed_prices(raw), ["ticker_symbol", "trading_date"],
+                          dedup_order()).select(*STG_STOCK_PRICES_COLUMNS)
 
 
 def stg_tickers(watchlist: DataFrame) -> DataFrame:
