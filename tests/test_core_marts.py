@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
 
 from tickspan.plans.models import PriceModels
 from tickspan.sources.holidays import market_holidays
@@ -51,3 +52,16 @@ def test_window_partitioning_choice_is_checked(spark):
         assert sorted(m2.fact_stock_performance_daily.collect()) == sorted(m.fact_stock_performance_daily.collect())
     finally:
         pm.MAX_ROWS_PER_TICKER = old
+
+
+def test_broadcast_cap_is_byte_based(spark):
+    from tickspan.operators.joins import broadcast_row_cap, join_small
+    narrow = spark.range(10).select(F.col("id"))
+    wide = spark.range(10).select(*[F.lit("x").alias(f"s{i}") for i in range(20)])
+    assert broadcast_row_cap(narrow) > broadcast_row_cap(wide) > 0
+    big = spark.range(100).withColumnRenamed("id", "k")
+    small = spark.range(10).withColumnRenamed("id", "k")
+    assert "BroadcastExchange" in join_small(big, small, "k")._jdf.queryExecution().executedPlan().toString()
+    # 1 KiB allows only a few rows of (k: bigint): 10 rows do not fit, no explicit broadcast
+    hinted = join_small(big, small, "k", max_bytes=64)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in hinted.lower()

@@ -162,7 +162,7 @@ def benchmark_comparison(history: DataFrame, benchmark: str | Column | None = No
                       F.col("cumulative_return_pct").alias("ticker_cumulative_return_pct"))
     # A full outer join followed by dropping incomplete rows equals an inner join.
     bound = 2 * series_rows if series_rows is not None else None
-    return join_small(mine, bench, ["trading_date", "benchmark_symbol"], "inner", max_rows=2_000_000,
+    return join_small(mine, bench, ["trading_date", "benchmark_symbol"], "inner",
                       known_rows=bound).select(
         "ticker_symbol", "benchmark_symbol", "trading_date",
         "ticker_cumulative_return_pct", "benchmark_cumulative_return_pct")

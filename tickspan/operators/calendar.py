@@ -31,7 +31,7 @@ def dim_date(spine: DataFrame, holidays: DataFrame, market_code: str = "NYSE",
     bound of the seed (else it is counted, with a cap, before broadcasting).
     """
     hol = closures(holidays, market_code)
-    d = join_small(spine, hol, spine["date_day"] == hol["holiday_date"], "left", max_rows=100_000,
+    d = join_small(spine, hol, spine["date_day"] == hol["holiday_date"], "left",
                    known_rows=holiday_rows)
     day = F.col("date_day")
     dow = tf.iso_day_of_week(day)
