@@ -157,3 +157,11 @@ def test_random_logs_match_row_fold(spark):
     for s in want:
         for k in ("watchlist_id", "is_active", "company_name", "category", "notes", "created_at", "updated_at"):
             assert got[s][k] == want[s][k], (s, k, got[s][k], want[s][k])
+
+
+def test_empty_symbol_add_is_refused(spark):
+    ch = _changes(spark, [("  ", "add", "X", None, None), ("AAA", "add", None, None, None),
+                          ("", "update", "Y", None, None)])
+    assert [r.symbol for r in wl.apply_changes(ch).collect()] == ["AAA"]
+    out = [r.outcome for r in wl.change_outcomes(ch).orderBy("event_id").collect()]
+    assert out == ["invalid_symbol", "added", "invalid_symbol"]

@@ -46,6 +46,7 @@ OUTCOMES = {
     ("update", "inactive"): "updated",
 }
 NOT_FOUND = "not_found"
+INVALID = "invalid_symbol"      # an add whose symbol is empty once stripped
 
 
 def make_changes(spark, items, start=None) -> DataFrame:
@@ -107,9 +108,12 @@ def classify_events(snapshot: DataFrame | None, changes: DataFrame, bucket_days:
               .when(op == "deactivate", F.lit(False)))
     day = (F.floor(F.unix_date(F.to_date("event_ts")) / F.lit(bucket_days)).cast("long")
            if bucket_days else F.lit(0).cast("long"))
+    # The add form refuses an empty symbol: such an event changes nothing.
+    valid = F.coalesce(F.col("symbol") != F.lit(""), F.lit(False))
     ev = ev.withColumns({
-        "_start": op.isin("seed", "add").cast("int"),
-        "_sv": status,
+        "_valid": valid,
+        "_start": (op.isin("seed", "add") & valid).cast("int"),
+        "_sv": F.when(valid, status),
         "_ord": F.struct("_phase", "event_ts", "event_id"),
         "_day": F.when(F.col("_phase") == 0, F.lit(0).cast("long")).otherwise(day),
     })
@@ -140,7 +144,8 @@ def classify_events(snapshot: DataFrame | None, changes: DataFrame, bucket_days:
         "_active_before": F.coalesce(F.last("_status", ignorenulls=True).over(before), F.col("_s_in")),
     })
     eb, ab = F.col("_exists_before"), F.col("_active_before")
-    effective = (F.when(op == "seed", F.lit(True))
+    effective = (F.when(~F.col("_valid"), F.lit(False))
+                 .when(op == "seed", F.lit(True))
                  .when(op == "add", ~eb | ~ab)
                  .when(op == "deactivate", eb & ab)
                  .when(op == "reactivate", eb & ~ab)
@@ -154,13 +159,15 @@ def change_outcomes(changes: DataFrame, snapshot: DataFrame | None = None,
     """One row per change: event_id, symbol (as matched), op, outcome.
 
     Outcomes: added, reactivated, already_active, deactivated,
-    already_inactive, updated, not_found (a change to an absent symbol)."""
+    already_inactive, updated, not_found (a change to an absent symbol),
+    invalid_symbol (an add with an empty symbol)."""
     ev = classify_events(snapshot, changes, bucket_days).where(F.col("op") != "seed")
     prior = (F.when(~F.col("_exists_before"), F.lit("absent"))
              .when(F.col("_active_before"), F.lit("active")).otherwise(F.lit("inactive")))
     label = F.lit(NOT_FOUND)
     for (o, p), text in OUTCOMES.items():
         label = F.when((F.col("op") == o) & (prior == p), F.lit(text)).otherwise(label)
+    label = F.when(~F.col("_valid"), F.lit(INVALID)).otherwise(label)
     return ev.select("event_id", "event_ts", "symbol", "op", label.alias("outcome"), "_effective") \
              .withColumnRenamed("_effective", "changed")
 
