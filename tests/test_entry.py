@@ -55,3 +55,18 @@ def test_query_matches_oracle(spark, duck, name):
     a = collections.Counter(tuple(_norm(r[c]) for c in cols) for r in got)
     b = collections.Counter(tuple(_norm(r[i]) for i in idx) for r in want)
     assert a == b
+
+
+def test_bench_prints_one_json_line(spark, monkeypatch, capsys):
+    import json
+    import sys
+
+    import bench
+    monkeypatch.setenv("BENCH_SF_DIR", SF_SMALL)
+    monkeypatch.setenv("BENCH_REPEAT", "1")
+    monkeypatch.setattr(sys, "argv", ["bench.py", "dim_date", "period_summary"])
+    bench.main()
+    out = capsys.readouterr().out.strip().splitlines()
+    assert len(out) == 1
+    d = json.loads(out[0])
+    assert d["unit"] == "sec" and set(d["queries"]) == {"dim_date", "period_summary"} and d["value"] > 0
