@@ -106,7 +106,8 @@ INDICATOR_COLUMNS = ["previous_close_price", "price_change", "daily_return_pct",
                      "volatility_20d", "annualized_volatility_20d"]
 
 
-def daily_indicators(prices: DataFrame, split_by_year: bool = False) -> DataFrame:
+def daily_indicators(prices: DataFrame, split_by_year: bool = False,
+                     share_numbered: bool = True) -> DataFrame:
     """Staged prices (ticker_symbol, trading_date, open/high/low/close_price,
     volume) → one row per input row with
 
@@ -138,6 +139,12 @@ def daily_indicators(prices: DataFrame, split_by_year: bool = False) -> DataFram
     d = (prices.withColumn(_BUCKET, _year_bucket(day))
          .withColumn(_POS, F.count(F.lit(1)).over(wb.rowsBetween(Window.unboundedPreceding, 0)))
          .withColumn(_CNT, F.count(F.lit(1)).over(Window.partitionBy(key, _BUCKET))))
+    if share_numbered:
+        # Body, head and tail branches all read `d`; Spark would recompute it
+        # (dedup and the bucket shuffle) per branch, so write it once to the
+        # shared checkpoint folder instead.
+        from tickspan.session import cut_lineage
+        d = cut_lineage(d)
     body = _with_indicators(d, wb).where(F.col(_POS) > HALO_ROWS).select(*out)
     head = d.where(F.col(_POS) <= HALO_ROWS).withColumn(_IS_HALO, F.lit(False))
     ctx = halo_rows(d, key).select(*head.columns)

@@ -48,7 +48,7 @@ def main():
              f"Generated by `tools/explain_plans.py` on `{sf_dir}`: AQE's final plans after each query ran "
              "in full. `Exchange` = shuffle; `ReusedExchange` / `ReusedSubquery` = computed once, read again. "
              "Subquery plans (period anchors, benchmark choice) are listed once each.", ""]
-    for name in HEADLINE:
+    for name in HEADLINE + ["indicators_year_buckets"]:
         df = catalog.QUERIES[name](spark, sf_dir)
         df.collect()  # run this query execution so the plan below is the final one
         qe = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
