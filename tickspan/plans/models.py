@@ -215,21 +215,24 @@ class PriceModels:
                                                      self.conformed_dates, self.ticker_rows)
 
     def share_intermediates(self) -> None:
-        """Compute the staged prices and the indicator pass once each and cut
-        their lineage with reliable checkpoints in the shared checkpoint
-        folder; every later model (facts, marts, checks) reads those instead
-        of re-running dedup and windows. Call before building several
-        models from one graph."""
+        """Compute dedup and the indicator pass once and cut their lineage with
+        one reliable checkpoint in the shared checkpoint folder. The indicator
+        rows carry every staged column (one row per staged row), so the staged
+        prices become a projection of the same checkpoint. Every later model
+        (facts, marts, checks) reads it instead of re-running dedup and
+        windows. Call before building several models from one graph."""
+        from tickspan.schemas import STG_STOCK_PRICES_COLUMNS
         from tickspan.session import cut_lineage
         if "_shared" in self.__dict__:
             return
-        self.__dict__["stg_market__stock_prices"] = cut_lineage(self.stg_market__stock_prices)
-        for name in ("indicators", "int_stock_daily_returns", "int_stock_moving_averages",
+        shared = cut_lineage(self.indicators)
+        for name in ("stg_market__stock_prices", "int_stock_daily_returns", "int_stock_moving_averages",
                      "int_stock_volatility", "fact_stock_price_daily", "performance_with_volume",
                      "fact_stock_performance_daily", "mart_watchlist_performance",
-                     "mart_ticker_performance_summary", "calendar_rows", "date_spine", "dim_date"):
+                     "mart_ticker_performance_summary"):
             self.__dict__.pop(name, None)
-        self.__dict__["indicators"] = cut_lineage(self.indicators)
+        self.__dict__["indicators"] = shared
+        self.__dict__["stg_market__stock_prices"] = shared.select(*STG_STOCK_PRICES_COLUMNS)
         self.__dict__["_shared"] = True
 
     def model(self, name: str) -> DataFrame:

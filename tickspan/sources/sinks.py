@@ -35,10 +35,11 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
     {model: location}. Each write is one job whose output is committed
     atomically, so a lost executor only retries tasks.
 
-    With ``share_intermediates`` the deduplicated prices and the indicator
-    pass are each computed once and checkpointed (reliably, into
-    ``spark.checkpoint.dir``) before the tables that read them are written,
-    instead of being recomputed for every fact and mart. With ``rebind`` each
+    With ``share_intermediates`` dedup and the indicator pass are computed
+    once and checkpointed (reliably, into ``spark.checkpoint.dir``; the staged
+    prices are a projection of the same checkpoint) before the tables that
+    read them are written, instead of being recomputed for every fact and
+    mart. With ``rebind`` each
     written table replaces the model's lazy definition, so later readers (the
     data-quality checks, say) read the table."""
     from tickspan.plans.models import MODEL_LAYERS
