@@ -1,6 +1,9 @@
-"""DuckDB SQL equal in meaning to each registered query, written directly from
-the model semantics (join forms, separate window models), not from the Spark
-plans. Tables are the provided parquet views."""
+"""DuckDB SQL equal in meaning to each registered query, formulated
+independently of the Spark plans: the three window models computed separately
+and joined back, facts and marts as plain joins, each period's rows selected
+on their own and combined with UNION ALL, boundary closes looked up by
+correlated subqueries, the watchlist fold as per-symbol windows. Tables are
+the provided parquet views."""
 
 from __future__ import annotations
 
@@ -238,23 +241,25 @@ dim_date AS (SELECT CAST(strftime(date_day, '%Y%m%d') AS INTEGER) AS date_key, d
 
 PRICE_FACT = """
 fact_price AS (
-    SELECT sp.ticker_symbol, dt.ticker_key, dd.date_key, sp.trading_date, sp.open_price, sp.high_price,
-           sp.low_price, sp.close_price, sp.volume, sp.data_source, sp.loaded_at
-    FROM stg sp
-    JOIN dim_date dd ON sp.trading_date = dd.date_day
-    JOIN dim_ticker dt ON sp.ticker_symbol = dt.ticker_symbol
+    SELECT ticker_symbol, ticker_key, date_key, trading_date, open_price, high_price, low_price,
+           close_price, volume, data_source, loaded_at
+    FROM stg
+    JOIN (SELECT date_day AS trading_date, date_key FROM dim_date) USING (trading_date)
+    JOIN (SELECT ticker_symbol, ticker_key FROM dim_ticker) USING (ticker_symbol)
 )"""
 
 PERF_FACT = """
 fact_perf AS (
-    SELECT r.ticker_symbol, dt.ticker_key, dd.date_key, r.trading_date, r.close_price, r.previous_close_price,
-           r.price_change, r.daily_return_pct, ma.moving_average_7d, ma.moving_average_20d, ma.moving_average_50d,
-           v.volatility_20d, v.annualized_volatility_20d
-    FROM returns r
-    JOIN moving ma ON r.ticker_symbol = ma.ticker_symbol AND r.trading_date = ma.trading_date
-    JOIN volatility v ON r.ticker_symbol = v.ticker_symbol AND r.trading_date = v.trading_date
-    JOIN dim_date dd ON r.trading_date = dd.date_day
-    JOIN dim_ticker dt ON r.ticker_symbol = dt.ticker_symbol
+    SELECT ticker_symbol, ticker_key, date_key, trading_date, close_price, previous_close_price,
+           price_change, daily_return_pct, moving_average_7d, moving_average_20d, moving_average_50d,
+           volatility_20d, annualized_volatility_20d
+    FROM returns
+    JOIN (SELECT ticker_symbol, trading_date, moving_average_7d, moving_average_20d, moving_average_50d
+          FROM moving) USING (ticker_symbol, trading_date)
+    JOIN (SELECT ticker_symbol, trading_date, volatility_20d, annualized_volatility_20d
+          FROM volatility) USING (ticker_symbol, trading_date)
+    JOIN (SELECT date_day AS trading_date, date_key FROM dim_date) USING (trading_date)
+    JOIN (SELECT ticker_symbol, ticker_key FROM dim_ticker) USING (ticker_symbol)
 )"""
 
 A_STAR = (RAW_A, WATCHLIST_A, stg_prices("raw_a"), RETURNS, MOVING, VOLATILITY, STG_TICKERS, DIM_TICKER)
@@ -262,69 +267,88 @@ A_FULL = A_STAR + (spine_fixed("1995-01-01", "2001-12-31"), SIMPLE_DIM_DATE, PRI
 A_SHORT = A_STAR + (spine_fixed("1996-01-01", "2001-12-31"), SIMPLE_DIM_DATE, PRICE_FACT, PERF_FACT)
 
 MART_ACTIVE = """
-dates AS (SELECT date_key, date_day, CAST(year(date_day) AS INTEGER) AS calendar_year,
-                 CAST(quarter(date_day) AS INTEGER) AS calendar_quarter,
-                 CAST(month(date_day) AS INTEGER) AS calendar_month, monthname(date_day) AS calendar_month_name
-          FROM dim_date),
 mart_active AS (
-    SELECT t.ticker_symbol, t.company_name, t.category, t.currency, t.country, t.is_active,
-           d.date_day AS trading_date, d.calendar_year, d.calendar_quarter, d.calendar_month, d.calendar_month_name,
-           p.close_price, p.previous_close_price, p.daily_return_pct, p.moving_average_7d, p.moving_average_20d,
-           p.moving_average_50d, p.volatility_20d, p.annualized_volatility_20d, pr.volume
-    FROM fact_perf p
-    JOIN dim_ticker t ON p.ticker_symbol = t.ticker_symbol
-    JOIN dates d ON p.date_key = d.date_key
-    JOIN fact_price pr ON p.ticker_symbol = pr.ticker_symbol AND p.trading_date = pr.trading_date
-    WHERE t.is_active = TRUE
+    SELECT ticker_symbol, company_name, category, currency, country, is_active,
+           date_day AS trading_date,
+           CAST(year(date_day) AS INTEGER) AS calendar_year, CAST(quarter(date_day) AS INTEGER) AS calendar_quarter,
+           CAST(month(date_day) AS INTEGER) AS calendar_month, monthname(date_day) AS calendar_month_name,
+           close_price, previous_close_price, daily_return_pct, moving_average_7d, moving_average_20d,
+           moving_average_50d, volatility_20d, annualized_volatility_20d, volume
+    FROM fact_perf
+    JOIN (SELECT ticker_symbol, company_name, category, currency, country, is_active
+          FROM dim_ticker WHERE is_active) USING (ticker_symbol)
+    JOIN (SELECT date_key, date_day FROM dim_date) USING (date_key)
+    JOIN (SELECT ticker_symbol, trading_date, volume FROM fact_price) USING (ticker_symbol, trading_date)
 )"""
 
+# Period bounds: one row holding the latest / earliest dates and every start.
 ANCHORS = """
+bounds AS (
+    SELECT max(trading_date) AS latest_date, min(trading_date) AS start_all FROM fact_perf
+),
 anchors AS (
-    SELECT max(trading_date) AS latest_date,
-           CAST(max(trading_date) - INTERVAL 29 DAY AS DATE) AS start_30d,
-           CAST(max(trading_date) - INTERVAL 89 DAY AS DATE) AS start_90d,
-           CAST(date_trunc('year', max(trading_date)) AS DATE) AS start_ytd,
-           CAST(date_trunc('month', max(trading_date)) AS DATE) AS start_mtd,
-           CAST(max(trading_date) - INTERVAL 1 YEAR AS DATE) AS start_1y,
-           min(trading_date) AS start_all
-    FROM fact_perf
+    SELECT latest_date,
+           CAST(latest_date - INTERVAL 29 DAY AS DATE) AS start_30d,
+           CAST(latest_date - INTERVAL 89 DAY AS DATE) AS start_90d,
+           CAST(date_trunc('year', latest_date) AS DATE) AS start_ytd,
+           CAST(date_trunc('month', latest_date) AS DATE) AS start_mtd,
+           CAST(latest_date - INTERVAL 1 YEAR AS DATE) AS start_1y,
+           start_all
+    FROM bounds
 ),
-period_defs AS (
-    SELECT 'ALL_AVAILABLE' AS period_name, start_all AS period_start, latest_date AS period_end FROM anchors
-    UNION ALL SELECT 'YTD', start_ytd, latest_date FROM anchors
-    UNION ALL SELECT 'MTD', start_mtd, latest_date FROM anchors
-    UNION ALL SELECT '30D', start_30d, latest_date FROM anchors
-    UNION ALL SELECT '90D', start_90d, latest_date FROM anchors
-    UNION ALL SELECT '1Y', start_1y, latest_date FROM anchors
+period_bounds AS (
+    SELECT p.period_name, p.period_start, a.latest_date AS period_end
+    FROM anchors a,
+         LATERAL (VALUES ('ALL_AVAILABLE', a.start_all), ('YTD', a.start_ytd), ('MTD', a.start_mtd),
+                         ('30D', a.start_30d), ('90D', a.start_90d), ('1Y', a.start_1y))
+             AS p(period_name, period_start)
 )"""
 
+
+def _period_rows(name: str, start_col: str) -> str:
+    """Rows of one period: the performance fact restricted to its dates, with
+    the volume of the matching price row."""
+    return f"""
+    SELECT f.ticker_symbol, '{name}' AS period_name, f.trading_date, f.close_price, f.daily_return_pct,
+           f.volatility_20d, v.volume
+    FROM fact_perf f
+    JOIN fact_price v ON v.ticker_symbol = f.ticker_symbol AND v.trading_date = f.trading_date
+    WHERE f.trading_date >= (SELECT {start_col} FROM anchors)
+      AND f.trading_date <= (SELECT latest_date FROM anchors)"""
+
+
 SUMMARY = """
-ticker_periods AS (
-    SELECT p.ticker_symbol, pd.period_name,
-           min(p.trading_date) AS actual_start_date, max(p.trading_date) AS actual_end_date,
-           count(p.trading_date) AS trading_days_count,
-           min(p.close_price) AS min_close_price, max(p.close_price) AS max_close_price,
-           avg(p.daily_return_pct) AS avg_daily_return_pct, avg(p.volatility_20d) AS volatility_pct,
-           avg(pr.volume) AS avg_volume
-    FROM fact_perf p
-    CROSS JOIN period_defs pd
-    JOIN fact_price pr ON p.ticker_symbol = pr.ticker_symbol AND p.trading_date = pr.trading_date
-    WHERE p.trading_date BETWEEN pd.period_start AND pd.period_end
-    GROUP BY p.ticker_symbol, pd.period_name, pd.period_start, pd.period_end
+in_period AS (""" + "\n    UNION ALL".join(_period_rows(n, c) for n, c in [
+    ("ALL_AVAILABLE", "start_all"), ("YTD", "start_ytd"), ("MTD", "start_mtd"),
+    ("30D", "start_30d"), ("90D", "start_90d"), ("1Y", "start_1y")]) + """
+),
+per_period AS (
+    SELECT ticker_symbol, period_name,
+           min(trading_date) AS first_day, max(trading_date) AS last_day, count(*) AS days,
+           min(close_price) AS low_close, max(close_price) AS high_close,
+           avg(daily_return_pct) AS mean_return, avg(volatility_20d) AS mean_vol, avg(volume) AS mean_volume
+    FROM in_period GROUP BY ticker_symbol, period_name
+),
+with_ends AS (
+    SELECT g.*,
+           (SELECT f.close_price FROM fact_perf f
+             WHERE f.ticker_symbol = g.ticker_symbol AND f.trading_date = g.first_day) AS first_close,
+           (SELECT f.close_price FROM fact_perf f
+             WHERE f.ticker_symbol = g.ticker_symbol AND f.trading_date = g.last_day) AS last_close
+    FROM per_period g
 ),
 summary AS (
-    SELECT tp.ticker_symbol, t.company_name, t.category, tp.period_name,
-           tp.actual_start_date AS period_start_date, tp.actual_end_date AS period_end_date,
-           ps.close_price AS start_close_price, pe.close_price AS end_close_price,
-           CASE WHEN ps.close_price = 0 OR ps.close_price IS NULL THEN NULL
-                ELSE CAST(pe.close_price - ps.close_price AS DOUBLE) / CAST(ps.close_price AS DOUBLE)
+    SELECT e.ticker_symbol, t.company_name, t.category, e.period_name,
+           e.first_day AS period_start_date, e.last_day AS period_end_date,
+           e.first_close AS start_close_price, e.last_close AS end_close_price,
+           CASE WHEN e.first_close IS NULL OR e.first_close = 0 THEN NULL
+                ELSE CAST(e.last_close - e.first_close AS DOUBLE) / CAST(e.first_close AS DOUBLE)
            END AS period_return_pct,
-           round(tp.avg_daily_return_pct, 6) AS avg_daily_return_pct, round(tp.volatility_pct, 6) AS volatility_pct,
-           tp.min_close_price, tp.max_close_price, round(tp.avg_volume, 6) AS avg_volume, tp.trading_days_count
-    FROM ticker_periods tp
-    JOIN dim_ticker t ON tp.ticker_symbol = t.ticker_symbol
-    JOIN fact_perf ps ON tp.ticker_symbol = ps.ticker_symbol AND tp.actual_start_date = ps.trading_date
-    JOIN fact_perf pe ON tp.ticker_symbol = pe.ticker_symbol AND tp.actual_end_date = pe.trading_date
+           round(e.mean_return, 6) AS avg_daily_return_pct, round(e.mean_vol, 6) AS volatility_pct,
+           e.low_close AS min_close_price, e.high_close AS max_close_price,
+           round(e.mean_volume, 6) AS avg_volume, e.days AS trading_days_count
+    FROM with_ends e
+    JOIN dim_ticker t ON t.ticker_symbol = e.ticker_symbol
 )"""
 
 ORACLE_SQL.update({
@@ -336,7 +360,7 @@ ORACLE_SQL.update({
         "SELECT * REPLACE (round(volatility_20d, 6) AS volatility_20d, "
         "round(annualized_volatility_20d, 6) AS annualized_volatility_20d) FROM mart_active",
     "period_anchors": with_(*A_FULL, ANCHORS) + "SELECT * FROM anchors",
-    "period_definitions": with_(*A_FULL, ANCHORS) + "SELECT * FROM period_defs",
+    "period_definitions": with_(*A_FULL, ANCHORS) + "SELECT * FROM period_bounds",
     "period_summary": with_(*A_FULL, ANCHORS, SUMMARY) + "SELECT * FROM summary",
 })
 
