@@ -161,51 +161,55 @@ spine AS (
 )"""
 
 
+# The calendar without window functions: adjacent trading days and running
+# counters are correlated lookups over the set of open days.
 DIM_DATE = f"""
-hol AS (
+closed AS (
     SELECT holiday_date, holiday_name FROM {holidays_values_sql()}
     WHERE market_code = 'NYSE' AND is_full_day_closure = TRUE
 ),
-day_attrs AS (
-    SELECT d.date_day,
-           CAST(strftime(d.date_day, '%Y%m%d') AS INTEGER) AS date_key,
-           CAST(year(d.date_day) AS INTEGER) AS calendar_year,
-           CAST(quarter(d.date_day) AS INTEGER) AS calendar_quarter,
-           CAST(month(d.date_day) AS INTEGER) AS calendar_month,
-           monthname(d.date_day) AS calendar_month_name,
-           strftime(d.date_day, '%b') AS calendar_month_short_name,
-           CAST(weekofyear(d.date_day) AS INTEGER) AS calendar_week,
-           CAST(day(d.date_day) AS INTEGER) AS day_of_month,
-           CAST(isodow(d.date_day) AS INTEGER) AS day_of_week,
-           dayname(d.date_day) AS day_of_week_name,
-           strftime(d.date_day, '%a') AS day_of_week_short_name,
-           CAST(dayofyear(d.date_day) AS INTEGER) AS day_of_year,
-           CAST(date_trunc('week', d.date_day) AS DATE) AS week_start_date,
-           CAST(date_trunc('week', d.date_day) + INTERVAL 6 DAY AS DATE) AS week_end_date,
-           CAST(date_trunc('month', d.date_day) AS DATE) AS month_start_date,
-           last_day(d.date_day) AS month_end_date,
-           CAST(date_trunc('quarter', d.date_day) AS DATE) AS quarter_start_date,
-           last_day(CAST(date_trunc('quarter', d.date_day) + INTERVAL 2 MONTH AS DATE)) AS quarter_end_date,
-           CAST(date_trunc('year', d.date_day) AS DATE) AS year_start_date,
-           make_date(year(d.date_day), 12, 31) AS year_end_date,
-           isodow(d.date_day) IN (6, 7) AS is_weekend,
-           isodow(d.date_day) NOT IN (6, 7) AS is_weekday,
-           h.holiday_date IS NOT NULL AS is_market_holiday,
-           h.holiday_name AS market_holiday_name,
-           isodow(d.date_day) NOT IN (6, 7) AND h.holiday_date IS NULL AS is_trading_day
-    FROM spine d LEFT JOIN hol h ON d.date_day = h.holiday_date
+flags AS (
+    SELECT s.date_day, c.holiday_name, c.holiday_date IS NOT NULL AS is_market_holiday,
+           isodow(s.date_day) >= 6 AS is_weekend
+    FROM spine s LEFT JOIN closed c ON c.holiday_date = s.date_day
 ),
+open_days AS (SELECT date_day FROM flags WHERE NOT is_weekend AND NOT is_market_holiday),
 dim_date AS (
-    SELECT *,
-           lag(CASE WHEN is_trading_day THEN date_day END IGNORE NULLS) OVER (ORDER BY date_day) AS previous_trading_date,
-           lead(CASE WHEN is_trading_day THEN date_day END IGNORE NULLS) OVER (ORDER BY date_day) AS next_trading_date,
-           CAST(sum(CASE WHEN is_trading_day THEN 1 ELSE 0 END) OVER (
-                PARTITION BY calendar_year, calendar_month ORDER BY date_day
-                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS trading_day_of_month,
-           CAST(sum(CASE WHEN is_trading_day THEN 1 ELSE 0 END) OVER (
-                PARTITION BY calendar_year ORDER BY date_day
-                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS trading_day_of_year
-    FROM day_attrs
+    SELECT CAST(strftime(f.date_day, '%Y%m%d') AS INTEGER) AS date_key,
+           f.date_day,
+           CAST(year(f.date_day) AS INTEGER) AS calendar_year,
+           CAST(quarter(f.date_day) AS INTEGER) AS calendar_quarter,
+           CAST(month(f.date_day) AS INTEGER) AS calendar_month,
+           monthname(f.date_day) AS calendar_month_name,
+           strftime(f.date_day, '%b') AS calendar_month_short_name,
+           CAST(weekofyear(f.date_day) AS INTEGER) AS calendar_week,
+           CAST(day(f.date_day) AS INTEGER) AS day_of_month,
+           CAST(isodow(f.date_day) AS INTEGER) AS day_of_week,
+           dayname(f.date_day) AS day_of_week_name,
+           strftime(f.date_day, '%a') AS day_of_week_short_name,
+           CAST(dayofyear(f.date_day) AS INTEGER) AS day_of_year,
+           CAST(f.date_day - INTERVAL (isodow(f.date_day) - 1) DAY AS DATE) AS week_start_date,
+           CAST(f.date_day + INTERVAL (7 - isodow(f.date_day)) DAY AS DATE) AS week_end_date,
+           make_date(year(f.date_day), month(f.date_day), 1) AS month_start_date,
+           last_day(f.date_day) AS month_end_date,
+           make_date(year(f.date_day), 3 * ((month(f.date_day) - 1) // 3) + 1, 1) AS quarter_start_date,
+           last_day(make_date(year(f.date_day), 3 * ((month(f.date_day) - 1) // 3) + 3, 1)) AS quarter_end_date,
+           make_date(year(f.date_day), 1, 1) AS year_start_date,
+           make_date(year(f.date_day), 12, 31) AS year_end_date,
+           f.is_weekend,
+           NOT f.is_weekend AS is_weekday,
+           f.is_market_holiday,
+           f.holiday_name AS market_holiday_name,
+           NOT f.is_weekend AND NOT f.is_market_holiday AS is_trading_day,
+           (SELECT max(o.date_day) FROM open_days o WHERE o.date_day < f.date_day) AS previous_trading_date,
+           (SELECT min(o.date_day) FROM open_days o WHERE o.date_day > f.date_day) AS next_trading_date,
+           CAST((SELECT count(*) FROM open_days o
+                 WHERE o.date_day <= f.date_day AND year(o.date_day) = year(f.date_day)
+                   AND month(o.date_day) = month(f.date_day)) AS INTEGER) AS trading_day_of_month,
+           CAST((SELECT count(*) FROM open_days o
+                 WHERE o.date_day <= f.date_day AND year(o.date_day) = year(f.date_day)) AS INTEGER)
+               AS trading_day_of_year
+    FROM flags f
 )"""
 
 DIM_DATE_COLS = """date_key, date_day, calendar_year, calendar_quarter, calendar_month, calendar_month_name,
