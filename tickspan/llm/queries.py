@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from tickspan.llm import simhash
+from tickspan.llm import simhash, token_count
 from tickspan.llm.common import read
 
 
+def op2_token_counts(spark, sf_dir):
+    return token_count.token_counts(read(spark, sf_dir, "documents"), model="piece_bpe_32k.model", limit=4096)
+
+
 def op4_simhash_neardup(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
     "op4_simhash_neardup": op4_simhash_neardup,
 }
 
