@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickspan.llm import simhash, token_count
+from tickspan.llm import packing, simhash, token_count
 from tickspan.llm.common import read
 
 
@@ -14,9 +14,15 @@ def op4_simhash_neardup(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=3)
 
 
+def op5_packing(spark, sf_dir):
+    out = packing.pack(read(spark, sf_dir, "documents"), model="word_bpe_49k.json", end_id=1, length=2048)
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "round")
+
+
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_simhash_neardup": op4_simhash_neardup,
+    "op5_packing": op5_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
