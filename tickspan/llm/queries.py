@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickspan.llm import packing, simhash, token_count
+from tickspan.llm import packing, secret_scan, simhash, token_count
 from tickspan.llm.common import read
 
 
@@ -19,10 +19,15 @@ def op5_packing(spark, sf_dir):
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "round")
 
 
+def op7_secret_scan(spark, sf_dir):
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op5_packing": op5_packing,
+    "op7_secret_scan": op7_secret_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
