@@ -34,6 +34,7 @@ RATIO = 1.7
 KINDS = ("assign", "access", "hex", "random")
 
 _ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+_WORDS = ("passw", "secret", "token", "apikey", "api_key")   # one is in every match
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")          # the runs of [0-9a-f]+ with 16 characters or more
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
@@ -54,7 +55,10 @@ def load(vocabulary: str) -> tiktoken.Encoding:
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans ``start, kind, end`` of the known kinds."""
-    out = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m.group(1)) >= 12]
+    low = text.lower()
+    out = []
+    if any(word in low for word in _WORDS):
+        out += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m.group(1)) >= 12]
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18]
     out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
