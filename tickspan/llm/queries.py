@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickspan.llm import packing, secret_scan, simhash, token_count
+from tickspan.llm import oracle, packing, quality, secret_scan, simhash, token_count
 from tickspan.llm.common import read
 
 
@@ -19,6 +19,10 @@ def op5_packing(spark, sf_dir):
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "round")
 
 
+def op6_quality_rules(spark, sf_dir):
+    return quality.judged(read(spark, sf_dir, "documents")).drop("_key")
+
+
 def op7_secret_scan(spark, sf_dir):
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
@@ -27,7 +31,10 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op5_packing": op5_packing,
+    "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": oracle.QUALITY,
+}
