@@ -7,7 +7,7 @@ from tickspan.llm import quality
 QUALITY = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t
            FROM documents),
-w AS (SELECT r, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM d),
+w AS (SELECT r, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
 win AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s
         FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 1, 1))) AS i FROM w)),
 twice AS (SELECT r, s FROM win GROUP BY r, s HAVING count(*) > 1),
