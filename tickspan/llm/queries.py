@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickspan.llm import oracle, packing, quality, secret_scan, simhash, token_count
+from tickspan.llm import decontam, oracle, packing, quality, secret_scan, simhash, token_count
 from tickspan.llm.common import read
 
 
@@ -27,12 +27,17 @@ def op7_secret_scan(spark, sf_dir):
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark, sf_dir):
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("_keys")
+
+
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
