@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tickspan.llm import quality
+from tickspan.llm import decontam, license_scan, quality, url_filter
+from tickspan.llm.licence_texts import KNOWN
 
 QUALITY = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t
@@ -35,3 +36,87 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT host_failed AS kept, host_failed
 FROM b JOIN z USING (host)
 """
+
+
+def _words(text: str) -> str:
+    return f"list_filter(string_split_regex(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+
+
+# All equal pairs of positions, not seeds: counts by offset, then the best window.
+DECONTAMINATION = f"""
+WITH b AS (SELECT * FROM (SELECT item_id, {_words('text')} AS ws FROM benchmark) WHERE len(ws) >= 5),
+bp AS (SELECT item_id, len(ws) AS size, least(len(ws), {decontam.WINDOW}) AS span, unnest(ws) AS w,
+              unnest(range(1, len(ws) + 1)) AS j FROM b),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_words('text')} AS ws FROM documents),
+dp AS (SELECT r, doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM d),
+eq AS (SELECT r, doc_id, item_id, size, span, i - j AS o, j FROM dp JOIN bp USING (w)),
+many AS (SELECT r, item_id, o FROM eq GROUP BY r, item_id, o, span HAVING count(*) >= {decontam.SHARE} * span),
+win AS (SELECT r, doc_id, item_id, o, span, unnest(range(greatest(1, j - span + 1), least(j, size - span + 1) + 1)) AS s
+        FROM eq JOIN many USING (r, item_id, o)),
+n AS (SELECT doc_id, item_id, span, count(*) AS c FROM win GROUP BY r, doc_id, item_id, o, span, s)
+SELECT doc_id, item_id, CAST(max(c) AS BIGINT) AS n_equal, CAST(max(span) AS BIGINT) AS n_window
+FROM n WHERE c >= {decontam.SHARE} * span GROUP BY doc_id, item_id
+"""
+
+
+def _canonical(text: str) -> str:
+    form = f"regexp_replace(lower({text}), '(?m){license_scan.COPYRIGHT}', '', 'g')"
+    form = f"regexp_replace({form}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    for a, b in license_scan.SPELLINGS:
+        form = f"replace({form}, '{a}', '{b}')"
+    return form
+
+
+def _one_line(form: str) -> str:
+    return f"trim(regexp_replace({form}, '[ \\n]+', ' ', 'g'))"
+
+
+_KNOWN = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in KNOWN)
+LICENSES = f"""
+WITH k AS (SELECT sha256(f) AS digest, min(license) AS license FROM (
+             SELECT license, {_one_line(_canonical('text'))} AS f FROM (VALUES {_KNOWN}) AS v(license, text)) GROUP BY f),
+d AS (SELECT doc_id, {_canonical("coalesce(text, '')")} AS f FROM documents),
+u AS (SELECT doc_id, 0 AS line, {_one_line('f')} AS f FROM d UNION ALL
+      SELECT doc_id, line, trim(f) FROM (
+        SELECT doc_id, unnest(string_split(f, chr(10))) AS f, unnest(range(1, len(string_split(f, chr(10))) + 1)) AS line FROM d))
+SELECT doc_id, CASE WHEN line = 0 THEN 'text' ELSE 'line' END AS scope, CAST(line AS BIGINT) AS line, license, digest
+FROM u JOIN k ON sha256(u.f) = k.digest
+"""
+
+
+def _url_filter() -> str:
+    f = url_filter
+    rules = ", ".join(f"('{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{r}', '{a}')" for r, a in f.RULES)
+    host = f"translate(regexp_extract({{}}, '^[^/?#]*'), '{f.UPPER}', '{f.LOWER}')"
+    rest = "CASE WHEN strpos(coalesce({0}, ''), '://') > 0 THEN substr({0}, strpos({0}, '://') + 3) ELSE '' END"
+    rounds = "".join(f""",
+s{i} AS (SELECT t, h, CAST(sum(s) AS BIGINT) AS s FROM (
+           SELECT * FROM s0 UNION ALL
+           SELECT t, o, CAST(floor(s * part) AS BIGINT) FROM s{i - 1} JOIN part USING (t, h)) GROUP BY t, h)"""
+                     for i in range(1, f.ROUNDS + 1))
+    return f"""
+WITH u AS (SELECT row_number() OVER () AS r, page_id, html, {rest.format('url')} AS rest FROM pages),
+p AS (SELECT r, page_id, html, {host.format('rest')} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules AS (SELECT * FROM (VALUES {rules}) AS v(parent, prefix, rule, action)),
+fit AS (SELECT r, max_by(rule, (length(rule), rule)) AS rule, max_by(action, (length(rule), rule)) AS action
+        FROM p JOIN rules ON (host = parent OR ends_with(host, '.' || parent)) AND starts_with(path, prefix) GROUP BY r),
+j AS (SELECT r, page_id, host, path, rule, action FROM p LEFT JOIN fit USING (r)),
+seed AS (SELECT host AS h, 2 * count(*) FILTER (action = 'allow') > count(*) AS good,
+                2 * count(*) FILTER (action = 'block') > count(*) AS bad FROM j WHERE host <> '' GROUP BY host),
+l AS (SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''),
+             '(?i)<a\\s[^>]*?href\\s*=\\s*["'']?((?:https?:)?//[^"''\\s>]+)', 1)) AS href FROM p),
+e AS (SELECT src, dst, count(*) AS n FROM (
+        SELECT src, {host.format("regexp_replace(href, '^(?i)(https?:)?//', '')")} AS dst FROM l)
+      WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+both_ways AS (SELECT true AS t, src AS h, dst AS o, n FROM e UNION ALL SELECT false, dst, src, n FROM e),
+part AS (SELECT t, h, o, CAST({f.DAMPING} AS DOUBLE) * n / sum(n) OVER (PARTITION BY t, h) AS part FROM both_ways),
+s0 AS (SELECT good AS t, h, CAST({int(f.UNIT * (1 - f.DAMPING))} AS BIGINT) AS s FROM seed WHERE good OR bad){rounds},
+z AS (SELECT h AS host, sum(s) FILTER (t) AS trust, sum(s) FILTER (NOT t) AS distrust FROM s{f.ROUNDS} GROUP BY h)
+SELECT page_id, host, path, rule, coalesce(action, CASE WHEN coalesce(distrust, 0) > {f.MARGIN} * coalesce(trust, 0)
+       THEN 'block' ELSE 'allow' END) AS verdict, CAST(coalesce(trust, 0) AS BIGINT) AS trust,
+       CAST(coalesce(distrust, 0) AS BIGINT) AS distrust
+FROM j LEFT JOIN z USING (host)
+"""
+
+
+URL_FILTER = _url_filter()

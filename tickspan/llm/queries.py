@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from tickspan.llm import decontam, oracle, packing, quality, secret_scan, simhash, token_count
+from tickspan.llm import (decontam, license_scan, oracle, packing, quality, secret_scan, simhash, token_count,
+                          url_filter)
 from tickspan.llm.common import read
 
 
+def op1_license_scan(spark, sf_dir):
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark, sf_dir):
     return token_count.token_counts(read(spark, sf_dir, "documents"), model="piece_bpe_32k.model", limit=4096)
 
 
+def op3_url_filter(spark, sf_dir):
+    return url_filter.judged(read(spark, sf_dir, "pages"))
+
+
 def op4_simhash_neardup(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=3)
 
@@ -32,7 +41,9 @@ def op8_decontamination(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_token_counts": op2_token_counts,
+    "op3_url_filter": op3_url_filter,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op5_packing": op5_packing,
     "op6_quality_rules": op6_quality_rules,
@@ -41,5 +52,8 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_license_scan": oracle.LICENSES,
+    "op3_url_filter": oracle.URL_FILTER,
     "op6_quality_rules": oracle.QUALITY,
+    "op8_decontamination": oracle.DECONTAMINATION,
 }
