@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tickspan.llm import (decontam, license_scan, oracle, packing, quality, secret_scan, simhash, token_count,
-                          url_filter)
-from tickspan.llm.common import read
+from pyspark.sql import functions as F
+
+from tickspan.llm import (decontam, html_text, license_scan, oracle, packing, quality, secret_scan, simhash,
+                          token_count, url_filter, warc)
+from tickspan.llm.common import read, shared_path
 
 
 def op1_license_scan(spark, sf_dir):
@@ -40,6 +42,20 @@ def op8_decontamination(spark, sf_dir):
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("_keys")
 
 
+def op9_warc(spark, sf_dir):
+    """Every page written to archives in the shared folder and read back."""
+    path = shared_path(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), path, least=0)
+    records = warc.read(spark, path, with_payload=False).where(F.col("gap").isNull())
+    return records.select(
+        warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"), warc.page_of(F.col("refers_to_id")).alias("refers_to"))
+
+
+def op10_html_text(spark, sf_dir):
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_counts": op2_token_counts,
@@ -49,6 +65,8 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
     "op8_decontamination": op8_decontamination,
+    "op9_warc": op9_warc,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {
