@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tickspan.llm.common import connected_components, stored
+from tickspan.llm.common import connected_components, stored, text_key
 from tickspan.session import cut_lineage
 
 SEED = 42
@@ -58,16 +58,17 @@ def simhash(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """One row ``<id>, _fp`` (the fingerprint's bits as a signed long) per document."""
+    """One row ``id, _key, _fp`` per document: its text's key, and the
+    fingerprint's bits as a signed long."""
     def run(batches):
         for b in batches:
-            fps = np.fromiter((simhash(t, shingle) for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "_fp"])
+            fps = np.fromiter((simhash(t, shingle) for t in b.column(2).to_pylist()), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))],
+                                             names=["id", "_key", "_fp"])
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = src.schema["id"].dataType
-    out = T.StructType([T.StructField("id", kind), T.StructField("_fp", T.LongType())])
-    return src.mapInArrow(run, out).withColumnRenamed("id", id_col)
+    src = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("_key"), F.col(text_col).cast("string").alias("text"))
+    out = T.StructType([src.schema["id"], T.StructField("_key", T.LongType()), T.StructField("_fp", T.LongType())])
+    return src.mapInArrow(run, out)
 
 
 def ball(radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,16 +145,45 @@ def links(distinct: DataFrame, radius: int = 3, per_bucket: int = 4_000_000) ->
             .groupBy("bucket").applyInArrow(meet, "a long, b long").distinct())
 
 
+def classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The stored fingerprints, and ``_fp, _least, _root``: the least id and the
+    component of every distinct one."""
+    fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
+    distinct = stored(fps.groupBy("_fp").agg(F.min("id").alias("_least")), "simhash-distinct")
+    roots = connected_components(links(distinct, radius))
+    return fps, cut_lineage(distinct.join(roots, distinct["_fp"] == roots["node"], "left").select(
+        "_fp", "_least", F.coalesce("root", "_fp").alias("_root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     radius: int = 3) -> DataFrame:
     """One row per document: ``<id>, fingerprint`` (16 hex digits) and
     ``component_id``, the smallest id reachable over links."""
-    fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
-    distinct = stored(fps.groupBy("_fp").agg(F.min(id_col).alias("_least")), "simhash-distinct")
-    roots = connected_components(links(distinct, radius))
-    rooted = distinct.join(roots, distinct["_fp"] == roots["node"], "left").select(
-        "_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
+    fps, rooted = classes(docs, id_col, text_col, shingle, radius)
     names = cut_lineage(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")))
     named = cut_lineage(rooted.join(names, "_root").select("_fp", "component_id"))
     return fps.join(named, "_fp").select(
-        F.col(id_col), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                radius: int = 3) -> DataFrame:
+    """One document of each component, with all its columns: that of the least
+    id (null last) and, where rows share it, the least text key; one of rows
+    that are equal in both."""
+    fps, rooted = classes(docs, id_col, text_col, shingle, radius)
+    first = F.struct(F.col("id").isNull().alias("null"), "id", "_key")
+    best = cut_lineage(fps.groupBy("_fp").agg(F.min(first).alias("_best")))
+    kept = cut_lineage(best.join(rooted, "_fp").groupBy("_root").agg(F.min("_best").alias("b"))
+                       .select(F.col("b.id").alias("_kept_id"), F.col("b._key").alias("_kept_key")).distinct())
+    same = F.col("id").eqNullSafe(F.col("_kept_id")) & (F.col("_key") == F.col("_kept_key"))
+    again = cut_lineage(fps.join(kept, same).groupBy("_kept_id", "_kept_key").count().where("count > 1").drop("count"))
+
+    def of(pairs, how):
+        return docs.join(pairs, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (text_key(text_col) == F.col("_kept_key")), how)
+    out = of(kept, "left_semi")
+    if again.isEmpty():
+        return out
+    once = kept.join(again.withColumnsRenamed({"_kept_id": "_i", "_kept_key": "_k"}),
+                     F.col("_kept_id").eqNullSafe(F.col("_i")) & (F.col("_kept_key") == F.col("_k")), "left_anti")
+    return of(once, "left_semi").unionByName(of(again, "left_semi").dropDuplicates([id_col, text_col]))
