@@ -148,5 +148,6 @@ def redacted(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n
     out = docs.mapInArrow(run, docs.schema)
     if chars_col and chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
-        out = out.withColumn(chars_col, F.when(F.col(chars_col).isNotNull(), F.char_length(text_col)).cast(kind))
+        out = out.withColumn(chars_col, F.when(F.col(chars_col).isNotNull(), F.coalesce(
+            F.char_length(text_col).cast(kind), F.col(chars_col))))
     return out
