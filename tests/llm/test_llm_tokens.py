@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from tests.conftest import SF_SMALL
@@ -40,6 +41,22 @@ def test_token_counts_without_broadcast_or_with_everything_broadcast(spark, docs
     assert TC.token_counts(docs.limit(0)).collect() == []
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["the", "The", "ÉTÉ", "é", "e\u0301", "don't", "it's.", "'s", "...", "&&&", ".", ", ", " ", "\n", "\x1c", "\xa0", "×", "÷.",
+                                 "“", "”.", "ß!", "İ", "ΑΣ", "12", "3.5", "<|endoftext|>", "ﬁ", "日本", "𝔘", "\u0300", "K", "x\u200d", "-", "_", "'"]),
+                max_size=12).map("".join))
+def test_ids_by_words_are_the_librarys(text):
+    want = PK.load(PK.MODEL).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(PK.word_ids(PK.MODEL, "<u2")([text])[0], "<u2").tolist() == want
+
+
+def test_a_full_cache_changes_nothing():
+    texts = [" ".join(f"w{i * j % 97}x" for j in range(60)) for i in range(50)]
+    small, large = PK.WordIds(PK.MODEL, "<u4", most=40), PK.WordIds(PK.MODEL, "<u4")
+    for i in range(0, 50, 3):
+        assert small(texts[i:i + 3]) == large(texts[i:i + 3])
+
+
 def check_pieces(rows, pieces, length=2048):
     tok = Tokenizer.from_file(public_tokenizers.path(PK.MODEL))
     ids = collections.defaultdict(list)

@@ -4,7 +4,7 @@ Every source is a queue of segments (a document cut at multiples of the
 sequence length) in a fixed pseudo-random order. A window grants each queue
 its share of the window's tokens; a queue sends segments while its deficit
 lasts and carries the rest on. A segment that ends at token ``e`` of its queue
-is therefore sent in round ``floor((e - 1) / quantum)``: rounds come from prefix
+is therefore sent in round ``ceil(e / quantum) - 1``: rounds come from prefix
 sums, across partitions, without a loop over windows. The rounds, one after the
 other, are the token stream, which is cut into sequences. Only the end of the
 stream is short; it is cut into powers of two, so nothing is padded.
@@ -22,6 +22,8 @@ table gives no pieces; columns other than id, text and source are ignored.
 from __future__ import annotations
 
 import functools
+import os
+import re
 import zlib
 
 import numpy as np
@@ -39,31 +41,86 @@ END_ID = 1
 
 @functools.lru_cache(maxsize=2)
 def load(model: str) -> Tokenizer:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # tasks are the parallelism
     return Tokenizer.from_file(public_tokenizers.path(model))
 
 
 class WordIds:
-    """Ids of whole texts from a bounded cache of their words. The tokenizer
-    drops white space and never joins across it, so a text's ids are those of
-    its words in turn."""
+    """Ids of whole texts from a bounded cache of their words, kept for all
+    tasks of a worker. The tokenizer lower-cases, drops white space, never joins
+    across it and cuts between a letter and a following mark, so a text's ids
+    are those of its words, in lower case and apart from their closing marks.
+
+    The cache holds two generations of ``most`` words; a full one becomes the
+    old one, from which words that are met again come back."""
+
+    _LETTERS = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+\\Z")
+    # ASCII or Latin-1 letters, and the marks (no apostrophe) that close a word.
+    _MARKED = re.compile("([a-zß-öø-ÿÀ-ÖØ-Þ]+)([!-&(-/:-@\\[-`{-~]+)\\Z")
+
+    def __init__(self, model: str, dtype: str, most: int = 300_000):
+        self.tok, self.dtype, self.most = load(model), dtype, most
+        self.known, self.old = {}, {}
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)       # tokens that close a word
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+
+    def learn(self, new: list[bytes]) -> None:
+        known, old = self.known, self.old
+        if len(known) + len(new) > self.most:
+            self.old, self.known = known, {}
+            known, old = self.known, self.old
+        plain, odd, marked = [], [], []
+        for w in new:
+            ids = old.get(w)
+            if ids is not None:
+                known[w] = ids
+                continue
+            text = w.decode("utf-8", "surrogatepass")
+            if self._LETTERS.match(text):
+                plain.append(w)
+            elif (m := self._MARKED.match(text)) is not None:
+                marked.append((w, m.group(1).encode(), m.group(2).encode()))
+            else:
+                odd.append(w)
+        if marked:
+            plain += {m[1] for m in marked}.difference(known, plain)
+            odd += {m[2] for m in marked}.difference(known, odd)
+        # Words of letters alone are encoded as one text and cut where a token closes a word.
+        for part in range(0, len(plain), 2000):
+            some = plain[part:part + 2000]
+            ids = np.array(self.tok.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids)
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) == len(some):
+                data, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+                known.update(zip(some, (data[a * width:b * width] for a, b in zip([0, *cuts], cuts))))
+            else:
+                odd += some
+        for part in range(0, len(odd), 2000):
+            some = odd[part:part + 2000]
+            for w, e in zip(some, self.tok.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in some],
+                                                             add_special_tokens=False)):
+                known[w] = np.array(e.ids, self.dtype).tobytes()
+        known.update((w, known[stem] + known[mark]) for w, stem, mark in marked)
+
+    def words(self, text: str) -> list[bytes]:
+        data = text.encode("utf-8", "surrogatepass")
+        return data.split() if b"<|" in data else data.lower().split()    # special tokens keep their case
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        words = [self.words(t) for t in texts]
+        new = set().union(*words).difference(self.known)
+        if len(self.known) + len(new) > self.most:
+            new = set().union(*words)            # all of them will be looked up in the new generation
+        if new:
+            self.learn(sorted(new))
+        get = self.known.__getitem__
+        return [b"".join(map(get, w)) for w in words]
 
-    def __init__(self, model: str, dtype: str, most: int = 400_000):
-        self.tok, self.dtype, self.most, self.known = load(model), dtype, most, {}
 
-    def __call__(self, text: str) -> bytes:
-        words = text.encode("utf-8", "surrogatepass").split()
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > self.most:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for part in range(0, len(new), 20_000):
-                some = new[part:part + 20_000]
-                for w, e in zip(some, self.tok.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in some],
-                                                                 add_special_tokens=False)):
-                    known[w] = np.array(e.ids, self.dtype).tobytes()
-        return b"".join(map(known.__getitem__, words))
+@functools.lru_cache(maxsize=2)
+def word_ids(model: str, dtype: str) -> WordIds:
+    return WordIds(model, dtype)
 
 
 def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, model: str, end_id: int) -> DataFrame:
@@ -73,12 +130,14 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, mode
     end = np.array([end_id], wide).tobytes()
 
     def run(batches):
-        ids_of = WordIds(model, wide)
-        for b in batches:
-            ids = [ids_of(t or "") + end for t in b.column("text").to_pylist()]
-            n = pa.array([len(x) // len(end) for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("queue"), n, pa.array(ids, pa.binary())],
-                                             names=["id", "queue", "n", "ids"])
+        ids_of = word_ids(model, wide)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                ids = [x + end for x in ids_of([t or "" for t in b.column("text").to_pylist()])]
+                n = pa.array([len(x) // len(end) for x in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("queue"), n, pa.array(ids, pa.binary())],
+                                                 names=["id", "queue", "n", "ids"])
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                       F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("queue"))
@@ -86,20 +145,25 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, mode
     return stored(src.mapInArrow(run, kind).withColumn("_row", F.monotonically_increasing_id()), "pack-ids")
 
 
-def running(df: DataFrame, keys: list[str], block: str, order: list, value: str, out: str) -> DataFrame:
+def running(df: DataFrame, keys: list[str], block: str, order: list, value: str, out: str, group: int = 1024) -> DataFrame:
     """``out``: the sum of ``value`` over earlier rows of the same ``keys``, by
-    ``block`` and then ``order``; within blocks, and over the blocks' totals."""
+    ``block`` and then ``order``: within blocks, over the totals of ``group``
+    blocks, and over the totals of those groups."""
     inside = Window.partitionBy(*keys, block).orderBy(*order)
-    sums = df.groupBy(*keys, block).agg(F.sum(value).alias("_t"))
-    across = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(block)
-    before = sums.withColumn("_before", F.sum("_t").over(across) - F.col("_t")).drop("_t")
+    sums = df.groupBy(*keys, block).agg(F.sum(value).alias("_t")).withColumn("_g", F.expr(f"{block} div {group}"))
+    groups = sums.groupBy(*keys, "_g").agg(F.sum("_t").alias("_gt"))
+    all_of = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    groups = groups.withColumn("_gb", F.sum("_gt").over(all_of.orderBy("_g")) - F.col("_gt")).drop("_gt")
+    near = Window.partitionBy(*keys, "_g").orderBy(block)
+    before = (sums.withColumn("_b", F.sum("_t").over(near) - F.col("_t")).join(groups, [*keys, "_g"])
+              .select(*keys, block, (F.col("_b") + F.col("_gb")).alias("_before")))
     return (df.withColumn(out, F.sum(value).over(inside) - F.col(value)).join(before, [*keys, block])
             .withColumn(out, F.col(out) + F.col("_before")).drop("_before"))
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          model: str = MODEL, end_id: int = END_ID, length: int = 2048, window: int = 64,
-         shares: dict[str, float] | None = None, block_docs: int = 50_000, block_rounds: int = 256) -> DataFrame:
+         shares: dict[str, float] | None = None, block_docs: int = 2_000, block_rounds: int = 256) -> DataFrame:
     """One row per piece: ``<id>, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, source, round``.
 
@@ -130,7 +194,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
                     F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(length).cast("long"))).alias("start"))
             .withColumn("len", F.least(F.lit(length), F.col("n") - F.col("start")))
             .withColumn("_end", F.col("_at") + F.col("start") + F.col("len"))
-            .withColumn("round", F.floor((F.col("_end") - 1) / F.col("quantum")).cast("long")))
+            .withColumn("round", (F.ceil(F.col("_end") / F.col("quantum")) - 1).cast("long")))
     sent = stored(sent.select("_row", "id", "queue", "n", "start", "len", "_end", "round"), "pack-segments")
     cells = (sent.groupBy("round", "queue").agg(F.sum("len").alias("_size"), F.min(F.col("_end") - F.col("len")).alias("_first"))
              .withColumn("_block", F.expr(f"round div {block_rounds}")))
