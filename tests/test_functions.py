@@ -45,6 +45,20 @@ def test_display_strings(spark):
     assert tuple(got) == ("+1.23%", "1.23%", "$1,234.50", "{:,.0f}".format(1234.5))
 
 
+def test_display_strings_print_as_python_does(spark):
+    import math
+    import random
+    rnd = random.Random(4)
+    values = [None, 0.0, -0.0, 0.00125, -0.00125, 0.00375, 2.675, 1.005, 12.5, -12.5, 1234567.125, -0.00001, math.nan,
+              1e12, 123.456] + [rnd.uniform(-2, 2) for _ in range(500)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = df.select("i", tf.signed_percent("v"), tf.signed_percent("v", 4), tf.percent("v"), tf.currency("v"),
+                    tf.whole_number("v")).collect()
+    for i, *shown in got:
+        v = math.nan if values[i] is None else values[i]
+        assert shown == [f"{v * 100:+.2f}%", f"{v * 100:+.4f}%", f"{v * 100:.2f}%", f"${v:,.2f}", f"{v:,.0f}"], values[i]
+
+
 def test_date_helpers_match_python_on_random_dates(spark):
     import calendar
     import random
