@@ -34,7 +34,7 @@ def test_flatten_and_rejects(spark, scratch):
         ("AAPL", "2024-01-03", 184.25, 58414500, "alpha_vantage")]
     rej = {r.symbol: r.message for r in api_json.rejects(docs).collect()}
     assert rej["MSFT"] == "slow down" and rej["SPY"] == "premium"
-    assert rej["JPM"].startswith("{")  # whole document when neither key is present
+    assert rej["JPM"] == '{"Error Message":"bad"}'  # whole document when neither key is present
 
 
 def test_text_bodies_round_trip(spark):
@@ -72,3 +72,17 @@ def test_malformed_lines_are_rejected_not_landed(spark, scratch):
     rows = api_json.flatten_series(docs).collect()
     assert {r.symbol for r in rows} == {"AAPL"} and len(rows) == 2
     assert api_json.rejects(docs).count() == 2
+    assert '{"symbol": "BAD", "body": {"Time Series (Daily)": ' in {r.message for r in api_json.rejects(docs).collect()}
+
+
+def test_streamed_and_appended_rows_are_read_together(spark, scratch):
+    from tests.helpers import raw
+    from tickspan.sources.sinks import append_raw
+    landed, rawdir, rejdir, ck = (f"{scratch}/{x}" for x in ("landed", "raw", "rejects", "ckpt"))
+    _write(f"{landed}/batch1.json", [DOC_OK])
+    run_once(spark, landed, rawdir, rejdir, checkpoint=ck)
+    append_raw(raw(spark, [("ZZZ", "2024-01-02", 1.0)]), rawdir)
+    assert {r.symbol for r in spark.read.parquet(rawdir).collect()} == {"AAPL", "ZZZ"}
+    # Another raw table under the same checkpoint folder keeps its own books.
+    run_once(spark, landed, f"{scratch}/raw2", f"{scratch}/rejects2", checkpoint=ck)
+    assert spark.read.parquet(f"{scratch}/raw2").count() == 2

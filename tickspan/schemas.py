@@ -59,11 +59,6 @@ API_BODY = StructType([
     StructField("Note", StringType(), True),
     StructField("Information", StringType(), True),
 ])
-LANDED_DOCUMENT = StructType([
-    StructField("symbol", StringType(), False),
-    StructField("fetched_at", TimestampNTZType(), True),
-    StructField("body", StringType(), True),
-])
 
 STG_STOCK_PRICES_COLUMNS = [
     "ticker_symbol", "trading_date", "open_price", "high_price", "low_price",

@@ -6,8 +6,9 @@ name it), the fetch time, and the response body::
     {"symbol": "AAPL", "fetched_at": "2024-01-03T06:00:00",
      "body": {"Time Series (Daily)": {"2024-01-02": {"1. open": "187.15", ...}}}}
 
-``body`` may be a nested object (read with ``LANDED_JSON``) or a JSON string
-(parsed with ``from_json``). All values arrive as strings and are cast here.
+Documents are read as lines of text; the body's own text is kept next to the
+parsed one, so a reject can name the whole document. All values arrive as
+strings and are cast here.
 """
 
 from __future__ import annotations
@@ -23,13 +24,23 @@ SOURCE = "alpha_vantage"
 LANDED_JSON = StructType([
     StructField("symbol", StringType(), False),
     StructField("fetched_at", TimestampNTZType(), True),
-    StructField("body", API_BODY, True),
+    StructField("body", StringType(), True),
 ])
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed documents (JSON Lines) with an explicit schema."""
-    return spark.read.schema(LANDED_JSON).option("mode", "PERMISSIVE").json(path)
+    """Landed documents (JSON Lines): symbol, fetched_at, the body's text as
+    ``raw_body`` and the parsed ``body``."""
+    return parse_lines(spark.read.text(path))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Lines of text in ``value`` → documents. A nested body is taken as its own
+    JSON text; a line that is no document, or has no body, stands for its body."""
+    doc = lines.where(F.trim("value") != "").select("value", F.from_json("value", LANDED_JSON).alias("d"))
+    raw = doc.select(F.col("d.symbol").alias("symbol"), F.col("d.fetched_at").alias("fetched_at"),
+                     F.coalesce("d.body", "value").alias("raw_body"))
+    return raw.withColumn("body", F.from_json("raw_body", API_BODY))
 
 
 def parse_bodies(docs: DataFrame, body_col: str = "body") -> DataFrame:
@@ -69,9 +80,8 @@ def rejects(docs: DataFrame) -> DataFrame:
     symbol, fetch time and the message – the ``Note`` if non-empty, else
     ``Information``, else the whole document."""
     bad = docs.where(_series(F.col("body")).isNull() | F.col("symbol").isNull())
-    whole = F.col("raw_body") if "raw_body" in docs.columns else F.to_json(F.col("body"))
     msg = F.coalesce(F.nullif(F.col("body.Note"), F.lit("")),
-                     F.nullif(F.col("body.Information"), F.lit("")), whole)
+                     F.nullif(F.col("body.Information"), F.lit("")), F.col("raw_body"))
     return bad.select("symbol", "fetched_at", msg.alias("message"))
 
 

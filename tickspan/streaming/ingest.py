@@ -1,42 +1,49 @@
 """Incremental landing: new API documents in a folder → raw price table.
 
 Each run picks up only documents not seen before (file-source bookkeeping in
-the checkpoint), flattens them and appends rows to the raw table with the
-exactly-once parquet file sink; rejects go to their own sink. With
-``availableNow`` the run processes everything pending and stops, which is the
-batch loop of the ingestion script without re-reading old files. Dedup stays
-in staging (latest load wins), so overlap between fetches is harmless.
+the checkpoint), flattens them and appends rows to the raw table; rejects go to
+their own table. Batches are appended as plain parquet files, like those of
+``sinks.append_raw``, so both writers' rows are read together (a streaming file
+sink would hide the other's). A batch that is repeated after a failure may be
+appended twice; staging keeps the latest load, so that is harmless, as overlap
+between fetches is. With ``availableNow`` the run processes everything pending
+and stops, which is the batch loop of the ingestion script without re-reading
+old files.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
-from tickspan.sources.api_json import LANDED_JSON, flatten_series, rejects
-from tickspan.session import checkpoint_dir
+from tickspan.sources.api_json import flatten_series, parse_lines, rejects
 
 
-def _checkpoint(spark: SparkSession, given: str | None, name: str) -> str:
-    base = given or checkpoint_dir(spark)
+def _checkpoint(spark: SparkSession, given: str | None, name: str, target: str) -> str:
+    """The folder of one query's bookkeeping: it must outlive the session and
+    is named by the table written, so two tables never share one."""
+    base = given or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         raise ValueError("no checkpoint location: pass one or set spark.checkpoint.dir")
-    return f"{base.rstrip('/')}/{name}"
+    return f"{base.rstrip('/')}/{name}-{hashlib.sha256(target.rstrip('/').encode()).hexdigest()[:16]}"
 
 
 def ingest_landed(spark: SparkSession, landed_dir: str, raw_dir: str, rejects_dir: str,
                   checkpoint: str | None = None, max_files_per_trigger: int | None = None,
                   available_now: bool = True):
     """Start the two streaming queries (rows, rejects); return them."""
-    reader = spark.readStream.schema(LANDED_JSON)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    docs = reader.json(landed_dir)
+    docs = parse_lines(reader.text(landed_dir))
 
     def start(df, path, name):
-        w = (df.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", _checkpoint(spark, checkpoint, name)))
+        def append(batch, _):
+            batch.write.mode("append").parquet(path)
+        w = df.writeStream.foreachBatch(append).option("checkpointLocation", _checkpoint(spark, checkpoint, name, path))
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-        return w.start(path)
+        return w.start()
 
     return (start(flatten_series(docs), raw_dir, "raw_prices"),
             start(rejects(docs), rejects_dir, "raw_rejects"))
