@@ -40,18 +40,44 @@ def test_dim_ticker_constants(spark):
     assert dict(m.dim_ticker.dtypes)["sector"] == "string"
 
 
-def test_window_partitioning_choice_is_checked(spark):
-    from tickspan.plans import models as pm
-    m = _models(spark, [("AAA", "2024-01-02", 1.0), ("AAA", "2024-03-01", 2.0)], [(1, "aaa", True)])
-    assert m.day_span == 60 and m.split_by_year is False
-    old = pm.MAX_ROWS_PER_TICKER
-    try:
-        pm.MAX_ROWS_PER_TICKER = 10
-        m2 = _models(spark, [("AAA", "2024-01-02", 1.0), ("AAA", "2024-03-01", 2.0)], [(1, "aaa", True)])
-        assert m2.split_by_year is True
-        assert sorted(m2.fact_stock_performance_daily.collect()) == sorted(m.fact_stock_performance_daily.collect())
-    finally:
-        pm.MAX_ROWS_PER_TICKER = old
+def test_year_split_gives_the_same_facts(spark):
+    from tickspan.plans.models import PriceModels
+    from tests.helpers import raw, watchlist
+    items = [("AAA", "2024-12-30", 1.0), ("AAA", "2025-01-02", 2.0), ("AAA", "2025-01-03", 3.0)]
+    one, split = (PriceModels(raw(spark, items), watchlist(spark, [(1, "aaa", True)]), split_by_year=s) for s in (False, True))
+    assert sorted(one.fact_stock_performance_daily.collect()) == sorted(split.fact_stock_performance_daily.collect())
+
+
+def test_calendar_join_drops_rows_outside_it_but_not_their_history(spark):
+    """Rows before the calendar go, yet feed the first returns in it."""
+    from tickspan.plans.models import PriceModels
+    from tests.helpers import raw, watchlist
+    m = PriceModels(raw(spark, [("AAA", "2023-12-29", 1.0), ("AAA", "2024-01-02", 2.0)]), watchlist(spark, [(1, "aaa", True)]),
+                    calendar=("2024-01-01", "2024-12-31"))
+    assert [(str(r.trading_date), r.daily_return_pct) for r in m.fact_stock_performance_daily.collect()] == [("2024-01-02", 1.0)]
+
+
+def test_size_check_sees_a_side_that_grew(spark, scratch):
+    from tickspan.operators.joins import join_small
+    path = f"{scratch}/side"
+    big = spark.range(5).withColumnRenamed("id", "k")
+
+    def hinted():
+        small = spark.read.parquet(path)
+        return "broadcast" in join_small(big, small, "k", max_rows=100)._jdf.queryExecution().optimizedPlan().toString().lower()
+    spark.range(10).withColumnRenamed("id", "k").write.parquet(path)
+    assert hinted()
+    spark.range(1000).withColumnRenamed("id", "k").write.mode("append").parquet(path)
+    assert not hinted()
+    spark.range(10).withColumnRenamed("id", "k").write.mode("overwrite").parquet(path)
+    assert hinted()
+
+
+def test_a_checked_side_is_not_gathered_into_one_task(spark):
+    from tickspan.operators.joins import fits
+    side = spark.range(0, 1000, 1, 8)
+    assert fits(side, 1000) and not fits(side, 999)
+    assert "Limit" not in side.groupBy().count()._jdf.queryExecution().executedPlan().toString()
 
 
 def test_broadcast_cap_is_byte_based(spark):

@@ -8,10 +8,8 @@ from tickspan import functions as tf
 from tickspan.operators.joins import join_small
 from tickspan.schemas import DIM_DATE_COLUMNS
 
-# A calendar is bounded by its date range (≤ 366 rows a year); the global
-# previous/next trading-day scan below runs in one task, which is only
-# acceptable for such a bounded dimension. Refuse anything absurdly long.
-MAX_CALENDAR_DAYS = 400 * 366
+# A calendar is bounded by its date range (≤ 366 rows a year), so the global
+# previous/next trading-day scan below can run in one task.
 
 
 def closures(holidays: DataFrame, market_code: str = "NYSE") -> DataFrame:

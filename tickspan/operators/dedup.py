@@ -5,16 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order_by: list[Column],
-                   extra_partition: list[Column] | None = None) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:
     """Keep one row per ``keys``: the first under ``order_by``.
 
     ``row_number() ... = 1`` plans as a ``WindowGroupLimit`` on both sides of
     the exchange, so many copies of one key (a hot key) are cut down to one row
-    per map task before anything is shuffled. ``extra_partition`` may add
-    columns that are functions of ``keys`` (e.g. the year of a date) so that
-    the shuffle already matches a later window's partitioning.
+    per map task before anything is shuffled.
     """
-    part = [F.col(k) for k in keys] + list(extra_partition or [])
-    w = Window.partitionBy(*part).orderBy(*order_by)
+    w = Window.partitionBy(*keys).orderBy(*order_by)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

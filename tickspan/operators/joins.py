@@ -33,24 +33,10 @@ def broadcast_row_cap(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTE
     return max(1, min(DEFAULT_MAX_BROADCAST_ROWS, max_bytes // row_bytes(df.schema)))
 
 
-_checked: dict[tuple, bool] = {}
-
-
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. The count is bounded:
-    it stops after ``max_rows + 1`` rows, so an unexpectedly large side is not
-    scanned in full. Results are remembered per logical plan."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _checked:
-        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _checked[key]
-
-
-def bounded_count(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> int:
-    """Row count of ``df`` capped at ``max_rows + 1`` (stops scanning there).
-    A result ≤ ``max_rows`` is the exact count and a proven broadcast bound
-    for ``df`` and for every projection or filter of it."""
-    return df.limit(max_rows + 1).count()
+    """True when ``df`` has at most ``max_rows`` rows: a partial count of a
+    side that is expected to be small, taken anew for every join."""
+    return df.count() <= max_rows
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
@@ -59,9 +45,8 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """Join ``big`` with a side expected to be small.
 
     ``small`` is broadcast only if its size is proven: either ``known_rows`` (a
-    bound known from parameters, e.g. a calendar's day count, or a capped count
-    of the table it is projected from) or a bounded count shows at most the row
-    cap – ``max_rows`` if given, else ``max_bytes`` over the width of a row of
+    bound known from parameters, e.g. a calendar's day count, or the count of
+    the table it is projected from) or a count shows at most the row cap – ``max_rows`` if given, else ``max_bytes`` over the width of a row of
     ``small``. Otherwise a regular shuffle join is planned (AQE may still
     convert it at run time)."""
     cap = broadcast_row_cap(small, max_bytes) if max_rows is None else max_rows

@@ -13,15 +13,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickspan.operators.calendar import dim_date as build_dim_date
 from tickspan.operators.indicators import daily_indicators
-from tickspan.operators.joins import bounded_count, join_small
+from tickspan.operators.joins import join_small
 from tickspan.plans import core, marts, staging
 from tickspan.sources.holidays import market_holidays, seed_size
-from tickspan.sources.spine import covering_years, date_spine, spine_size
-
-# Largest per-ticker window partition accepted (rows; ≈ 100 MB at ~100 B a
-# row, which one task sorts and windows comfortably). Daily data stays far
-# below it (≈ 36.6k rows a century); beyond it the year-bucket split is used.
-MAX_ROWS_PER_TICKER = 1_000_000
+from tickspan.sources.spine import date_spine, spine_size
 
 # (layer, materialization) of each model.
 MODEL_LAYERS = {
@@ -48,18 +43,15 @@ class PriceModels:
     calendar    – (start, end) of the date dimension; ``None`` covers the whole
                   years spanned by the staged prices
     split_by_year – run the indicator windows per (ticker, year) with halos
-                  instead of per ticker (see ``operators.indicators``).
-                  ``None`` (default) decides from a checked bound: after dedup
-                  a ticker holds at most one row per calendar day, so a
-                  per-ticker window partition holds at most D rows, D being
-                  the day span of the data (one partial min/max aggregate).
-                  Per-ticker windows are used while D ≤ ``MAX_ROWS_PER_TICKER``,
-                  the split beyond it.
+                  instead of per ticker (see ``operators.indicators``); results
+                  are equal. After dedup a ticker holds one row per day at
+                  most (36,600 a century), so daily bars do not need it;
+                  it is for bars finer than a day
     """
 
     def __init__(self, raw_prices: DataFrame, watchlist: DataFrame, holidays: DataFrame | None = None,
                  calendar: tuple | None = ("2024-01-01", "2027-12-31"), market_code: str = "NYSE",
-                 split_by_year: bool | None = None):
+                 split_by_year: bool = False):
         self.spark = raw_prices.sparkSession
         self.raw_prices = raw_prices
         self.watchlist = watchlist
@@ -67,21 +59,7 @@ class PriceModels:
         self.holiday_rows = None if holidays is not None else seed_size()
         self.calendar = calendar
         self.market_code = market_code
-        self._split = split_by_year
-
-    @cached_property
-    def day_span(self) -> int:
-        """Days between the first and last trade date (inclusive): an upper
-        bound of rows per ticker after dedup."""
-        r = staging.renamed_prices(self.raw_prices).agg(
-            F.min("trading_date").alias("lo"), F.max("trading_date").alias("hi")).first()
-        return 0 if r.lo is None else (r.hi - r.lo).days + 1
-
-    @cached_property
-    def split_by_year(self) -> bool:
-        if self._split is not None:
-            return self._split
-        return self.day_span > MAX_ROWS_PER_TICKER
+        self.split_by_year = split_by_year
 
     # -- staging -----------------------------------------------------------
     @cached_property
@@ -116,22 +94,37 @@ class PriceModels:
     # -- core --------------------------------------------------------------
     @cached_property
     def calendar_rows(self) -> int:
-        """Row bound of the date dimension: known from the parameters, or one
-        bounded count when the calendar is derived from the data."""
-        return spine_size(*self.calendar) if self.calendar else bounded_count(self.dim_date)
+        """Rows of the date dimension, known before it is built."""
+        return spine_size(*self.calendar_bounds) if self.calendar_bounds else 0
 
     @cached_property
     def ticker_rows(self) -> int:
-        """Row bound of the ticker dimension (one bounded count, reused by
-        every join with it)."""
-        return bounded_count(self.dim_ticker)
+        """Rows of the ticker dimension (one count, reused by every join with it)."""
+        return self.dim_ticker.count()
 
     @cached_property
-    def date_spine(self) -> DataFrame:
+    def calendar_bounds(self) -> tuple | None:
+        """First and last day of the calendar: the parameter, or the whole years
+        of the trade dates (one partial min/max; dedup never changes the dates)."""
         if self.calendar:
-            return date_spine(self.spark, *self.calendar)
-        # Dedup never changes the set of dates: take the bounds from the raw scan.
-        return covering_years(staging.renamed_prices(self.raw_prices).select("trading_date"), "trading_date")
+            return self.calendar
+        lo, hi = self._keys.agg(F.min("trading_date"), F.max("trading_date")).first()
+        return None if lo is None else (lo.replace(month=1, day=1), hi.replace(month=12, day=31))
+
+    @cached_property
+    def date_spine(self) -> DataFrame:
+        if self.calendar_bounds is None:
+            return self.spark.createDataFrame([], "date_day date")
+        return date_spine(self.spark, *self.calendar_bounds)
+
+    @property
+    def _keys(self) -> DataFrame:
+        """(ticker_symbol, trading_date) of every price row: from the raw scan, or
+        from the shared checkpoint once there is one (the same pairs, deduplicated)."""
+        src = self.__dict__.get("_shared")
+        if src is None:
+            src = staging.renamed_prices(self.raw_prices)
+        return src.select("ticker_symbol", "trading_date")
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -160,7 +153,7 @@ class PriceModels:
         same date set as either fact, without dedup or windows. Used for the
         global period anchors (a scan, two broadcast semi-joins, a partial
         max/min)."""
-        r = staging.renamed_prices(self.raw_prices).select("ticker_symbol", "trading_date")
+        r = self._keys
         dd = self.dim_date.select(F.col("date_day").alias("trading_date"))
         dt = self.dim_ticker.select("ticker_symbol")
         r = join_small(r, dd, "trading_date", "left_semi", known_rows=self.calendar_rows)
@@ -171,7 +164,7 @@ class PriceModels:
         """(ticker_symbol, trading_date) of the active-ticker mart, from the raw
         scan: two broadcast semi-joins, no dedup or windows (the page's period
         anchor is the active-only mart, not all tickers)."""
-        r = staging.renamed_prices(self.raw_prices).select("ticker_symbol", "trading_date")
+        r = self._keys
         dd = self.dim_date.select(F.col("date_day").alias("trading_date"))
         dt = self.dim_ticker.where(F.col("is_active") == F.lit(True)).select("ticker_symbol")
         r = join_small(r, dd, "trading_date", "left_semi", known_rows=self.calendar_rows)
@@ -229,11 +222,11 @@ class PriceModels:
         for name in ("stg_market__stock_prices", "int_stock_daily_returns", "int_stock_moving_averages",
                      "int_stock_volatility", "fact_stock_price_daily", "performance_with_volume",
                      "fact_stock_performance_daily", "mart_watchlist_performance",
-                     "mart_ticker_performance_summary"):
+                     "mart_ticker_performance_summary", "conformed_dates", "active_keys", "active_dates"):
             self.__dict__.pop(name, None)
         self.__dict__["indicators"] = shared
         self.__dict__["stg_market__stock_prices"] = shared.select(*STG_STOCK_PRICES_COLUMNS)
-        self.__dict__["_shared"] = True
+        self.__dict__["_shared"] = shared
 
     def model(self, name: str) -> DataFrame:
         if name not in MODEL_LAYERS:
