@@ -81,7 +81,7 @@ def test_closed_form_equals_row_fold_on_feed_c(spark):
     for s in want:
         for k in ("watchlist_id", "is_active", "company_name", "category", "notes", "created_at", "updated_at"):
             assert got[s][k] == want[s][k], (s, k)
-    assert sum(v["is_active"] for v in got.values()) == 109
+    assert sum(v["is_active"] for v in got.values()) == 117
 
 
 def test_two_step_fold_equals_one_step(spark):
@@ -165,3 +165,17 @@ def test_empty_symbol_add_is_refused(spark):
     assert [r.symbol for r in wl.apply_changes(ch).collect()] == ["AAA"]
     out = [r.outcome for r in wl.change_outcomes(ch).orderBy("event_id").collect()]
     assert out == ["invalid_symbol", "added", "invalid_symbol"]
+
+
+def test_changes_without_symbol_or_time_keep_their_outcome(spark):
+    rows = [(1, None, "AAA", "add"), (2, dt.datetime(2024, 1, 2), None, "deactivate"), (3, dt.datetime(2024, 1, 2), "  ", "add"),
+            (4, dt.datetime(2024, 1, 2), "AAA", "deactivate"), (5, None, "", "reactivate"), (6, dt.datetime(2024, 1, 1), " aaa\t", "add")]
+    ch = spark.createDataFrame([(i, t, s, o, None, None, None) for i, t, s, o in rows],
+                               "event_id long, event_ts timestamp_ntz, symbol string, op string, company_name string, "
+                               "category string, notes string")
+    got = {r.event_id: (r.outcome, r.changed) for r in wl.change_outcomes(ch).collect()}
+    assert got == {1: ("added", True), 2: ("invalid_symbol", False), 3: ("invalid_symbol", False), 4: ("deactivated", True),
+                   5: ("invalid_symbol", False), 6: ("already_active", False)}
+    assert got == {r.event_id: (r.outcome, r.changed) for r in wl.change_outcomes(ch, bucket_days=None).collect()}
+    snap = wl.apply_changes(ch).collect()
+    assert [(r.symbol, r.is_active, r.watchlist_id) for r in snap] == [("AAA", False, 1)]

@@ -46,7 +46,8 @@ OUTCOMES = {
     ("update", "inactive"): "updated",
 }
 NOT_FOUND = "not_found"
-INVALID = "invalid_symbol"      # an add whose symbol is empty once stripped
+INVALID = "invalid_symbol"      # no symbol, or an empty one once stripped
+NO_DAY = -(1 << 40)             # the first segment: events without a time
 
 
 def make_changes(spark, items, start=None) -> DataFrame:
@@ -100,13 +101,16 @@ def classify_events(snapshot: DataFrame | None, changes: DataFrame, bucket_days:
     does it leave), small windows over those summaries give each segment its
     state on entry, and the per-event windows then run per segment. Snapshot
     seeds form their own first segment. ``bucket_days=None`` scans per symbol.
+
+    Events without a symbol (NULL or blank) change nothing and are never
+    shuffled by it; events without a time come first.
     """
     ev = _event_stream(snapshot, changes)
     op = F.col("op")
     status = (F.when(op == "seed", F.col("_seed_active"))
               .when(op.isin("add", "reactivate"), F.lit(True))
               .when(op == "deactivate", F.lit(False)))
-    day = (F.floor(F.unix_date(F.to_date("event_ts")) / F.lit(bucket_days)).cast("long")
+    day = (F.coalesce(F.floor(F.unix_date(F.to_date("event_ts")) / F.lit(bucket_days)).cast("long"), F.lit(NO_DAY))
            if bucket_days else F.lit(0).cast("long"))
     # The add form refuses an empty symbol: such an event changes nothing.
     valid = F.coalesce(F.col("symbol") != F.lit(""), F.lit(False))
@@ -117,6 +121,10 @@ def classify_events(snapshot: DataFrame | None, changes: DataFrame, bucket_days:
         "_ord": F.struct("_phase", "event_ts", "event_id"),
         "_day": F.when(F.col("_phase") == 0, F.lit(0).cast("long")).otherwise(day),
     })
+    none = ev.where(~F.col("_valid")).withColumns({
+        "_exists_at": F.lit(False), "_status": F.lit(None).cast("boolean"), "_exists_before": F.lit(False),
+        "_active_before": F.lit(None).cast("boolean"), "_effective": F.lit(False)})
+    ev = ev.where(F.col("_valid"))
     seg = ["symbol", "_phase", "_day"]
 
     # Segment summaries and the state each segment starts from.
@@ -144,14 +152,13 @@ def classify_events(snapshot: DataFrame | None, changes: DataFrame, bucket_days:
         "_active_before": F.coalesce(F.last("_status", ignorenulls=True).over(before), F.col("_s_in")),
     })
     eb, ab = F.col("_exists_before"), F.col("_active_before")
-    effective = (F.when(~F.col("_valid"), F.lit(False))
-                 .when(op == "seed", F.lit(True))
+    effective = (F.when(op == "seed", F.lit(True))
                  .when(op == "add", ~eb | ~ab)
                  .when(op == "deactivate", eb & ab)
                  .when(op == "reactivate", eb & ~ab)
                  .when(op == "update", eb)
                  .otherwise(F.lit(False)))
-    return ev.withColumn("_effective", effective)
+    return ev.withColumn("_effective", effective).drop("_x_in", "_s_in").unionByName(none)
 
 
 def change_outcomes(changes: DataFrame, snapshot: DataFrame | None = None,
@@ -160,7 +167,7 @@ def change_outcomes(changes: DataFrame, snapshot: DataFrame | None = None,
 
     Outcomes: added, reactivated, already_active, deactivated,
     already_inactive, updated, not_found (a change to an absent symbol),
-    invalid_symbol (an add with an empty symbol)."""
+    invalid_symbol (a change whose symbol is NULL or blank)."""
     ev = classify_events(snapshot, changes, bucket_days).where(F.col("op") != "seed")
     prior = (F.when(~F.col("_exists_before"), F.lit("absent"))
              .when(F.col("_active_before"), F.lit("active")).otherwise(F.lit("inactive")))
@@ -204,7 +211,9 @@ def apply_changes(changes: DataFrame, snapshot: DataFrame | None = None,
     if id_offset is None:
         id_offset = (snapshot.select(F.coalesce(F.max("watchlist_id"), F.lit(0))).scalar()
                      if snapshot is not None else F.lit(0))
-    return assign_ids(snap, id_offset)
+    # The fold runs once; numbering reads its result several times.
+    from tickspan.session import cut_lineage
+    return assign_ids(cut_lineage(snap), id_offset)
 
 
 def assign_ids(df: DataFrame, offset, id_col: str = "watchlist_id", order_col: str = "symbol") -> DataFrame:
@@ -221,10 +230,13 @@ def assign_ids(df: DataFrame, offset, id_col: str = "watchlist_id", order_col: s
     offset = F.lit(offset) if not hasattr(offset, "_jc") else offset
     new = df.where(F.col(id_col).isNull())
     kept = df.where(F.col(id_col).isNotNull())
-    local = Window.partitionBy("_p").orderBy(order_col)
-    ranged = cut_lineage(new.repartitionByRange(order_col)
-                         .withColumn("_p", F.spark_partition_id())
-                         .withColumn("_i", F.row_number().over(local)))
+    # Sorted range partitions: the position inside one is the low half of the
+    # id that numbers rows by partition, so no second shuffle is needed.
+    place = F.monotonically_increasing_id()
+    ranged = cut_lineage(new.repartitionByRange(order_col).sortWithinPartitions(order_col)
+                         .withColumn("_at", place)
+                         .withColumn("_p", F.shiftright("_at", 33))
+                         .withColumn("_i", F.col("_at").bitwiseAND((1 << 33) - 1) + 1).drop("_at"))
     sizes = ranged.groupBy("_p").agg(F.max("_i").alias("_n"))
     # One row per partition: a single-task window over at most
     # spark.sql.shuffle.partitions rows.

@@ -90,8 +90,9 @@ def feed_b_raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("alpha_vantage").alias("source"), "loaded_at"))
 
 
-# Event types of feed C mapped onto watchlist operations ('purchase' is dropped).
-FEED_C_OPS = {"signup": "add", "error": "deactivate", "view": "reactivate", "click": "update"}
+# Event types of feed C mapped onto watchlist operations; a purchase adds too,
+# with its symbol in lower case and padded and without a company name, as typed.
+FEED_C_OPS = {"signup": "add", "purchase": "add", "error": "deactivate", "view": "reactivate", "click": "update"}
 
 
 def feed_c_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,11 +101,23 @@ def feed_c_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     op = F.lit(None).cast("string")
     for k, v in FEED_C_OPS.items():
         op = F.when(F.col("event_type") == k, F.lit(v)).otherwise(op)
-    return (ev.where(F.col("event_type").isin(list(FEED_C_OPS)))
-            .select(F.col("event_id"),
-                    F.col("ts").alias("event_ts"),
-                    F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
-                    op.alias("op"),
-                    F.lit(None).cast("string").alias("company_name"),
-                    F.col("event_type").alias("category"),
-                    F.col("value").cast("string").alias("notes")))
+    bought = F.col("event_type") == "purchase"
+    user = F.col("user_id").cast("string")
+    return ev.select(F.col("event_id"),
+                     F.col("ts").alias("event_ts"),
+                     F.when(bought, F.concat(F.lit(" \tu"), user, F.lit(" "))).otherwise(
+                         F.concat(F.lit("U"), user)).alias("symbol"),
+                     op.alias("op"),
+                     F.when(bought, F.lit("")).alias("company_name"),
+                     F.col("event_type").alias("category"),
+                     F.col("value").cast("string").alias("notes"))
+
+
+def feed_c_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed C with holes: no symbol, a blank one or no time on fixed parts of
+    the events."""
+    part = F.pmod("event_id", F.lit(11))
+    return feed_c_changes(spark, sf_dir).withColumns({
+        "symbol": F.when(part == 0, F.lit(None)).when(part == 1, F.lit("  ")).when(part == 2, F.lit(""))
+                   .otherwise(F.col("symbol")),
+        "event_ts": F.when(part != 3, F.col("event_ts"))})
