@@ -136,3 +136,21 @@ def test_cli_watchlist_jobs(spark, scratch):
                  "--out", f"{scratch}/next"]) == 0
     nxt = {r.symbol: r for r in spark.read.parquet(f"{scratch}/next").collect()}
     assert len(nxt) == 7 and not nxt["SPY"].is_active and nxt["NVDA"].watchlist_id == 7
+
+
+def test_a_year_is_written_by_few_files(spark, scratch, monkeypatch):
+    monkeypatch.setattr(sinks, "FILES_PER_PARTITION", 2)
+    m = PriceModels(testfeeds.feed_a_raw_prices(spark, SF_SMALL), testfeeds.feed_a_watchlist(spark, SF_SMALL), calendar=None)
+    locs = sinks.materialize(m, root=f"{scratch}/wh", names=["mart_watchlist_performance"], share_intermediates=False)
+    for year in os.listdir(locs["mart_watchlist_performance"]):
+        if year.startswith("calendar_year"):
+            files = [f for f in os.listdir(f"{locs['mart_watchlist_performance']}/{year}") if f.endswith(".parquet")]
+            assert 1 <= len(files) <= 2
+
+
+def test_a_missing_watchlist_is_an_error(spark, scratch):
+    from tickspan.__main__ import main
+    wl.make_changes(spark, [("add", "A", "", "", "")]).write.parquet(f"{scratch}/changes")
+    for missing in (f"{scratch}/nowhere", f"file://{scratch}/nowhere"):
+        with pytest.raises(FileNotFoundError):
+            main(["apply-changes", "--watchlist", missing, "--changes", f"{scratch}/changes", "--out", f"{scratch}/next"])

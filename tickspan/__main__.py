@@ -70,14 +70,15 @@ def main(argv=None) -> int:
     return 1 if failed else 0
 
 
-def _read_watchlist(spark, path):
-    import os
-
+def _read_watchlist(spark, path, may_be_new):
+    """The watchlist; only the seeding job may start from none."""
     from pyspark.sql import functions as F
 
     from tickspan.schemas import WATCHLIST
-    if path.startswith("/") and not (os.path.isdir(path) and any(
-            f.endswith(".parquet") for _, _, fs in os.walk(path) for f in fs)):
+    from tickspan.sources.sinks import has_files
+    if not has_files(spark, path):
+        if not may_be_new:
+            raise FileNotFoundError(f"no watchlist at {path}")
         return spark.createDataFrame([], WATCHLIST)
     return spark.read.parquet(path).select(*[F.col(f.name).cast(f.dataType) for f in WATCHLIST])
 
@@ -87,7 +88,7 @@ def _watchlist_job(spark, a) -> int:
 
     from tickspan.operators import watchlist as wl
     from tickspan.schemas import WATCHLIST_CHANGES
-    current = _read_watchlist(spark, a.watchlist)
+    current = _read_watchlist(spark, a.watchlist, may_be_new=a.cmd == "seed-watchlist")
     if a.cmd == "seed-watchlist":
         from tickspan.sources.starter import starter_tickers
         new = wl.insert_if_absent(current, starter_tickers(spark), load_ts=a.load_ts)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickspan.schemas import RAW_STOCK_PRICES
 
@@ -22,6 +22,7 @@ def append_raw(rows: DataFrame, path: str) -> None:
 # Default physical layout: the daily mart is read by period (a date range), so
 # it is partitioned by year; facts and dimensions are left unpartitioned.
 DEFAULT_PARTITIONING = {"mart_watchlist_performance": ["calendar_year"]}
+FILES_PER_PARTITION = 64
 
 
 def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
@@ -32,8 +33,13 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
     Views are registered as temporary views ``<LAYER>__<model>``; tables are
     rebuilt in full (overwrite) as parquet under ``root/<LAYER>/<model>``, or
     as catalog tables ``<LAYER>.<model>`` when ``root`` is None. Returns
-    {model: location}. Each write is one job whose output is committed
-    atomically, so a lost executor only retries tasks.
+    {model: location}. Each write is one job; a lost executor only retries
+    tasks. An overwrite deletes the old files first: readers must wait for it,
+    or each build must go to a new ``root``.
+
+    A partitioned table is dealt by its partition columns and a bucket of the
+    ticker, so a year is written by ``FILES_PER_PARTITION`` tasks at most and
+    not by every task.
 
     With ``share_intermediates`` dedup and the indicator pass are computed
     once and checkpointed (reliably, into ``spark.checkpoint.dir``; the staged
@@ -56,10 +62,12 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
             df.createOrReplaceTempView(view)
             out[name] = view
             continue
-        w = df.write.mode("overwrite")
         parts = (DEFAULT_PARTITIONING if partition_by is None else partition_by).get(name)
         if parts:
-            w = w.partitionBy(*parts)
+            bucket = F.pmod(F.xxhash64("ticker_symbol"), F.lit(FILES_PER_PARTITION))
+            w = df.repartition(*parts, bucket).write.mode("overwrite").partitionBy(*parts)
+        else:
+            w = df.write.mode("overwrite")
         if root is not None:
             loc = f"{root.rstrip('/')}/{schema}/{name}"
             w.parquet(loc)
@@ -75,9 +83,25 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
     return out
 
 
-def fetch_bounded(df: DataFrame, max_rows: int = 100_000):
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists and holds data files, on whatever file system it
+    names. A path that cannot be reached raises."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def fetch_bounded(df: DataFrame, max_rows: int):
     """A small final result as pandas, column names lower-cased (the client
-    edge). Refuses – rather than truncates – a result above ``max_rows``."""
+    edge). The caller states how many rows it takes; more are refused, not
+    truncated."""
     rows = df.limit(max_rows + 1).toPandas()
     if len(rows) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; write it to a table instead")
@@ -89,7 +113,6 @@ def with_load_defaults(rows: DataFrame, loaded_at=None, source: str = "alpha_van
     """Fill the raw table's load-time defaults: ``source`` and ``loaded_at``
     (a parameter, so that a re-run stamps the same time; the session's
     current time only when none is given). Existing non-NULL values are kept."""
-    from pyspark.sql import functions as F
     ts = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at is not None else F.localtimestamp()
     cols = rows.columns
     src = F.coalesce(F.col("source"), F.lit(source)) if "source" in cols else F.lit(source)
