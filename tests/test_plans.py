@@ -5,8 +5,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from tickspan.plans.catalog import QUERIES
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"]
@@ -17,9 +17,9 @@ def _plan(df) -> str:
     return qe.executedPlan().toString() + "\n" + qe.optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_guards(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     plan = _plan(df)
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
@@ -34,3 +34,14 @@ def test_no_local_checkpoints_in_library():
     root = pathlib.Path(__file__).resolve().parents[1] / "tickspan"
     for p in root.rglob("*.py"):
         assert "localCheckpoint" not in p.read_text(), p
+
+
+@pytest.mark.parametrize("name", ["period_anchors", "period_definitions"])
+def test_anchors_need_no_dedup(spark, name):
+    assert "Window" not in _plan(QUERIES[name](spark, SF_SMALL))
+
+
+def test_a_fold_runs_once(spark):
+    """The returned snapshot reads the checkpointed fold, never the log again."""
+    plan = QUERIES["watchlist_apply_changes"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "events" not in plan and "FileScan" not in plan

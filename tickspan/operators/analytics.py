@@ -144,7 +144,6 @@ def benchmark_comparison(history: DataFrame, benchmark: str | Column | None = No
     ``symbols`` (default: the history's symbols). Benchmark series are at
     most two tickers over one period (``series_rows`` dates each), joined on
     (date, benchmark) behind that bound or a size check."""
-    cum = cumulative_returns(history, ticker_rows)
     if benchmark is None:
         src = (symbols if symbols is not None else history).select("ticker_symbol")
         first = src.select(F.min("ticker_symbol")).scalar()
@@ -155,7 +154,10 @@ def benchmark_comparison(history: DataFrame, benchmark: str | Column | None = No
         bsym = F.lit(benchmark) if isinstance(benchmark, str) else benchmark
         choice = F.when(F.col("ticker_symbol") != bsym, bsym)
         bench_filter = F.col("ticker_symbol") == bsym
-    bench = (cum.where(bench_filter)
+    # One aggregate holds every ticker's first close; the benchmark's rows take
+    # only theirs from a history that is filtered before anything else runs.
+    cum = cumulative_returns(history, ticker_rows)
+    bench = (cumulative_returns(history.where(bench_filter), ticker_rows)
              .select(F.col("ticker_symbol").alias("benchmark_symbol"), "trading_date",
                      F.col("cumulative_return_pct").alias("benchmark_cumulative_return_pct")))
     mine = cum.select("ticker_symbol", choice.alias("benchmark_symbol"), "trading_date",

@@ -182,10 +182,12 @@ def grain_suite(models, tests=GRAIN_TESTS) -> DataFrame:
     return _union(parts)
 
 
-def run_suite(models) -> DataFrame:
-    """All declared checks plus the grain checks."""
-    return _union([not_null_suite(models), unique_suite(models), accepted_suite(models),
-                   relationships_suite(models), grain_suite(models)])
+def run_suite(models, names=None) -> DataFrame:
+    """All declared checks plus the grain checks, of every model or of ``names``."""
+    tests = [t for t in DECLARED_TESTS if names is None or t[0] in names]
+    grains = [t for t in GRAIN_TESTS if names is None or t[0] in names]
+    return _union([not_null_suite(models, tests), unique_suite(models, tests), accepted_suite(models, tests),
+                   relationships_suite(models, tests), grain_suite(models, grains)])
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

@@ -8,6 +8,8 @@ rounded in the registered query (the library functions return it unrounded).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickspan.operators import analytics as an
@@ -17,29 +19,27 @@ from tickspan.operators import quality as dq
 from tickspan.operators import watchlist as wl
 from tickspan.plans.core import conform
 from tickspan.plans.models import PriceModels
-from tickspan.sources import api_json, testfeeds
+from tickspan.sources import api_json, sinks, testfeeds
+from tickspan.session import ensure_checkpoint_dir
+from tickspan.sources.holidays import market_holidays
 from tickspan.sources.spine import covering_years
+from tickspan.sources.starter import starter_tickers
 
-# Calendars used with the provided tables (they hold no real price dates):
-# feed A spans 1995-01-02..2001-11-04 (no holidays in the seed's years);
-# feed B spans January 2024, inside the seed's years.
-FEED_A_CALENDAR = ("1995-01-01", "2001-12-31")
-FEED_A_SHORT_CALENDAR = ("1996-01-01", "2001-12-31")   # drops 1995 rows at the calendar join
-FEED_B_CALENDAR = None                                   # whole years covered by the bars
+# Both feeds use the whole years that their dates cover as their calendar.
 
 VOL_DIGITS = 6
 AVG_DIGITS = 6
 
 
-def feed_a(spark: SparkSession, sf_dir: str, calendar=FEED_A_CALENDAR, split_by_year: bool | None = None) -> PriceModels:
+def feed_a(spark: SparkSession, sf_dir: str, split_by_year: bool = False) -> PriceModels:
     return PriceModels(testfeeds.feed_a_raw_prices(spark, sf_dir), testfeeds.feed_a_watchlist(spark, sf_dir),
-                       calendar=calendar, split_by_year=split_by_year)
+                       calendar=None, split_by_year=split_by_year)
 
 
-def feed_b(spark: SparkSession, sf_dir: str, calendar=FEED_B_CALENDAR) -> PriceModels:
+def feed_b(spark: SparkSession, sf_dir: str, holidays: DataFrame | None = None) -> PriceModels:
     # No watchlist in feed B: every bar symbol is its own ticker.
     raw = testfeeds.feed_b_raw_prices(spark, sf_dir)
-    return PriceModels(raw, _watchlist_from_symbols(raw), calendar=calendar)
+    return PriceModels(raw, _watchlist_from_symbols(raw), holidays, calendar=None)
 
 
 def _watchlist_from_symbols(raw: DataFrame) -> DataFrame:
@@ -115,6 +115,12 @@ def adjacent_trading_dates(spark, sf_dir):
                                           "next_trading_date")
 
 
+def dim_date_from_csv(spark, sf_dir):
+    """The same calendar with the holiday seed read from a CSV file."""
+    path = _written(market_holidays(spark), "holidays", "csv", header=True)
+    return feed_b(spark, sf_dir, market_holidays(spark, path)).dim_date
+
+
 def trading_calendar_bars(spark, sf_dir):
     """Daily bars of feed B conformed to the trading calendar (weekend and
     holiday bars are kept and flagged)."""
@@ -134,10 +140,7 @@ def fact_price_daily(spark, sf_dir):
 
 
 def fact_performance_daily(spark, sf_dir):
-    """Performance fact on a calendar that starts a year after the data: the
-    1995 rows are dropped by the calendar join, yet still feed the first
-    in-calendar returns and averages."""
-    return _round(feed_a(spark, sf_dir, calendar=FEED_A_SHORT_CALENDAR).fact_stock_performance_daily,
+    return _round(feed_a(spark, sf_dir).fact_stock_performance_daily,
                   ["volatility_20d", "annualized_volatility_20d"], VOL_DIGITS)
 
 
@@ -147,11 +150,12 @@ def mart_active_performance(spark, sf_dir):
 
 
 def period_anchors(spark, sf_dir):
-    return anchors(feed_a(spark, sf_dir).fact_stock_performance_daily)
+    """From the dates that pass both dimension joins: no dedup, no window."""
+    return anchors(feed_a(spark, sf_dir).conformed_dates)
 
 
 def period_definitions(spark, sf_dir):
-    return periods.period_definitions(feed_a(spark, sf_dir).fact_stock_performance_daily)
+    return periods.period_definitions(feed_a(spark, sf_dir).conformed_dates)
 
 
 def period_summary(spark, sf_dir):
@@ -162,6 +166,7 @@ def period_summary(spark, sf_dir):
 QUERIES.update({
     "date_spine": date_spine,
     "dim_date": dim_date,
+    "dim_date_from_csv": dim_date_from_csv,
     "trading_day_counters": trading_day_counters,
     "adjacent_trading_dates": adjacent_trading_dates,
     "trading_calendar_bars": trading_calendar_bars,
@@ -177,6 +182,12 @@ QUERIES.update({
 # -- page analytics (all tickers at once) ------------------------------------------
 
 ANALYTICS_PERIOD = "90D"
+# (query, period, symbol): the other periods of the history view (an unknown one
+# has no bound), and a point lookup.
+POINT_SYMBOL = "S1"
+HISTORIES = [("ticker_history_30d", "30D", None), ("ticker_history_ytd", "YTD", None), ("ticker_history_1y", "1Y", None),
+             ("ticker_history_all", "ALL_AVAILABLE", None), ("ticker_history_unknown", "5Y", None),
+             ("ticker_history_symbol", "1Y", POINT_SYMBOL)]
 _VOL = ["volatility_20d", "annualized_volatility_20d"]
 
 
@@ -217,6 +228,22 @@ def summary_display(spark, sf_dir):
     return an.summary_display(feed_a(spark, sf_dir).mart_ticker_performance_summary)
 
 
+def _history_of(period, symbol=None):
+    def query(spark, sf_dir):
+        return _round(feed_a(spark, sf_dir).history(period, symbol), _VOL, VOL_DIGITS)
+    query.__doc__ = f"History of {symbol or 'every ticker'} from the start of {period}."
+    return query
+
+
+def summary_of_symbol(spark, sf_dir):
+    return _round(an.ordered_summary(feed_a(spark, sf_dir).mart_ticker_performance_summary, symbol=POINT_SYMBOL),
+                  ["avg_daily_return_pct", "volatility_pct", "avg_volume"], AVG_DIGITS)
+
+
+def watchlist_listing_active(spark, sf_dir):
+    return an.watchlist_listing(testfeeds.feed_a_watchlist(spark, sf_dir), include_inactive=False)
+
+
 def watchlist_listing(spark, sf_dir):
     return an.watchlist_listing(testfeeds.feed_a_watchlist(spark, sf_dir))
 
@@ -236,6 +263,9 @@ QUERIES.update({
     "summary_display": summary_display,
     "watchlist_listing": watchlist_listing,
     "active_symbols": active_symbols,
+    "summary_of_symbol": summary_of_symbol,
+    "watchlist_listing_active": watchlist_listing_active,
+    **{name: _history_of(period, symbol) for name, period, symbol in HISTORIES},
 })
 
 
@@ -252,6 +282,23 @@ def watchlist_change_outcomes(spark, sf_dir):
     return wl.change_outcomes(testfeeds.feed_c_changes(spark, sf_dir))
 
 
+def watchlist_outcomes_dirty(spark, sf_dir):
+    """Outcomes of a log with missing and blank symbols and missing times."""
+    return wl.change_outcomes(testfeeds.feed_c_dirty(spark, sf_dir))
+
+
+def starter_rows_inserted(spark, sf_dir):
+    """The starter tickers inserted into feed A's watchlist."""
+    return wl.insert_if_absent(testfeeds.feed_a_watchlist(spark, sf_dir), starter_tickers(spark), load_ts=FEED_C_LOAD_TS)
+
+
+def raw_rows_with_defaults(spark, sf_dir):
+    """Feed A's rows landed without source and load time."""
+    rows = testfeeds.feed_a_raw_prices(spark, sf_dir).withColumn(
+        "loaded_at", F.when(F.col("volume") % 2 == 0, F.col("loaded_at"))).drop("source")
+    return sinks.with_load_defaults(rows, loaded_at=FEED_C_LOAD_TS)
+
+
 def watchlist_fold_from_snapshot(spark, sf_dir):
     """Two-step fold: the change log applied on top of the snapshot produced by
     the same log's ``add`` events alone (snapshot rows enter as seeds)."""
@@ -277,6 +324,9 @@ def insert_if_absent(spark, sf_dir):
 QUERIES.update({
     "watchlist_apply_changes": watchlist_apply_changes,
     "watchlist_change_outcomes": watchlist_change_outcomes,
+    "watchlist_outcomes_dirty": watchlist_outcomes_dirty,
+    "starter_rows_inserted": starter_rows_inserted,
+    "raw_rows_with_defaults": raw_rows_with_defaults,
     "watchlist_fold_from_snapshot": watchlist_fold_from_snapshot,
     "insert_if_absent": insert_if_absent,
 })
@@ -285,6 +335,9 @@ QUERIES.update({
 # -- data quality over feed A's models --------------------------------------------
 
 
+DQ_VIOLATING = ("stg_market__stock_prices", "stg_market__tickers", "dim_ticker", "dim_date", "fact_stock_price_daily")
+
+
 def _checked_models(spark, sf_dir) -> PriceModels:
     """Feed A's models with dedup and the indicator pass computed once and
     checkpointed, so the checks over eleven models do not re-run them."""
@@ -298,7 +351,8 @@ def dq_not_null(spark, sf_dir):
 
 
 def dq_unique(spark, sf_dir):
-    return dq.unique_suite(_checked_models(spark, sf_dir))
+    # Tickers and the calendar only: nothing to share.
+    return dq.unique_suite(feed_a(spark, sf_dir))
 
 
 def dq_accepted(spark, sf_dir):
@@ -313,42 +367,101 @@ def dq_grain(spark, sf_dir):
     return dq.grain_suite(_checked_models(spark, sf_dir))
 
 
+class _Violating:
+    """Models that break the declared tests: raw rows before dedup with holes
+    and a foreign source, tickers listed twice, facts of tickers and days that
+    the dimensions lack."""
+
+    def __init__(self, spark, sf_dir):
+        from tickspan.plans.staging import renamed_prices
+        m = feed_a(spark, sf_dir)
+        raw = renamed_prices(testfeeds.feed_a_raw_prices(spark, sf_dir))
+        stg = raw.withColumns({"open_price": F.when(F.col("volume") % 7 != 0, F.col("open_price")),
+                               "data_source": F.when(F.col("volume") % 5 == 0, F.lit("manual")).otherwise(F.col("data_source"))})
+        tickers = m.stg_market__tickers
+        twice = tickers.where(~F.col("is_active")).withColumn("ticker_id", F.lit(None).cast("bigint"))
+        fact = stg.withColumns({"ticker_key": F.when(F.col("volume") % 3 != 0, F.col("volume")),
+                                "date_key": F.date_format("trading_date", "yyyyMMdd").cast("int")})
+        self.models = {"stg_market__stock_prices": stg, "stg_market__tickers": tickers.unionByName(twice),
+                       "dim_ticker": m.dim_ticker.where("is_active"), "dim_date": m.dim_date.where("calendar_quarter <> 1"),
+                       "fact_stock_price_daily": fact}
+
+    def model(self, name):
+        return self.models[name]
+
+
+def dq_violations(spark, sf_dir):
+    return dq.run_suite(_Violating(spark, sf_dir), DQ_VIOLATING)
+
+
 QUERIES.update({
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
     "dq_accepted": dq_accepted,
     "dq_relationships": dq_relationships,
     "dq_grain": dq_grain,
+    "dq_violations": dq_violations,
 })
 
 
 # -- landed API documents (round trip through JSON) -----------------------------------
 
 REJECT_NOTE = "Thank you for using the API. Request limit reached."
+REJECT_INFO = "This is a premium endpoint."
 
 
 def _landed_documents(spark, sf_dir):
     """Documents built from feed A's raw rows (one per symbol, month and
-    copy), plus a rate-limit note for every inactive watchlist symbol."""
+    copy), plus one without a series for every inactive watchlist symbol: a
+    rate-limit note, an information text, another key, or a broken body."""
     docs = api_json.series_documents(testfeeds.feed_a_raw_prices(spark, sf_dir))
+    kind = F.pmod("watchlist_id", F.lit(4))
+    body = (F.when(kind == 0, F.to_json(F.struct(F.lit(REJECT_NOTE).alias("Note"))))
+            .when(kind == 1, F.to_json(F.struct(F.lit("").alias("Note"), F.lit(REJECT_INFO).alias("Information"))))
+            .when(kind == 2, F.to_json(F.struct(F.concat(F.lit("no symbol "), F.col("symbol")).alias("Error Message"))))
+            .otherwise(F.concat(F.lit('{"Note": "cut short '), F.col("symbol"))))
     inactive = (testfeeds.feed_a_watchlist(spark, sf_dir).where(~F.col("is_active"))
-                .select(F.upper("symbol").alias("symbol"), F.col("updated_at").alias("fetched_at"),
-                        F.to_json(F.struct(F.lit(REJECT_NOTE).alias("Note"))).alias("body")))
-    return api_json.parse_bodies(docs.unionByName(inactive))
+                .select(F.upper("symbol").alias("symbol"), F.col("updated_at").alias("fetched_at"), body.alias("body")))
+    return docs.unionByName(inactive)
 
 
 def json_series_flatten(spark, sf_dir):
-    rows = api_json.flatten_series(_landed_documents(spark, sf_dir))
-    return rows.drop("loaded_at")
+    return api_json.flatten_series(api_json.parse_bodies(_landed_documents(spark, sf_dir))).drop("loaded_at")
 
 
 def json_series_rejects(spark, sf_dir):
-    return api_json.rejects(_landed_documents(spark, sf_dir)).drop("fetched_at")
+    return api_json.rejects(api_json.parse_bodies(_landed_documents(spark, sf_dir))).drop("fetched_at")
+
+
+def _written(df: DataFrame, name: str, kind: str, **options) -> str:
+    """Write a derived input file below the shared checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.format(kind).options(**options).save(path)
+    return path
+
+
+def _landed_files(spark, sf_dir):
+    """The same documents landed as JSON lines, bodies nested as the API sends
+    them, and read back."""
+    docs = _landed_documents(spark, sf_dir)
+    head = F.to_json(F.struct("symbol", "fetched_at"))
+    line = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"body":'), F.col("body"), F.lit("}"))
+    return api_json.read_landed(spark, _written(docs.select(line.alias("value")), "landed", "text"))
+
+
+def landed_files_flatten(spark, sf_dir):
+    return api_json.flatten_series(_landed_files(spark, sf_dir)).drop("loaded_at")
+
+
+def landed_files_rejects(spark, sf_dir):
+    return api_json.rejects(_landed_files(spark, sf_dir)).select("symbol", "message")
 
 
 QUERIES.update({
     "json_series_flatten": json_series_flatten,
     "json_series_rejects": json_series_rejects,
+    "landed_files_flatten": landed_files_flatten,
+    "landed_files_rejects": landed_files_rejects,
 })
 
 

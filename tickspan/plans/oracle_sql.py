@@ -2,7 +2,8 @@
 independently of the Spark plans: the three window models computed separately
 and joined back, facts and marts as plain joins, each period's rows selected
 on their own and combined with UNION ALL, boundary closes looked up by
-correlated subqueries, the watchlist fold as per-symbol windows. Tables are
+correlated subqueries, the watchlist folded change by change in a recursive
+query. Tables are
 the provided parquet views."""
 
 from __future__ import annotations
@@ -154,13 +155,6 @@ spine AS (
 )"""
 
 
-def spine_fixed(start: str, end: str) -> str:
-    return f"""
-spine AS (
-    SELECT CAST(unnest(generate_series(TIMESTAMP '{start}', TIMESTAMP '{end}', INTERVAL 1 DAY)) AS DATE) AS date_day
-)"""
-
-
 # The calendar without window functions: adjacent trading days and running
 # counters are correlated lookups over the set of open days.
 DIM_DATE = f"""
@@ -224,6 +218,7 @@ B_CAL = (RAW_B, stg_prices("raw_b"), spine_years("trading_date", "stg"), DIM_DAT
 ORACLE_SQL.update({
     "date_spine": with_(RAW_A, spine_years("trade_date", "raw_a")) + "SELECT date_day FROM spine",
     "dim_date": with_(*B_CAL) + f"SELECT {DIM_DATE_COLS} FROM dim_date",
+    "dim_date_from_csv": with_(*B_CAL) + f"SELECT {DIM_DATE_COLS} FROM dim_date",
     "trading_day_counters": with_(*B_CAL) +
         "SELECT date_day, is_trading_day, trading_day_of_month, trading_day_of_year FROM dim_date",
     "adjacent_trading_dates": with_(*B_CAL) +
@@ -267,8 +262,8 @@ fact_perf AS (
 )"""
 
 A_STAR = (RAW_A, WATCHLIST_A, stg_prices("raw_a"), RETURNS, MOVING, VOLATILITY, STG_TICKERS, DIM_TICKER)
-A_FULL = A_STAR + (spine_fixed("1995-01-01", "2001-12-31"), SIMPLE_DIM_DATE, PRICE_FACT, PERF_FACT)
-A_SHORT = A_STAR + (spine_fixed("1996-01-01", "2001-12-31"), SIMPLE_DIM_DATE, PRICE_FACT, PERF_FACT)
+A_SPINE = spine_years("trade_date", "raw_a")
+A_FULL = A_STAR + (A_SPINE, SIMPLE_DIM_DATE, PRICE_FACT, PERF_FACT)
 
 MART_ACTIVE = """
 mart_active AS (
@@ -357,7 +352,7 @@ summary AS (
 
 ORACLE_SQL.update({
     "fact_price_daily": with_(*A_FULL) + "SELECT * FROM fact_price",
-    "fact_performance_daily": with_(*A_SHORT) +
+    "fact_performance_daily": with_(*A_FULL) +
         "SELECT * REPLACE (round(volatility_20d, 6) AS volatility_20d, "
         "round(annualized_volatility_20d, 6) AS annualized_volatility_20d) FROM fact_perf",
     "mart_active_performance": with_(*A_FULL, MART_ACTIVE) +
@@ -370,7 +365,16 @@ ORACLE_SQL.update({
 
 
 # -- page analytics -----------------------------------------------------------------
-HISTORY_90D = """
+LATEST_ACTIVE = "(SELECT max(trading_date) FROM mart_active)"
+HISTORY_START = {
+    "30D": f"CAST({LATEST_ACTIVE} - INTERVAL 29 DAY AS DATE)", "90D": f"CAST({LATEST_ACTIVE} - INTERVAL 89 DAY AS DATE)",
+    "YTD": f"CAST(date_trunc('year', {LATEST_ACTIVE}) AS DATE)", "1Y": f"CAST({LATEST_ACTIVE} - INTERVAL 1 YEAR AS DATE)",
+}
+
+
+def history(period: str, symbol: str | None = None) -> str:
+    one = f" AND ticker_symbol = '{symbol}'" if symbol else ""
+    return f"""
 hist AS (
     SELECT ticker_symbol, trading_date,
            TRY_CAST(close_price AS DOUBLE) AS close_price,
@@ -382,8 +386,11 @@ hist AS (
            TRY_CAST(volatility_20d AS DOUBLE) AS volatility_20d,
            TRY_CAST(annualized_volatility_20d AS DOUBLE) AS annualized_volatility_20d
     FROM mart_active
-    WHERE trading_date >= CAST((SELECT max(trading_date) FROM mart_active) - INTERVAL 89 DAY AS DATE)
-),
+    WHERE trading_date >= {HISTORY_START.get(period, "DATE '1900-01-01'")}{one}
+)"""
+
+
+HISTORY_90D = history("90D") + """,
 snap AS (
     SELECT ticker_symbol, max(trading_date) AS trading_date,
            arg_max(close_price, trading_date) AS close_price,
@@ -412,6 +419,12 @@ ORACLE_SQL.update({
     "ticker_history_90d": with_(*A_HIST) +
         "SELECT * REPLACE (round(volatility_20d, 6) AS volatility_20d, "
         "round(annualized_volatility_20d, 6) AS annualized_volatility_20d) FROM hist",
+    **{name: with_(*A_FULL, MART_ACTIVE, history(period, symbol)) +
+       "SELECT * REPLACE (round(volatility_20d, 6) AS volatility_20d, "
+       "round(annualized_volatility_20d, 6) AS annualized_volatility_20d) FROM hist"
+       for name, period, symbol in [("ticker_history_30d", "30D", None), ("ticker_history_ytd", "YTD", None),
+                                    ("ticker_history_1y", "1Y", None), ("ticker_history_all", "ALL_AVAILABLE", None),
+                                    ("ticker_history_unknown", "5Y", None), ("ticker_history_symbol", "1Y", "S1")]},
     "summary_ordered": with_(*A_FULL, ANCHORS, SUMMARY) + """
         SELECT ticker_symbol,
                CASE period_name WHEN 'MTD' THEN 1 WHEN '30D' THEN 2 WHEN '90D' THEN 3 WHEN 'YTD' THEN 4
@@ -464,6 +477,9 @@ ORACLE_SQL.update({
         SELECT ticker_symbol, trading_date, close_price AS "Close", moving_average_7d AS "MA 7d",
                moving_average_20d AS "MA 20d", moving_average_50d AS "MA 50d"
         FROM hist""",
+    "watchlist_listing_active": with_(WATCHLIST_A) +
+        "SELECT symbol, company_name, category, notes, is_active, created_at, updated_at FROM watchlist_a "
+        "WHERE is_active ORDER BY symbol",
     "watchlist_listing": with_(WATCHLIST_A) +
         "SELECT symbol, company_name, category, notes, is_active, created_at, updated_at FROM watchlist_a "
         "ORDER BY is_active DESC, symbol ASC",
@@ -471,19 +487,55 @@ ORACLE_SQL.update({
 })
 
 
+ORACLE_SQL["summary_of_symbol"] = ORACLE_SQL["summary_ordered"] + " WHERE ticker_symbol = 'S1'"
+
+
+def _shown(form: str, value: str) -> str:
+    return f"format('{form}', CAST({value} AS DOUBLE))"
+
+
+ORACLE_SQL["summary_display"] = with_(*A_FULL, ANCHORS, SUMMARY) + f"""
+SELECT ticker_symbol,
+       CASE period_name WHEN 'MTD' THEN 1 WHEN '30D' THEN 2 WHEN '90D' THEN 3 WHEN 'YTD' THEN 4
+                        WHEN '1Y' THEN 5 WHEN 'ALL_AVAILABLE' THEN 6 END AS period_rank,
+       period_name AS "Period", first_day AS "Start", last_day AS "End",
+       coalesce({_shown('${:,.2f}', 'first_close')}, '$nan') AS "Start Price",
+       coalesce({_shown('${:,.2f}', 'last_close')}, '$nan') AS "End Price",
+       coalesce({_shown('{:+.2f}%', "CAST(last_close - first_close AS DOUBLE) / CAST(nullif(first_close, 0) AS DOUBLE) * 100")},
+                '+nan%') AS "Total Return",
+       coalesce({_shown('{:+.4f}%', 'mean_return * 100')}, '+nan%') AS "Avg Daily Return",
+       coalesce({_shown('{:.2f}%', 'mean_vol * 100')}, 'nan%') AS "Volatility",
+       CAST(low_close AS DOUBLE) AS "Min Price", CAST(high_close AS DOUBLE) AS "Max Price",
+       coalesce({_shown('{:,.0f}', 'mean_volume')}, 'nan') AS "Avg Volume", days AS "Trading Days"
+FROM with_ends JOIN dim_ticker USING (ticker_symbol)"""
+
+
 # -- watchlist changes ----------------------------------------------------------------
 CHANGES_C = """
 changes_c AS (
-    SELECT event_id, ts AS event_ts, 'U' || CAST(user_id AS VARCHAR) AS symbol,
-           CASE event_type WHEN 'signup' THEN 'add' WHEN 'error' THEN 'deactivate'
+    SELECT event_id, ts AS event_ts,
+           CASE WHEN event_type = 'purchase' THEN ' ' || chr(9) || 'u' || CAST(user_id AS VARCHAR) || ' '
+                ELSE 'U' || CAST(user_id AS VARCHAR) END AS symbol,
+           CASE event_type WHEN 'signup' THEN 'add' WHEN 'purchase' THEN 'add' WHEN 'error' THEN 'deactivate'
                            WHEN 'view' THEN 'reactivate' WHEN 'click' THEN 'update' END AS op,
-           CAST(NULL AS VARCHAR) AS company_name, event_type AS category, CAST(value AS VARCHAR) AS notes
-    FROM events WHERE event_type IN ('signup', 'error', 'view', 'click')
+           CASE WHEN event_type = 'purchase' THEN '' END AS company_name, event_type AS category,
+           CAST(value AS VARCHAR) AS notes
+    FROM events
+)"""
+
+DIRTY_C = """
+dirty_c AS (
+    SELECT event_id, CASE WHEN event_id % 11 <> 3 THEN event_ts END AS event_ts,
+           CASE event_id % 11 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN '' ELSE symbol END AS symbol,
+           op, company_name, category, notes
+    FROM changes_c
 )"""
 
 
 def fold(name: str, changes: str, snapshot: str | None = None) -> str:
-    """Closed-form fold of a change log over an optional snapshot relation."""
+    """A change log folded over an optional snapshot relation, one change after
+    the other: step ``n`` of the recursion applies every symbol's n-th event to
+    the symbol's state."""
     seed = "" if snapshot is None else f"""
         UNION ALL
         SELECT symbol, 0 AS phase, updated_at AS event_ts, -1 AS event_id, 'seed' AS op, company_name, category,
@@ -491,84 +543,92 @@ def fold(name: str, changes: str, snapshot: str | None = None) -> str:
         FROM {snapshot}"""
     top = "0" if snapshot is None else f"(SELECT coalesce(max(watchlist_id), 0) FROM {snapshot})"
     return f"""
-{name}_ev AS (
+{name}_all AS (
     SELECT CASE WHEN op = 'add' THEN regexp_replace(upper(symbol), '^\\s+|\\s+$', '', 'g') ELSE symbol END AS symbol,
            1 AS phase, event_ts, event_id, op, nullif(company_name, '') AS company_name,
            nullif(category, '') AS category, nullif(notes, '') AS notes,
            CAST(NULL AS BOOLEAN) AS seed_active, CAST(NULL AS TIMESTAMP) AS seed_created, CAST(NULL AS BIGINT) AS seed_id
     FROM {changes}{seed}
 ),
-{name}_e1 AS (
-    SELECT *,
-           row_number() OVER (PARTITION BY symbol ORDER BY phase, event_ts, event_id) AS ord,
-           max(CASE WHEN op IN ('seed', 'add') THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY phase, event_ts, event_id
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1 AS exists_at,
-           coalesce(max(CASE WHEN op IN ('seed', 'add') THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY phase, event_ts, event_id
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 1, FALSE) AS exists_before
-    FROM {name}_ev
-),
-{name}_e2 AS (
-    SELECT *, CASE WHEN exists_at THEN CASE WHEN op = 'seed' THEN seed_active WHEN op IN ('add', 'reactivate') THEN TRUE
-                                            WHEN op = 'deactivate' THEN FALSE END END AS status
-    FROM {name}_e1
-),
-{name}_e3 AS (
-    SELECT *, last_value(status IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY phase, event_ts, event_id
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS active_before
-    FROM {name}_e2
-),
-{name}_e4 AS (
-    SELECT *, CASE WHEN op = 'seed' THEN TRUE
-                   WHEN op = 'add' THEN (NOT exists_before) OR (NOT active_before)
-                   WHEN op = 'deactivate' THEN exists_before AND active_before
-                   WHEN op = 'reactivate' THEN exists_before AND NOT active_before
-                   WHEN op = 'update' THEN exists_before ELSE FALSE END AS effective
-    FROM {name}_e3
+{name}_ev AS (
+    SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY phase, event_ts NULLS FIRST, event_id) AS n
+    FROM {name}_all WHERE symbol <> ''
 ),
-{name}_g AS (
-    SELECT symbol,
-           max(CAST(exists_at AS INTEGER)) AS ex,
-           arg_max(status, ord) FILTER (WHERE status IS NOT NULL) AS is_active,
-           arg_max({{'c': company_name, 'k': category, 'n': notes}}, ord)
-               FILTER (WHERE effective AND op IN ('seed', 'add', 'update')) AS attrs,
-           arg_max(event_ts, ord) FILTER (WHERE effective) AS updated_at,
-           max(seed_created) AS seed_created,
-           arg_min(event_ts, ord) FILTER (WHERE op = 'add') AS first_add,
-           max(seed_id) AS seed_id
-    FROM {name}_e4 GROUP BY symbol
+{name}_walk AS (
+    SELECT symbol, CAST(0 AS BIGINT) AS n, FALSE AS there, FALSE AS active, CAST(NULL AS VARCHAR) AS company_name,
+           CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS notes, CAST(NULL AS TIMESTAMP) AS created_at,
+           CAST(NULL AS TIMESTAMP) AS updated_at, CAST(NULL AS BIGINT) AS id, FALSE AS was_there, FALSE AS was_active,
+           FALSE AS changed
+    FROM (SELECT DISTINCT symbol FROM {name}_ev)
+    UNION ALL
+    SELECT w.symbol, e.n, w.there OR e.op IN ('seed', 'add'),
+           CASE WHEN e.op = 'seed' THEN e.seed_active WHEN e.op = 'add' THEN TRUE
+                WHEN w.there AND e.op = 'reactivate' THEN TRUE WHEN w.there AND e.op = 'deactivate' THEN FALSE
+                ELSE w.active END,
+           CASE WHEN c.attrs THEN e.company_name ELSE w.company_name END,
+           CASE WHEN c.attrs THEN e.category ELSE w.category END,
+           CASE WHEN c.attrs THEN e.notes ELSE w.notes END,
+           CASE WHEN e.op = 'seed' THEN e.seed_created WHEN e.op = 'add' AND NOT w.there THEN e.event_ts ELSE w.created_at END,
+           CASE WHEN c.does THEN e.event_ts ELSE w.updated_at END, coalesce(e.seed_id, w.id), w.there, w.active, c.does
+    FROM {name}_walk w JOIN {name}_ev e ON e.symbol = w.symbol AND e.n = w.n + 1,
+         LATERAL (SELECT e.op = 'seed' OR (e.op = 'add' AND NOT (w.there AND w.active)) OR (e.op = 'update' AND w.there) AS attrs,
+                         e.op = 'seed' OR (e.op = 'add' AND NOT (w.there AND w.active)) OR (e.op = 'update' AND w.there)
+                         OR (e.op = 'deactivate' AND w.there AND w.active)
+                         OR (e.op = 'reactivate' AND w.there AND NOT w.active) AS does) c
 ),
 {name} AS (
-    SELECT coalesce(seed_id, {top} + row_number() OVER (PARTITION BY seed_id IS NULL ORDER BY symbol)) AS watchlist_id,
-           symbol, attrs.c AS company_name, attrs.k AS category, attrs.n AS notes, is_active,
-           coalesce(seed_created, first_add) AS created_at, updated_at
-    FROM {name}_g WHERE ex = 1
+    SELECT coalesce(id, {top} + row_number() OVER (PARTITION BY id IS NULL ORDER BY symbol)) AS watchlist_id,
+           symbol, company_name, category, notes, active AS is_active, created_at, updated_at
+    FROM {name}_walk w WHERE there AND n = (SELECT max(e.n) FROM {name}_ev e WHERE e.symbol = w.symbol)
 )"""
 
 
-OUTCOMES_SQL = """
-SELECT event_id, event_ts, symbol, op,
-       CASE WHEN op = 'add' AND NOT exists_before THEN 'added'
-            WHEN op = 'add' AND NOT active_before THEN 'reactivated'
-            WHEN op = 'add' THEN 'already_active'
-            WHEN NOT exists_before THEN 'not_found'
-            WHEN op = 'deactivate' AND active_before THEN 'deactivated'
-            WHEN op = 'deactivate' THEN 'already_inactive'
-            WHEN op = 'reactivate' AND NOT active_before THEN 'reactivated'
-            WHEN op = 'reactivate' THEN 'already_active'
-            WHEN op = 'update' THEN 'updated' ELSE 'not_found' END AS outcome,
-       effective AS changed
-FROM wl_e4 WHERE op <> 'seed'"""
+def outcomes(name: str) -> str:
+    return f"""
+SELECT e.event_id, e.event_ts, e.symbol, e.op,
+       CASE WHEN e.op = 'add' AND NOT was_there THEN 'added'
+            WHEN e.op = 'add' AND NOT was_active THEN 'reactivated'
+            WHEN e.op = 'add' THEN 'already_active'
+            WHEN NOT was_there THEN 'not_found'
+            WHEN e.op = 'deactivate' AND was_active THEN 'deactivated'
+            WHEN e.op = 'deactivate' THEN 'already_inactive'
+            WHEN e.op = 'reactivate' AND NOT was_active THEN 'reactivated'
+            WHEN e.op = 'reactivate' THEN 'already_active'
+            WHEN e.op = 'update' THEN 'updated' ELSE 'not_found' END AS outcome, w.changed
+FROM {name}_ev e JOIN {name}_walk w ON w.symbol = e.symbol AND w.n = e.n WHERE e.op <> 'seed'
+UNION ALL
+SELECT event_id, event_ts, symbol, op, 'invalid_symbol', FALSE FROM {name}_all
+WHERE op <> 'seed' AND coalesce(symbol, '') = ''"""
+
+
+def folded(*ctes: str) -> str:
+    return "WITH RECURSIVE " + ",".join(ctes) + "\n"
+
+
+def _starter_values() -> str:
+    from tickspan.sources.starter import STARTER_TICKERS
+    return ", ".join("(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in STARTER_TICKERS)
+
 
 FOLD_C = (CHANGES_C, fold("wl", "changes_c"))
 
 ORACLE_SQL.update({
-    "watchlist_apply_changes": with_(*FOLD_C) + "SELECT * FROM wl",
-    "watchlist_change_outcomes": with_(*FOLD_C) + OUTCOMES_SQL,
-    "watchlist_fold_from_snapshot": with_(
+    "watchlist_apply_changes": folded(*FOLD_C) + "SELECT * FROM wl",
+    "watchlist_change_outcomes": folded(*FOLD_C) + outcomes("wl"),
+    "watchlist_outcomes_dirty": folded(CHANGES_C, DIRTY_C, fold("dirty", "dirty_c")) + outcomes("dirty"),
+    "starter_rows_inserted": with_(WATCHLIST_A) + f"""
+        SELECT (SELECT max(watchlist_id) FROM watchlist_a) + row_number() OVER (ORDER BY s.symbol) AS watchlist_id, s.*,
+               TRUE AS is_active, TIMESTAMP '2024-02-01 00:00:00' AS created_at, TIMESTAMP '2024-02-01 00:00:00' AS updated_at
+        FROM (VALUES {_starter_values()}) AS s(symbol, company_name, category, notes)
+        WHERE s.symbol NOT IN (SELECT symbol FROM watchlist_a)""",
+    "raw_rows_with_defaults": with_(RAW_A) + """
+        SELECT * REPLACE (CASE WHEN volume % 2 = 0 THEN loaded_at ELSE TIMESTAMP '2024-02-01 00:00:00' END AS loaded_at)
+        FROM raw_a""",
+    "watchlist_fold_from_snapshot": folded(
         CHANGES_C, "adds AS (SELECT * FROM changes_c WHERE op = 'add')",
         "rest AS (SELECT * FROM changes_c WHERE op <> 'add')",
         fold("snap1", "adds"), fold("snap2", "rest", "snap1")) + "SELECT * FROM snap2",
-    "insert_if_absent": with_(*FOLD_C, RAW_B, WATCHLIST_A, STG_TICKERS) + """
+    "insert_if_absent": folded(*FOLD_C, RAW_B, WATCHLIST_A, STG_TICKERS) + """
         , cand AS (SELECT DISTINCT symbol, CAST(NULL AS VARCHAR) AS company_name, 'auto' AS category,
                           CAST(NULL AS VARCHAR) AS notes FROM raw_b
                    UNION ALL
@@ -591,7 +651,7 @@ DQ_RELATION = {
     "fact_stock_price_daily": "fact_price", "fact_stock_performance_daily": "fact_perf",
     "mart_watchlist_performance": "mart_active", "mart_ticker_performance_summary": "summary",
 }
-A_DQ = A_STAR + (spine_fixed("1995-01-01", "2001-12-31"), DIM_DATE, PRICE_FACT, PERF_FACT,
+A_DQ = A_STAR + (A_SPINE, DIM_DATE, PRICE_FACT, PERF_FACT,
                  MART_ACTIVE, ANCHORS, SUMMARY)
 
 
@@ -599,13 +659,13 @@ def _lit_list(values) -> str:
     return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
 
 
-def _dq_sql(kind: str) -> str:
+def _dq_sql(kind: str, relation: dict = DQ_RELATION) -> str:
     parts = []
     for m, c, t, a in DECLARED_TESTS:
-        r = DQ_RELATION[m]
-        head = f"SELECT '{m}' AS model, '{c}' AS column_name, '{t}' AS test, "
-        if t != kind:
+        if t != kind or m not in relation:
             continue
+        r = relation[m]
+        head = f"SELECT '{m}' AS model, '{c}' AS column_name, '{t}' AS test, "
         if t == "not_null":
             parts.append(head + f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {r}")
         elif t == "unique":
@@ -615,16 +675,18 @@ def _dq_sql(kind: str) -> str:
             parts.append(head + f"CAST(count(*) AS BIGINT) AS failures FROM "
                          f"(SELECT {c} AS v FROM {r} GROUP BY {c}) x WHERE v NOT IN ({_lit_list(a)})")
         elif t == "relationships":
-            pr, pf = DQ_RELATION[a[0]], a[1]
+            pr, pf = relation[a[0]], a[1]
             parts.append(head + f"CAST(count(*) AS BIGINT) AS failures FROM {r} ch WHERE ch.{c} IS NOT NULL "
                          f"AND NOT EXISTS (SELECT 1 FROM {pr} p WHERE p.{pf} = ch.{c})")
     return "\nUNION ALL\n".join(parts)
 
 
-def _grain_sql() -> str:
+def _grain_sql(relation: dict = DQ_RELATION) -> str:
     parts = []
     for m, cols in GRAIN_TESTS:
-        r, k = DQ_RELATION[m], ", ".join(cols)
+        if m not in relation:
+            continue
+        r, k = relation[m], ", ".join(cols)
         nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
         parts.append(f"SELECT '{m}' AS model, '{','.join(cols)}' AS column_name, 'unique_grain' AS test, "
                      f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {k} FROM {r} WHERE {nn} "
@@ -641,13 +703,54 @@ ORACLE_SQL.update({
 })
 
 
+VIOLATING = """
+v_stg AS (
+    SELECT symbol AS ticker_symbol, trade_date AS trading_date,
+           CASE WHEN volume % 7 <> 0 THEN CAST(open AS DECIMAL(18,4)) END AS open_price,
+           CAST(high AS DECIMAL(18,4)) AS high_price, CAST(low AS DECIMAL(18,4)) AS low_price,
+           CAST(close AS DECIMAL(18,4)) AS close_price, volume,
+           CASE WHEN volume % 5 = 0 THEN 'manual' ELSE source END AS data_source, loaded_at
+    FROM raw_a
+),
+v_tickers AS (
+    SELECT * FROM stg_tickers UNION ALL
+    SELECT * REPLACE (CAST(NULL AS BIGINT) AS ticker_id) FROM stg_tickers WHERE NOT is_active
+),
+v_dim_ticker AS (SELECT * FROM dim_ticker WHERE is_active),
+v_dim_date AS (SELECT * FROM dim_date WHERE calendar_quarter <> 1),
+v_fact AS (
+    SELECT *, CASE WHEN volume % 3 <> 0 THEN volume END AS ticker_key,
+           CAST(strftime(trading_date, '%Y%m%d') AS INTEGER) AS date_key
+    FROM v_stg
+)"""
+V_RELATION = {"stg_market__stock_prices": "v_stg", "stg_market__tickers": "v_tickers", "dim_ticker": "v_dim_ticker",
+              "dim_date": "v_dim_date", "fact_stock_price_daily": "v_fact"}
+ORACLE_SQL["dq_violations"] = with_(RAW_A, WATCHLIST_A, STG_TICKERS, DIM_TICKER, A_SPINE, DIM_DATE, VIOLATING) + (
+    "\nUNION ALL\n".join([_dq_sql(k, V_RELATION) for k in ("not_null", "unique", "accepted_values", "relationships")]
+                         + [_grain_sql(V_RELATION)]))
+
+
 # -- landed documents: flattening must give back the raw rows -------------------------
 ORACLE_SQL.update({
     "json_series_flatten": with_(RAW_A) +
         "SELECT symbol, trade_date, open, high, low, close, volume, source FROM raw_a",
-    "json_series_rejects": with_(WATCHLIST_A) +
-        "SELECT upper(symbol) AS symbol, 'Thank you for using the API. Request limit reached.' AS message "
-        "FROM watchlist_a WHERE NOT is_active",
+    "landed_files_flatten": with_(RAW_A) +
+        "SELECT symbol, trade_date, open, high, low, close, volume, source FROM raw_a",
+    "json_series_rejects": with_(WATCHLIST_A) + """
+        SELECT upper(symbol) AS symbol,
+               CASE watchlist_id % 4 WHEN 0 THEN 'Thank you for using the API. Request limit reached.'
+                                     WHEN 1 THEN 'This is a premium endpoint.'
+                                     WHEN 2 THEN '{"Error Message":"no symbol ' || symbol || '"}'
+                                     ELSE '{"Note": "cut short ' || symbol END AS message
+        FROM watchlist_a WHERE NOT is_active""",
+    "landed_files_rejects": with_(WATCHLIST_A) + """
+        SELECT CASE WHEN watchlist_id % 4 <> 3 THEN upper(symbol) END AS symbol,
+               CASE watchlist_id % 4 WHEN 0 THEN 'Thank you for using the API. Request limit reached.'
+                                     WHEN 1 THEN 'This is a premium endpoint.'
+                                     WHEN 2 THEN '{"Error Message":"no symbol ' || symbol || '"}'
+                                     ELSE '{"symbol":"' || upper(symbol) || '","fetched_at":"2002-01-01T00:00:00.000","body":'
+                                          || '{"Note": "cut short ' || symbol || '}' END AS message
+        FROM watchlist_a WHERE NOT is_active""",
 })
 
 
