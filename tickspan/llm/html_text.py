@@ -213,6 +213,14 @@ def aligned(rows: list[list[tuple[list[str], int]]]) -> list[str]:
             if span == 1 and fit:
                 widths[col] = max(widths.get(col, 0), max(fit))
             col += span
+    for row in rows:      # cells over several columns widen the last of them
+        col = 0
+        for lines, span in row:
+            need = max((len(x) for x in lines if len(x) <= WIDEST), default=0)
+            have = sum(widths.get(c, 0) for c in range(col, col + span)) + 2 * (span - 1)
+            if span > 1 and need > have:
+                widths[col + span - 1] = widths.get(col + span - 1, 0) + need - have
+            col += span
     out = []
     for row in rows:
         for i in range(max((len(lines) for lines, _ in row), default=0)):

@@ -108,8 +108,12 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
     end = data.find(b"\r\n\r\n", at, at + (1 << 20))
     if end < 0:
         raise Bad("no end of header")
+    try:
+        lines = data[version.end():end].decode().split("\r\n")
+    except UnicodeDecodeError:
+        raise Bad("header is no text") from None
     fields = {}
-    for line in data[version.end():end].decode("utf-8", "replace").split("\r\n"):
+    for line in lines:
         name, colon, value = line.partition(":")
         if not colon:
             raise Bad("bad header line")
