@@ -3,6 +3,7 @@ components, row keys."""
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,6 +15,11 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table; from here on Python workers can import this package as well."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
