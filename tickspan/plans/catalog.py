@@ -379,7 +379,7 @@ class _Violating:
         stg = raw.withColumns({"open_price": F.when(F.col("volume") % 7 != 0, F.col("open_price")),
                                "data_source": F.when(F.col("volume") % 5 == 0, F.lit("manual")).otherwise(F.col("data_source"))})
         tickers = m.stg_market__tickers
-        twice = tickers.where(~F.col("is_active")).withColumn("ticker_id", F.lit(None).cast("bigint"))
+        twice = tickers.where(F.col("ticker_id") % 2 == 0).withColumn("ticker_id", F.lit(None).cast("bigint"))
         fact = stg.withColumns({"ticker_key": F.when(F.col("volume") % 3 != 0, F.col("volume")),
                                 "date_key": F.date_format("trading_date", "yyyyMMdd").cast("int")})
         self.models = {"stg_market__stock_prices": stg, "stg_market__tickers": tickers.unionByName(twice),

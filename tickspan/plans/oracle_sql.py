@@ -714,7 +714,7 @@ v_stg AS (
 ),
 v_tickers AS (
     SELECT * FROM stg_tickers UNION ALL
-    SELECT * REPLACE (CAST(NULL AS BIGINT) AS ticker_id) FROM stg_tickers WHERE NOT is_active
+    SELECT * REPLACE (CAST(NULL AS BIGINT) AS ticker_id) FROM stg_tickers WHERE ticker_id % 2 = 0
 ),
 v_dim_ticker AS (SELECT * FROM dim_ticker WHERE is_active),
 v_dim_date AS (SELECT * FROM dim_date WHERE calendar_quarter <> 1),
