@@ -141,6 +141,23 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
             "payload_bytes": size, "payload": payload}, stop + 4
 
 
+def inflated(data: bytes, at: int) -> tuple[bytes, int]:
+    """The gzip member at ``at``, and where it ends. It is fed in parts, so what
+    follows the member is not copied along."""
+    z, out, step = zlib.decompressobj(31), [], 4096
+    try:
+        while not z.eof and at < len(data):
+            part = data[at:at + step]
+            out.append(z.decompress(part))
+            at += len(part)
+            step = min(2 * step, 1 << 20)
+    except zlib.error as e:
+        raise Bad("gzip: " + str(e).rpartition(": ")[2]) from None
+    if not z.eof:
+        raise Bad("gzip: cut short")
+    return b"".join(out), at - len(z.unused_data)
+
+
 def salvage(data: bytes):
     """Yields ``(start, end, record or None, reason)`` for a whole archive:
     records of every valid member or plain record, and gaps."""
@@ -148,14 +165,8 @@ def salvage(data: bytes):
     while at < len(data):
         try:
             if data.startswith(b"\x1f\x8b", at):
-                z = zlib.decompressobj(31)
-                try:
-                    inner = z.decompress(memoryview(data)[at:])
-                except zlib.error as e:
-                    raise Bad("gzip: " + str(e).rpartition(": ")[2]) from None
-                if not z.eof:
-                    raise Bad("gzip: cut short")
-                end, pos, found = len(data) - len(z.unused_data), 0, []
+                inner, end = inflated(data, at)
+                pos, found = 0, []
                 while pos < len(inner):
                     record, pos = parse_record(inner, pos)
                     found.append(record)
