@@ -30,8 +30,9 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tickspan.llm.common import stored
 
@@ -51,71 +52,98 @@ class WordIds:
     across it and cuts between a letter and a following mark, so a text's ids
     are those of its words, in lower case and apart from their closing marks.
 
-    The cache holds two generations of ``most`` words; a full one becomes the
-    old one, from which words that are met again come back."""
+    Texts are split, and their words numbered, by Arrow; only a batch's distinct
+    words are looked up. The cache holds two generations of ``most`` words; a
+    full one becomes the old one, from which words that are met again come back."""
 
     _LETTERS = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+\\Z")
-    # ASCII or Latin-1 letters, and the marks (no apostrophe) that close a word.
-    _MARKED = re.compile("([a-zß-öø-ÿÀ-ÖØ-Þ]+)([!-&(-/:-@\\[-`{-~]+)\\Z")
+    _MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
-    def __init__(self, model: str, dtype: str, most: int = 300_000):
-        self.tok, self.dtype, self.most = load(model), dtype, most
+    def __init__(self, model: str, dtype: str, most: int = 450_000):
+        self.tok, self.dtype, self.most = load(model), np.dtype(dtype), most
         self.known, self.old = {}, {}
+        # Words of small Latin letters need neither the normalizer nor the pattern of the whole tokenizer.
+        self.bare = Tokenizer(self.tok.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        for probe in ("the", "été", "straße", "internationalization", "zxqj", "ÿ"):
+            if self.ids_of(self.bare, probe) != self.ids_of(self.tok, probe):
+                self.bare = self.tok
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)       # tokens that close a word
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
-    def learn(self, new: list[bytes]) -> None:
-        known, old = self.known, self.old
-        if len(known) + len(new) > self.most:
-            self.old, self.known = known, {}
-            known, old = self.known, self.old
-        plain, odd, marked = [], [], []
+    @staticmethod
+    def ids_of(tok: Tokenizer, text: str) -> list[int]:
+        return tok.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def learn(self, new: list[str]) -> None:
+        """Encode words that are in neither generation."""
+        known, letters, odd, marked, latin = self.known, set(), set(), [], self._LETTERS.match
         for w in new:
-            ids = old.get(w)
-            if ids is not None:
-                known[w] = ids
+            if w.isalpha():
+                (letters if w.isascii() or latin(w) else odd).add(w)
                 continue
-            text = w.decode("utf-8", "surrogatepass")
-            if self._LETTERS.match(text):
-                plain.append(w)
-            elif (m := self._MARKED.match(text)) is not None:
-                marked.append((w, m.group(1).encode(), m.group(2).encode()))
+            stem = w.rstrip(self._MARKS)
+            if len(stem) < len(w) and stem.isalpha() and (stem.isascii() or latin(stem)):
+                marked.append((w, stem, w[len(stem):]))
             else:
-                odd.append(w)
-        if marked:
-            plain += {m[1] for m in marked}.difference(known, plain)
-            odd += {m[2] for m in marked}.difference(known, odd)
+                odd.add(w)
+        letters.update(m[1] for m in marked if m[1] not in known)
+        odd.update(m[2] for m in marked if m[2] not in known)
         # Words of letters alone are encoded as one text and cut where a token closes a word.
-        for part in range(0, len(plain), 2000):
-            some = plain[part:part + 2000]
-            ids = np.array(self.tok.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids)
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        every = list(letters)
+        for part in range(0, len(every), 2000):
+            some = every[part:part + 2000]
+            ids = np.array(self.ids_of(self.bare, " ".join(some).lower()))
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize).tolist()
             if len(cuts) == len(some):
-                data, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
-                known.update(zip(some, (data[a * width:b * width] for a, b in zip([0, *cuts], cuts))))
+                data = ids.astype(self.dtype).tobytes()
+                known.update(zip(some, map(data.__getitem__, map(slice, [0, *cuts], cuts))))
             else:
-                odd += some
-        for part in range(0, len(odd), 2000):
-            some = odd[part:part + 2000]
-            for w, e in zip(some, self.tok.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in some],
-                                                             add_special_tokens=False)):
+                odd.update(some)
+        every = list(odd)
+        for part in range(0, len(every), 2000):
+            some = every[part:part + 2000]
+            for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
                 known[w] = np.array(e.ids, self.dtype).tobytes()
         known.update((w, known[stem] + known[mark]) for w, stem, mark in marked)
 
-    def words(self, text: str) -> list[bytes]:
-        data = text.encode("utf-8", "surrogatepass")
-        return data.split() if b"<|" in data else data.lower().split()    # special tokens keep their case
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [self.words(t) for t in texts]
-        new = set().union(*words).difference(self.known)
-        if len(self.known) + len(new) > self.most:
-            new = set().union(*words)            # all of them will be looked up in the new generation
+    def lookup(self, words: list[str]) -> list[bytes]:
+        pieces = list(map(self.known.get, words))
+        if None not in pieces:
+            return pieces
+        missing = [w for w, p in zip(words, pieces) if p is None]
+        if len(self.known) + len(missing) > self.most:
+            self.old, self.known = self.known, {}
+        known, old = self.known, self.old.get
+        new = []
+        for w in missing:
+            ids = old(w)
+            if ids is None:
+                new.append(w)
+            else:
+                known[w] = ids
         if new:
-            self.learn(sorted(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+            self.learn(new)
+        return [known[w] if p is None else p for w, p in zip(words, pieces)]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in turn, and where each text's ids start (and the end)."""
+        texts = pc.fill_null(texts, "")
+        low = pc.ascii_lower(texts)
+        special = pc.match_substring(texts, "<|")           # special tokens keep their case
+        if pc.any(special).as_py():
+            low = pc.if_else(special, texts, low)
+        split = pc.ascii_split_whitespace(low)
+        words = split.flatten().dictionary_encode()
+        pieces = self.lookup(words.dictionary.to_pylist())
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))) // self.dtype.itemsize
+        each = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()),
+                                        pa.array(np.frombuffer(b"".join(pieces), self.dtype)))
+        ids = each.take(words.indices)
+        at = split.offsets.to_numpy()
+        return ids.flatten().to_numpy(zero_copy_only=False), ids.offsets.to_numpy()[at - at[0]]
 
 
 @functools.lru_cache(maxsize=2)
@@ -127,16 +155,22 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, mode
     """Stored rows ``_row, id, queue, n, ids``: little-endian ids, two bytes
     each where the vocabulary allows, with the end id."""
     wide = "<u2" if load(model).get_vocab_size() < 1 << 16 else "<u4"
-    end = np.array([end_id], wide).tobytes()
 
     def run(batches):
         ids_of = word_ids(model, wide)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
-                ids = [x + end for x in ids_of([t or "" for t in b.column("text").to_pylist()])]
-                n = pa.array([len(x) // len(end) for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("queue"), n, pa.array(ids, pa.binary())],
+            # Parts of about 8 MB: few enough distinct words, and bounded memory.
+            part = np.cumsum(pc.fill_null(pc.binary_length(whole.column("text")), 0).to_numpy()) >> 23
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), whole.num_rows]
+            for at, end in zip(cuts, cuts[1:]):
+                b = whole.slice(at, end - at)
+                ids, starts = ids_of(b.column("text"))
+                starts = starts.astype(np.int64)
+                data = np.insert(ids, starts[1:], end_id).astype(wide)
+                starts += np.arange(len(starts))
+                blobs = pa.Array.from_buffers(pa.binary(), b.num_rows, [
+                    None, pa.py_buffer((starts * data.itemsize).astype(np.int32)), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("queue"), pa.array(np.diff(starts)), blobs],
                                                  names=["id", "queue", "n", "ids"])
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
@@ -163,7 +197,7 @@ def running(df: DataFrame, keys: list[str], block: str, order: list, value: str,
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          model: str = MODEL, end_id: int = END_ID, length: int = 2048, window: int = 64,
-         shares: dict[str, float] | None = None, block_docs: int = 2_000, block_rounds: int = 256) -> DataFrame:
+         shares: dict[str, float] | None = None, block_docs: int = 500, block_rounds: int = 256) -> DataFrame:
     """One row per piece: ``<id>, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, source, round``.
 
