@@ -127,8 +127,13 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "n_bytes long, known long, rest array<struct<pre:string,n:long>>").fields])
     sized = src.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     parts = stored(sized.mapInArrow(split, kind).withColumn("_row", F.monotonically_increasing_id()), "token-parts")
-    rest = parts.select("_row", F.explode("rest").alias("r")).select("_row", "r.pre", "r.n")
-    pieces = with_pieces(rest.select("pre").distinct(), model)
+    # One exchange by pre-token serves both the distinct ones and the join: the
+    # aggregate uses every column, so both sides read the same shuffled rows.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rest = (parts.where("_row is not null").select("_row", F.explode("rest").alias("r")).select("_row", "r.pre", "r.n")
+            .where("pre is not null").repartition(partitions, "pre"))
+    distinct = rest.groupBy("pre").agg(F.sum("n").alias("_n"), F.min("_row").alias("_first")).where("_n > 0 and _first >= 0")
+    pieces = with_pieces(distinct.select("pre"), model)
     sums = rest.join(pieces, "pre").groupBy("_row").agg(F.sum(F.col("n") * F.col("pieces")).alias("more"))
     n = F.col("known") + F.coalesce("more", F.lit(0))
     return (parts.drop("rest").join(sums, "_row", "left")
