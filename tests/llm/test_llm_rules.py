@@ -1,4 +1,5 @@
 import collections
+import itertools
 import random
 import re
 
@@ -131,6 +132,31 @@ def test_decontamination_finds_what_all_offsets_find(spark, monkeypatch, few):
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(d) for d, t in docs if d not in bad or t == "other text")
 
 
+@pytest.mark.parametrize("window, share", [(20, 0.8), (8, 0.6)])
+def test_decontamination_of_short_items_finds_what_all_offsets_find(spark, window, share):
+    items, docs = [], []
+    for n in (*range(5, 13), 20):
+        item = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        most = n - -int(-share * n // 1)
+        for gone in [g for m in range(min(most, 2) + 1) for g in itertools.combinations(range(n), m)]:
+            docs.append((len(docs), "x " + " ".join("sub" if k in gone else w for k, w in enumerate(item)) + " y"))
+        docs += [(len(docs), " ".join(item[:-1])), (len(docs) + 1, " ".join(item[1:])), (len(docs) + 2, " ".join(item[:3]))]
+    got = {(r.doc_id, r.item_id): (r.n_equal, r.n_window) for r in D.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"),
+        window=window, share=share).collect()}
+    assert got == brute_hits(docs, items, window, share)
+
+
+def test_masks_miss_no_pattern():
+    for span in range(5, 17):
+        need = -(-4 * span // 5)
+        for gone in itertools.combinations(range(span), span - need):
+            word = "".join("0" if k in gone else "1" for k in range(span))
+            assert any(all(c == "0" or x == "1" for c, x in zip(m, word[a:a + len(m)]))
+                       for m in D.masks_of(span) for a in range(span - len(m) + 1)), word
+
+
 # -- secrets
 
 def brute_base(text):
