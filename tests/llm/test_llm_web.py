@@ -215,6 +215,22 @@ def test_layout(page, text):
     assert H.rendered(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><body><p>text", "text"), ("<head><meta charset=u><p>a</p>b", "a\n\nb"),
+    ("<head>\n<title>T</title>\nloose <b>x</b>", "loose x"), ("<head><noscript><div>n</head>text", "text"),
+    ("<head><script>s</script><style>t</style></head><body>x", "x"), ("a<head>b<title>T</title>c", "abc"),
+    ("<head><template><body>no</template><body>yes", "yes"), ("<head><noscript><p>n<body>yes", "yes"),
+    ("<svg><title>t</title><desc>d</desc><path d=x /><text>one <tspan>two</tspan></text><text>3</text>no</svg> z", "one two 3 z"),
+    ("<svg><defs><text>no</text></defs><foreignObject><p>in</p></foreignObject></svg>out", "in\n\nout"),
+    ("<svg><title/><text>t</text></svg>u", "t u"), ("<svg><path><p>after", "after"), ("<svg><text>a</svg>b", "a b"),
+    ("x <math><semantics><mi>a</mi><mo>+</mo><mn>1</mn><annotation>tex</annotation></semantics></math> y", "x a+1 y"),
+    ("<a title=Bob's>visible</a> it's <b>here</b> '>' z", "visible it's here '>' z"),
+    ("<a title = 'a>b' alt=x'y\">v</a> w", "v w"), ("<p title=Bob's hidden id=Al's>no</p>yes", "yes"),
+])
+def test_all_visible_text(page, text):
+    assert H.rendered(page) == text
+
+
 def test_depth_and_length_are_no_problem():
     assert H.rendered("<div>" * 30000 + "deep" + "</div>" * 30000) == "deep"
     assert H.rendered("<b>" * 30000 + "x" + "</i>" * 30000) == "x"

@@ -5,7 +5,9 @@ implies (a paragraph ends at the next block, a list item at the next item, a cel
 at the next cell or row), and rendered without recursion: invisible elements are
 left out, blocks are set apart by line breaks or blank lines as their kind asks,
 list items get bullets or numbers and are indented by depth, preformatted text
-keeps its spaces, and the cells of a table are aligned in columns.
+keeps its spaces, and the cells of a table are aligned in columns. An open head
+ends where its content cannot be the head's. Drawings show their text elements
+and embedded HTML, formulas all but annotations.
 
 Defined results: null or empty pages, and pages without visible text, give an
 empty text; text after unclosed tags is kept; rows that repeat an id each return
@@ -20,12 +22,14 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-_TAG = re.compile(r"""<!--(?:>|.*?(?:-->|\Z))|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
+# A quote delimits only right after "="; elsewhere it is a character like others.
+_TAG = re.compile(r"""<!--(?:>|.*?(?:-->|\Z))|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)"""
+                  r"""((?:=\s*+"[^"]*+"|=\s*+'[^']*+'|=\s*+[^\s"'>][^\s>]*+|[^>=]++|=)*+)>""", re.S)
 _LOOSE = re.compile(r"<!--(?:>|.*?(?:-->|\Z))|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _HIDDEN_STYLE = re.compile(r"""style\s*=\s*(?:"[^"]*|'[^']*|[^\s"'>]*)(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))""", re.I)
 _HIDDEN_FLAG = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)""", re.I)
-_QUOTED = re.compile(r'''"[^"]*"|'[^']*\'''')
+_QUOTED = re.compile(r'''=\s*(?:"[^"]*"|'[^']*')''')
 _START = re.compile(r"""(?:^|\s)start\s*=\s*["']?(-?\d{1,9})""", re.I)
 _SPAN = re.compile(r"""(?:^|\s)colspan\s*=\s*["']?(\d{1,3})""", re.I)
 
@@ -33,7 +37,16 @@ _SPAN = re.compile(r"""(?:^|\s)colspan\s*=\s*["']?(\d{1,3})""", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("head script style template noscript iframe noembed noframes title datalist object video audio canvas "
-                   "svg math".split())
+                   "annotation annotation-xml mphantom".split())
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+# In drawings only text elements and embedded HTML show text, except in what is only defined or described.
+DRAWN = frozenset("text foreignobject".split())
+UNDRAWN = frozenset("defs symbol desc metadata clippath mask pattern marker".split())
+FOREIGN = frozenset("svg math".split())
+EMBEDS = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+# A start tag of HTML ends a drawing or formula that is left open.
+BREAKS = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu "
+                   "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 PARTED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr fieldset menu".split())
 BLOCK = PARTED | frozenset("html body address article aside center details dialog dd dir div dt fieldset figcaption footer "
                            "form header hgroup li main nav option optgroup search section summary caption thead tbody "
@@ -53,11 +66,12 @@ BULLETS = "-"
 
 
 class Node:
-    __slots__ = ("name", "attrs", "kids", "up", "depth")
+    __slots__ = ("name", "attrs", "kids", "up", "depth", "foreign")
 
     def __init__(self, name, attrs="", up=None):
         self.name, self.attrs, self.kids, self.up = name, attrs, [], up
         self.depth = up.depth + 1 if up else 0
+        self.foreign = name in FOREIGN or (up is not None and up.foreign and name not in EMBEDS)
 
 
 class Tree:
@@ -65,14 +79,15 @@ class Tree:
 
     def __init__(self, page: str):
         self.root = self.at = Node("body")
-        pos, tags = 0, _TAG
+        self.head, self.begun = None, False    # the open head; whether there is an element or text
+        pos, tags, last = 0, _TAG, page.rfind(">")
         while True:
             cut = page.find("<", pos)
             if cut < 0:
                 self.text(page[pos:])
                 break
-            tag = tags.match(page, cut)
-            if tag is None and tags is _TAG:   # a quote without end: from here on quotes do not count
+            tag = tags.match(page, cut) if cut < last or page.startswith("<!--", cut) else None
+            if tag is None and cut < last and tags is _TAG:   # a quote without end: from here on quotes do not count
                 if (loose := _LOOSE.match(page, cut)) is not None:
                     tags, tag = _LOOSE, loose
             if tag is None:                    # a lone "<" is text
@@ -87,8 +102,11 @@ class Tree:
             if tag.group(1):
                 self.end(name)
                 continue
+            closed = self.at.foreign and tag.group(3).endswith("/")
             self.start(name, tag.group(3))
-            if name in RAW:
+            if closed and name in RAW:
+                self.end(name)
+            elif name in RAW:
                 close = re.compile(rf"</{name}(?=[\s/>])[^>]*>|\Z", re.I).search(page, pos)
                 if name not in UNSEEN:
                     self.at.kids.append(html.unescape(page[pos:close.start()]))
@@ -107,9 +125,24 @@ class Tree:
         self.at = node.up
         return True
 
+    def leave_head(self):
+        """Close an open head with all that is open in it, unless in a template."""
+        node = self.at
+        while node is not self.head:
+            if node.name == "template":
+                return
+            node = node.up
+        self.at, self.head = self.head.up, None
+
     def start(self, name, attrs):
-        if name in ("html", "body"):
+        if self.head is not None and (name in ("body", "frameset") or (
+                self.at is self.head and name not in HEAD and name not in ("html", "head"))):
+            self.leave_head()
+        if name in ("html", "body") or (name == "head" and self.begun):
             return
+        if self.at.foreign and name in BREAKS:
+            while self.at.foreign:
+                self.at = self.at.up
         if name in CLOSES:
             names, walls = CLOSES[name]
             while self.close(names, walls) and name in ("tr", "thead", "tbody", "tfoot"):
@@ -130,12 +163,19 @@ class Tree:
         node = Node(name, attrs, self.at)
         self.at.kids.append(node)
         self.at = node
+        self.begun = True
+        if name == "head":
+            self.head = node
 
     def end(self, name):
         if name in ("html", "body") or name in VOID:
             if name == "br":
                 self.start("br", "")
             return
+        if name == "head":
+            if self.head is not None:
+                self.leave_head()
+            return
         if name in ("table", "td", "th", "tr", "thead", "tbody", "tfoot", "caption"):
             self.close((name,), ("table",) if name != "table" else ())
         elif name in BLOCK:
@@ -148,6 +188,10 @@ class Tree:
             return
         if "&" in text:
             text = html.unescape(text)
+        if (self.at is self.head or not self.begun) and text.strip(" \t\n\r\f"):
+            self.begun = True
+            if self.head is not None:
+                self.leave_head()
         at = self.at
         if at.name in TABLE_PARTS:
             if not text.strip(" \t\n\r\f"):
@@ -168,7 +212,7 @@ def unseen(node: Node) -> bool:
         return False
     low = attrs.lower()
     return ("style" in low and _HIDDEN_STYLE.search(attrs) is not None) or (
-        "hidden" in low and _HIDDEN_FLAG.search(_QUOTED.sub('""', attrs)) is not None)
+        "hidden" in low and _HIDDEN_FLAG.search(_QUOTED.sub('=""', attrs)) is not None)
 
 
 class Lines:
@@ -242,11 +286,14 @@ def rendered(page: str | None) -> str:
     tables: list[list] = []
     lists: list[list] = []        # [is numbered, next number]
     pre = 0
+    drawn: list[bool] = []        # for each open drawing, text element and embedded HTML: whether text shows
     todo: list = [(Tree(page).root, True)]
     while todo:
         node, enter = todo.pop()
         sink = sinks[-1]
         if isinstance(node, str):
+            if drawn and not drawn[-1]:
+                continue
             if pre:
                 first, *more = node.replace("\r\n", "\n").split("\n")
                 sink.line.append(first)
@@ -258,9 +305,15 @@ def rendered(page: str | None) -> str:
             continue
         name = node.name
         if enter:
-            if unseen(node):
+            if unseen(node) or (drawn and name in UNDRAWN):
                 continue
             todo.append((node, False))
+            if name == "svg":
+                drawn.append(False)
+            elif drawn and name in DRAWN:
+                drawn.append(True)
+                if name == "text":
+                    sink.text(" ")
             if name == "br":
                 sink.flush(keep=bool(sink.line or sink.done))
             elif name == "hr":
@@ -287,6 +340,10 @@ def rendered(page: str | None) -> str:
             todo.extend((kid, True) for kid in reversed(node.kids))
             continue
         pre -= name in ("pre", "xmp", "textarea")
+        if name == "svg" or (drawn and name in DRAWN):
+            drawn.pop()
+            if name == "text":
+                sink.text(" ")
         if name == "table":
             sink.flush()
             for line in aligned(tables.pop()):
