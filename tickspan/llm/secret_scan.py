@@ -1,12 +1,16 @@
 """Secret scan: patterns of known kinds, and a token-efficiency test.
 
-Candidates of the test are runs of token characters of at least ``least``
-characters. Ordinary words and identifiers are held by a vocabulary in few long
-pieces; a random string breaks into many short ones. A candidate with fewer than
-``ratio`` characters per piece is a span of kind ``random``, unless it is a known
-digest (only hexadecimal digits, of a digest's length), an identifier (only
-digits and separators, a UUID, words and numbers joined by separators) or
-overlaps a span of a known kind, which stays as it is.
+Candidates of the test are runs of token characters, cut at spans of a known
+kind. Ordinary words and identifiers are held by a vocabulary in few
+long pieces; a random string breaks into many short ones. A run of ``LEAST``
+characters with fewer than ``ratio`` characters per piece is a span of kind
+``random``. In other runs the parts between separators are tested, alone and
+with their neighbours, so that key names and paths do not hide a value: the
+stretches of parts with the most pieces for their length are spans, by ``ratio``
+from ``LEAST`` letters and digits and by ``SHORT_RATIO`` from ``SHORT``. What is
+a known digest (only hexadecimal digits, of a digest's length) or an identifier
+(only digits and separators, a UUID, words and numbers joined by separators) is
+none.
 
 Spans are in code points, end exclusive, ordered by start and then kind.
 
@@ -31,16 +35,21 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Random letters and digits have 1.2 to 1.6 characters per piece, the densest
 #: real compound words about 1.9.
 RATIO = 1.7
+LEAST = 20
+#: Short words of foreign languages and product names come near 1.6.
+SHORT, SHORT_RATIO = 12, 1.4
 KINDS = ("assign", "access", "hex", "random")
 
 _ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _WORDS = ("passw", "secret", "token", "apikey", "api_key")   # one is in every match
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")          # the runs of [0-9a-f]+ with 16 characters or more
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORT)
+_INNER = re.compile(r"[A-Za-z0-9]+")
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)   # MD5, SHA-1, SHA-2
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
+_INNER_UUID = re.compile(r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F])")
 _NUMBER = re.compile(r"[0-9+/_=-]+\Z")
 _PART = re.compile(r"[A-Za-z]{1,15}\Z|[0-9]{1,8}\Z")
 _JOIN = re.compile(r"[+/_=-]+")
@@ -75,20 +84,70 @@ def is_known(run: str) -> bool:
     return len(parts) > 1 and all(_PART.match(p) for p in parts if p)
 
 
+def stretches(scores: list[float]) -> list[tuple[int, int]]:
+    """First and last of the stretches with the highest positive sums, which do
+    not overlap (all maximal scoring subsequences)."""
+    out: list[tuple[int, int, float, float]] = []    # first, last, sum before, sum with it
+    total = 0.0
+    for i, x in enumerate(scores):
+        before, total = total, total + x
+        if x <= 0:
+            continue
+        first = i
+        while out:
+            # Those that start no lower cannot be joined to what follows.
+            k = len(out) - 1
+            while k >= 0 and out[k][2] >= before:
+                k -= 1
+            if k < 0 or out[k][3] >= total:
+                break
+            first, before = out[k][0], out[k][2]
+            del out[k:]
+        out.append((first, i, before, total))
+    return [(a, b) for a, b, _, _ in out]
+
+
+def free_runs(text: str, taken: list[tuple[int, int, int]]):
+    """Runs of token characters without the spans taken."""
+    at = 0                          # taken is sorted by start; what ends before a run is not looked at again
+    for m in _RUN.finditer(text):
+        a, b = m.span()
+        while at < len(taken) and taken[at][2] <= a:
+            at += 1
+        k = at
+        while k < len(taken) and taken[k][0] < b:
+            s, _, e = taken[k]
+            if s - a >= SHORT:
+                yield a, s
+            a, k = max(a, e), k + 1
+        if b - a >= SHORT:
+            yield a, b
+
+
 def random_spans(text: str, vocabulary: str, ratio: float, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    found = [m for m in _RUN.finditer(text) if not is_known(m.group())]
+    found = list(free_runs(text, taken))
     if not found:
         return []
     encode = load(vocabulary).encode_ordinary
+
+    def pieces_of(run):
+        return sum(len(encode(run[i:i + 4096])) for i in range(0, len(run), 4096))
     out = []
-    for m in found:
-        a, b = m.span()
-        if any(s < b and a < e for s, _, e in taken):
-            continue
-        run = m.group()
-        pieces = sum(len(encode(run[i:i + 4096])) for i in range(0, len(run), 4096))
-        if len(run) < ratio * pieces:
+    for a, b in found:
+        run = text[a:b]
+        if b - a >= LEAST and not is_known(run) and b - a < ratio * pieces_of(run):
             out.append((a, 3, b))
+            continue
+        parts = [p.span() for p in _INNER.finditer(run)]
+        if sum(e - s for s, e in parts) < SHORT:
+            continue
+        pieces = [pieces_of(run[s:e]) for s, e in parts]
+        uuids = {u.start() + k for u in _INNER_UUID.finditer(run) for k in (0, 9, 14, 19, 24)}
+        for i, j in stretches([-ratio * len(run) if s in uuids else ratio * n - (e - s) for n, (s, e) in zip(pieces, parts)]):
+            size, n = sum(e - s for s, e in parts[i:j + 1]), sum(pieces[i:j + 1])
+            s, e = parts[i][0], parts[j][1]
+            if (size < ratio * n if size >= LEAST else SHORT <= size < SHORT_RATIO * n) and not is_known(run[s:e]):
+                out.append((a + s, 3, a + e))
     return out
 
 
