@@ -95,6 +95,28 @@ def test_salted_join_gives_the_same(spark, monkeypatch):
     assert U.judged(df.limit(0)).collect() == []
 
 
+def test_scores_are_carried_until_nothing_changes(spark, scratch):
+    # h0 -> h1 -> ... -> h15 -> s.net, which is blocked; the last two hosts link in a circle as well
+    from tickspan.llm.queries import op3_url_filter
+    rows = [(i, f"http://h{i}.site/", link(f"h{i + 1}.site" if i < 15 else "s.net")) for i in range(16)]
+    rows += [(20, "http://s.net/", ""), (21, "http://h15.site/", link("h14.site")), (22, "http://alone.site/", "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{scratch}/in/pages.parquet")
+    got = {r.page_id: (r.verdict, r.distrust) for r in op3_url_filter(spark, f"{scratch}/in").collect()}
+
+    deg = {f"h{i}": 1 for i in range(1, 16)} | {"s": 1, "h14": 2}      # hosts linking to each
+    links = [(f"h{i + 1}", f"h{i}") for i in range(15)] + [("s", "h15"), ("h14", "h15")]
+    start = {"s": math.floor(U.UNIT * (1 - U.DAMPING))}
+    now, was = start, None
+    while now != was:
+        new = collections.Counter(start)
+        for a, b in links:
+            if a in now:
+                new[b] += math.floor(now[a] * (U.DAMPING * 1 / deg[a]))
+        now, was = dict(new), now
+    assert {i: got[i] for i in range(16)} == {i: ("block", now[f"h{i}"]) for i in range(16)}
+    assert got[22] == ("allow", 0) and got[0][1] > 0
+
+
 # -- WARC
 
 def brute_records(rows, least=0):

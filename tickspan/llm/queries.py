@@ -18,7 +18,7 @@ def op2_token_counts(spark, sf_dir):
 
 
 def op3_url_filter(spark, sf_dir):
-    return url_filter.judged(read(spark, sf_dir, "pages"))
+    return url_filter.judged(read(spark, sf_dir, "pages"), rounds=None)
 
 
 def op4_simhash_neardup(spark, sf_dir):

@@ -11,8 +11,11 @@ distrust is above ``margin`` times its trust.
 Pages are pre-aggregated to hosts and links to weighted host edges before
 anything is iterated. Scores are whole numbers (``UNIT`` for each seed), so sums
 do not depend on their order; a round joins scores to edges by host, adds up
-partially by target, and is checkpointed. The loop ends when nothing changes any
-more. Host facts are joined to pages by broadcast where the counted number of
+partially by target, and is checkpointed. Without a number of rounds the loop
+ends when nothing changes any more: scores start at the seeds' own, never fall
+and are bounded whole numbers, so it does end, after some 120 rounds where links
+run in circles. ``ROUNDS`` rounds are a first part of that, which the SQL form
+unrolls. Host facts are joined to pages by broadcast where the counted number of
 hosts is small, else with the host spread over salts.
 
 Defined results: a null url, or one without ``://``, has an empty host and path,
@@ -23,6 +26,8 @@ html are ignored; a null html has no links.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickspan.session import cut_lineage
@@ -84,9 +89,9 @@ def host_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
             .groupBy("src", "dst").agg(F.count("*").alias("n")))
 
 
-def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int | None = ROUNDS) -> DataFrame:
     """``host, trust, distrust`` of every host that has either. ``seeds``: host,
-    trusted (boolean). Mass at hosts without links goes back to the seeds,
+    trusted (boolean). ``rounds``: None for as many as change anything. Mass at hosts without links goes back to the seeds,
     which only scales the scores, so it is left out."""
     both = edges.select(F.lit(True).alias("trusted"), F.col("src").alias("host"), F.col("dst").alias("to"), "n").unionByName(
         edges.select(F.lit(False).alias("trusted"), F.col("dst").alias("host"), F.col("src").alias("to"), "n"))
@@ -95,7 +100,7 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rou
         "trusted", "host", "to", (F.lit(damping) * F.col("n") / F.col("all")).alias("part")))
     start = cut_lineage(seeds.select("trusted", "host", F.floor(F.lit(UNIT * (1 - damping))).cast("long").alias("score")))
     now, was = start, None
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         sent = now.join(part, ["trusted", "host"]).select(
             "trusted", F.col("to").alias("host"), F.floor(F.col("score") * F.col("part")).cast("long").alias("score"))
         now = cut_lineage(start.unionByName(sent).groupBy("trusted", "host").agg(F.sum("score").alias("score")))
@@ -108,7 +113,7 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rou
 
 
 def judged(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-           margin: float = MARGIN, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+           margin: float = MARGIN, damping: float = DAMPING, rounds: int | None = ROUNDS) -> DataFrame:
     """One row per page: ``<id>, host, path, rule, verdict, trust, distrust``."""
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                        F.col(html_col).cast("string").alias("html"))
