@@ -201,6 +201,41 @@ def test_salvage_recovers_every_untouched_record(packed):
         assert not starts_shifted or at > 0
 
 
+@pytest.mark.parametrize("hurt", ["nothing", "record", "crc", "cut", "byte"])
+def test_salvage_within_a_member(hurt):
+    rnd = random.Random(3)
+    plain = [W.make_record(i, f"http://h/{i}", bytes(rnd.choices(range(97, 123), k=3000)), None) for i in range(60)]
+    if hurt == "record":                      # one record is wrong inside a member that passes its check
+        plain[20] = plain[20][:-600] + b"#" + plain[20][-599:]
+    pack = bytearray(gzip.compress(b"".join(plain), mtime=0))
+    size = len(pack)
+    if hurt == "crc":
+        pack[-6] ^= 255
+    if hurt == "cut":
+        del pack[size // 2:]
+    if hurt == "byte":
+        pack[size // 2] ^= 255
+    after = W.member(W.make_record(99, "u", b"after"))
+    rows = list(W.salvage(bytes(pack) + after))
+    ids = [page_id(r["record_id"]) for _, _, r, _ in rows if r]
+    whole = {"nothing": 60, "record": 60, "crc": 60, "cut": 27, "byte": 27}[hurt]
+    assert ids[-1] == 99 and set(ids) >= set(range(whole)) - ({20} if hurt == "record" else set())
+    assert len(ids) == len(set(ids)) and (hurt == "record") == (20 not in ids)
+    assert any(w for *_, w in rows) == (hurt != "nothing")
+    if hurt in ("crc", "cut", "byte"):        # the ranges of a damaged member follow one another
+        assert [a for a, *_ in rows] == [0] + [b for _, b, *_ in rows[:-1]] and rows[-1][1] == len(pack) + len(after)
+
+
+def test_usual_file_names_are_read(spark, scratch):
+    import os
+    os.makedirs(f"{scratch}/w")
+    for name, data in (("a.warc.gz", W.member(W.make_record(1, "u", b"x"))), ("b.warc", W.make_record(2, "u", b"y")), ("c.txt", b"no")):
+        with open(f"{scratch}/w/{name}", "wb") as f:
+            f.write(data)
+    assert sorted(page_id(r.record_id) for r in W.read(spark, f"{scratch}/w").collect()) == [1, 2]
+    assert [page_id(r.record_id) for r in W.read(spark, f"{scratch}/w", names_like="*.warc").collect()] == [2]
+
+
 def test_gaps_are_logged(spark, scratch):
     import os
     os.makedirs(f"{scratch}/w")

@@ -15,7 +15,11 @@ execution can split at a hot payload.
 The reader takes files whole, which the writer keeps near ``file_bytes``. Every
 record is checked (version line, header, lengths, terminator, digests). After a
 failed check it searches for the next member or version line that starts a
-valid record, goes on from there, and logs the bytes between as a gap.
+valid record, goes on from there, and logs the bytes between as a gap. The same
+is done within a member, and within what a damaged or truncated one inflates to.
+Rows from a valid member have its byte range; of a damaged one, the range up to
+where each record was complete, and the rest is a gap; a record complete only
+with the last byte of a cut file has both its fields and the gap's reason.
 
 Defined results: a null html is an empty payload, a null url an empty target; a
 null id revisits like any other and is the response only where all ids of the
@@ -40,8 +44,11 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_BYTES = 64 << 20
 BROADCAST_PAYLOADS = 200_000
+FILES = "{part-*,*.warc,*.warc.gz}"
 _VERSION = re.compile(rb"WARC/\d+\.\d+\r\n")
 _START = re.compile(rb"\x1f\x8b\x08|WARC/\d+\.\d+\r\n")
+#: How far the end of a header is sought where no check vouches for its start.
+HEADER = 1 << 20
 _EMPTY = zlib.compressobj(6, zlib.DEFLATED, 31).flush()
 
 
@@ -100,12 +107,13 @@ class Bad(Exception):
     """A failed check; the message is the reason that the gap logs."""
 
 
-def parse_record(data: bytes, at: int) -> tuple[dict, int]:
-    """The record at ``at`` and where it ends."""
+def parse_record(data: bytes, at: int, reach: int | None = HEADER) -> tuple[dict, int]:
+    """The record at ``at`` and where it ends; its header ends within ``reach``
+    bytes, or anywhere."""
     version = _VERSION.match(data, at)
     if not version:
         raise Bad("no version line")
-    end = data.find(b"\r\n\r\n", at, at + (1 << 20))
+    end = data.find(b"\r\n\r\n", at, len(data) if reach is None else at + reach)
     if end < 0:
         raise Bad("no end of header")
     try:
@@ -141,38 +149,84 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
             "payload_bytes": size, "payload": payload}, stop + 4
 
 
-def inflated(data: bytes, at: int) -> tuple[bytes, int]:
-    """The gzip member at ``at``, and where it ends. It is fed in parts, so what
-    follows the member is not copied along."""
+def inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at ``at`` inflates to, where it ends, and what is
+    wrong with it. It is fed in parts, so what follows the member is not copied
+    along; a part that fails is fed again by bytes, to keep what it holds."""
     z, out, step = zlib.decompressobj(31), [], 4096
     try:
         while not z.eof and at < len(data):
-            part = data[at:at + step]
-            out.append(z.decompress(part))
+            part, before = data[at:at + step], z.copy()
+            try:
+                out.append(z.decompress(part))
+            except zlib.error:
+                z = before
+                while True:
+                    out.append(z.decompress(data[at:at + 1]))
+                    at += 1
             at += len(part)
             step = min(2 * step, 1 << 20)
     except zlib.error as e:
-        raise Bad("gzip: " + str(e).rpartition(": ")[2]) from None
-    if not z.eof:
-        raise Bad("gzip: cut short")
-    return b"".join(out), at - len(z.unused_data)
+        return b"".join(out), at, "gzip: " + str(e).rpartition(": ")[2]
+    return b"".join(out), at - len(z.unused_data), None if z.eof else "gzip: cut short"
+
+
+def inner_records(inner: bytes, checked: bool):
+    """Yields ``(end, record or None, reason)`` within inflated bytes: records,
+    and gaps up to the next version line that starts a valid record."""
+    at, why = 0, None
+    while at < len(inner):
+        try:
+            record, end = parse_record(inner, at)
+        except Bad as e:
+            why = why or str(e)
+            following = _VERSION.search(inner, at + 1)
+            at = following.start() if following else len(inner)
+            continue
+        if why is not None:
+            yield at, None, why
+            why = None
+        yield end, record, None
+        at = end
+    if why is not None:
+        yield at, None, why
+
+
+def compressed_ends(data: bytes, at: int, ends: list[int]) -> list[int]:
+    """Where the member at ``at`` has inflated to each of ``ends`` bytes."""
+    z, out, made, step = zlib.decompressobj(31), [], 0, 1 << 16
+    for end in ends:
+        while made < end and at < len(data):
+            part, before = data[at:at + step], z.copy()
+            try:
+                made += len(z.decompress(part, end - made))
+            except zlib.error:
+                if step == 1:
+                    break
+                z, step = before, 1
+                continue
+            at += len(part) - len(z.unconsumed_tail)
+        out.append(at)
+    return out
 
 
 def salvage(data: bytes):
     """Yields ``(start, end, record or None, reason)`` for a whole archive:
-    records of every valid member or plain record, and gaps."""
+    records of members and plain records, and gaps."""
     at, gap, why = 0, None, None
     while at < len(data):
+        bad = None
         try:
             if data.startswith(b"\x1f\x8b", at):
-                inner, end = inflated(data, at)
-                pos, found = 0, []
-                while pos < len(inner):
-                    record, pos = parse_record(inner, pos)
-                    found.append(record)
+                inner, end, bad = inflated(data, at)
+                found = list(inner_records(inner, bad is None))
+                if bad:
+                    found = [f for f in found if f[1] is not None]
+                    if not found:
+                        raise Bad(bad)
             else:
                 record, end = parse_record(data, at)
-                found = [record]
+                found = [(end, record, None)]
         except Bad as e:
             if gap is None:
                 gap, why = at, str(e)
@@ -182,8 +236,18 @@ def salvage(data: bytes):
         if gap is not None:
             yield gap, at, None, why
             gap = None
-        for record in found:
-            yield at, end, record, None
+        if bad:
+            for (_, record, _), end in zip(found, compressed_ends(data, at, [f[0] for f in found])):
+                yield at, end, record, bad if end == len(data) else None    # no bytes left for a gap
+                at = end
+            if at == len(data):
+                return
+            gap, why = at, bad
+            following = _START.search(data, at)
+            at = following.start() if following else len(data)
+            continue
+        for _, record, reason in found:
+            yield at, end, record, reason
         at = end
     if gap is not None:
         yield gap, len(data), None, why
@@ -193,8 +257,8 @@ SCHEMA = ("file string, start long, end long, gap string, type string, record_id
           "refers_to_id string, payload_digest string, payload_bytes long, payload binary")
 
 
-def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """Rows of ``SCHEMA``: records (``gap`` null) and quarantined gaps, which
+def read(spark: SparkSession, path: str, with_payload: bool = True, names_like: str = FILES) -> DataFrame:
+    """Rows of the files whose names fit the glob ``names_like``, as ``SCHEMA``: records (``gap`` null) and quarantined gaps, which
     have the reason there and only the file and byte range besides."""
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
@@ -216,7 +280,7 @@ def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame
         kinds = {"start": pa.int64(), "end": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
         return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], kinds.get(n, pa.string())) for n in names],
                                           names=names)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names_like).load(path)
     return files.select("path", "content").mapInArrow(run, SCHEMA)
 
 
