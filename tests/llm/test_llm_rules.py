@@ -8,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 
 from tests.conftest import SF_SMALL
 from tickspan.llm import decontam as D, license_scan as L, quality as Q, secret_scan as S
-from tickspan.llm.licence_texts import KNOWN, MIT
+from tickspan.llm.licence_texts import BSD_HEAD, BSD_NAME, BSD_TAIL, FULL, KNOWN, MIT
 
 TEXTS = [None, "", " ", "a b c a b c", "a b c d a b c", "x x x x", "x x x", "\n\n", "a\na\n \n \nb\na", "é\xa0é #* <>　x",
          "a b\ta b\ra b\x0ba b\x0c c", "w " * 50000, "#$" * 10]
@@ -255,3 +255,18 @@ def test_every_known_text_is_found(spark):
     docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(KNOWN)], "doc_id long, text string")
     got = {r.doc_id: r.license for r in L.scan(docs).where("scope = 'text'").collect()}
     assert got == {i: name for i, (name, _) in enumerate(KNOWN)}
+
+
+def test_full_texts_and_common_forms_of_licences(spark):
+    bullets = (BSD_HEAD + BSD_NAME).replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ") + BSD_TAIL
+    forms = [("BSD-3-Clause", "Copyright (c) 2010, X\nAll rights reserved.\n\n" + BSD_HEAD + BSD_NAME + BSD_TAIL),
+             ("BSD-3-Clause", "Copyright 2010 X. All rights reserved.\n\n" + bullets), ("BSD-3-Clause", bullets.replace("* ", " - ")),
+             ("BSD-2-Clause", "BSD 2-Clause License\n\nCopyright (c) 2010 X\nAll Rights Reserved\n\n" + BSD_HEAD + BSD_TAIL),
+             ("MIT", "Copyright OpenJS Foundation and other contributors\n\n" + MIT), ("MIT", "Copyright Joyent, Inc.\n" + MIT),
+             ("MIT", "Copyright: 2020 X\n\n" + MIT), ("MIT", "MIT License\n\nCopyright Jane Doe <j@d.org>\n\n" + " ".join(MIT.split()))]
+    want = [*forms, *FULL]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(want)], "doc_id long, text string")
+    rows = L.scan(docs).where("scope = 'text'").collect()
+    assert sorted((r.doc_id, r.license) for r in rows) == [(i, name) for i, (name, _) in enumerate(want)]
+    own = spark.createDataFrame([("own", "my words")], "license string, text string")
+    assert [r.license for r in L.scan(spark.createDataFrame([(1, "My words!")], "doc_id long, text string"), own).collect()] == ["own"] * 2

@@ -4,7 +4,9 @@ A text is reduced to a canonical form: lower case, copyright lines left out,
 equivalent spellings made one, every run of other characters than letters and
 digits a space. Whole texts, and each of their lines, are hashed and joined to
 the digests of known licences and notices, whose forms are made the same way.
-All of it is column expressions; the known digests are broadcast when they are
+A whole text that is no known one in this form is
+held against them once more without lines that start with copyright and name a
+holder, "all rights reserved" and list markers. All of it is column expressions; the known digests are broadcast when they are
 counted to be few.
 
 Defined results: null or empty texts, and texts of copyright lines alone, match
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickspan.llm.licence_texts import KNOWN
+from tickspan.llm.licence_texts import FULL, KNOWN
 from tickspan.llm.quality import let
 from tickspan.session import cut_lineage
 
@@ -30,6 +32,12 @@ SPELLINGS = (("licenc", "licens"), ("copyright owner", "copyright holder"), ("pe
 #: A copyright line names a year or a holder after the word or sign.
 COPYRIGHT = (r"^[^\p{L}\p{N}\n]*(?:\([c]\)|\x{A9}|copyright[ \t]*(?:\(c\)|\x{A9}|[0-9]|by\b|the\b|<|\[))"
              r"[^\n]*")
+#: What the second form of whole texts leaves out. Prose that wraps after "copyright" goes on with one of these words.
+HOLDER = (r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\x{A9})(?![ \t]*(?:[^\p{L}\p{N}\n]*$|(?:holder|owner|notice|licen|law|and|or|in|of|to|is|"
+          r"as|are|interest|statement|protection|permission|treat|act|office|status|right|infring|on|disclaimer|applies|for|by[ \t]+the|"
+          r"under|material|ownership|assign|grant|claim|term|work|doctrine|restriction|conditions|if|that|which|with|may|shall)))[^\n]*")
+RESERVED = r"all[ \t\n]+rights[ \t\n]+reserved\b"
+MARKER = r"(?m)^[ \t]*(?:[-*+\x{2022}]|\(?(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})[.)])(?=[ \t])"
 
 
 def canonical(text: Column) -> Column:
@@ -41,30 +49,44 @@ def canonical(text: Column) -> Column:
     return form
 
 
+def bare(text: Column) -> Column:
+    """The second canonical form, of a whole text, in one line."""
+    form = F.lower(text)
+    for what in (HOLDER, RESERVED, MARKER):
+        form = F.regexp_replace(form, what, "")
+    return one_line(canonical(form))
+
+
 def one_line(form: Column) -> Column:
     return F.trim(F.regexp_replace(form, r"[ \n]+", " "))
 
 
 def known_digests(known: DataFrame) -> DataFrame:
-    """``license, digest`` of texts in ``license, text``; equal forms once."""
-    form = one_line(canonical(F.col("text")))
-    return (known.select("license", form.alias("form")).where("form <> ''")
-            .groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license")))
+    """``license, digest, bare`` of texts in ``license, text``; equal forms once."""
+    forms = F.array(F.struct(F.lit(False).alias("bare"), one_line(canonical(F.col("text"))).alias("form")),
+                    F.struct(F.lit(True).alias("bare"), bare(F.col("text")).alias("form")))
+    return (known.select("license", F.inline(forms)).where("form <> ''")
+            .groupBy(F.sha2("form", 256).alias("digest"), "bare").agg(F.min("license").alias("license")))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per match: ``<id>, scope`` (text or line), ``line`` (from 1; 0
-    for the whole text), ``license, digest``."""
+    for the whole text), ``license, digest``. ``known``: ``license, text``, in
+    place of the texts held here."""
     spark = docs.sparkSession
     if known is None:
-        known = spark.createDataFrame(list(KNOWN), "license string, text string")
+        known = spark.createDataFrame([*KNOWN, *FULL], "license string, text string")
     digests = cut_lineage(known_digests(known))
     if digests.count() <= BROADCAST_KNOWN:
         digests = F.broadcast(digests)
-    src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                      F.monotonically_increasing_id().alias("_row"))
+    # The whole text twice, then its lines.
     units = let(canonical(F.col("text")), lambda f: F.concat(
-        F.array(one_line(f)), F.transform(F.split(f, "\n"), lambda x: F.trim(x))))
-    rows = src.select("id", F.posexplode(units).alias("line", "form")).where("form <> ''")
-    found = rows.select("id", "line", F.sha2("form", 256).alias("digest")).join(digests, "digest")
-    return found.select(F.col("id").alias(id_col), F.when(F.col("line") == 0, "text").otherwise("line").alias("scope"),
-                        F.col("line").cast("long").alias("line"), "license", "digest")
+        F.array(one_line(f), bare(F.col("text"))), F.transform(F.split(f, "\n"), lambda x: F.trim(x))))
+    rows = src.select("_row", "id", F.posexplode(units).alias("at", "form")).where("form <> ''")
+    found = rows.select("_row", "id", F.greatest(F.col("at") - 1, F.lit(0)).alias("line"), (F.col("at") == 1).alias("bare"),
+                        F.sha2("form", 256).alias("digest")).join(digests, ["digest", "bare"])
+    best = found.groupBy("_row", "id", "line").agg(F.min(F.struct("bare", "license", "digest")).alias("m"))
+    return best.select(F.col("id").alias(id_col), F.when(F.col("line") == 0, "text").otherwise("line").alias("scope"),
+                       F.col("line").cast("long").alias("line"), "m.license", "m.digest")
