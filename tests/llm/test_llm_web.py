@@ -226,6 +226,11 @@ def test_salvage_within_a_member(hurt):
         assert [a for a, *_ in rows] == [0] + [b for _, b, *_ in rows[:-1]] and rows[-1][1] == len(pack) + len(after)
 
 
+def test_a_header_of_any_length_is_read():
+    data = b"".join(W.member(W.make_record(i, "http://h/" + "é" * 300_000, b"x")) for i in range(2))
+    assert [(page_id(r["record_id"]), why) for _, _, r, why in W.salvage(data)] == [(0, None), (1, None)]
+
+
 def test_usual_file_names_are_read(spark, scratch):
     import os
     os.makedirs(f"{scratch}/w")

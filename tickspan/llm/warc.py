@@ -177,7 +177,7 @@ def inner_records(inner: bytes, checked: bool):
     at, why = 0, None
     while at < len(inner):
         try:
-            record, end = parse_record(inner, at)
+            record, end = parse_record(inner, at, None if checked and why is None else HEADER)
         except Bad as e:
             why = why or str(e)
             following = _VERSION.search(inner, at + 1)
