@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickspan.llm import decontam, license_scan, quality, url_filter
+from tickspan.llm import decontam, license_scan, quality, sharding, url_filter
 from tickspan.llm.licence_texts import KNOWN
 
 QUALITY = rf"""
@@ -120,3 +120,31 @@ FROM j LEFT JOIN z USING (host)
 
 
 URL_FILTER = _url_filter()
+
+
+def _draw(salt: str) -> str:
+    digits = sharding.BITS // 4
+    return f"CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '{salt}'), 1, {digits}) AS BIGINT)"
+
+
+def _winner(n: int) -> str:
+    cost = ", ".join(f"{{'cost': -ln(({_draw(f':{s}')} + 0.5) / {float(1 << sharding.BITS)}), 'shard': {s}}}" for s in range(n))
+    return f"CAST(list_min([{cost}]).shard AS INTEGER)"
+
+
+# DuckDB has no CRC-32: the remainder of the division, byte by byte from a table made here.
+SHARDING = f"""
+WITH t AS (SELECT list(c ORDER BY b) AS tab FROM (
+    SELECT b, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS c
+    FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS b))),
+d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x,
+             {_winner(8)} AS shard, {_winner(9)} AS grown_shard, {_draw('')} AS mark FROM documents),
+b AS (SELECT r, i, CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT) AS v
+      FROM (SELECT r, x, unnest(range(length(x) // 2)) AS i FROM d))
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY mark, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
+FROM (SELECT d.*, CAST(length(x) // 2 + 1 AS BIGINT) AS size, CAST(coalesce(crc, 0) AS BIGINT) AS text_crc32
+      FROM d LEFT JOIN (SELECT r, xor(list_reduce(list(v ORDER BY i), lambda c, v: xor(c >> 8, tab[(xor(c, v) & 255) + 1]), 4294967295),
+                                      4294967295) AS crc
+                        FROM b, t GROUP BY r, tab) USING (r))
+"""

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickspan.llm import (decontam, html_text, license_scan, oracle, packing, quality, secret_scan, simhash,
-                          token_count, url_filter, warc)
+from tickspan.llm import (decontam, html_text, license_scan, oracle, packing, quality, secret_scan, sharding,
+                          simhash, token_count, url_filter, warc)
 from tickspan.llm.common import read, shared_path
 
 
@@ -56,6 +56,10 @@ def op10_html_text(spark, sf_dir):
     return html_text.extract(read(spark, sf_dir, "pages"))
 
 
+def op12_sharding(spark, sf_dir):
+    return sharding.shards(read(spark, sf_dir, "documents"), n=8)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_counts": op2_token_counts,
@@ -67,6 +71,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_html_text": op10_html_text,
+    "op12_sharding": op12_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -74,4 +79,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_filter": oracle.URL_FILTER,
     "op6_quality_rules": oracle.QUALITY,
     "op8_decontamination": oracle.DECONTAMINATION,
+    "op12_sharding": oracle.SHARDING,
 }
