@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickspan.llm import (decontam, html_text, license_scan, oracle, packing, quality, secret_scan, sharding,
-                          simhash, token_count, url_filter, warc)
+from tickspan.llm import (alignment, decontam, html_text, license_scan, oracle, packing, quality, secret_scan,
+                          sharding, simhash, token_count, url_filter, warc)
 from tickspan.llm.common import read, shared_path
 
 
@@ -60,6 +60,10 @@ def op12_sharding(spark, sf_dir):
     return sharding.shards(read(spark, sf_dir, "documents"), n=8)
 
 
+def op13_alignment(spark, sf_dir):
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_token_counts": op2_token_counts,
@@ -72,6 +76,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_html_text": op10_html_text,
     "op12_sharding": op12_sharding,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
