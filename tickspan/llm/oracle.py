@@ -148,3 +148,32 @@ FROM (SELECT d.*, CAST(length(x) // 2 + 1 AS BIGINT) AS size, CAST(coalesce(crc,
                                       4294967295) AS crc
                         FROM b, t GROUP BY r, tab) USING (r))
 """
+
+
+def _centroids(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = 256, seed: str = "2") -> str:
+    """All distances in every round; a round's centroids are its predecessor's clusters' floored means."""
+    def nearest(now: int) -> str:
+        d = "list_sum(list_transform(list_zip(kept.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+        return (f"a{now} AS MATERIALIZED (SELECT r, vec_id, any_value(v) AS v, min({{'d': d, 'c': c}}) AS m FROM "
+                f"(SELECT kept.r, kept.vec_id, kept.v, c.c, CAST({d} AS BIGINT) AS d FROM kept, c{now} AS c) GROUP BY r, vec_id)")
+
+    def means(now: int) -> str:
+        return (f"m{now} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (SELECT c, i, CAST(sum(x) AS BIGINT) AS s, "
+                f"count(*) AS n FROM (SELECT m.c AS c, unnest(v) AS x, unnest(range({dims})) AS i FROM a{now}) GROUP BY c, i) GROUP BY c),\n"
+                f"c{now + 1} AS MATERIALIZED (SELECT c, coalesce(m.v, o.v) AS v FROM c{now} AS o LEFT JOIN m{now} AS m USING (c))")
+    steps = ",\n".join(x for now in range(rounds) for x in (nearest(now), means(now)))
+    return f"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE len(embedding) = {dims}),
+kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(e, lambda x: CAST(floor({scale} * x) AS BIGINT)) AS v FROM e
+         WHERE len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v FROM (
+        SELECT sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, v FROM kept ORDER BY h, v LIMIT {k})),
+{steps},
+{nearest(rounds)}
+SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, m.d AS distance, CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(m.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} AS c ON c.c = m.c
+"""
+
+
+CENTROIDS = _centroids()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickspan.llm import (alignment, decontam, html_text, license_scan, oracle, packing, quality, secret_scan,
+from tickspan.llm import (alignment, centroids, decontam, html_text, license_scan, oracle, packing, quality, secret_scan,
                           sharding, simhash, token_count, url_filter, warc)
 from tickspan.llm.common import read, shared_path
 
@@ -56,6 +56,10 @@ def op10_html_text(spark, sf_dir):
     return html_text.extract(read(spark, sf_dir, "pages"))
 
 
+def op11_centroids(spark, sf_dir):
+    return centroids.clusters(read(spark, sf_dir, "embeddings"))
+
+
 def op12_sharding(spark, sf_dir):
     return sharding.shards(read(spark, sf_dir, "documents"), n=8)
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_html_text": op10_html_text,
+    "op11_centroids": op11_centroids,
     "op12_sharding": op12_sharding,
     "op13_alignment": op13_alignment,
 }
@@ -84,5 +89,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_filter": oracle.URL_FILTER,
     "op6_quality_rules": oracle.QUALITY,
     "op8_decontamination": oracle.DECONTAMINATION,
+    "op11_centroids": oracle.CENTROIDS,
     "op12_sharding": oracle.SHARDING,
 }
