@@ -116,13 +116,13 @@ def test_assign_ids_dense_across_partitions(spark):
 
 def test_segmented_scan_equals_per_symbol_scan(spark):
     ch = testfeeds.feed_c_changes(spark, SF_MID)
-    for days in (1, 3):
-        a = sorted(wl.change_outcomes(ch, bucket_days=days).collect())
-        b = sorted(wl.change_outcomes(ch, bucket_days=None).collect())
+    for blocks in (3, 16, None):
+        a = sorted(wl.change_outcomes(ch, blocks=blocks).collect())
+        b = sorted(wl.change_outcomes(ch, blocks=1).collect())
         assert a == b
-    snap = wl.apply_changes(ch.where(F.col("op") == "add"), bucket_days=None)
+    snap = wl.apply_changes(ch.where(F.col("op") == "add"), blocks=1)
     rest = ch.where(F.col("op") != "add")
-    assert sorted(wl.apply_changes(rest, snap).collect()) == sorted(wl.apply_changes(rest, snap, bucket_days=None).collect())
+    assert sorted(wl.apply_changes(rest, snap).collect()) == sorted(wl.apply_changes(rest, snap, blocks=1).collect())
 
 
 def test_random_logs_match_row_fold(spark):
@@ -176,6 +176,6 @@ def test_changes_without_symbol_or_time_keep_their_outcome(spark):
     got = {r.event_id: (r.outcome, r.changed) for r in wl.change_outcomes(ch).collect()}
     assert got == {1: ("added", True), 2: ("invalid_symbol", False), 3: ("invalid_symbol", False), 4: ("deactivated", True),
                    5: ("invalid_symbol", False), 6: ("already_active", False)}
-    assert got == {r.event_id: (r.outcome, r.changed) for r in wl.change_outcomes(ch, bucket_days=None).collect()}
+    assert got == {r.event_id: (r.outcome, r.changed) for r in wl.change_outcomes(ch, blocks=1).collect()}
     snap = wl.apply_changes(ch).collect()
     assert [(r.symbol, r.is_active, r.watchlist_id) for r in snap] == [("AAA", False, 1)]

@@ -15,13 +15,16 @@ Rules of the four operations (``op``):
 * ``update``     – exact symbol. Present (any status): overwrite the three
                    attributes ('' → NULL), updated = event time. Absent: nothing.
 
-Closed form (no per-row loop): snapshot rows enter as ``seed`` events that
-precede every change. Per symbol, ordered by (phase, event_ts, event_id), a
-prefix scan gives whether the symbol exists and its status before each event
-(split into day segments with carried state, see ``classify_events``); from
-those an event is *effective* or not. The next snapshot is then a grouped
-aggregate (``max_by`` / ``min_by`` over effective events), which Spark
-combines partially before the shuffle.
+No per-row loop: a run of events acts on a symbol's state (absent, inactive,
+active) as a pair – does it create the symbol, which status does it set last –
+and pairs compose associatively: ``(a, s) then (b, t) = (a or b, t else s)``.
+Snapshot rows enter as ``seed`` events that precede every change. The log, in
+the order (symbol, phase, event_ts, event_id), is cut into blocks of consecutive
+rows; each block is scanned on its own and the blocks' pairs are composed into
+the state on entry (see ``classify_events``), so a symbol's log is spread over
+as many tasks as it fills. From the state before it an event is *effective* or
+not. The next snapshot is then a grouped aggregate (``max_by`` / ``min_by`` over
+effective events), which Spark combines partially before the shuffle.
 """
 
 from __future__ import annotations
@@ -47,7 +50,6 @@ OUTCOMES = {
 }
 NOT_FOUND = "not_found"
 INVALID = "invalid_symbol"      # no symbol, or an empty one once stripped
-NO_DAY = -(1 << 40)             # the first segment: events without a time
 
 
 def make_changes(spark, items, start=None) -> DataFrame:
@@ -90,67 +92,68 @@ def _event_stream(snapshot: DataFrame | None, changes: DataFrame) -> DataFrame:
     return seeds.unionByName(ch)
 
 
-def classify_events(snapshot: DataFrame | None, changes: DataFrame, bucket_days: int | None = 1) -> DataFrame:
+def _ordered_blocks(ev: DataFrame, blocks: int | None) -> DataFrame:
+    """Events in blocks of consecutive rows of the total order (symbol, phase,
+    event_ts, event_id, contents): ``_block`` and the position ``_at``.
+
+    Blocks are range partitions of the whole key and a row number, so their size
+    depends on neither symbols nor days, and equal rows are split as well. The
+    blocks are checkpointed: the range bounds are sampled once, and a lost task
+    later on cannot see others."""
+    from tickspan.session import cut_lineage
+    keys = ["symbol", "_phase", "event_ts", "event_id", "_tie", "_row"]
+    ev = ev.withColumns({"_tie": F.xxhash64("op", "company_name", "category", "notes"), "_row": F.monotonically_increasing_id()})
+    dealt = ev.repartitionByRange(blocks, *keys) if blocks else ev.repartitionByRange(*keys)
+    dealt = dealt.sortWithinPartitions(*keys).drop("_row").withColumn("_at", F.monotonically_increasing_id())
+    # The id numbers rows by partition: its high half is the partition.
+    return cut_lineage(dealt.withColumn("_block", F.shiftright("_at", 33)))
+
+
+def classify_events(snapshot: DataFrame | None, changes: DataFrame, blocks: int | None = None) -> DataFrame:
     """Every event with ``_exists_before``, ``_active_before`` (NULL when the
     symbol does not exist), ``_effective`` and ``_ord`` (its position).
 
-    The state before an event is a prefix scan over the symbol's events. With
-    ``bucket_days`` the scan is split so that no task holds one symbol's whole
-    log: events are grouped into (symbol, day-bucket) segments; a partial
-    aggregate summarises each segment (does it create the symbol, what status
-    does it leave), small windows over those summaries give each segment its
-    state on entry, and the per-event windows then run per segment. Snapshot
-    seeds form their own first segment. ``bucket_days=None`` scans per symbol.
+    Each block of the ordered log composes the pair of every symbol in it (one
+    partial aggregate); a symbol's pairs, one per block, are composed in order to
+    the state on entry. Blocks hold consecutive rows, so only the first symbol of
+    a block can have come before: at most one entry per block is joined back, by
+    broadcast. ``blocks``: how many (default: as many as a shuffle makes).
 
     Events without a symbol (NULL or blank) change nothing and are never
-    shuffled by it; events without a time come first.
+    shuffled by it; events without a time come first; events that tie on time and
+    id go by a hash of their contents.
     """
     ev = _event_stream(snapshot, changes)
     op = F.col("op")
     status = (F.when(op == "seed", F.col("_seed_active"))
               .when(op.isin("add", "reactivate"), F.lit(True))
               .when(op == "deactivate", F.lit(False)))
-    day = (F.coalesce(F.floor(F.unix_date(F.to_date("event_ts")) / F.lit(bucket_days)).cast("long"), F.lit(NO_DAY))
-           if bucket_days else F.lit(0).cast("long"))
     # The add form refuses an empty symbol: such an event changes nothing.
     valid = F.coalesce(F.col("symbol") != F.lit(""), F.lit(False))
-    ev = ev.withColumns({
-        "_valid": valid,
-        "_start": (op.isin("seed", "add") & valid).cast("int"),
-        "_sv": F.when(valid, status),
-        "_ord": F.struct("_phase", "event_ts", "event_id"),
-        "_day": F.when(F.col("_phase") == 0, F.lit(0).cast("long")).otherwise(day),
-    })
+    ev = ev.withColumns({"_valid": valid, "_start": op.isin("seed", "add") & valid, "_sv": F.when(valid, status)})
     none = ev.where(~F.col("_valid")).withColumns({
         "_exists_at": F.lit(False), "_status": F.lit(None).cast("boolean"), "_exists_before": F.lit(False),
         "_active_before": F.lit(None).cast("boolean"), "_effective": F.lit(False)})
-    ev = ev.where(F.col("_valid"))
-    seg = ["symbol", "_phase", "_day"]
-
-    # Segment summaries and the state each segment starts from.
-    summ = ev.groupBy(*seg).agg(
-        F.max("_start").alias("_has_start"),
-        F.max_by("_sv", F.when(F.col("_sv").isNotNull(), F.col("_ord"))).alias("_last_sv"))
-    ws = Window.partitionBy("symbol").orderBy("_phase", "_day")
-    before_seg = ws.rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.withColumn("_x_in", F.coalesce(F.max("_has_start").over(before_seg), F.lit(0)) == 1)
-    # A segment changes the status only once the symbol exists in it.
-    summ = summ.withColumn("_sv_out", F.when(F.col("_x_in") | (F.col("_has_start") == 1), F.col("_last_sv")))
-    summ = summ.withColumn("_s_in", F.last("_sv_out", ignorenulls=True).over(before_seg))
-    # A shuffle join on the segment key: its exchange is also the one the
-    # per-segment windows below need.
-    ev = ev.join(summ.select(*seg, "_x_in", "_s_in"), seg)
-
-    w = Window.partitionBy(*seg).orderBy("_ord")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    ev = ev.withColumn("_exists_at", F.col("_x_in") | (F.max("_start").over(upto) == 1))
+    ev = _ordered_blocks(ev.where(F.col("_valid")), blocks)
+
+    # The pair of every (symbol, block), and what the symbol's earlier blocks compose to.
+    pairs = ev.groupBy("symbol", "_block").agg(
+        F.max("_start").alias("_creates"), F.max_by("_sv", F.when(F.col("_sv").isNotNull(), F.col("_at"))).alias("_sets"))
+    earlier = Window.partitionBy("symbol").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    entry = pairs.select("symbol", "_block", F.max("_creates").over(earlier).alias("_x_in"),
+                         F.last("_sets", ignorenulls=True).over(earlier).alias("_s_in")).where(F.col("_x_in").isNotNull())
+    ev = ev.join(F.broadcast(entry), ["symbol", "_block"], "left")
+
+    # Within a block the pair of the events before: it creates, or the symbol came in.
+    before = Window.partitionBy("symbol", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    ev = ev.withColumns({
+        "_exists_before": F.coalesce(F.col("_x_in"), F.lit(False)) | F.coalesce(F.max("_start").over(before), F.lit(False)),
+        "_sets": F.coalesce(F.last("_sv", ignorenulls=True).over(before), F.col("_s_in"))})
+    ev = ev.withColumns({"_active_before": F.when(F.col("_exists_before"), F.col("_sets")),
+                         "_exists_at": F.col("_exists_before") | F.col("_start"),
+                         "_ord": F.struct("_phase", "event_ts", "event_id", "_tie")})
     # Status changes of a symbol that does not exist yet are no-ops.
     ev = ev.withColumn("_status", F.when(F.col("_exists_at"), F.col("_sv")))
-    ev = ev.withColumns({
-        "_exists_before": F.col("_x_in") | F.coalesce(F.max("_start").over(before) == 1, F.lit(False)),
-        "_active_before": F.coalesce(F.last("_status", ignorenulls=True).over(before), F.col("_s_in")),
-    })
     eb, ab = F.col("_exists_before"), F.col("_active_before")
     effective = (F.when(op == "seed", F.lit(True))
                  .when(op == "add", ~eb | ~ab)
@@ -158,17 +161,18 @@ def classify_events(snapshot: DataFrame | None, changes: DataFrame, bucket_days:
                  .when(op == "reactivate", eb & ~ab)
                  .when(op == "update", eb)
                  .otherwise(F.lit(False)))
-    return ev.withColumn("_effective", effective).drop("_x_in", "_s_in").unionByName(none)
+    ev = ev.withColumn("_effective", effective).drop("_x_in", "_s_in", "_sets", "_block", "_at", "_tie")
+    return ev.unionByName(none.withColumn("_ord", F.lit(None).cast(ev.schema["_ord"].dataType)))
 
 
 def change_outcomes(changes: DataFrame, snapshot: DataFrame | None = None,
-                    bucket_days: int | None = 1) -> DataFrame:
+                    blocks: int | None = None) -> DataFrame:
     """One row per change: event_id, symbol (as matched), op, outcome.
 
     Outcomes: added, reactivated, already_active, deactivated,
     already_inactive, updated, not_found (a change to an absent symbol),
     invalid_symbol (a change whose symbol is NULL or blank)."""
-    ev = classify_events(snapshot, changes, bucket_days).where(F.col("op") != "seed")
+    ev = classify_events(snapshot, changes, blocks).where(F.col("op") != "seed")
     prior = (F.when(~F.col("_exists_before"), F.lit("absent"))
              .when(F.col("_active_before"), F.lit("active")).otherwise(F.lit("inactive")))
     label = F.lit(NOT_FOUND)
@@ -180,13 +184,13 @@ def change_outcomes(changes: DataFrame, snapshot: DataFrame | None = None,
 
 
 def apply_changes(changes: DataFrame, snapshot: DataFrame | None = None,
-                  id_offset=None, bucket_days: int | None = 1) -> DataFrame:
+                  id_offset=None, blocks: int | None = None) -> DataFrame:
     """Next watchlist snapshot (``WATCHLIST`` layout).
 
     Symbols kept from ``snapshot`` keep their ids; new symbols get ids above
     the snapshot's maximum (or above ``id_offset``), numbered in symbol order
     (see ``assign_ids``)."""
-    ev = classify_events(snapshot, changes, bucket_days)
+    ev = classify_events(snapshot, changes, blocks)
     ordv = F.col("_ord")
     eff = F.col("_effective")
     carries = eff & F.col("op").isin("seed", "add", "update")

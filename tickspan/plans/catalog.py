@@ -287,6 +287,16 @@ def watchlist_outcomes_dirty(spark, sf_dir):
     return wl.change_outcomes(testfeeds.feed_c_dirty(spark, sf_dir))
 
 
+def watchlist_outcomes_hot_symbol(spark, sf_dir):
+    """Outcomes of a log that one symbol and one day dominate."""
+    return wl.change_outcomes(testfeeds.feed_c_hot(spark, sf_dir))
+
+
+def watchlist_hot_symbol_applied(spark, sf_dir):
+    """The snapshot after that log, cut into more blocks than there are cores."""
+    return wl.apply_changes(testfeeds.feed_c_hot(spark, sf_dir), blocks=32)
+
+
 def starter_rows_inserted(spark, sf_dir):
     """The starter tickers inserted into feed A's watchlist."""
     return wl.insert_if_absent(testfeeds.feed_a_watchlist(spark, sf_dir), starter_tickers(spark), load_ts=FEED_C_LOAD_TS)
@@ -325,6 +335,8 @@ QUERIES.update({
     "watchlist_apply_changes": watchlist_apply_changes,
     "watchlist_change_outcomes": watchlist_change_outcomes,
     "watchlist_outcomes_dirty": watchlist_outcomes_dirty,
+    "watchlist_outcomes_hot_symbol": watchlist_outcomes_hot_symbol,
+    "watchlist_hot_symbol_applied": watchlist_hot_symbol_applied,
     "starter_rows_inserted": starter_rows_inserted,
     "raw_rows_with_defaults": raw_rows_with_defaults,
     "watchlist_fold_from_snapshot": watchlist_fold_from_snapshot,

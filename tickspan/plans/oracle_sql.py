@@ -531,6 +531,13 @@ dirty_c AS (
     FROM changes_c
 )"""
 
+HOT_C = """
+hot_c AS (
+    SELECT event_id, event_ts - (CAST(event_ts AS DATE) - DATE '2024-01-01') * INTERVAL 1 DAY AS event_ts,
+           CASE WHEN event_id % 3 < 2 THEN 'HOT' ELSE symbol END AS symbol, op, company_name, category, notes
+    FROM changes_c
+)"""
+
 
 def fold(name: str, changes: str, snapshot: str | None = None) -> str:
     """A change log folded over an optional snapshot relation, one change after
@@ -616,6 +623,8 @@ ORACLE_SQL.update({
     "watchlist_apply_changes": folded(*FOLD_C) + "SELECT * FROM wl",
     "watchlist_change_outcomes": folded(*FOLD_C) + outcomes("wl"),
     "watchlist_outcomes_dirty": folded(CHANGES_C, DIRTY_C, fold("dirty", "dirty_c")) + outcomes("dirty"),
+    "watchlist_outcomes_hot_symbol": folded(CHANGES_C, HOT_C, fold("hot", "hot_c")) + outcomes("hot"),
+    "watchlist_hot_symbol_applied": folded(CHANGES_C, HOT_C, fold("hot", "hot_c")) + "SELECT * FROM hot",
     "starter_rows_inserted": with_(WATCHLIST_A) + f"""
         SELECT (SELECT max(watchlist_id) FROM watchlist_a) + row_number() OVER (ORDER BY s.symbol) AS watchlist_id, s.*,
                TRUE AS is_active, TIMESTAMP '2024-02-01 00:00:00' AS created_at, TIMESTAMP '2024-02-01 00:00:00' AS updated_at

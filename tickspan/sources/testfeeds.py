@@ -121,3 +121,14 @@ def feed_c_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         "symbol": F.when(part == 0, F.lit(None)).when(part == 1, F.lit("  ")).when(part == 2, F.lit(""))
                    .otherwise(F.col("symbol")),
         "event_ts": F.when(part != 3, F.col("event_ts"))})
+
+
+HOT_DAY = "2024-01-01"
+
+
+def feed_c_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed C moved to one day, two thirds of it to one symbol."""
+    day = F.lit(HOT_DAY).cast("date")
+    return feed_c_changes(spark, sf_dir).withColumns({
+        "event_ts": F.col("event_ts") - F.make_dt_interval(F.date_diff(F.to_date("event_ts"), day)),
+        "symbol": F.when(F.pmod("event_id", F.lit(3)) < 2, "HOT").otherwise(F.col("symbol"))})
