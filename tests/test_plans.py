@@ -45,3 +45,15 @@ def test_a_fold_runs_once(spark):
     """The returned snapshot reads the checkpointed fold, never the log again."""
     plan = QUERIES["watchlist_apply_changes"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "events" not in plan and "FileScan" not in plan
+
+
+def test_a_benchmark_comparison_reads_the_history_once(spark):
+    """What is returned reads the checkpointed returns only; dedup and windows ran once before."""
+    plan = _plan(QUERIES["benchmark_cumulative_return"](spark, SF_SMALL))
+    assert "FileScan" not in plan and "Window" not in plan
+
+
+def test_active_mart_drops_other_tickers_before_dedup(spark):
+    lines = QUERIES["mart_active_performance"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    dedup = max(i for i, x in enumerate(lines) if "WindowGroupLimit" in x or "row_number" in x)
+    assert any("LeftSemi" in x for x in lines[dedup:])

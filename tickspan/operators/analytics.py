@@ -2,14 +2,14 @@
 
 The page computes these for one selected ticker; here each is a DataFrame over
 all tickers (or filtered to one with ``symbol=``). First / last rows of a
-ticker's history are ``min_by`` / ``max_by`` aggregates – partial aggregation
-runs map-side, so a ticker with a huge history is combined before the shuffle –
-never a sort of the whole history in one task.
+ticker's history are ``min_by`` / ``max_by`` aggregates: partial aggregation
+runs map-side, so a ticker with a huge history is combined before the shuffle.
+Cumulative returns ride on the per-ticker order the indicators already have.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickspan.functions import safe_divide
 from tickspan.operators.joins import join_small
@@ -120,46 +120,43 @@ def investment_scenario(history: DataFrame, amount: float = SCENARIO_AMOUNT) ->
     )
 
 
-def cumulative_returns(history: DataFrame, ticker_rows: int | None = None) -> DataFrame:
+def cumulative_returns(history: DataFrame) -> DataFrame:
     """(close / first close − 1) · 100 per row, each ticker based on its own
-    first row. The first close per ticker is a partial aggregate joined back
-    (one row per ticker), not a window over a whole ticker history."""
-    base = history.groupBy("ticker_symbol").agg(F.min_by("close_price", "trading_date").alias("_base"))
-    j = join_small(history, base, "ticker_symbol", "inner", known_rows=ticker_rows)
-    return j.select("ticker_symbol", "trading_date",
-                    ((safe_divide(F.col("close_price"), F.col("_base")) - 1) * 100)
-                    .alias("cumulative_return_pct"))
+    first row. A window per ticker and date: the history comes from windows of the
+    same partitioning and order, so this needs no exchange and no second read."""
+    w = Window.partitionBy("ticker_symbol").orderBy("trading_date").rowsBetween(Window.unboundedPreceding, 0)
+    return history.select("ticker_symbol", "trading_date",
+                          ((safe_divide(F.col("close_price"), F.first("close_price").over(w)) - 1) * 100)
+                          .alias("cumulative_return_pct"))
 
 
 def benchmark_comparison(history: DataFrame, benchmark: str | Column | None = None,
-                         ticker_rows: int | None = None, series_rows: int | None = None,
-                         symbols: DataFrame | None = None) -> DataFrame:
+                         series_rows: int | None = None) -> DataFrame:
     """Cumulative return of every ticker next to a benchmark ticker's, on the
     dates both have.
 
     ``benchmark``: a symbol or Column (the benchmark itself is then not
     compared with itself), or ``None`` for the page's default: the first
     symbol in order other than the ticker – the first symbol for every ticker
-    but itself, which gets the second. Both come from scalar subqueries over
-    ``symbols`` (default: the history's symbols). Benchmark series are at
-    most two tickers over one period (``series_rows`` dates each), joined on
-    (date, benchmark) behind that bound or a size check."""
+    but itself, which gets the second.
+
+    The history is read once: cumulative returns (three columns a row) are
+    checkpointed, and the symbols, the benchmark series and the rows all come from
+    there. The series are at most two tickers over one period (``series_rows``
+    dates each), joined on (date, benchmark) behind that bound or a size check."""
+    from tickspan.session import cut_lineage
+    cum = cut_lineage(cumulative_returns(history))
     if benchmark is None:
-        src = (symbols if symbols is not None else history).select("ticker_symbol")
-        first = src.select(F.min("ticker_symbol")).scalar()
-        second = src.where(F.col("ticker_symbol") > first).select(F.min("ticker_symbol")).scalar()
+        first = cum.select(F.min("ticker_symbol")).scalar()
+        second = cum.where(F.col("ticker_symbol") > first).select(F.min("ticker_symbol")).scalar()
         choice = F.when(F.col("ticker_symbol") == first, second).otherwise(first)
         bench_filter = F.col("ticker_symbol").isin(first, second)
     else:
         bsym = F.lit(benchmark) if isinstance(benchmark, str) else benchmark
         choice = F.when(F.col("ticker_symbol") != bsym, bsym)
         bench_filter = F.col("ticker_symbol") == bsym
-    # One aggregate holds every ticker's first close; the benchmark's rows take
-    # only theirs from a history that is filtered before anything else runs.
-    cum = cumulative_returns(history, ticker_rows)
-    bench = (cumulative_returns(history.where(bench_filter), ticker_rows)
-             .select(F.col("ticker_symbol").alias("benchmark_symbol"), "trading_date",
-                     F.col("cumulative_return_pct").alias("benchmark_cumulative_return_pct")))
+    bench = cum.where(bench_filter).select(F.col("ticker_symbol").alias("benchmark_symbol"), "trading_date",
+                                           F.col("cumulative_return_pct").alias("benchmark_cumulative_return_pct"))
     mine = cum.select("ticker_symbol", choice.alias("benchmark_symbol"), "trading_date",
                       F.col("cumulative_return_pct").alias("ticker_cumulative_return_pct"))
     # A full outer join followed by dropping incomplete rows equals an inner join.

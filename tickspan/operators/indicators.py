@@ -10,7 +10,7 @@ day of the data's span – a bound set by the calendar, not by data volume (a
 century of daily bars is ≈ 36.6k rows). Copies of a hot (ticker, date) are cut
 down before the shuffle by the dedup's map-side group limit.
 
-When that bound is too large (``PriceModels`` checks it) ``split_by_year=True``
+Where that bound is too large (bars finer than a day) ``split_by_year=True``
 removes it:
 every frame here is bounded (at most 49 preceding rows), so a ticker's
 history can be cut into calendar-year buckets. The windows run per (ticker,

@@ -7,16 +7,17 @@ The six reporting periods share one end (the latest date) and differ by start:
     90D            [latest - 89 days]      1Y   [latest - 1 year, latest]
 
 Anchors are global (one max/min over all rows), evaluated once as uncorrelated
-scalar subqueries: no join, no cross product. Each row is tagged with the
-periods that contain it (at most six, a bounded fan-out), and one grouped
-aggregate per (ticker, period) – partial aggregation first, so a hot ticker is
-combined map-side – yields every metric, including the closes at the actual
-first and last dates via ``min_by`` / ``max_by``.
+scalar subqueries: no join, no cross product. The periods share their end, so
+they are nested: a row belongs to the periods of all starts up to its date and
+is aggregated once, into the cell of its narrowest period. A ticker has at most
+six cells, whose sums, minima, maxima and boundary rows merge; merged from the
+narrowest outward they give every period. No row is multiplied, and a hot ticker
+is combined map-side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickspan.functions import month_start, one_year_before, safe_divide, year_start
 from tickspan.operators.joins import join_small
@@ -70,23 +71,12 @@ def period_definitions(perf: DataFrame, date_col: str = "trading_date") -> DataF
     return agg.select(F.inline(_period_array(F.col("l"), F.col("e"))))
 
 
-def tag_periods(perf: DataFrame, date_col: str = "trading_date",
-                anchor_dates: DataFrame | None = None) -> DataFrame:
-    """Each row once per period containing it, with ``period_name``.
-
-    The anchors are scalar subqueries (evaluated once, before the scan of
-    ``perf``) over ``anchor_dates`` – any relation holding the same set of
-    dates as ``perf`` under the column ``date_col``, typically a cheaper one
-    than ``perf`` itself. Tagging is then a projection plus a ≤ 6-way explode."""
-    src = anchor_dates if anchor_dates is not None else perf
-    bounds = src.select(F.max(date_col).alias("l"), F.min(date_col).alias("e"))
-    latest = bounds.select("l").scalar()
-    earliest = bounds.select("e").scalar()
-    starts = period_starts(latest, earliest)
+def nested_cell(date_col: str, latest: Column, starts: dict[str, Column]) -> Column:
+    """How many of the periods hold a row (0: none). Periods are nested, so the
+    number tells which."""
     d = F.col(date_col)
-    names = F.array_compact(F.array(*[
-        F.when((d >= starts[name]) & (d <= latest), F.lit(name)) for name in PERIOD_NAMES]))
-    return perf.select("*", F.explode(names).alias("period_name"))
+    held = sum((F.when(d >= s, 1).otherwise(0) for s in starts.values()), F.lit(0))
+    return F.when(d <= latest, held).otherwise(0)
 
 
 def period_summary(perf: DataFrame, tickers: DataFrame,
@@ -102,21 +92,40 @@ def period_summary(perf: DataFrame, tickers: DataFrame,
     period; volatility_pct is the mean of the rolling 20-row volatility; a
     ticker with no row in a period has no row for it.
     """
-    tagged = tag_periods(perf.select("ticker_symbol", "trading_date", "close_price",
-                                     "daily_return_pct", "volatility_20d", "volume"),
-                         anchor_dates=anchor_dates)
-    g = tagged.groupBy("ticker_symbol", "period_name").agg(
+    src = (anchor_dates if anchor_dates is not None else perf).select(F.max("trading_date").alias("l"), F.min("trading_date").alias("e"))
+    latest, earliest = src.select("l").scalar(), src.select("e").scalar()
+    starts = period_starts(latest, earliest)
+    rows = perf.select("ticker_symbol", "trading_date", "close_price", "daily_return_pct", "volatility_20d", "volume",
+                       nested_cell("trading_date", latest, starts).alias("_cell")).where(F.col("_cell") > 0)
+    cells = rows.groupBy("ticker_symbol", "_cell").agg(
         F.min("trading_date").alias("period_start_date"),
-        F.max("trading_date").alias("period_end_date"),
+        F.max("trading_date").alias("_end_date"),
         F.min_by("close_price", "trading_date").alias("start_close_price"),
-        F.max_by("close_price", "trading_date").alias("end_close_price"),
-        F.avg("daily_return_pct").alias("avg_daily_return_pct"),
-        F.avg("volatility_20d").alias("volatility_pct"),
-        F.min("close_price").alias("min_close_price"),
-        F.max("close_price").alias("max_close_price"),
-        F.avg("volume").alias("avg_volume"),
-        F.count("trading_date").alias("trading_days_count"),
+        F.max_by("close_price", "trading_date").alias("_end_close"),
+        F.sum("daily_return_pct").alias("_returns"), F.count("daily_return_pct").alias("_n_returns"),
+        F.sum("volatility_20d").alias("_vol"), F.count("volatility_20d").alias("_n_vol"),
+        F.min("close_price").alias("_min_close"), F.max("close_price").alias("_max_close"),
+        F.sum("volume").alias("_volume"), F.count("volume").alias("_n_volume"),
+        F.count("trading_date").alias("_n"),
     )
+    # From the narrowest cell outward: a cell's first row is its period's, the
+    # last row is the narrowest cell's, the rest accumulates.
+    outward = Window.partitionBy("ticker_symbol").orderBy(F.col("_cell").desc())
+    upto = outward.rowsBetween(Window.unboundedPreceding, 0)
+
+    def mean(total: str, n: str) -> Column:
+        return F.sum(total).over(upto).cast("double") / F.nullif(F.sum(n).over(upto), F.lit(0))
+    merged = cells.select(
+        "ticker_symbol", "_cell", "period_start_date", "start_close_price",
+        F.first("_end_date").over(upto).alias("period_end_date"), F.first("_end_close").over(upto).alias("end_close_price"),
+        mean("_returns", "_n_returns").alias("avg_daily_return_pct"), mean("_vol", "_n_vol").alias("volatility_pct"),
+        F.min("_min_close").over(upto).alias("min_close_price"), F.max("_max_close").over(upto).alias("max_close_price"),
+        mean("_volume", "_n_volume").alias("avg_volume"), F.sum("_n").over(upto).alias("trading_days_count"),
+        F.coalesce(F.lead("_cell").over(outward), F.lit(0)).alias("_next"))
+    # A period needs every cell of at least as many periods as start no later than it.
+    needs = {p: sum((F.when(other <= start, 1).otherwise(0) for other in starts.values()), F.lit(0)) for p, start in starts.items()}
+    names = F.array_compact(F.array(*[F.when((needs[p] <= F.col("_cell")) & (needs[p] > F.col("_next")), F.lit(p)) for p in PERIOD_NAMES]))
+    g = merged.select("*", F.explode(names).alias("period_name"))
     t = tickers.select("ticker_symbol", "company_name", "category")
     j = join_small(g, t, "ticker_symbol", "inner", known_rows=ticker_rows)
     return j.select(

@@ -75,6 +75,16 @@ class PriceModels:
     def indicators(self) -> DataFrame:
         return daily_indicators(self.stg_market__stock_prices, split_by_year=self.split_by_year)
 
+    @property
+    def active_indicators(self) -> DataFrame:
+        """Indicators of active tickers. Dedup and windows never leave a ticker,
+        so the raw rows of the others are dropped first (unless the indicators
+        of all tickers are there already)."""
+        if "_shared" in self.__dict__:
+            return self.indicators
+        active = self.dim_ticker.where(F.col("is_active") == F.lit(True))
+        return daily_indicators(staging.stg_stock_prices(self.raw_prices, active, self.ticker_rows), split_by_year=self.split_by_year)
+
     @cached_property
     def int_stock_daily_returns(self) -> DataFrame:
         return self.indicators.select(
@@ -185,12 +195,7 @@ class PriceModels:
         """Cumulative returns of every active ticker next to ``benchmark``'s
         (default: the first active symbol with history in the period)."""
         from tickspan.operators.analytics import benchmark_comparison
-        from tickspan.operators.periods import history_start
-        latest = self.active_dates.select(F.max("trading_date")).scalar()
-        symbols = self.active_keys.where(F.col("trading_date") >= history_start(period, latest))
-        return benchmark_comparison(self.history(period, ordered=False), benchmark,
-                                    ticker_rows=self.ticker_rows, series_rows=self.calendar_rows,
-                                    symbols=symbols)
+        return benchmark_comparison(self.history(period, ordered=False), benchmark, series_rows=self.calendar_rows)
 
     @cached_property
     def fact_stock_performance_daily(self) -> DataFrame:
@@ -199,7 +204,7 @@ class PriceModels:
     # -- marts -------------------------------------------------------------
     @cached_property
     def mart_watchlist_performance(self) -> DataFrame:
-        return marts.mart_watchlist_performance(self.indicators, self.dim_date, self.dim_ticker,
+        return marts.mart_watchlist_performance(self.active_indicators, self.dim_date, self.dim_ticker,
                                                 self.calendar_rows, self.ticker_rows)
 
     @cached_property

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tickspan.operators.dedup import latest_per_key
+from tickspan.operators.joins import join_small
 from tickspan.schemas import PRICE, STG_STOCK_PRICES_COLUMNS
 
 # Fixed tie-break after the latest load time: identical load times are settled
@@ -32,11 +33,14 @@ def dedup_order():
     return [F.col("loaded_at").desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in TIE_BREAK]
 
 
-def stg_stock_prices(raw: DataFrame) -> DataFrame:
+def stg_stock_prices(raw: DataFrame, only: DataFrame | None = None, only_rows: int | None = None) -> DataFrame:
     """One row per (ticker, date): the latest load wins. The symbol is not
-    upper-cased here."""
-    return latest_per_key(renamed_prices(raw), ["ticker_symbol", "trading_date"],
-                          dedup_order()).select(*STG_STOCK_PRICES_COLUMNS)
+    upper-cased here. With ``only`` (ticker_symbol), rows of other tickers are
+    left out before anything is shuffled."""
+    rows = renamed_prices(raw)
+    if only is not None:
+        rows = join_small(rows, only.select("ticker_symbol"), "ticker_symbol", "left_semi", known_rows=only_rows)
+    return latest_per_key(rows, ["ticker_symbol", "trading_date"], dedup_order()).select(*STG_STOCK_PRICES_COLUMNS)
 
 
 def stg_tickers(watchlist: DataFrame) -> DataFrame:
