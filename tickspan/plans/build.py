@@ -9,10 +9,10 @@ from tickspan.operators.quality import run_suite
 from tickspan.sources.sinks import materialize
 
 
-def build(models, root: str | None = None, target_schema: str = "PUBLIC") -> tuple[dict, DataFrame]:
+def build(models, root: str | None = None, target_schema: str = "PUBLIC", versioned: bool = False) -> tuple[dict, DataFrame]:
     """Materialize all models (shared intermediates computed once) and run
     every declared check plus the grain checks against the written tables.
     Returns ({model: location}, check results: model, column_name, test,
     failures)."""
-    locations = materialize(models, root=root, target_schema=target_schema, rebind=True)
+    locations = materialize(models, root=root, target_schema=target_schema, rebind=True, versioned=versioned)
     return locations, run_suite(models)

@@ -19,7 +19,8 @@ from tickspan.operators import quality as dq
 from tickspan.operators import watchlist as wl
 from tickspan.plans.core import conform
 from tickspan.plans.models import PriceModels
-from tickspan.sources import api_json, sinks, testfeeds
+from tickspan.schemas import RAW_STOCK_PRICES
+from tickspan.sources import api_json, sinks, testfeeds, versions
 from tickspan.session import ensure_checkpoint_dir
 from tickspan.sources.holidays import market_holidays
 from tickspan.sources.spine import covering_years
@@ -487,3 +488,43 @@ def indicators_year_buckets(spark, sf_dir):
 
 
 QUERIES["indicators_year_buckets"] = indicators_year_buckets
+
+
+# -- sinks: what is written is read back ---------------------------------------------
+
+def landed_append_repeated(spark, sf_dir):
+    """Feed A's rows appended in two batches, of which the second is given twice."""
+    rows = testfeeds.feed_a_raw_prices(spark, sf_dir)
+    path = f"{ensure_checkpoint_dir(spark)}/raw-{uuid.uuid4().hex}"
+    even = F.pmod(F.col("volume"), F.lit(2)) == 0
+    for number, part in ((0, rows.where(even)), (1, rows.where(~even)), (1, rows.where(~even))):
+        sinks.append_raw(part, path, batch=("feed-a", number))
+    return spark.read.schema(RAW_STOCK_PRICES).parquet(path)
+
+
+def _rebuilt(spark, sf_dir, names) -> str:
+    """Layers built twice into versions, the first time from half of the rows."""
+    root = f"{ensure_checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+    raw, wl_rows = testfeeds.feed_a_raw_prices(spark, sf_dir), testfeeds.feed_a_watchlist(spark, sf_dir)
+    for part in (raw.where("volume % 2 = 0"), raw):
+        sinks.materialize(PriceModels(part, wl_rows, calendar=None), root=root, names=names, versioned=True)
+    return root
+
+
+def rebuilt_price_facts(spark, sf_dir):
+    """The price facts that a reader finds after a rebuild."""
+    root = _rebuilt(spark, sf_dir, ["dim_ticker", "fact_stock_price_daily"])
+    return versions.read(spark, f"{root}/MARTS", "fact_stock_price_daily")
+
+
+def rebuilt_staging_view(spark, sf_dir):
+    """A view of the staging layer, by the name it is registered under."""
+    m = feed_a(spark, sf_dir)
+    return spark.table(sinks.materialize(m, names=["stg_market__tickers"], share_intermediates=False)["stg_market__tickers"])
+
+
+QUERIES.update({
+    "landed_append_repeated": landed_append_repeated,
+    "rebuilt_price_facts": rebuilt_price_facts,
+    "rebuilt_staging_view": rebuilt_staging_view,
+})

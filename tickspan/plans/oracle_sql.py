@@ -772,3 +772,9 @@ FROM stg s
 JOIN returns r ON s.ticker_symbol = r.ticker_symbol AND s.trading_date = r.trading_date
 JOIN moving m ON s.ticker_symbol = m.ticker_symbol AND s.trading_date = m.trading_date
 JOIN volatility v ON s.ticker_symbol = v.ticker_symbol AND s.trading_date = v.trading_date"""
+
+ORACLE_SQL.update({
+    "landed_append_repeated": with_(RAW_A) + "SELECT * FROM raw_a",
+    "rebuilt_price_facts": ORACLE_SQL["fact_price_daily"],
+    "rebuilt_staging_view": ORACLE_SQL["stage_tickers"],
+})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickspan.schemas import RAW_STOCK_PRICES
+from tickspan.sources import versions
+from tickspan.sources.landing import land
 
 
 def schema_name(custom: str | None, target: str) -> str:
@@ -12,11 +14,15 @@ def schema_name(custom: str | None, target: str) -> str:
     return target if custom is None else custom.upper()
 
 
-def append_raw(rows: DataFrame, path: str) -> None:
-    """Append raw price rows (never updates). Re-landing overlapping rows is
-    expected: staging keeps the latest load per (ticker, date), so the
-    contract is at-least-once append + latest-wins read."""
-    rows.select(*RAW_STOCK_PRICES.fieldNames()).write.mode("append").parquet(path)
+def append_raw(rows: DataFrame, path: str, batch: tuple[str, int] | None = None) -> None:
+    """Append raw price rows (never updates). Overlap between fetches is
+    expected: staging keeps the latest load per (ticker, date). With ``batch``
+    (source, number) an append that is repeated lands once."""
+    rows = rows.select(*RAW_STOCK_PRICES.fieldNames())
+    if batch is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        land(rows, path, *batch)
 
 
 # Default physical layout: the daily mart is read by period (a date range), so
@@ -27,15 +33,18 @@ FILES_PER_PARTITION = 64
 
 def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
                 names: list[str] | None = None, partition_by: dict | None = None,
-                share_intermediates: bool = True, rebind: bool = False) -> dict:
+                share_intermediates: bool = True, rebind: bool = False, versioned: bool = False) -> dict:
     """Materialize the model graph layer by layer.
 
     Views are registered as temporary views ``<LAYER>__<model>``; tables are
     rebuilt in full (overwrite) as parquet under ``root/<LAYER>/<model>``, or
     as catalog tables ``<LAYER>.<model>`` when ``root`` is None. Returns
     {model: location}. Each write is one job; a lost executor only retries
-    tasks. An overwrite deletes the old files first: readers must wait for it,
-    or each build must go to a new ``root``.
+    tasks. An overwrite deletes the old files first, so readers must wait for it;
+    with ``versioned`` each layer's tables go to a new version below
+    ``root/<LAYER>`` instead, which is published when all of the build is written
+    (``versions.read(spark, root/<LAYER>, model)`` reads it), and a build that
+    fails changes nothing.
 
     A partitioned table is dealt by its partition columns and a bucket of the
     ticker, so a year is written by ``FILES_PER_PARTITION`` tasks at most and
@@ -52,7 +61,9 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
     spark = models.spark
     if share_intermediates:
         models.share_intermediates()
-    out = {}
+    if versioned and root is None:
+        raise ValueError("versions need a root folder")
+    out, fresh = {}, {}
     for name in names or list(MODEL_LAYERS):
         layer, kind = MODEL_LAYERS[name]
         schema = schema_name(layer, target_schema)
@@ -69,7 +80,10 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
         else:
             w = df.write.mode("overwrite")
         if root is not None:
-            loc = f"{root.rstrip('/')}/{schema}/{name}"
+            layer_dir = f"{root.rstrip('/')}/{schema}"
+            if versioned:
+                layer_dir = fresh.setdefault(schema, versions.new_version(layer_dir))
+            loc = f"{layer_dir}/{name}"
             w.parquet(loc)
             written = spark.read.parquet(loc) if rebind else None
         else:
@@ -80,15 +94,15 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
         if written is not None:
             models.__dict__[name] = written
         out[name] = loc
+    for version in fresh.values():
+        versions.publish(spark, version)
     return out
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists and holds data files, on whatever file system it
     names. A path that cannot be reached raises."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = versions.file_system(spark, path)
     if not fs.exists(p):
         return False
     files = fs.listFiles(p, True)
@@ -109,6 +123,26 @@ def fetch_bounded(df: DataFrame, max_rows: int):
     return rows
 
 
+def fetch_chunks(df: DataFrame, rows: int = 10_000):
+    """A result of any size for a client, as pandas frames of at most ``rows``
+    rows with lower-cased columns, in the result's order. Tasks encode the chunks
+    as Arrow; the client holds one partition's chunks at a time."""
+    import pyarrow as pa
+
+    def encode(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, rows):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, b.schema) as w:
+                    w.write_batch(b.slice(at, rows))
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+    for row in df.mapInArrow(encode, "chunk binary").toLocalIterator():
+        out = pa.ipc.open_stream(row["chunk"]).read_pandas()
+        out.columns = [c.lower() for c in out.columns]
+        yield out
+
+
 def with_load_defaults(rows: DataFrame, loaded_at=None, source: str = "alpha_vantage") -> DataFrame:
     """Fill the raw table's load-time defaults: ``source`` and ``loaded_at``
     (a parameter, so that a re-run stamps the same time; the session's

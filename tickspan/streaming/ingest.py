@@ -2,11 +2,10 @@
 
 Each run picks up only documents not seen before (file-source bookkeeping in
 the checkpoint), flattens them and appends rows to the raw table; rejects go to
-their own table. Batches are appended as plain parquet files, like those of
+their own table. Batches land as plain parquet files, like those of
 ``sinks.append_raw``, so both writers' rows are read together (a streaming file
-sink would hide the other's). A batch that is repeated after a failure may be
-appended twice; staging keeps the latest load, so that is harmless, as overlap
-between fetches is. With ``availableNow`` the run processes everything pending
+sink would hide the other's). A batch that is repeated after a failure replaces
+itself (``sources.landing``), in prices and rejects alike. With ``availableNow`` the run processes everything pending
 and stops, which is the batch loop of the ingestion script without re-reading
 old files.
 """
@@ -18,6 +17,7 @@ import hashlib
 from pyspark.sql import SparkSession
 
 from tickspan.sources.api_json import flatten_series, parse_lines, rejects
+from tickspan.sources.landing import land, stream_id
 
 
 def _checkpoint(spark: SparkSession, given: str | None, name: str, target: str) -> str:
@@ -39,9 +39,12 @@ def ingest_landed(spark: SparkSession, landed_dir: str, raw_dir: str, rejects_di
     docs = parse_lines(reader.text(landed_dir))
 
     def start(df, path, name):
-        def append(batch, _):
-            batch.write.mode("append").parquet(path)
-        w = df.writeStream.foreachBatch(append).option("checkpointLocation", _checkpoint(spark, checkpoint, name, path))
+        books = _checkpoint(spark, checkpoint, name, path)
+        stream = stream_id(spark, books)
+
+        def put(batch, batch_id):
+            land(batch, path, stream, batch_id)
+        w = df.writeStream.foreachBatch(put).option("checkpointLocation", books)
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
         return w.start()
 
