@@ -5,6 +5,7 @@ import re
 
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tickspan.llm import decontam as D, license_scan as L, quality as Q, secret_scan as S
@@ -270,3 +271,45 @@ def test_full_texts_and_common_forms_of_licences(spark):
     assert sorted((r.doc_id, r.license) for r in rows) == [(i, name) for i, (name, _) in enumerate(want)]
     own = spark.createDataFrame([("own", "my words")], "license string, text string")
     assert [r.license for r in L.scan(spark.createDataFrame([(1, "My words!")], "doc_id long, text string"), own).collect()] == ["own"] * 2
+
+
+LIST_ITEM = re.compile(r"[ \t]*(?:[-*+•]|\(?(?:[0-9]{1,2}|[a-zA-Z]|[ivx]{1,4})[.)])[ \t]+\S")
+
+
+def test_altered_clauses_are_no_licence(spark):
+    """In every full text each list item, and every seventh other line, gets other words after its marker."""
+    altered = []
+    for name, text in FULL:
+        lines = text.split("\n")
+        for i, line in enumerate(lines):
+            item = LIST_ITEM.match(line)
+            if not line.strip() or "opyright" in line or not (item or i % 7 == 0):
+                continue
+            head = line[:item.end() - 1] if item else ""
+            altered.append((len(altered), f"{name} {i}", "\n".join([*lines[:i], head + " pay us money and drop any notice you like", *lines[i + 1:]])))
+    df = spark.createDataFrame(altered, "doc_id int, what string, text string").repartition(8)
+    got = L.scan(df).where("scope = 'text'").join(df.select("doc_id", "what"), "doc_id")
+    assert got.collect() == [] and len(altered) > 500
+    assert any("(c)" in x[2] for x in altered if x[1].startswith("Apache"))
+
+
+def test_list_markers_are_no_copyright_lines(spark):
+    rows = [("(c) You may drop any notice", False), ("(c) 2020 A. Holder", True), ("Copyright (c) 2001 X", True), ("(C) Copyright 1999 Y", True),
+            ("copyright holders may", False), ("© Z Corp.", True), ("(c) the work must", False)]
+    df = spark.createDataFrame([(t, w) for t, w in rows], "text string, gone boolean")
+    got = df.select("text", "gone", (L.one_line(L.canonical(F.col("text"))) == "").alias("empty")).collect()
+    assert all(r.gone == r.empty for r in got), got
+
+
+def test_holders_without_a_year_and_wrapped_prose(spark):
+    head = {"Copyright OpenJS Foundation and other contributors": True, "Copyright Intel Corporation": True, "(C) Copyright IBM Corp.": True,
+            "copyright pay us money": False, "Copyright holders get nothing": False, "Copyright: 2020 X": True}
+    df = spark.createDataFrame([(i, f"MIT License\n\n{h}\n\n" + MIT) for i, h in enumerate(head)], "doc_id int, text string")
+    got = {r.doc_id for r in L.scan(df).where("scope = 'text'").collect()}
+    assert got == {i for i, h in enumerate(head) if head[h]}
+
+
+def test_anchors_are_held_by_every_form():
+    forms = ["permission is hereby granted", "short one", "permission again", "licensed under this"]
+    held = L.anchors(forms)
+    assert all(any(a in f for a in held) for f in forms) and L.anchors([]) == []

@@ -1,6 +1,6 @@
 """Known licence texts and notices."""
 
-import pathlib
+from importlib import resources
 
 # Public licence texts and the notices by which they are named.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
@@ -146,5 +146,5 @@ KNOWN = (
 _HELD = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2",
          "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0",
          "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
-#: Full texts, from the files beside this module; the SQL form holds KNOWN only.
-FULL = tuple((name, (pathlib.Path(__file__).parent / "licences" / f).read_text("utf-8")) for f, name in _HELD.items())
+#: Full texts, from the files of this package (also where it is a zip file).
+FULL = tuple((name, (resources.files(__package__) / "licences" / f).read_text("utf-8")) for f, name in _HELD.items())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tickspan.llm import decontam, license_scan, quality, sharding, url_filter
-from tickspan.llm.licence_texts import KNOWN
+from tickspan.llm.licence_texts import FULL, KNOWN
 
 QUALITY = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS t
@@ -71,7 +71,7 @@ def _one_line(form: str) -> str:
     return f"trim(regexp_replace({form}, '[ \\n]+', ' ', 'g'))"
 
 
-_KNOWN = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in KNOWN)
+_KNOWN = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in (*KNOWN, *FULL))
 LICENSES = f"""
 WITH k AS (SELECT sha256(f) AS digest, min(license) AS license FROM (
              SELECT license, {_one_line(_canonical('text'))} AS f FROM (VALUES {_KNOWN}) AS v(license, text)) GROUP BY f),
