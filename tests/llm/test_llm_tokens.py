@@ -115,3 +115,20 @@ def test_windows_hold_the_wanted_mixture(spark):
 
 def test_packing_of_an_empty_table(spark, docs):
     assert PK.pack(docs.limit(0)).collect() == []
+
+
+def test_long_documents_are_stored_in_segments(spark):
+    df = spark.createDataFrame([(1, "one two " * 200_000, "a"), (2, "x", None), (3, "", "")], "doc_id long, text string, source string")
+    rows = PK.tokenized(df, "doc_id", "text", "source", PK.MODEL, 1, 2048)
+    assert rows.selectExpr("max(octet_length(ids))").first()[0] == 4096 and rows.count() == 2 + -(-400_001 // 2048)
+    pieces = PK.pack(df).collect()
+    check_pieces(df.collect(), pieces)
+    assert {p.doc_id: p.source for p in pieces} == {1: "a", 2: None, 3: ""}
+
+
+def test_a_repeated_id_takes_many_blocks(spark):
+    df = spark.range(4000).selectExpr("if(id < 3000, 7, null) AS doc_id", "concat('w', id) AS text", "'s' AS source").repartition(4)
+    pieces = PK.pack(df, block_docs=100)
+    assert sum(p.length for p in pieces.collect()) > 8000
+    rows = PK.tokenized(df, "doc_id", "text", "source", PK.MODEL, 1, 2048)
+    assert rows.select("_row").distinct().count() == 4000

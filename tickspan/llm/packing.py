@@ -1,7 +1,8 @@
 """Mixture-controlled packing: deficit round-robin over source queues.
 
 Every source is a queue of segments (a document cut at multiples of the
-sequence length) in a fixed pseudo-random order. A window grants each queue
+sequence length, and stored as such) in a pseudo-random order, fixed for the
+input's files. A window grants each queue
 its share of the window's tokens; a queue sends segments while its deficit
 lasts and carries the rest on. A segment that ends at token ``e`` of its queue
 is therefore sent in round ``ceil(e / quantum) - 1``: rounds come from prefix
@@ -15,7 +16,7 @@ and over the blocks' totals, so a source that holds a third of the rows is
 spread like any other.
 
 Defined results: a null or empty text is packed as its end id alone; a null
-source is a queue of its own; rows that repeat an id are packed each; an empty
+source is a queue of its own, of source null; rows that repeat an id are packed each; an empty
 table gives no pieces; columns other than id, text and source are ignored.
 """
 
@@ -151,9 +152,10 @@ def word_ids(model: str, dtype: str) -> WordIds:
     return WordIds(model, dtype)
 
 
-def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, model: str, end_id: int) -> DataFrame:
-    """Stored rows ``_row, id, queue, n, ids``: little-endian ids, two bytes
-    each where the vocabulary allows, with the end id."""
+def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, model: str, end_id: int, length: int) -> DataFrame:
+    """Stored rows ``id, queue, _row, n, start, ids``, one per segment of
+    ``length`` ids of a document (``_row``, of ``n`` ids): little-endian ids, two
+    bytes each where the vocabulary allows, with the end id."""
     wide = "<u2" if load(model).get_vocab_size() < 1 << 16 else "<u4"
 
     def run(batches):
@@ -168,15 +170,24 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, mode
                 starts = starts.astype(np.int64)
                 data = np.insert(ids, starts[1:], end_id).astype(wide)
                 starts += np.arange(len(starts))
-                blobs = pa.Array.from_buffers(pa.binary(), b.num_rows, [
-                    None, pa.py_buffer((starts * data.itemsize).astype(np.int32)), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("queue"), pa.array(np.diff(starts)), blobs],
-                                                 names=["id", "queue", "n", "ids"])
+                n = np.diff(starts)
+                many = -(-n // length)
+                doc = np.repeat(np.arange(len(n)), many)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)) * length
+                edges = np.append(starts[doc] + start, starts[-1])
+                blobs = pa.Array.from_buffers(pa.binary(), len(doc), [
+                    None, pa.py_buffer((edges * data.itemsize).astype(np.int32)), pa.py_buffer(data)])
+                of = pa.array(doc)
+                yield pa.RecordBatch.from_arrays(
+                    [*(b.column(c).take(of) for c in ("id", "queue", "_row")), pa.array(n[doc]), pa.array(start), blobs],
+                    names=["id", "queue", "_row", "n", "start", "ids"])
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                       F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("queue"))
-    kind = T.StructType([src.schema["id"], *T._parse_datatype_string("queue string, n long, ids binary").fields])
-    return stored(src.mapInArrow(run, kind).withColumn("_row", F.monotonically_increasing_id()), "pack-ids")
+    src = src.withColumn("_row", F.monotonically_increasing_id())
+    kind = T.StructType([src.schema["id"], *T._parse_datatype_string(
+        "queue string, _row long, n long, start long, ids binary").fields])
+    return stored(src.mapInArrow(run, kind), "pack-ids")
 
 
 def running(df: DataFrame, keys: list[str], block: str, order: list, value: str, out: str, group: int = 1024) -> DataFrame:
@@ -205,7 +216,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     by source; sources not named share what is left by size, and once a queue
     is empty the others go on."""
     spark = docs.sparkSession
-    rows = tokenized(docs, id_col, text_col, source_col, model, end_id)
+    segments = tokenized(docs, id_col, text_col, source_col, model, end_id, length)
+    rows = segments.where("start = 0").select("_row", "id", "queue", "n")
     totals = rows.groupBy("queue").agg(F.sum("n").alias("size"), F.count("*").alias("docs"))
     whole = totals.agg(F.sum("size"), F.sum("docs")).first()
     total, n_docs = int(whole[0] or 0), int(whole[1] or 0)
@@ -220,7 +232,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     quantum = named.select("queue", (share * F.lit(float(window * length))).alias("quantum"))
 
     n_blocks = max(1, -(-n_docs // block_docs))
-    lens = rows.select("_row", "id", "queue", "n").withColumn("_h", F.xxhash64("id")).withColumn(
+    # Rows that repeat an id, or have none, take different blocks.
+    lens = rows.withColumn("_h", F.xxhash64("id", "_row")).withColumn(
         "_block", F.pmod(F.shiftrightunsigned("_h", 8), F.lit(n_blocks)))
     lens = running(lens, ["queue"], "_block", ["_h", "id", "_row"], "n", "_at")
     sent = (lens.join(quantum, "queue")
@@ -254,14 +267,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     lo = F.greatest(F.col("_pos"), F.col("b.from"))
     hi = F.least(F.col("_pos") + F.col("len"), F.col("b.from") + F.col("b.size"))
     pieces = (at.withColumn("b", F.explode(bins)).where((F.col("b.seq") < full) | (F.col("b.size") < length))
-              .select("_row", (F.col("start") + lo - F.col("_pos")).alias("start"), (hi - lo).alias("length"),
+              .select("_row", "start", (lo - F.col("_pos")).alias("_skip"), (hi - lo).alias("length"),
                       F.col("b.seq").alias("sequence_id"), (lo - F.col("b.from")).alias("offset"), "round")
               .where(F.col("length") > 0))
     width = 2 if load(model).get_vocab_size() < 1 << 16 else 4
-    ids = F.expr(f"substring(ids, int(start * {width} + 1), int(length * {width}))")
-    joined = pieces.join(rows, "_row").select(
-        F.col("id"), "start", "length", widened_crc32(ids, width).alias("ids_crc32"), F.col("n").alias("doc_tokens"),
-        "sequence_id", "offset", F.expr("substring(queue, 2)").alias("source"), "round")
+    ids = F.expr(f"substring(ids, int(_skip * {width} + 1), int(length * {width}))")
+    joined = pieces.join(segments, ["_row", "start"]).select(
+        F.col("id"), (F.col("start") + F.col("_skip")).alias("start"), "length", widened_crc32(ids, width).alias("ids_crc32"), F.col("n").alias("doc_tokens"),
+        "sequence_id", "offset", F.expr("if(queue = '', null, substring(queue, 2))").alias("source"), "round")
     return joined.withColumnRenamed("id", id_col)
 
 
