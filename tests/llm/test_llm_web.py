@@ -7,6 +7,7 @@ import math
 import random
 import re
 
+import duckdb
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -47,13 +48,13 @@ def brute_filter(rows, rules=U.RULES, margin=U.MARGIN):
         deg = collections.Counter()
         for (a, _), n in links:
             deg[a] += n
-        now = dict(start)
-        for _ in range(U.ROUNDS):
-            new = collections.Counter(start)
+        now, was = dict(start), None
+        while now != was:
+            was, new = now, collections.Counter(start)
             for (a, b), n in links:
                 if a in now:
                     new[b] += math.floor(now[a] * (U.DAMPING * n / deg[a]))
-            now = new
+            now = +new
         score[good] = now
     res = []
     for i, host, path, best in out:
@@ -86,6 +87,33 @@ def test_rules_and_links_against_brute_force(spark):
     assert by_method, "distrust reaches hosts without a rule"
 
 
+def test_oracle_with_links(spark):
+    from tickspan.llm import oracle
+    rows = [(i, f"http://h{i % 7}.org/{'fr/' if i % 3 else ''}", link(f"h{(i * 3 + 1) % 7}.org", "s.net")) for i in range(40)]
+    rows += [(50, "http://s.net/", link("h3.org")), (51, "http://h9.com/", link("s.net")), (52, "http://h10.com/", link("h9.com"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    con = duckdb.connect()
+    con.register("pages", df.toPandas())
+    rel = con.sql(oracle.URL_FILTER)
+    got = collections.Counter(map(tuple, U.judged(df).select(*rel.columns).collect()))
+    assert got == collections.Counter(rel.fetchall()) and got == collections.Counter(brute_filter(rows))
+
+
+def test_hosts_of_very_many_labels_and_chains_end(spark):
+    host = "a." * 100_000 + "net"
+    df = spark.createDataFrame([(1, f"http://{host}/x", None), (2, "http://" + "b." * 50_000 + "org/fr/", ""), (3, "http://xnet/", "")],
+                               "page_id long, url string, html string")
+    got = {r.page_id: (r.rule, r.verdict) for r in U.judged(df).collect()}
+    assert got == {1: ("net/", "block"), 2: ("org/fr/", "allow"), 3: (None, "allow")}
+
+
+def test_a_long_chain_carries_no_zero_scores(spark):
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(160)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("h160", False)], "host string, trusted boolean")
+    got = {r.host: r.distrust for r in U.propagated(seeds, edges).collect()}
+    assert min(got.values()) > 0 and 100 < len(got) < 125 and "h159" in got
+
+
 def test_salted_join_gives_the_same(spark, monkeypatch):
     rows = [(i, f"http://{h}/{'de/' if i % 2 else ''}", link("s.net")) for i, h in enumerate(["example.com", "c.com", "s.net", "d.org"] * 5)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")

@@ -84,18 +84,17 @@ FROM u JOIN k ON sha256(u.f) = k.digest
 """
 
 
+#: More rounds than scores of whole numbers can go on changing.
+ORACLE_ROUNDS = 400
+
+
 def _url_filter() -> str:
     f = url_filter
     rules = ", ".join(f"('{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{r}', '{a}')" for r, a in f.RULES)
     host = f"translate(regexp_extract({{}}, '^[^/?#]*'), '{f.UPPER}', '{f.LOWER}')"
     rest = "CASE WHEN strpos(coalesce({0}, ''), '://') > 0 THEN substr({0}, strpos({0}, '://') + 3) ELSE '' END"
-    rounds = "".join(f""",
-s{i} AS (SELECT t, h, CAST(sum(s) AS BIGINT) AS s FROM (
-           SELECT * FROM s0 UNION ALL
-           SELECT t, o, CAST(floor(s * part) AS BIGINT) FROM s{i - 1} JOIN part USING (t, h)) GROUP BY t, h)"""
-                     for i in range(1, f.ROUNDS + 1))
     return f"""
-WITH u AS (SELECT row_number() OVER () AS r, page_id, html, {rest.format('url')} AS rest FROM pages),
+WITH RECURSIVE u AS (SELECT row_number() OVER () AS r, page_id, html, {rest.format('url')} AS rest FROM pages),
 p AS (SELECT r, page_id, html, {host.format('rest')} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 rules AS (SELECT * FROM (VALUES {rules}) AS v(parent, prefix, rule, action)),
 fit AS (SELECT r, max_by(rule, (length(rule), rule)) AS rule, max_by(action, (length(rule), rule)) AS action
@@ -110,8 +109,13 @@ e AS (SELECT src, dst, count(*) AS n FROM (
       WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
 both_ways AS (SELECT true AS t, src AS h, dst AS o, n FROM e UNION ALL SELECT false, dst, src, n FROM e),
 part AS (SELECT t, h, o, CAST({f.DAMPING} AS DOUBLE) * n / sum(n) OVER (PARTITION BY t, h) AS part FROM both_ways),
-s0 AS (SELECT good AS t, h, CAST({int(f.UNIT * (1 - f.DAMPING))} AS BIGINT) AS s FROM seed WHERE good OR bad){rounds},
-z AS (SELECT h AS host, sum(s) FILTER (t) AS trust, sum(s) FILTER (NOT t) AS distrust FROM s{f.ROUNDS} GROUP BY h)
+s0 AS (SELECT good AS t, h, CAST({int(f.UNIT * (1 - f.DAMPING))} AS BIGINT) AS s FROM seed WHERE good OR bad),
+walk AS (SELECT 0 AS i, t, h, s FROM s0 UNION ALL
+         SELECT i, t, h, CAST(sum(s) AS BIGINT) FROM (
+           SELECT w.i + 1 AS i, t, o AS h, CAST(floor(w.s * part) AS BIGINT) AS s FROM walk w JOIN part USING (t, h) WHERE w.i < {ORACLE_ROUNDS}
+           UNION ALL SELECT n.i + 1, s0.t, s0.h, s0.s FROM s0, (SELECT max(i) AS i FROM walk) n WHERE n.i < {ORACLE_ROUNDS}) GROUP BY i, t, h),
+z AS (SELECT h AS host, sum(s) FILTER (t) AS trust, sum(s) FILTER (NOT t) AS distrust FROM walk
+      WHERE i = (SELECT max(i) FROM walk) AND s > 0 GROUP BY h)
 SELECT page_id, host, path, rule, coalesce(action, CASE WHEN coalesce(distrust, 0) > {f.MARGIN} * coalesce(trust, 0)
        THEN 'block' ELSE 'allow' END) AS verdict, CAST(coalesce(trust, 0) AS BIGINT) AS trust,
        CAST(coalesce(distrust, 0) AS BIGINT) AS distrust

@@ -11,11 +11,11 @@ distrust is above ``margin`` times its trust.
 Pages are pre-aggregated to hosts and links to weighted host edges before
 anything is iterated. Scores are whole numbers (``UNIT`` for each seed), so sums
 do not depend on their order; a round joins scores to edges by host, adds up
-partially by target, and is checkpointed. Without a number of rounds the loop
-ends when nothing changes any more: scores start at the seeds' own, never fall
-and are bounded whole numbers, so it does end, after some 120 rounds where links
-run in circles. ``ROUNDS`` rounds are a first part of that, which the SQL form
-unrolls. Host facts are joined to pages by broadcast where the counted number of
+partially by target, and is checkpointed. The loop ends when nothing changes
+any more: scores start at the seeds' own, never fall and are bounded whole
+numbers, so it does end, after some 120 rounds where links run in circles; what
+rounds down to nothing is not carried on, so a chain of any length ends by then
+too. Host facts are joined to pages by broadcast where the counted number of
 hosts is small, else with the host spread over salts.
 
 Defined results: a null url, or one without ``://``, has an empty host and path,
@@ -36,7 +36,6 @@ from tickspan.session import cut_lineage
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 UNIT = 1_000_000_000
 DAMPING = 0.85
-ROUNDS = 12
 MARGIN = 1.0
 BROADCAST_HOSTS = 100_000
 SALTS = 32
@@ -62,9 +61,9 @@ def host_rules(hosts: DataFrame, rules) -> DataFrame:
     spark = hosts.sparkSession
     table = spark.createDataFrame([(r.split("/", 1)[0].translate(str.maketrans(UPPER, LOWER)), "/" + r.split("/", 1)[1], r, a)
                                    for r, a in rules], "parent string, prefix string, rule string, action string")
-    labels = F.split("host", r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
-        F.slice(labels, i, F.size(labels)), "."))
+    # Of a host's parent domains, those with as many labels as some rule's: few, however many labels the host has.
+    depths = sorted({r.split("/", 1)[0].count(".") + 1 for r, _ in rules})
+    parents = F.array_distinct(F.array(*[F.substring_index("host", ".", -d) for d in depths]))
     return (hosts.select("host", F.explode(parents).alias("parent")).join(F.broadcast(table), "parent")
             .groupBy("host").agg(F.collect_list(F.struct(F.length("rule").alias("n"), "rule", "action", "prefix")).alias("rules")))
 
@@ -89,7 +88,7 @@ def host_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
             .groupBy("src", "dst").agg(F.count("*").alias("n")))
 
 
-def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int | None = ROUNDS) -> DataFrame:
+def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
     """``host, trust, distrust`` of every host that has either. ``seeds``: host,
     trusted (boolean). ``rounds``: None for as many as change anything. Mass at hosts without links goes back to the seeds,
     which only scales the scores, so it is left out."""
@@ -102,7 +101,7 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rou
     now, was = start, None
     for _ in itertools.count() if rounds is None else range(rounds):
         sent = now.join(part, ["trusted", "host"]).select(
-            "trusted", F.col("to").alias("host"), F.floor(F.col("score") * F.col("part")).cast("long").alias("score"))
+            "trusted", F.col("to").alias("host"), F.floor(F.col("score") * F.col("part")).cast("long").alias("score")).where("score > 0")
         now = cut_lineage(start.unionByName(sent).groupBy("trusted", "host").agg(F.sum("score").alias("score")))
         mark = tuple(now.agg(F.count("*"), F.sum("score"), F.sum(F.xxhash64("trusted", "host", "score").cast("decimal(38,0)"))).first())
         if mark == was:
@@ -113,7 +112,7 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rou
 
 
 def judged(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-           margin: float = MARGIN, damping: float = DAMPING, rounds: int | None = ROUNDS) -> DataFrame:
+           margin: float = MARGIN, damping: float = DAMPING, rounds: int | None = None) -> DataFrame:
     """One row per page: ``<id>, host, path, rule, verdict, trust, distrust``."""
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                        F.col(html_col).cast("string").alias("html"))
