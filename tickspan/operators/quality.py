@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tickspan.operators.joins import join_small
 
@@ -182,12 +182,57 @@ def grain_suite(models, tests=GRAIN_TESTS) -> DataFrame:
     return _union(parts)
 
 
-def run_suite(models, names=None) -> DataFrame:
-    """All declared checks plus the grain checks, of every model or of ``names``."""
+class Watch:
+    """Checks made while tables are written: every ``not_null`` and
+    ``accepted_values`` check of a table is counted by the job that writes it
+    (``DataFrame.observe`` right below the writer, where each partition counts
+    once), so those checks read nothing again."""
+
+    def __init__(self, tests=DECLARED_TESTS):
+        self.tests, self.seen = tests, {}
+
+    def attach(self, name: str, df: DataFrame) -> DataFrame:
+        own = [t for t in self.tests if t[0] == name and t[2] in ("not_null", "accepted_values")]
+        if not own:
+            return df
+        metrics = []
+        for i, (_, col, test, arg) in enumerate(own):
+            bad = F.col(col).isNull() if test == "not_null" else ~F.col(col).isin(list(arg))
+            metrics.append(F.count_if(F.coalesce(bad, F.lit(False))).alias(f"_{i}"))
+        seen = Observation()
+        self.seen[name] = (own, seen)
+        return df.observe(seen, *metrics)
+
+    def results(self, models) -> DataFrame:
+        """One row per check of the watched tables. A column that holds values
+        it may not is counted by distinct value, as the suite does: only that
+        column is read again."""
+        rows, again = [], []
+        for own, seen in self.seen.values():
+            counts = seen.get
+            for i, test in enumerate(own):
+                n = counts[f"_{i}"]
+                if n and test[2] == "accepted_values":
+                    again.append(test)
+                else:
+                    rows.append((test[0], test[1], test[2], n))
+        out = models.spark.createDataFrame(rows, "model string, column_name string, test string, failures long")
+        return _union([out, accepted_suite(models, again)] if again else [out])
+
+
+def run_suite(models, names=None, watch: Watch | None = None) -> DataFrame:
+    """All declared checks plus the grain checks, of every model or of ``names``;
+    those that ``watch`` made while writing are taken from there."""
     tests = [t for t in DECLARED_TESTS if names is None or t[0] in names]
     grains = [t for t in GRAIN_TESTS if names is None or t[0] in names]
-    return _union([not_null_suite(models, tests), unique_suite(models, tests), accepted_suite(models, tests),
-                   relationships_suite(models, tests), grain_suite(models, grains)])
+    seen = set(watch.seen) if watch else set()
+    scanned = [t for t in tests if not (t[0] in seen and t[2] in ("not_null", "accepted_values"))]
+    parts = [watch.results(models)] if seen else []
+    for suite, kind in ((not_null_suite, "not_null"), (unique_suite, "unique"), (accepted_suite, "accepted_values"),
+                        (relationships_suite, "relationships")):
+        if any(t[2] == kind for t in scanned):
+            parts.append(suite(models, scanned))
+    return _union([*parts, *([grain_suite(models, grains)] if grains else [])])
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

@@ -5,14 +5,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tickspan.operators.quality import run_suite
+from tickspan.operators.quality import Watch, run_suite
 from tickspan.sources.sinks import materialize
 
 
 def build(models, root: str | None = None, target_schema: str = "PUBLIC", versioned: bool = False) -> tuple[dict, DataFrame]:
     """Materialize all models (shared intermediates computed once) and run
-    every declared check plus the grain checks against the written tables.
+    every declared check plus the grain checks against the written tables (missing
+    and unaccepted values are counted while writing).
     Returns ({model: location}, check results: model, column_name, test,
     failures)."""
-    locations = materialize(models, root=root, target_schema=target_schema, rebind=True, versioned=versioned)
-    return locations, run_suite(models)
+    watch = Watch()
+    locations = materialize(models, root=root, target_schema=target_schema, rebind=True, versioned=versioned, watch=watch)
+    return locations, run_suite(models, watch=watch)

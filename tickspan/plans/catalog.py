@@ -13,7 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickspan.operators import analytics as an
-from tickspan.operators import periods
+from tickspan.operators import increments, periods
+from tickspan.operators.indicators import daily_indicators
 from tickspan.operators.periods import anchors
 from tickspan.operators import quality as dq
 from tickspan.operators import watchlist as wl
@@ -528,3 +529,48 @@ QUERIES.update({
     "rebuilt_price_facts": rebuilt_price_facts,
     "rebuilt_staging_view": rebuilt_staging_view,
 })
+
+
+# -- landed increments -----------------------------------------------------------------
+
+def _landed_parts(spark, sf_dir):
+    """Feed A's rows as a first load and what was landed later: a fifth of the
+    loads (dates the base holds already, and new ones) and one late year."""
+    from tickspan.plans.staging import renamed_prices
+    rows = renamed_prices(testfeeds.feed_a_raw_prices(spark, sf_dir))
+    late = (F.pmod(F.unix_timestamp(F.col("loaded_at").cast("timestamp")), F.lit(5)) == 0) | (F.year("trading_date") == 1998)
+    return rows.where(~late), rows.where(late)
+
+
+def dedup_base_and_landed(spark, sf_dir):
+    """A compacted base read together with rows landed since."""
+    from tickspan.plans.staging import dedup_order, stage_renamed
+    base, landed = _landed_parts(spark, sf_dir)
+    base = spark.read.parquet(_written(stage_renamed(base), "base", "parquet"))
+    return increments.merged_latest(base, landed.select(*base.columns), dedup_order())
+
+
+def indicators_incremental(spark, sf_dir):
+    """Stored indicators of the base, brought up to date with rows landed since."""
+    from tickspan.plans.staging import dedup_order, stage_renamed
+    base, landed = _landed_parts(spark, sf_dir)
+    stored = spark.read.parquet(_written(daily_indicators(stage_renamed(base)), "indicators", "parquet"))
+    return _round(increments.refreshed_indicators(stored, landed, dedup_order()), _VOL, VOL_DIGITS)
+
+
+def indicators_appended(spark, sf_dir):
+    """Indicators of the years from 1997 on, from stored tails and new rows alone,
+    after those of the years before."""
+    from tickspan.plans.staging import renamed_prices, stage_renamed
+    staged = stage_renamed(renamed_prices(testfeeds.feed_a_raw_prices(spark, sf_dir)))
+    old = daily_indicators(staged.where(F.year("trading_date") < 1997))
+    tail = spark.read.parquet(_written(increments.tails(old), "tails", "parquet"))
+    made = increments.appended_indicators(tail, staged.where(F.year("trading_date") >= 1997))
+    return _round(old.unionByName(made), _VOL, VOL_DIGITS)
+
+
+QUERIES.update({
+    "dedup_base_and_landed": dedup_base_and_landed,
+    "indicators_incremental": indicators_incremental,
+    "indicators_appended": indicators_appended,
+})

@@ -778,3 +778,9 @@ ORACLE_SQL.update({
     "rebuilt_price_facts": ORACLE_SQL["fact_price_daily"],
     "rebuilt_staging_view": ORACLE_SQL["stage_tickers"],
 })
+
+ORACLE_SQL.update({
+    "dedup_base_and_landed": ORACLE_SQL["dedup_latest_prices"],
+    "indicators_incremental": ORACLE_SQL["indicators_year_buckets"],
+    "indicators_appended": ORACLE_SQL["indicators_year_buckets"],
+})

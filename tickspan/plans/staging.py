@@ -40,6 +40,11 @@ def stg_stock_prices(raw: DataFrame, only: DataFrame | None = None, only_rows: i
     rows = renamed_prices(raw)
     if only is not None:
         rows = join_small(rows, only.select("ticker_symbol"), "ticker_symbol", "left_semi", known_rows=only_rows)
+    return stage_renamed(rows)
+
+
+def stage_renamed(rows: DataFrame) -> DataFrame:
+    """Renamed price rows → one row per (ticker, date)."""
     return latest_per_key(rows, ["ticker_symbol", "trading_date"], dedup_order()).select(*STG_STOCK_PRICES_COLUMNS)
 
 

@@ -33,7 +33,7 @@ FILES_PER_PARTITION = 64
 
 def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
                 names: list[str] | None = None, partition_by: dict | None = None,
-                share_intermediates: bool = True, rebind: bool = False, versioned: bool = False) -> dict:
+                share_intermediates: bool = True, rebind: bool = False, versioned: bool = False, watch=None) -> dict:
     """Materialize the model graph layer by layer.
 
     Views are registered as temporary views ``<LAYER>__<model>``; tables are
@@ -56,7 +56,8 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
     read them are written, instead of being recomputed for every fact and
     mart. With ``rebind`` each
     written table replaces the model's lazy definition, so later readers (the
-    data-quality checks, say) read the table."""
+    data-quality checks, say) read the table. ``watch`` (``quality.Watch``) counts
+    violations while the tables are written."""
     from tickspan.plans.models import MODEL_LAYERS
     spark = models.spark
     if share_intermediates:
@@ -76,9 +77,12 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
         parts = (DEFAULT_PARTITIONING if partition_by is None else partition_by).get(name)
         if parts:
             bucket = F.pmod(F.xxhash64("ticker_symbol"), F.lit(FILES_PER_PARTITION))
-            w = df.repartition(*parts, bucket).write.mode("overwrite").partitionBy(*parts)
-        else:
-            w = df.write.mode("overwrite")
+            df = df.repartition(*parts, bucket)
+        if watch is not None:
+            df = watch.attach(name, df)
+        w = df.write.mode("overwrite")
+        if parts:
+            w = w.partitionBy(*parts)
         if root is not None:
             layer_dir = f"{root.rstrip('/')}/{schema}"
             if versioned:
