@@ -313,3 +313,29 @@ def test_anchors_are_held_by_every_form():
     forms = ["permission is hereby granted", "short one", "permission again", "licensed under this"]
     held = L.anchors(forms)
     assert all(any(a in f for a in held) for f in forms) and L.anchors([]) == []
+
+
+@pytest.mark.parametrize("name, make", [
+    ("groups of upper-case letters", lambda r: "-".join("".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(5)) for _ in range(5))),
+    ("groups of letters", lambda r: "_".join("".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(12)) for _ in range(3))),
+    ("groups joined by dots", lambda r: ".".join("".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+                                                         for _ in range(10)) for _ in range(3))),
+    ("letters, digits and marks", lambda r: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!@#%&*") for _ in range(24))),
+    ("upper-case hexadecimal", lambda r: "".join(r.choice("0123456789ABCDEF") for _ in range(24)))])
+def test_classes_of_random_strings_are_found(name, make):
+    rnd = random.Random(name)
+    found = 0
+    for _ in range(200):
+        value = make(rnd)
+        found += any(k == 3 and a <= 6 and b >= len(value) + 2 for a, k, b in S.spans_of("value " + value + " ends")[1])
+    assert found >= 180, (name, found)
+
+
+@pytest.mark.parametrize("plain", [
+    "org.apache.hadoop.fs.FileSystem", "MAX_RETRY_COUNT_LIMIT", "https://www.example.com/a/b?x=1&y=2&z=3", "first.last@example.co.uk",
+    "2024-01-02T10:20:30.123456", "user_id=12345&session=open&page=17", "en_US.UTF-8", "3.14159265358979323846", "192.168.100.200:8080",
+    "libstdc++.so.6.0.30", "#hashtag#another#third", "**very*important*words**", "!!!!!!!!!!!!!!!!!!!!!!!!!", "#*$%&#*$%&#*$%&#*$%&#*$%&",
+    "a=1&b=2&c=3&d=4&e=5&f=6", "one.two.three.four.five.six.", "END.The.next.sentence.follows", "0123.4567.89.0123.4567",
+    "d41d8cd98f00b204e9800998ecf8427e".upper(), "README.md/CONTRIBUTING.md", "spring-boot-starter-data-jpa", "x-forwarded-for=proxy.internal"])
+def test_identifiers_are_left_alone(plain):
+    assert [x for x in S.spans_of("see " + plain + " there")[1] if x[1] == 3] == []

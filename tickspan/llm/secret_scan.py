@@ -9,8 +9,9 @@ with their neighbours, so that key names and paths do not hide a value: the
 stretches of parts with the most pieces for their length are spans, by ``ratio``
 from ``LEAST`` letters and digits and by ``SHORT_RATIO`` from ``SHORT``. What is
 a known digest (only hexadecimal digits, of a digest's length) or an identifier
-(only digits and separators, a UUID, words and numbers joined by separators) is
-none.
+(only digits and separators, a UUID, words and numbers joined by separators, if
+the vocabulary holds the words in long pieces) is none. Upper-case hexadecimal
+runs, whose digits the vocabulary pairs, have a ratio of their own.
 
 Spans are in code points, end exclusive, ordered by start and then kind.
 
@@ -38,21 +39,26 @@ RATIO = 1.7
 LEAST = 20
 #: Short words of foreign languages and product names come near 1.6.
 SHORT, SHORT_RATIO = 12, 1.4
+#: Upper-case hexadecimal digits have about 1.8, and no words are made of them and digits.
+HEX_LEAST, HEX_RATIO = 16, 2.4
 KINDS = ("assign", "access", "hex", "random")
 
 _ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _WORDS = ("passw", "secret", "token", "apikey", "api_key")   # one is in every match
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")          # the runs of [0-9a-f]+ with 16 characters or more
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORT)
+_RUN = re.compile(r"[A-Za-z0-9+/_=.!@#%%&*$^-]{%d,}" % SHORT)
 _INNER = re.compile(r"[A-Za-z0-9]+")
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)   # MD5, SHA-1, SHA-2
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 _INNER_UUID = re.compile(r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F])")
-_NUMBER = re.compile(r"[0-9+/_=-]+\Z")
+_NUMBER = re.compile(r"[0-9+/_=.!@#%&*$^-]+\Z")
+_UPPER_HEX = re.compile(r"(?=[A-F]*[0-9])(?=[0-9]*[A-F])[0-9A-F]{%d,}\Z" % HEX_LEAST)
 _PART = re.compile(r"[A-Za-z]{1,15}\Z|[0-9]{1,8}\Z")
-_JOIN = re.compile(r"[+/_=-]+")
+_JOIN = re.compile(r"[+/_=.!@#%&*$^-]+")
+#: Letters from which a part of an identifier must be a word.
+WORD = 4
 
 
 @functools.lru_cache(maxsize=2)
@@ -74,14 +80,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def is_known(run: str) -> bool:
+def is_known(run: str, ratio: float, pieces_of) -> bool:
     """Digests and identifiers, which look random without being secret."""
     if _NUMBER.match(run) or _UUID.match(run):
         return True
     if len(run) in _DIGEST_LENGTHS and _DIGEST.match(run):
         return True
     parts = _JOIN.split(run)
-    return len(parts) > 1 and all(_PART.match(p) for p in parts if p)
+    if len(parts) < 2 or not all(_PART.match(p) for p in parts if p):
+        return False
+    words = [p for p in parts if len(p) >= WORD and p.isalpha()]
+    return sum(map(len, words)) >= ratio * sum(map(pieces_of, words))
 
 
 def stretches(scores: list[float]) -> list[tuple[int, int]]:
@@ -134,19 +143,23 @@ def random_spans(text: str, vocabulary: str, ratio: float, taken: list[tuple[int
         return sum(len(encode(run[i:i + 4096])) for i in range(0, len(run), 4096))
     out = []
     for a, b in found:
+        a, b = a + len(text[a:b]) - len(text[a:b].lstrip(".")), a + len(text[a:b].rstrip("."))      # a sentence's end
         run = text[a:b]
-        if b - a >= LEAST and not is_known(run) and b - a < ratio * pieces_of(run):
-            out.append((a, 3, b))
-            continue
         parts = [p.span() for p in _INNER.finditer(run)]
         if sum(e - s for s, e in parts) < SHORT:
             continue
+        if b - a >= LEAST and b - a < ratio * pieces_of(run) and not is_known(run, ratio, pieces_of):
+            out.append((a, 3, b))
+            continue
         pieces = [pieces_of(run[s:e]) for s, e in parts]
         uuids = {u.start() + k for u in _INNER_UUID.finditer(run) for k in (0, 9, 14, 19, 24)}
-        for i, j in stretches([-ratio * len(run) if s in uuids else ratio * n - (e - s) for n, (s, e) in zip(pieces, parts)]):
+        codes = [bool(_UPPER_HEX.match(run[s:e])) for s, e in parts]
+        for i, j in stretches([-ratio * len(run) if s in uuids else (HEX_RATIO if c else ratio) * n - (e - s)
+                               for n, c, (s, e) in zip(pieces, codes, parts)]):
             size, n = sum(e - s for s, e in parts[i:j + 1]), sum(pieces[i:j + 1])
             s, e = parts[i][0], parts[j][1]
-            if (size < ratio * n if size >= LEAST else SHORT <= size < SHORT_RATIO * n) and not is_known(run[s:e]):
+            least, most = (HEX_LEAST, HEX_RATIO) if all(codes[i:j + 1]) else (LEAST, ratio)
+            if (size < most * n if size >= least else SHORT <= size < SHORT_RATIO * n) and not is_known(run[s:e], ratio, pieces_of):
                 out.append((a + s, 3, a + e))
     return out
 
