@@ -351,3 +351,32 @@ def test_extract(spark):
     assert got == collections.Counter((i, H.rendered(h), len(H.rendered(h)), len(H.rendered(h).split("\n")) if H.rendered(h) else 0)
                                       for i, h in rows)
     assert H.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<p style='visibility:hidden'>a<b style='visibility:visible'>b</b>c</p>", "b"),
+    ("<div style=visibility:hidden><p style='display:none;visibility:visible'>no</p>x</div>y", "y"),
+    ("<style>.x{display:none} #k, p.z {visibility : hidden}</style><p class='a x'>1</p><p id=k>2</p><p class=z>3</p><div class=z>4</div>", "4"),
+    ("<style>.x{display:none}</style><style>p.x{display:block}</style><p class=x>1</p><div class=x>2</div>", "1"),
+    ("<style>.x{display:none!important}</style><p class=x style='display:block'>1</p><p>2", "2"),
+    ("<style>/* .y{display:none} */ @media print{.y{display:none}} @import 'a'; h1>b{display:none}</style><p class=y>1</p><h1><b>2</b></h1>", "1\n\n2"),
+    ("<style>[hidden]{color:red} b{display:none}</style><p hidden>1</p><i hidden style='display:inline'>2</i><b>3</b>", "2"),
+    ("<p>late <b class=q>no</b></p><style>.q{display:none}</style>", "late"),
+    ("<details><summary>S</summary><p>in</p></details><details open><summary>T</summary>out</details>", "S\nT\nout"),
+    ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+    ("<ol><li>a<li value=7>b<li>c</ol>", "1. a\n7. b\n8. c"),
+    ("<table><tr><td rowspan=2>A<td>B<tr><td>C</table>", "A  B\n   C"),
+    ("<table><tr><td>A<td rowspan=0>B<td>D<tr><td>EE<td>F<tr><td>G<td>H</table>", "A   B  D\nEE     F\nG      H"),
+    ("<table><tr><td colspan=2 rowspan=2>AA<td>B<tr><td>C<tr><td>x<td>y<td>z</table>", "AA    B\n      C\nx  y  z")])
+def test_visibility_and_spans(page, text):
+    assert H.rendered(page) == text
+
+
+def test_long_cells_are_wrapped_and_columns_stay_aligned():
+    long = " ".join(f"word{i}" for i in range(40))
+    lines = H.rendered(f"<table><tr><td>{long}<td>right<tr><td>a<td>b</table>").split("\n")
+    at = lines[0].index("right")
+    assert lines[-1].index("b") == at and all(len(x) <= 70 for x in lines)
+    assert " ".join(" ".join(x[:at].split()) for x in lines[:-1]) == long
+    assert H.rendered(f"<table><tr><td>a<td>{long}</table>") == "a  " + long
+    assert H.rendered(f"<table><tr><td>{long}<td>r</table>", widest=1000) == long + "  r"

@@ -5,7 +5,11 @@ implies (a paragraph ends at the next block, a list item at the next item, a cel
 at the next cell or row), and rendered without recursion: invisible elements are
 left out, blocks are set apart by line breaks or blank lines as their kind asks,
 list items get bullets or numbers and are indented by depth, preformatted text
-keeps its spaces, and the cells of a table are aligned in columns. An open head
+keeps its spaces, and the cells of a table are aligned in columns, over rows
+they span as well. Visibility follows inline styles, the ``hidden`` attribute and
+the page's style sheets, as far as their selectors are a tag, classes and ids
+(rules below ``@`` are not read); what is hidden by ``visibility`` may hold what is
+visible again, closed details show their summary, closed dialogs nothing. An open head
 ends where its content cannot be the head's. Drawings show their text elements
 and embedded HTML, formulas all but annotations.
 
@@ -27,11 +31,15 @@ _TAG = re.compile(r"""<!--(?:>|.*?(?:-->|\Z))|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*
                   r"""((?:=\s*+"[^"]*+"|=\s*+'[^']*+'|=\s*+[^\s"'>][^\s>]*+|[^>=]++|=)*+)>""", re.S)
 _LOOSE = re.compile(r"<!--(?:>|.*?(?:-->|\Z))|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_HIDDEN_STYLE = re.compile(r"""style\s*=\s*(?:"[^"]*|'[^']*|[^\s"'>]*)(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))""", re.I)
-_HIDDEN_FLAG = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)""", re.I)
+_VALUE = r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_STYLE, _CLASS, _ID = (re.compile(rf"(?:^|[\s/\"']){a}{_VALUE}", re.I) for a in ("style", "class", "id"))
+_HIDDEN_FLAG, _OPEN_FLAG = (re.compile(rf"(?:^|\s){a}(?:\s|=|/|$)", re.I) for a in ("hidden", "open"))
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
+_SELECTOR = re.compile(r"\s*([a-z][a-z0-9]*|\*)?((?:[.#][\w-]+)*)\s*\Z", re.I)
 _QUOTED = re.compile(r'''=\s*(?:"[^"]*"|'[^']*')''')
 _START = re.compile(r"""(?:^|\s)start\s*=\s*["']?(-?\d{1,9})""", re.I)
-_SPAN = re.compile(r"""(?:^|\s)colspan\s*=\s*["']?(\d{1,3})""", re.I)
+_ITEM = re.compile(r"""(?:^|\s)value\s*=\s*["']?(-?\d{1,9})""", re.I)
+_SPAN, _ROWS = (re.compile(rf"""(?:^|\s){a}\s*=\s*["']?(\d{{1,5}})""", re.I) for a in ("colspan", "rowspan"))
 
 # Element kinds of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,7 +69,8 @@ CLOSES = {"li": (("li",), ("ul", "ol", "menu", "dir")), "dt": (("dt", "dd"), ("d
           "tbody": (("thead", "tbody", "tfoot", "tr", "caption"), ("table",)),
           "tfoot": (("thead", "tbody", "tfoot", "tr", "caption"), ("table",))}
 DEEPEST = 512   # as browsers do, deeper elements become siblings
-WIDEST = 60     # longer cells do not widen their column
+MOST_COLUMNS = 1000     # of a cell, by the standard
+WIDEST = 60     # default: cells before others are wrapped at this width
 BULLETS = "-"
 
 
@@ -79,6 +88,7 @@ class Tree:
 
     def __init__(self, page: str):
         self.root = self.at = Node("body")
+        self.css: list[str] = []
         self.head, self.begun = None, False    # the open head; whether there is an element or text
         pos, tags, last = 0, _TAG, page.rfind(">")
         while True:
@@ -108,7 +118,9 @@ class Tree:
                 self.end(name)
             elif name in RAW:
                 close = re.compile(rf"</{name}(?=[\s/>])[^>]*>|\Z", re.I).search(page, pos)
-                if name not in UNSEEN:
+                if name == "style":
+                    self.css.append(page[pos:close.start()])
+                elif name not in UNSEEN:
                     self.at.kids.append(html.unescape(page[pos:close.start()]))
                 self.end(name)
                 pos = close.end()
@@ -204,15 +216,67 @@ class Tree:
         at.kids.append(text)
 
 
-def unseen(node: Node) -> bool:
-    if node.name in UNSEEN:
-        return True
-    attrs = node.attrs
-    if not attrs:
-        return False
-    low = attrs.lower()
-    return ("style" in low and _HIDDEN_STYLE.search(attrs) is not None) or (
-        "hidden" in low and _HIDDEN_FLAG.search(_QUOTED.sub('=""', attrs)) is not None)
+def without_at_rules(css: str) -> str:
+    """A style sheet without comments and without rules below ``@``."""
+    css, out, pos = re.sub(r"/\*.*?(?:\*/|\Z)", " ", css, flags=re.S), [], 0
+    while (at := css.find("@", pos)) >= 0:
+        out.append(css[pos:at])
+        depth, pos = 0, len(css)
+        for m in re.compile("[{};]").finditer(css, at):
+            depth += {"{": 1, "}": -1}.get(m[0], 0)
+            if depth <= 0:
+                pos = m.end()
+                break
+    return "".join(out) + css[pos:]
+
+
+class Styles:
+    """What a page's style sheets say on display and visibility, for selectors
+    of a tag, classes and ids."""
+
+    def __init__(self, css: list[str]):
+        self.rules: dict[str, list] = {}      # by the last class or id, or the tag
+        order = 0
+        for text in css:
+            for rule in without_at_rules(text).split("}")[:-1]:
+                head, _, body = rule.rpartition("{")
+                selectors, said = head.rpartition(";")[2], _DECLARED.findall(body)
+                for one in selectors.split(",") if said else ():
+                    m = _SELECTOR.match(one)
+                    if not m or not m[0].strip():
+                        continue
+                    marks = re.findall(r"[.#][\w-]+", m[2])
+                    tag = (m[1] or "*").lower()
+                    ids = sum(x[0] == "#" for x in marks)
+                    order += 1
+                    for prop, value, strong in said:
+                        weight = (bool(strong), ids, len(marks) - ids, tag != "*", order)
+                        self.rules.setdefault(marks[-1] if marks else tag, []).append((prop.lower(), value.lower(), weight, tag, set(marks)))
+
+    def of(self, node: Node) -> dict[str, str]:
+        """The values of display and visibility that the node itself is given."""
+        attrs = node.attrs
+        said: dict[str, tuple] = {}
+
+        def say(prop, value, weight):
+            if prop not in said or weight >= said[prop][0]:
+                said[prop] = (weight, value)
+        if attrs and "hidden" in attrs.lower() and _HIDDEN_FLAG.search(_QUOTED.sub('=""', attrs)):
+            say("display", "none", (False, -1))
+        if self.rules:
+            marks = set()
+            if attrs and (m := _CLASS.search(attrs)):
+                marks |= {"." + c for c in html.unescape(m[1].strip("\"'")).split()}
+            if attrs and (m := _ID.search(attrs)):
+                marks.add("#" + html.unescape(m[1].strip("\"'")))
+            for key in (*marks, node.name, "*"):
+                for prop, value, weight, tag, needs in self.rules.get(key, ()):
+                    if tag in ("*", node.name) and needs <= marks:
+                        say(prop, value, weight)
+        if attrs and "style" in attrs.lower() and (m := _STYLE.search(attrs)):
+            for prop, value, strong in _DECLARED.findall(html.unescape(m[1].strip("\"'"))):
+                say(prop.lower(), value.lower(), (bool(strong), 1 << 30))
+        return {prop: value for prop, (_, value) in said.items()}
 
 
 class Lines:
@@ -247,38 +311,60 @@ class Lines:
             self.gap = 1
 
 
-def aligned(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Lines of a table; a cell is its lines and the columns it spans."""
-    widths: dict[int, int] = {}
-    for row in rows:
-        col = 0
-        for lines, span in row:
-            fit = [len(x) for x in lines if len(x) <= WIDEST]
-            if span == 1 and fit:
-                widths[col] = max(widths.get(col, 0), max(fit))
-            col += span
-    for row in rows:      # cells over several columns widen the last of them
-        col = 0
-        for lines, span in row:
-            need = max((len(x) for x in lines if len(x) <= WIDEST), default=0)
-            have = sum(widths.get(c, 0) for c in range(col, col + span)) + 2 * (span - 1)
-            if span > 1 and need > have:
-                widths[col + span - 1] = widths.get(col + span - 1, 0) + need - have
+def wrapped(line: str, width: int) -> list[str]:
+    """A line cut at spaces into lines of at most ``width`` where words allow."""
+    if len(line) <= width:
+        return [line]
+    out, now = [], ""
+    for word in line.split(" "):
+        if now and len(now) + 1 + len(word) > width:
+            out.append(now)
+            now = word
+        else:
+            now = f"{now} {word}" if now else word
+    return [*out, now]
+
+
+def aligned(rows: list[list[tuple[list[str], int, int]]], widest: int = WIDEST) -> list[str]:
+    """Lines of a table; a cell is its lines and the columns and rows it spans
+    (0 rows: to the end). Cells with others after them are wrapped at ``widest``,
+    so columns start alike in all rows."""
+    placed, held = [], {}          # by row the cells with their column; columns held by cells of rows above
+    for r, row in enumerate(rows):
+        col, cells = 0, []
+        for lines, span, down in row:
+            while held.get(col, 0) > r:
+                col += 1
+            cells.append((lines, col, span))
+            for c in range(col, col + span if down != 1 else col):
+                held[c] = r + down if down else len(rows)
             col += span
+        placed.append([(x if i == len(cells) - 1 else [w for line in x for w in wrapped(line, widest)], c, n)
+                       for i, (x, c, n) in enumerate(cells)])
+    widths: dict[int, int] = {}
+    for many in (False, True):     # cells over several columns widen the last of them
+        for row in placed:
+            for i, (lines, col, span) in enumerate(row):
+                need = max((len(x) for x in lines if len(x) <= widest or i < len(row) - 1), default=0)
+                have = sum(widths.get(c, 0) for c in range(col, col + span)) + 2 * (span - 1)
+                if (span > 1) == many and need > have:
+                    widths[col + span - 1] = widths.get(col + span - 1, 0) + need - have
+    starts, at = [0], 0
+    for c in range(max((col + span for row in placed for _, col, span in row), default=0)):
+        at += widths.get(c, 0) + 2
+        starts.append(at)
     out = []
-    for row in rows:
-        for i in range(max((len(lines) for lines, _ in row), default=0)):
-            text, col = "", 0
-            for lines, span in row:
-                cell = lines[i] if i < len(lines) else ""
-                width = sum(widths.get(c, 0) for c in range(col, col + span)) + 2 * (span - 1)
-                text += cell.ljust(width) + "  "
-                col += span
+    for row in placed:
+        for i in range(max((len(lines) for lines, _, _ in row), default=0)):
+            text = ""
+            for lines, col, _ in row:
+                if i < len(lines):
+                    text = text.ljust(starts[col]) + lines[i] + "  "
             out.append(text.rstrip())
     return [x for x in out if x]
 
 
-def rendered(page: str | None) -> str:
+def rendered(page: str | None, widest: int = WIDEST) -> str:
     """The visible text of a page, laid out."""
     if not page:
         return ""
@@ -287,12 +373,14 @@ def rendered(page: str | None) -> str:
     lists: list[list] = []        # [is numbered, next number]
     pre = 0
     drawn: list[bool] = []        # for each open drawing, text element and embedded HTML: whether text shows
-    todo: list = [(Tree(page).root, True)]
+    tree = Tree(page)
+    styles, shown = Styles(tree.css), [True]     # for each open element, whether its text shows
+    todo: list = [(tree.root, True)]
     while todo:
         node, enter = todo.pop()
         sink = sinks[-1]
         if isinstance(node, str):
-            if drawn and not drawn[-1]:
+            if (drawn and not drawn[-1]) or not shown[-1]:
                 continue
             if pre:
                 first, *more = node.replace("\r\n", "\n").split("\n")
@@ -305,8 +393,19 @@ def rendered(page: str | None) -> str:
             continue
         name = node.name
         if enter:
-            if unseen(node) or (drawn and name in UNDRAWN):
+            if name in UNSEEN or (drawn and name in UNDRAWN):
+                continue
+            given = styles.of(node) if node.attrs or styles.rules else {}
+            if given.get("display") == "none":
+                continue
+            closed = name in ("details", "dialog") and not _OPEN_FLAG.search(_QUOTED.sub('=""', node.attrs))
+            if closed and name == "dialog":
                 continue
+            kids = node.kids
+            if closed:
+                kids = [k for k in kids if not isinstance(k, str) and k.name == "summary"][:1]
+            seen = given.get("visibility", "inherit")
+            shown.append({"visible": True, "hidden": False, "collapse": False}.get(seen, shown[-1]))
             todo.append((node, False))
             if name == "svg":
                 drawn.append(False)
@@ -316,7 +415,7 @@ def rendered(page: str | None) -> str:
                     sink.text(" ")
             if name == "br":
                 sink.flush(keep=bool(sink.line or sink.done))
-            elif name == "hr":
+            elif name == "hr" and shown[-1]:
                 sink.part(True)
                 sink.put("---")
                 sink.gap = 1
@@ -337,8 +436,9 @@ def rendered(page: str | None) -> str:
             elif name in BLOCK:
                 sink.part(name in PARTED)
             pre += name in ("pre", "xmp", "textarea")
-            todo.extend((kid, True) for kid in reversed(node.kids))
+            todo.extend((kid, True) for kid in reversed(kids))
             continue
+        shown.pop()
         pre -= name in ("pre", "xmp", "textarea")
         if name == "svg" or (drawn and name in DRAWN):
             drawn.pop()
@@ -346,7 +446,7 @@ def rendered(page: str | None) -> str:
                 sink.text(" ")
         if name == "table":
             sink.flush()
-            for line in aligned(tables.pop()):
+            for line in aligned(tables.pop(), widest):
                 sink.put(line)
             sink.gap = 1
         elif name in ("td", "th") and tables:
@@ -355,8 +455,8 @@ def rendered(page: str | None) -> str:
             cell = [x for x in sink.done if x]
             if not tables[-1]:
                 tables[-1].append([])
-            span = _SPAN.search(node.attrs)
-            tables[-1][-1].append((cell, min(max(int(span.group(1)), 1), 100) if span else 1))
+            span, down = _SPAN.search(node.attrs), _ROWS.search(node.attrs)
+            tables[-1][-1].append((cell, min(max(int(span.group(1)), 1), MOST_COLUMNS) if span else 1, int(down.group(1)) if down else 1))
         elif name in ("ul", "ol", "menu", "dir"):
             sink.part(False)
             lists.pop()
@@ -367,6 +467,8 @@ def rendered(page: str | None) -> str:
             sink.flush()
             if name == "li":
                 numbered = lists and lists[-1][0]
+                if numbered and (value := _ITEM.search(node.attrs)):
+                    lists[-1][1] = int(value.group(1))
                 lead = f"{lists[-1][1]}. " if numbered else BULLETS + " "
                 if numbered:
                     lists[-1][1] += 1
@@ -383,15 +485,16 @@ def rendered(page: str | None) -> str:
     return "\n".join(sinks[0].done).strip("\n")
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One row per page: ``<id>, text, n_chars, n_lines``."""
+def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", widest: int = WIDEST) -> DataFrame:
+    """One row per page: ``<id>, text, n_chars, n_lines``. ``widest``: width at
+    which table cells before others are wrapped."""
     src = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html"))
     kind = T.StructType([src.schema["id"], T.StructField("text", T.StringType())])
 
     def run(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([rendered(x) for x in b.column(1).to_pylist()], pa.string())], names=["id", "text"])
+                [b.column(0), pa.array([rendered(x, widest) for x in b.column(1).to_pylist()], pa.string())], names=["id", "text"])
     out = src.mapInArrow(run, kind)
     n = F.char_length("text").cast("long")
     return out.select(F.col("id").alias(id_col), "text", n.alias("n_chars"), F.when(n == 0, 0).otherwise(
