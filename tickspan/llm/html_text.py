@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -341,6 +342,9 @@ def aligned(rows: list[list[tuple[list[str], int, int]]], widest: int = WIDEST)
             col += span
         placed.append([(x if i == len(cells) - 1 else [w for line in x for w in wrapped(line, widest)], c, n)
                        for i, (x, c, n) in enumerate(cells)])
+    # Columns in which no cell starts take no room.
+    used = sorted({col for row in placed for _, col, _ in row})
+    placed = [[(x, bisect_left(used, col), bisect_left(used, col + span) - bisect_left(used, col)) for x, col, span in row] for row in placed]
     widths: dict[int, int] = {}
     for many in (False, True):     # cells over several columns widen the last of them
         for row in placed:
