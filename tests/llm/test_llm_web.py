@@ -4,6 +4,7 @@ import glob
 import gzip
 import hashlib
 import math
+import pathlib
 import random
 import re
 
@@ -276,11 +277,113 @@ def test_gaps_are_logged(spark, scratch):
     with open(f"{scratch}/w/part-0", "wb") as f:
         f.write(good[0] + b"garbage" + good[1] + good[2][:-9])
     rows = sorted(W.read(spark, f"{scratch}/w", with_payload=False).collect(), key=lambda r: r.start)
+    with pytest.raises(Exception, match="gap in .*part-0 at [0-9]+: "):
+        W.intact(W.read(spark, f"{scratch}/w")).collect()
     a, b = len(good[0]), len(good[0]) + 7
     assert [(r.start, r.end, r.gap is None) for r in rows] == [
         (0, a, True), (a, b, False), (b, b + len(good[1]), True), (b + len(good[1]), b + len(good[1]) + len(good[2]) - 9, False)]
 
 
+def test_folded_header_lines_are_joined():
+    rec = W.make_record(5, "http://h/a", b"body").replace(b"WARC-Date: ", b"X-Note: one\r\n two\r\n\tthree\r\nWARC-Date: ")
+    for data in (rec, W.member(rec)):
+        (_, _, record, why), *more = W.salvage(data)
+        assert why is None and not more and page_id(record["record_id"]) == 5
+    assert W.header_of(W.Whole(rec), 0)[0]["x-note"] == "one two three"
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_records_inside_a_damaged_payload_are_no_records(packed):
+    inner = W.make_record(50, "http://inner", b"embedded")
+    outer = bytearray(W.make_record(1, "http://outer", b"before " + inner + b" after"))
+    outer[outer.index(b"before")] ^= 1
+    parts = [W.make_record(0, "u", b"a"), bytes(outer), W.make_record(2, "u", b"c")]
+    data = gzip.compress(b"".join(parts)) if packed else b"".join(parts)
+    rows = list(W.salvage(data))
+    assert [page_id(r["record_id"]) if r else why for _, _, r, why in rows] == [0, "block digest", 2]
+    # Without its own end the embedded record cannot be told from a real one.
+    cut = b"".join([parts[0], bytes(outer)[:-7], parts[2]])
+    assert [page_id(r["record_id"]) for _, _, r, _ in W.salvage(cut) if r] == [0, 50, 2]
+
+
+def test_odd_lengths_and_long_lines_are_gaps():
+    good = W.make_record(1, "u", b"x")
+    for length in (b"9" * 5000, "²".encode(), b"-4", b"9" * 18, b""):
+        bad = re.sub(rb"Content-Length: \d+\r\n\r\nHTTP", lambda m: b"Content-Length: " + length + b"\r\n\r\nHTTP", good)
+        rows = list(W.salvage(bad + good))
+        assert [r is None for _, _, r, _ in rows] == [True, False] and rows[0][1] == len(bad)
+    junk = b"WARC/1.0\r\n" + b"\xff" * 3_000_000
+    assert [(r is None, b) for _, b, r, _ in W.salvage(junk + good)] == [(True, len(junk)), (False, len(junk) + len(good))]
+
+
+def archives():
+    rnd = random.Random(11)
+    plain = [W.make_record(i, f"http://h/{i}", bytes(rnd.choices(range(97, 123), k=rnd.choice((0, 10, 900, 5000))))) for i in range(60)]
+    plain[20] = plain[20][:-30] + b"#" + plain[20][-29:]
+    one = bytearray(gzip.compress(b"".join(plain), mtime=0))
+    yield bytes(one)
+    yield b"".join(map(W.member, plain)) + b"junk" + b"".join(plain)
+    one[len(one) // 2] ^= 255
+    yield bytes(one) + W.member(plain[0])
+    yield bytes(one[:len(one) * 2 // 3])
+    yield gzip.compress(b"".join(plain[:5]) + W.make_record(70, "u", b"y" * 400_000) + b"".join(plain[5:9]))
+
+
+@pytest.mark.parametrize("chunk, part, held, marks", [(997, 61, 1500, 4), (4096, 512, 100, 3), (64, 33, 64, 8)])
+def test_small_blocks_read_the_same(monkeypatch, chunk, part, held, marks):
+    import io
+    want = [list(W.salvage(x)) for x in archives()]
+    assert sum(r is not None for x in want for _, _, r, _ in x) > 150
+    for name, value in (("CHUNK", chunk), ("PART", part), ("HELD", held), ("MARKS", marks), ("BLOCKS", 2)):
+        monkeypatch.setattr(W, name, value)
+    assert [list(W.salvage(W.Opened(io.BytesIO(x), len(x)))) for x in archives()] == want
+    bare = [[(a, b, r and {**r, "payload": None}, w) for a, b, r, w in x] for x in want]
+    assert [list(W.salvage(x, with_payload=False)) for x in archives()] == bare
+
+
+def test_inflated_bytes_are_read_anywhere(monkeypatch):
+    for name, value in (("CHUNK", 500), ("PART", 70), ("HELD", 300), ("MARKS", 5)):
+        monkeypatch.setattr(W, name, value)
+    rnd = random.Random(4)
+    text = bytes(rnd.choices(range(60, 123), k=40_000)) + b"z" * 40_000
+    inner = W.Inflated(W.Whole(b"??" + gzip.compress(text) + b"rest"), 2)
+    assert (inner.size, inner.bad, inner.end) == (80_000, None, 2 + len(gzip.compress(text))) and len(inner.marks) <= 5
+    for _ in range(400):
+        at, n = rnd.randrange(81_000), rnd.choice((1, 40, 2000))
+        assert inner.get(at, n) == text[at:at + n]
+    many = W.member(W.make_record(8, "u", b"x" * 3_000_000)) + W._EMPTY
+    assert [(a, b, w) for a, b, _, w in W.salvage(many)] == [(0, len(many) - len(W._EMPTY), None)]
+    assert inner.find(b"zzzz", 0) == 40_000 and inner.find(b"??", 40_000) == -1
+
+
+def test_memory_does_not_grow_with_member_or_record(tmp_path):
+    """One member of 300 MB with a record of 200 MB: some 40 MB at a time."""
+    import subprocess
+    import sys
+    path = tmp_path / "one.warc.gz"
+    with gzip.open(path, "wb", compresslevel=1) as f:
+        for i in range(100):
+            f.write(W.make_record(i, "u", b"%09d" % i * 110_000))
+        f.write(W.make_record(100, "u", b"abcdefgh" * 25_000_000))
+    code = ("import resource, os\nfrom tickspan.llm import warc as W\n"
+            "base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+            f"p = {str(path)!r}\n"
+            "rows = [(r['record_id'], r['payload_bytes']) for _, _, r, w in W.salvage(W.Opened(open(p, 'rb'), os.path.getsize(p)), False) if not w]\n"
+            "print(len(rows), rows[-1][1], (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) // 1024)")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         cwd=str(pathlib.Path(W.__file__).parents[2])).stdout.split()
+    assert out[:2] == ["101", "200000000"] and int(out[2]) < 80
+
+
+def test_large_files_are_read_in_blocks_and_give_the_same(spark, scratch):
+    rows = [(i, f"http://h/{i}", "t" * i * 50) for i in range(200)]
+    W.write(spark.createDataFrame(rows, "page_id long, url string, html string"), f"{scratch}/w x%20", file_bytes=40_000)
+    whole = collections.Counter(map(tuple, W.read(spark, f"{scratch}/w x%20").collect()))
+    assert sum(whole.values()) == 200
+    for at_most in (0, 3000):       # all files, and some of them
+        assert collections.Counter(map(tuple, W.read(spark, f"{scratch}/w x%20", whole_bytes=at_most).collect())) == whole
+
+
 # -- HTML
 
 @pytest.mark.parametrize("page, text", [

@@ -43,10 +43,10 @@ def op8_decontamination(spark, sf_dir):
 
 
 def op9_warc(spark, sf_dir):
-    """Every page written to archives in the shared folder and read back."""
+    """Every page written to archives in the shared folder and read back; a gap there is an error."""
     path = shared_path(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), path, least=0)
-    records = warc.read(spark, path, with_payload=False).where(F.col("gap").isNull())
+    records = warc.intact(warc.read(spark, path, with_payload=False))
     return records.select(
         warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
         F.col("type").alias("record_type"), warc.page_of(F.col("refers_to_id")).alias("refers_to"))

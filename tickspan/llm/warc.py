@@ -12,11 +12,15 @@ are found by digest with partial aggregates; their ids are joined back by
 broadcast where they are counted to be few, else by a shuffle that adaptive
 execution can split at a hot payload.
 
-The reader takes files whole, which the writer keeps near ``file_bytes``. Every
-record is checked (version line, header, lengths, terminator, digests). After a
-failed check it searches for the next member or version line that starts a
-valid record, goes on from there, and logs the bytes between as a gap. The same
-is done within a member, and within what a damaged or truncated one inflates to.
+The reader steps through a file and through each member in blocks, whatever their
+sizes: a task holds some blocks, at most 256 states of the inflation it may go back
+to, and one record (without its payload if that is not wanted). Every record is
+checked (version line, header, lengths, terminator, digests). After a failed
+check it goes on where the record's own length ends it if a start follows there,
+so records inside a damaged payload are no records; else at the next member or
+version line that starts a valid record. The bytes between are logged as a gap.
+The same is done within a member, and within what a damaged or truncated one
+inflates to.
 Rows from a valid member have its byte range; of a damaged one, the range up to
 where each record was complete, and the rest is a gap; a record complete only
 with the last byte of a cut file has both its fields and the gap's reason.
@@ -30,12 +34,15 @@ table gives no records; columns other than id, url and html are ignored.
 from __future__ import annotations
 
 import base64
+import bisect
+import codecs
 import hashlib
 import re
 import urllib.parse
 import zlib
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickspan.session import cut_lineage
@@ -45,10 +52,16 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 FILE_BYTES = 64 << 20
 BROADCAST_PAYLOADS = 200_000
 FILES = "{part-*,*.warc,*.warc.gz}"
-_VERSION = re.compile(rb"WARC/\d+\.\d+\r\n")
-_START = re.compile(rb"\x1f\x8b\x08|WARC/\d+\.\d+\r\n")
-#: How far the end of a header is sought where no check vouches for its start.
-HEADER = 1 << 20
+_VERSION = re.compile(rb"WARC/\d{1,9}\.\d{1,9}\r\n")
+_START = re.compile(rb"\x1f\x8b\x08|WARC/\d{1,9}\.\d{1,9}\r\n")
+#: More than any match of these patterns takes.
+LINE = 32
+#: Files of up to this size come through Spark's reader, larger ones in blocks.
+WHOLE_BYTES = 2 * FILE_BYTES
+#: Bytes a task reads, inflates or hashes at a time, compressed bytes fed at a
+#: time, blocks of a file held, inflated bytes held, states of a member kept.
+CHUNK, PART, BLOCKS, HELD, MARKS = 1 << 20, 1 << 16, 16, 8 << 20, 256
+BATCH_BYTES = 32 << 20
 _EMPTY = zlib.compressobj(6, zlib.DEFLATED, 31).flush()
 
 
@@ -104,84 +117,263 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
 
 
 class Bad(Exception):
-    """A failed check; the message is the reason that the gap logs."""
+    """A failed check; the message is the reason that the gap logs. ``stop`` is
+    where the record ends by its own length, if its terminator is there."""
 
+    def __init__(self, why: str, stop: int | None = None):
+        super().__init__(why)
+        self.stop = stop
 
-def parse_record(data: bytes, at: int, reach: int | None = HEADER) -> tuple[dict, int]:
-    """The record at ``at`` and where it ends; its header ends within ``reach``
-    bytes, or anywhere."""
-    version = _VERSION.match(data, at)
+
+class Bytes:
+    """``size`` bytes that are read in parts, mostly forwards."""
+
+    size = 0
+
+    def get(self, at: int, n: int) -> bytes:
+        """``n`` bytes from ``at``, fewer only at the end."""
+        raise NotImplementedError
+
+    def _parts(self, at: int, stop: int, overlap: int):
+        step = 4096
+        while at < stop:
+            part = self.get(at, min(step, stop - at))
+            yield at, part
+            if not part or at + len(part) >= stop:
+                return
+            at, step = at + len(part) - overlap, min(2 * step, CHUNK)
+
+    def find(self, what: bytes, at: int, stop: int | None = None) -> int:
+        for at, part in self._parts(at, self.size if stop is None else stop, len(what) - 1):
+            hit = part.find(what)
+            if hit >= 0:
+                return at + hit
+        return -1
+
+    def following(self, pattern: re.Pattern, at: int) -> int:
+        """Where the next match (of at most ``LINE`` bytes) starts, or the end."""
+        for at, part in self._parts(at, self.size, LINE - 1):
+            hit = pattern.search(part)
+            if hit:
+                return at + hit.start()
+        return self.size
+
+
+class Whole(Bytes):
+    def __init__(self, data: bytes):
+        self.data, self.size = data, len(data)
+
+    def get(self, at: int, n: int) -> bytes:
+        return self.data[at:at + n]
+
+
+class Opened(Bytes):
+    """A file that can seek, of which the last few blocks read are held."""
+
+    def __init__(self, file, size: int):
+        self.file, self.size, self.blocks = file, size, {}
+
+    def _block(self, k: int) -> bytes:
+        block = self.blocks.pop(k, None)
+        if block is None:
+            self.file.seek(k * CHUNK)
+            block = self.file.read(CHUNK)
+        self.blocks[k] = block
+        if len(self.blocks) > BLOCKS:
+            del self.blocks[next(iter(self.blocks))]
+        return block
+
+    def get(self, at: int, n: int) -> bytes:
+        end = min(at + n, self.size)
+        return b"".join(self._block(k)[max(at - k * CHUNK, 0):end - k * CHUNK]
+                        for k in range(at // CHUNK, -(-end // CHUNK))) if at < end else b""
+
+
+class Inflated(Bytes):
+    """What the gzip member at ``start`` inflates to. It is inflated once to learn
+    its size, where it ends (``end``) and what is wrong with it (``bad``); the
+    last ``HELD`` bytes are held, and earlier ones are inflated again from the
+    nearest of at most ``MARKS`` states kept on the way."""
+
+    def __init__(self, outer: Bytes, start: int):
+        self.outer, self.bad = outer, None
+        self.marks, self.apart = [(0, start, None)], CHUNK
+        self._restore(self.marks[0])
+        while self._more():
+            self._mark()
+            self._trim(self.at + len(self.held))
+        self.size = self.at + len(self.held)
+        self.end = self.fed - len(self.rest) - len(self.z.unused_data)
+
+    def _restore(self, mark):
+        self.at, self.fed, z = mark
+        self.z = z.copy() if z else zlib.decompressobj(31)
+        self.rest, self.step, self.held = b"", 4096, bytearray()
+
+    def _more(self) -> bool:
+        """Inflates a part. One that fails is fed again by bytes, to keep what it holds."""
+        while not self.z.eof and self.bad is None or self.at + len(self.held) < self.size:
+            if not self.rest:
+                self.rest = self.outer.get(self.fed, self.step)
+                self.fed += len(self.rest)
+                self.step = 1 if self.step == 1 else min(2 * self.step, PART)
+            given, before = self.rest, None if self.step == 1 else self.z.copy()
+            try:
+                out = self.z.decompress(given, CHUNK)
+            except zlib.error as e:
+                if self.step == 1:
+                    self.bad = "gzip: " + str(e).rpartition(": ")[2]
+                    return False
+                self.z, self.rest, self.step = before, b"", 1
+                self.fed -= len(given)
+                continue
+            self.rest = b"" if self.z.eof else self.z.unconsumed_tail
+            if out:
+                self.held += out
+                return True
+            if not given and not self.z.eof:
+                self.bad = "gzip: cut short"
+                return False
+        return False
+
+    def _mark(self):
+        made = self.at + len(self.held)
+        if made - self.marks[-1][0] >= self.apart and self.step > 1:
+            self.marks.append((made, self.fed - len(self.rest), self.z.copy()))
+            if len(self.marks) > MARKS:
+                self.marks, self.apart = self.marks[::2], 2 * self.apart
+
+    def _trim(self, wanted: int):
+        drop = min(len(self.held) - HELD, wanted - self.at)
+        if drop > HELD:
+            del self.held[:drop]
+            self.at += drop
+
+    def get(self, at: int, n: int) -> bytes:
+        end = min(at + n, self.size)
+        if at >= end:
+            return b""
+        if not self.at <= at <= self.at + len(self.held):
+            near = self.marks[bisect.bisect_right(self.marks, at, key=lambda m: m[0]) - 1]
+            if at < self.at or near[0] > self.at + len(self.held):
+                self._restore(near)
+        while self.at + len(self.held) < end and self._more():
+            self._trim(at)
+        return bytes(self.held[at - self.at:end - self.at])
+
+
+class Ends:
+    """Where the member at ``start`` has inflated to given numbers of bytes, in ascending order."""
+
+    def __init__(self, outer: Bytes, start: int):
+        self.outer, self.at, self.made, self.step, self.z = outer, start, 0, PART, zlib.decompressobj(31)
+
+    def upto(self, end: int) -> int:
+        while self.made < end:
+            part, before = self.outer.get(self.at, self.step), self.z.copy()
+            if not part:
+                break
+            try:
+                self.made += len(self.z.decompress(part, min(end - self.made, CHUNK)))
+            except zlib.error:
+                if self.step == 1:
+                    break
+                self.z, self.step = before, 1
+                continue
+            self.at += len(part) - len(self.z.unconsumed_tail)
+        return self.at
+
+
+def text_of(data: Bytes, at: int, end: int) -> str:
+    """Decoded by parts, so that bytes which are no text are not gathered."""
+    decode = codecs.getincrementaldecoder("utf-8")().decode
+    return "".join(decode(data.get(a, min(CHUNK, end - a)), a + CHUNK >= end) for a in range(at, end, CHUNK))
+
+
+def header_of(data: Bytes, at: int) -> tuple[dict, int]:
+    """The fields of the record at ``at``, folded lines joined, and where its block starts."""
+    version = _VERSION.match(data.get(at, LINE))
     if not version:
         raise Bad("no version line")
-    end = data.find(b"\r\n\r\n", at, len(data) if reach is None else at + reach)
-    if end < 0:
-        raise Bad("no end of header")
-    try:
-        lines = data[version.end():end].decode().split("\r\n")
-    except UnicodeDecodeError:
-        raise Bad("header is no text") from None
-    fields = {}
-    for line in lines:
+    at += version.end()
+    fields, name = {}, None
+    while True:
+        end = data.find(b"\r\n", at)
+        if end < 0:
+            raise Bad("no end of header")
+        try:
+            line = text_of(data, at, end)
+        except UnicodeDecodeError:
+            raise Bad("header is no text") from None
+        at = end + 2
+        if not line:
+            return fields, at
+        if line[0] in " \t" and name is not None:
+            fields[name] = (fields[name] + " " + line.strip()).strip()
+            continue
         name, colon, value = line.partition(":")
         if not colon:
             raise Bad("bad header line")
-        fields[name.strip().lower()] = value.strip()
-    if not fields.get("content-length", "").isdigit():
+        name = name.strip().lower()
+        fields[name] = value.strip()
+
+
+def parse_record(data: Bytes, at: int, with_payload: bool = True) -> tuple[dict, int]:
+    """The record at ``at`` and where it ends."""
+    fields, start = header_of(data, at)
+    length = fields.get("content-length", "")
+    if not re.fullmatch("[0-9]{1,18}", length):
         raise Bad("no content length")
-    start = end + 4
-    stop = start + int(fields["content-length"])
-    if data[stop:stop + 4] != b"\r\n\r\n":
+    stop = start + int(length)
+    if data.get(stop, 4) != b"\r\n\r\n":
         raise Bad("no terminator")
-    block = data[start:stop]
-    head, gap, payload = block.partition(b"\r\n\r\n")
-    if "http" not in fields.get("content-type", ""):
-        head, payload = b"", block
-    said = re.search(rb"(?i)content-length:\s*(\d+)", head)
-    kind = fields.get("warc-type", "")
-    if fields.get("warc-block-digest", "").startswith("sha1:") and fields["warc-block-digest"][5:] != sha1_32(block):
-        raise Bad("block digest")
+    kind, body = fields.get("warc-type", ""), start
+    if "http" in fields.get("content-type", ""):
+        gap = data.find(b"\r\n\r\n", start, stop)
+        body = stop if gap < 0 else gap + 4
+    block, payload, parts = hashlib.sha1(), hashlib.sha1(), []
+    for a in range(start, stop, CHUNK):
+        part = data.get(a, min(CHUNK, stop - a))
+        block.update(part)
+        part = part[max(0, body - a):]
+        payload.update(part)
+        if with_payload:
+            parts.append(part)
+    made = base64.b32encode(payload.digest()).decode()
+    said = fields.get("warc-block-digest", "")
+    if said.startswith("sha1:") and said[5:] != base64.b32encode(block.digest()).decode():
+        raise Bad("block digest", stop + 4)
     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    if kind != "revisit" and digest and digest != sha1_32(payload):
-        raise Bad("payload digest")
-    size = int(said.group(1)) if kind == "revisit" and said else len(payload)
+    if kind != "revisit" and digest and digest != made:
+        raise Bad("payload digest", stop + 4)
+    size = stop - body
+    if kind == "revisit":
+        named = re.search(rb"(?i)content-length:\s*([0-9]{1,18})", data.get(start, body - start))
+        size = int(named.group(1)) if named else size
     return {"type": kind, "record_id": fields.get("warc-record-id"), "target_uri": fields.get("warc-target-uri"),
-            "refers_to_id": fields.get("warc-refers-to"), "payload_digest": digest or sha1_32(payload),
-            "payload_bytes": size, "payload": payload}, stop + 4
-
-
-def inflated(data: bytes, at: int) -> tuple[bytes, int, str | None]:
-    """What the gzip member at ``at`` inflates to, where it ends, and what is
-    wrong with it. It is fed in parts, so what follows the member is not copied
-    along; a part that fails is fed again by bytes, to keep what it holds."""
-    z, out, step = zlib.decompressobj(31), [], 4096
-    try:
-        while not z.eof and at < len(data):
-            part, before = data[at:at + step], z.copy()
-            try:
-                out.append(z.decompress(part))
-            except zlib.error:
-                z = before
-                while True:
-                    out.append(z.decompress(data[at:at + 1]))
-                    at += 1
-            at += len(part)
-            step = min(2 * step, 1 << 20)
-    except zlib.error as e:
-        return b"".join(out), at, "gzip: " + str(e).rpartition(": ")[2]
-    return b"".join(out), at - len(z.unused_data), None if z.eof else "gzip: cut short"
-
-
-def inner_records(inner: bytes, checked: bool):
-    """Yields ``(end, record or None, reason)`` within inflated bytes: records,
-    and gaps up to the next version line that starts a valid record."""
+            "refers_to_id": fields.get("warc-refers-to"), "payload_digest": digest or made,
+            "payload_bytes": size, "payload": b"".join(parts) if with_payload else None}, stop + 4
+
+
+def resumed(data: Bytes, at: int, bad: Bad, starts: re.Pattern) -> int:
+    """Where to go on after a bad record at ``at``: where its own length ends it,
+    if something starts (or all ends) there, so that nothing in its payload is
+    taken for a record; else at the next start."""
+    if bad.stop is not None and (bad.stop >= data.size or starts.match(data.get(bad.stop, LINE))):
+        return bad.stop
+    return data.following(starts, at + 1)
+
+
+def records(data: Bytes, with_payload: bool = True):
+    """Yields ``(end, record or None, reason)`` within a member: records, and
+    gaps up to where the next one starts."""
     at, why = 0, None
-    while at < len(inner):
+    while at < data.size:
         try:
-            record, end = parse_record(inner, at, None if checked and why is None else HEADER)
+            record, end = parse_record(data, at, with_payload)
         except Bad as e:
             why = why or str(e)
-            following = _VERSION.search(inner, at + 1)
-            at = following.start() if following else len(inner)
+            at = resumed(data, at, e, _VERSION)
             continue
         if why is not None:
             yield at, None, why
@@ -192,96 +384,115 @@ def inner_records(inner: bytes, checked: bool):
         yield at, None, why
 
 
-def compressed_ends(data: bytes, at: int, ends: list[int]) -> list[int]:
-    """Where the member at ``at`` has inflated to each of ``ends`` bytes."""
-    z, out, made, step = zlib.decompressobj(31), [], 0, 1 << 16
-    for end in ends:
-        while made < end and at < len(data):
-            part, before = data[at:at + step], z.copy()
-            try:
-                made += len(z.decompress(part, end - made))
-            except zlib.error:
-                if step == 1:
-                    break
-                z, step = before, 1
-                continue
-            at += len(part) - len(z.unconsumed_tail)
-        out.append(at)
-    return out
-
-
-def salvage(data: bytes):
+def salvage(data: Bytes | bytes, with_payload: bool = True):
     """Yields ``(start, end, record or None, reason)`` for a whole archive:
-    records of members and plain records, and gaps."""
+    records of members and plain records, and gaps, as they are found."""
+    if not isinstance(data, Bytes):
+        data = Whole(data)
     at, gap, why = 0, None, None
-    while at < len(data):
-        bad = None
-        try:
-            if data.startswith(b"\x1f\x8b", at):
-                inner, end, bad = inflated(data, at)
-                found = list(inner_records(inner, bad is None))
-                if bad:
-                    found = [f for f in found if f[1] is not None]
-                    if not found:
-                        raise Bad(bad)
+    while at < data.size:
+        if data.get(at, 2) == b"\x1f\x8b":
+            inner, ends, some = Inflated(data, at), Ends(data, at), False
+            if inner.bad is None:
+                if gap is not None:
+                    yield gap, at, None, why
+                    gap = None
+                for _, record, reason in records(inner, with_payload):
+                    yield at, inner.end, record, reason
+                at = inner.end
+                continue
+            bad = Bad(inner.bad)
+            for end, record, _ in records(inner, with_payload):
+                if record is None:
+                    continue
+                if gap is not None:
+                    yield gap, at, None, why
+                    gap = None
+                end, some = ends.upto(end), True
+                yield at, end, record, inner.bad if end == data.size else None    # no bytes left for a gap
+                at = end
+            if some:
+                if at < data.size:
+                    gap, why = at, inner.bad
+                    at = data.following(_START, at)
+                continue
+        else:
+            try:
+                record, end = parse_record(data, at, with_payload)
+            except Bad as e:
+                bad = e
             else:
-                record, end = parse_record(data, at)
-                found = [(end, record, None)]
-        except Bad as e:
-            if gap is None:
-                gap, why = at, str(e)
-            following = _START.search(data, at + 1)
-            at = following.start() if following else len(data)
-            continue
-        if gap is not None:
-            yield gap, at, None, why
-            gap = None
-        if bad:
-            for (_, record, _), end in zip(found, compressed_ends(data, at, [f[0] for f in found])):
-                yield at, end, record, bad if end == len(data) else None    # no bytes left for a gap
+                if gap is not None:
+                    yield gap, at, None, why
+                    gap = None
+                yield at, end, record, None
                 at = end
-            if at == len(data):
-                return
-            gap, why = at, bad
-            following = _START.search(data, at)
-            at = following.start() if following else len(data)
-            continue
-        for _, record, reason in found:
-            yield at, end, record, reason
-        at = end
+                continue
+        if gap is None:
+            gap, why = at, str(bad)
+        at = resumed(data, at, bad, _START)
     if gap is not None:
-        yield gap, len(data), None, why
+        yield gap, data.size, None, why
 
 
 SCHEMA = ("file string, start long, end long, gap string, type string, record_id string, target_uri string, "
           "refers_to_id string, payload_digest string, payload_bytes long, payload binary")
 
 
-def read(spark: SparkSession, path: str, with_payload: bool = True, names_like: str = FILES) -> DataFrame:
+def open_file(path: str):
+    """A seekable file at a local or mounted path, or in a store that Arrow reads."""
+    if path.startswith("file:") or "://" not in path:
+        return open(re.sub("^file:/+", "/", path), "rb")
+    filesystem, name = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+    return filesystem.open_input_file(name)
+
+
+def read(spark: SparkSession, path: str, with_payload: bool = True, names_like: str = FILES,
+         whole_bytes: int = WHOLE_BYTES, opener=open_file) -> DataFrame:
     """Rows of the files whose names fit the glob ``names_like``, as ``SCHEMA``: records (``gap`` null) and quarantined gaps, which
-    have the reason there and only the file and byte range besides."""
+    have the reason there and only the file and byte range besides.
+
+    Files of up to ``whole_bytes`` come through Spark's own reader; for larger
+    ones only names and sizes do, and tasks read them in blocks from what
+    ``opener`` makes of the name."""
     names = [c.split()[0] for c in SCHEMA.split(", ")]
 
-    def run(batches):
+    def rows_of(file, data):
+        rows, held = [], 0
+        for start, end, record, why in salvage(data, with_payload):
+            rows.append({"file": file, "start": start, "end": end, "gap": why, **(record or {})})
+            held += len(rows[-1].get("payload") or b"")
+            if len(rows) >= 1000 or held > BATCH_BYTES:
+                yield batch(rows)
+                rows, held = [], 0
+        if rows:
+            yield batch(rows)
+
+    def run_whole(batches):
         for b in batches:
             for i in range(b.num_rows):
-                rows = []
-                for start, end, record, why in salvage(b.column(1)[i].as_py() or b""):
-                    record = record or {}
-                    rows.append({"file": b.column(0)[i].as_py(), "start": start, "end": end, "gap": why, **record,
-                                 "payload": record.get("payload") if with_payload else None})
-                    if len(rows) >= 1000:
-                        yield batch(rows)
-                        rows = []
-                if rows:
-                    yield batch(rows)
+                yield from rows_of(b.column(0)[i].as_py(), Whole(b.column(1)[i].as_py() or b""))
+
+    def run_opened(batches):
+        for b in batches:
+            for name, size in zip(*(c.to_pylist() for c in b.columns)):
+                with opener(name) as file:
+                    yield from rows_of(name, Opened(file, size))
 
     def batch(rows):
         kinds = {"start": pa.int64(), "end": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
         return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], kinds.get(n, pa.string())) for n in names],
                                           names=names)
     files = spark.read.format("binaryFile").option("pathGlobFilter", names_like).load(path)
-    return files.select("path", "content").mapInArrow(run, SCHEMA)
+    small = files.where(F.col("length") <= whole_bytes).select("path", "content").mapInArrow(run_whole, SCHEMA)
+    large = files.where(F.col("length") > whole_bytes).select("path", "length").mapInArrow(run_opened, SCHEMA)
+    return small.unionByName(large)
+
+
+def intact(rows: DataFrame) -> DataFrame:
+    """The rows of ``read``, which fails where there is a gap."""
+    said = F.concat(F.lit("gap in "), "file", F.lit(" at "), F.col("start").cast("string"), F.lit(": "), "gap")
+    return rows.where(F.when(F.col("gap").isNull(), True).otherwise(F.raise_error(said).cast("boolean")))
 
 
 def page_of(uri):
