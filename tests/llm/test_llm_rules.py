@@ -85,13 +85,15 @@ def words(t):
     return re.findall(r"[^\W_]+", (t or "").lower())
 
 
-def brute_hits(docs, items, window=20, share=0.8):
+def brute_hits(docs, items, window=20, share=0.8, least=5):
     out = {}
     for d, t in docs:
         w = words(t)
         for i, it in items:
             iw = words(it)
-            if len(iw) < 5:
+            if len(iw) < least:
+                if iw and iw == w:
+                    out[d, i] = (len(w), len(w))
                 continue
             s, best = min(len(iw), window), 0
             for o in range(-len(iw) + 1, len(w)):
@@ -110,8 +112,8 @@ def test_decontamination_finds_what_all_offsets_find(spark, monkeypatch, few):
     rnd = random.Random(11)
     vocab = ["v%d" % i for i in range(40)]
     items = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.choice([4, 5, 15, 24, 50])))) for i in range(25)]
-    items += [(90, items[3][1].upper()), (91, None), (92, "")]
-    docs = [(1, None), (2, ""), (3, "one two"), (None, items[4][1]), (4, items[5][1] + " " + items[5][1]), (4, "other text"),
+    items += [(90, items[3][1].upper()), (91, None), (92, ""), (93, "two words"), (94, "v1"), (95, "Two, WORDS!")]
+    docs = [(5, "(two) words"), (5, "(two) words"), (6, "two words more"), (1, None), (2, ""), (3, "one two"), (None, items[4][1]), (4, items[5][1] + " " + items[5][1]), (4, "other text"),
             (4, "other text")]
     for i, t in items[:25]:
         for rate in (0.0, 0.1, 0.2, 0.3):
@@ -125,14 +127,22 @@ def test_decontamination_finds_what_all_offsets_find(spark, monkeypatch, few):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id): (r.n_equal, r.n_window) for r in D.contaminated(df, bench).collect()}
     want = brute_hits(docs, items)
-    # Masks lose nothing in windows of 15 words and more; below, seeds may miss substituted items.
-    assert {k: v for k, v in want.items() if v[1] >= 15 or v[0] == v[1]}.items() <= got.items() <= want.items()
+    assert got == want and (5, 93) in got and not any(i == 94 for _, i in got)
     clean = D.clean_documents(df, bench)
     assert clean.columns == df.columns
     bad = {d for d, _ in got}
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(d) for d, t in docs if d not in bad or t == "other text")
 
 
+def test_short_items_are_sought_within_documents_on_request(spark):
+    items = [(1, "alpha"), (2, "beta gamma"), (3, "one two three"), (4, "a b c d"), (5, "p q r s t")]
+    docs = [(0, "x alpha y"), (1, "beta x gamma"), (2, "so beta, gamma it is"), (3, "one two three"), (4, "one two 3"), (5, "0 A B c d 1"),
+            (6, "p q r s z"), (7, "")]
+    got = {(r.doc_id, r.item_id): (r.n_equal, r.n_window) for r in D.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), least=1).collect()}
+    assert got == brute_hits(docs, items, least=1) and set(got) == {(0, 1), (2, 2), (3, 3), (5, 4), (6, 5)}
+
+
 @pytest.mark.parametrize("window, share", [(20, 0.8), (8, 0.6)])
 def test_decontamination_of_short_items_finds_what_all_offsets_find(spark, window, share):
     items, docs = [], []

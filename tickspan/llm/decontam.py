@@ -19,8 +19,11 @@ offsets are read once per candidate document. Items' hashes are broadcast up to
 a counted number, beyond which the hashes of the documents' words are shuffled.
 Equal items are one while searching, so copies of an item cost nothing.
 
-Defined results: null or empty texts and items of fewer than five words match
-nothing; rows that repeat an id with the same text give one row per item, with
+Items of fewer than ``least`` words would be found by chance in clean texts; they
+contaminate the documents that consist of the same words, by a join of whole
+texts. ``least=1`` seeks them within documents like any other.
+
+Defined results: texts and items without a word match nothing; rows that repeat an id with the same text give one row per item, with
 different texts the best; an empty table gives no rows; columns other than id
 and text are ignored.
 """
@@ -41,6 +44,8 @@ MASKS = ("11111", "110111", "111011", "1111", "11011", "10111", "11101", "111",
 LEAST_MASKS = 3
 WINDOW = 20
 SHARE = 0.8
+#: Shorter items are compared with whole documents only.
+LEAST_WORDS = 5
 #: Hashes of items that are broadcast (16 bytes each in the relation, and as much overhead).
 BROADCAST_SEEDS = 1_000_000
 
@@ -49,6 +54,11 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
+def whole_of(words: Column) -> Column:
+    """The same for equal sequences of words."""
+    return F.sha2(F.array_join(words, " "), 256)
+
+
 def most_equal(masks: tuple[str, ...], span: int) -> int:
     """The most equal words of a window of ``span`` words that no mask fits."""
     keep = max(map(len, masks)) - 1
@@ -106,12 +116,14 @@ def item_seeds(texts: DataFrame, window: int, share: float) -> tuple[DataFrame,
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, share: float = SHARE) -> DataFrame:
+                 item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, share: float = SHARE,
+                 least: int = LEAST_WORDS) -> DataFrame:
     """Rows ``<id>, <item>, n_equal, n_window, _key``: the best window of every
     item that contaminates a document."""
     raw = benchmark.select(F.col(item_col).alias("item"), words_of(F.col(item_text).cast("string")).alias("words"))
-    items = stored(raw.where(F.size("words") >= 5).withColumn("text_item", F.sha2(F.array_join("words", " "), 256)), "items")
-    texts = cut_lineage(items.groupBy("text_item").agg(F.any_value("words").alias("words")))
+    items = stored(raw.where(F.size("words") >= 1).withColumn("text_item", whole_of(F.col("words"))), "items")
+    texts = cut_lineage(items.where(F.size("words") >= least).groupBy("text_item").agg(F.any_value("words").alias("words")))
+    short = items.where(F.size("words") < least).select("text_item").distinct()
     known, masks = item_seeds(texts, window, share)
     known = cut_lineage(known)
     few = known.count() <= BROADCAST_SEEDS
@@ -139,6 +151,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = (both.select("id", "_key", "text_item", best.alias("n_equal"), span.alias("n_window"))
             .where(F.col("n_equal") >= F.lit(share) * F.col("n_window"))
             .groupBy("id", "_key", "text_item").agg(F.max("n_equal").alias("n_equal"), F.max("n_window").alias("n_window")))
+    if not short.isEmpty():
+        small = src.select("id", "_key", let(words_of(F.col("text")), lambda w: F.when(F.size(w).between(1, least - 1), F.struct(
+            whole_of(w).alias("text_item"), F.size(w).alias("n_equal"), F.size(w).alias("n_window")))).alias("w"))
+        hits = hits.unionByName(small.where("w is not null").select("id", "_key", "w.*").distinct().join(short, "text_item"))
     named = hits.join(items.select("text_item", "item"), "text_item")
     return (named.groupBy("id", "item").agg(F.max("n_equal").cast("long").alias("n_equal"),
                                             F.max("n_window").cast("long").alias("n_window"),

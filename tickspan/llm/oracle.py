@@ -44,7 +44,8 @@ def _words(text: str) -> str:
 
 # All equal pairs of positions, not seeds: counts by offset, then the best window.
 DECONTAMINATION = f"""
-WITH b AS (SELECT * FROM (SELECT item_id, {_words('text')} AS ws FROM benchmark) WHERE len(ws) >= 5),
+WITH every AS (SELECT * FROM (SELECT item_id, {_words('text')} AS ws FROM benchmark) WHERE len(ws) >= 1),
+b AS (SELECT * FROM every WHERE len(ws) >= {decontam.LEAST_WORDS}),
 bp AS (SELECT item_id, len(ws) AS size, least(len(ws), {decontam.WINDOW}) AS span, unnest(ws) AS w,
               unnest(range(1, len(ws) + 1)) AS j FROM b),
 d AS (SELECT row_number() OVER () AS r, doc_id, {_words('text')} AS ws FROM documents),
@@ -56,6 +57,9 @@ win AS (SELECT r, doc_id, item_id, o, span, unnest(range(greatest(1, j - span +
 n AS (SELECT doc_id, item_id, span, count(*) AS c FROM win GROUP BY r, doc_id, item_id, o, span, s)
 SELECT doc_id, item_id, CAST(max(c) AS BIGINT) AS n_equal, CAST(max(span) AS BIGINT) AS n_window
 FROM n WHERE c >= {decontam.SHARE} * span GROUP BY doc_id, item_id
+UNION ALL
+SELECT DISTINCT doc_id, item_id, CAST(len(ws) AS BIGINT), CAST(len(ws) AS BIGINT) FROM d JOIN every USING (ws)
+WHERE len(ws) < {decontam.LEAST_WORDS}
 """
 
 
