@@ -58,10 +58,13 @@ def repeated_words(words: Column) -> Column:
                                     .otherwise(covered(positions(h)))))
 
 
-def measured(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """Counts of every document, stored; ``_key`` is its text's key."""
+def measured(docs: DataFrame, id_col: str, text_col: str, host_col: str, carry: bool = False) -> DataFrame:
+    """Counts of every document, stored; ``_key`` is its text's key. With
+    ``carry`` the document's own columns are stored beside them, in ``_doc``."""
+    own = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")] if carry else []
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                      F.col(host_col).cast("string").alias("host"))
+                      F.col(host_col).cast("string").alias("host"), *own)
+    own = ["_doc"] if carry else []
     text = F.coalesce("text", F.lit(""))
     words = F.array_remove(F.split(text, SPACE), "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -69,10 +72,10 @@ def measured(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Data
         F.size(w).cast("long").alias("n_words"), F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
         repeated_words(w).cast("long").alias("n_repeat_words")))
     dup = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-    out = src.select("id", "host", text_key().alias("_key"), counts.alias("c"),
+    out = src.select("id", "host", *own, text_key().alias("_key"), counts.alias("c"),
                      F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"), dup.alias("n_dup_lines"))
     failed = (F.col("c.n_words") < MIN_WORDS) | (100 * F.col("c.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("c.n_words"))
-    return stored(out.select("id", "host", "_key", "c.n_words", "c.word_chars", "n_symbols", "n_dup_lines",
+    return stored(out.select("id", "host", *own, "_key", "c.n_words", "c.word_chars", "n_symbols", "n_dup_lines",
                              "c.n_repeat_words", failed.alias("base_failed")), "quality-counts")
 
 
@@ -92,11 +95,8 @@ def host_rates(counts: DataFrame) -> DataFrame:
     return hosts.withColumn("rate", (F.col("failures") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength)))
 
 
-def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-           max_rate: float = MAX_RATE) -> DataFrame:
-    """One row per document: ``<id>``, the counts, ``base_failed, kept,
-    host_failed`` and the text's ``_key``."""
-    counts = measured(docs, id_col, text_col, host_col)
+def with_verdicts(counts: DataFrame, max_rate: float) -> DataFrame:
+    """The counts with ``host_failed`` and ``kept``."""
     bad = cut_lineage(host_rates(counts).where(F.col("rate") > max_rate)
                       .select(F.xxhash64(F.col("host").isNull(), F.coalesce("host", F.lit(""))).alias("_host")).distinct()
                       .withColumn("_bad", F.lit(True)))
@@ -107,14 +107,22 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host
         salted = bad.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         out = out.withColumn("_salt", F.pmod(F.col("_key"), F.lit(SALTS)).cast("int")).join(salted, ["_host", "_salt"], "left")
     failed = F.coalesce("_bad", F.lit(False))
-    return out.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      "base_failed", (~F.col("base_failed") & ~failed).alias("kept"), failed.alias("host_failed"), "_key")
+    return out.withColumns({"host_failed": failed, "kept": ~F.col("base_failed") & ~failed})
+
+
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+           max_rate: float = MAX_RATE) -> DataFrame:
+    """One row per document: ``<id>``, the counts, ``base_failed, kept,
+    host_failed`` and the text's ``_key``."""
+    return with_verdicts(measured(docs, id_col, text_col, host_col), max_rate).select(
+        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "host_failed", "_key")
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                    max_rate: float = MAX_RATE) -> DataFrame:
-    """The documents that the rules keep, with all their columns."""
-    kept = judged(docs, id_col, text_col, host_col, max_rate).where("kept").select(
-        F.col(id_col).alias("_kept_id"), F.col("_key").alias("_kept_key")).distinct()
-    cond = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (text_key(text_col) == F.col("_kept_key"))
-    return docs.join(kept, cond, "left_semi")
+    """The documents that the rules keep, with all their columns. They are
+    stored once beside their counts, so no text is shuffled or sorted to meet
+    its verdict; every row is judged by its own host."""
+    return (with_verdicts(measured(docs, id_col, text_col, host_col, carry=True), max_rate).where("kept")
+            .select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns]))
