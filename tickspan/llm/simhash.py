@@ -180,7 +180,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     again = cut_lineage(fps.join(kept, same).groupBy("_kept_id", "_kept_key").count().where("count > 1").drop("count"))
 
     def of(pairs, how):
-        return docs.join(pairs, F.col(id_col).eqNullSafe(F.col("_kept_id")) & (text_key(text_col) == F.col("_kept_key")), how)
+        # The pairs are hashed, so the texts are shuffled but not sorted.
+        return docs.join(pairs.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_kept_id")) & (text_key(text_col) == F.col("_kept_key")), how)
     out = of(kept, "left_semi")
     if again.isEmpty():
         return out
