@@ -48,6 +48,8 @@ SHARE = 0.8
 LEAST_WORDS = 5
 #: Hashes of items that are broadcast (16 bytes each in the relation, and as much overhead).
 BROADCAST_SEEDS = 1_000_000
+#: Contaminated documents (id and text key) that are broadcast; beyond, texts are shuffled to them.
+BROADCAST_DOCS = 100_000
 
 
 def words_of(text: Column) -> Column:
@@ -165,7 +167,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     **rule) -> DataFrame:
     """The documents that no item contaminates, with all their columns."""
-    bad = contaminated(docs, benchmark, id_col, text_col, **rule).select(
-        F.col(id_col).alias("_bad_id"), F.explode("_keys").alias("_bad_key")).distinct()
+    bad = cut_lineage(contaminated(docs, benchmark, id_col, text_col, **rule).select(
+        F.col(id_col).alias("_bad_id"), F.explode("_keys").alias("_bad_key")).distinct())
+    few = bad.count() <= BROADCAST_DOCS
     cond = F.col(id_col).eqNullSafe(F.col("_bad_id")) & (text_key(text_col) == F.col("_bad_key"))
-    return docs.join(bad, cond, "left_anti")
+    return docs.join(F.broadcast(bad) if few else bad.hint("shuffle_hash"), cond, "left_anti")
