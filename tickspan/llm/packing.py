@@ -158,7 +158,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, mode
     bytes each where the vocabulary allows, with the end id."""
     wide = "<u2" if load(model).get_vocab_size() < 1 << 16 else "<u4"
 
-    def run(batches):
+    def segments(batches):
         ids_of = word_ids(model, wide)
         for whole in batches:
             # Parts of about 8 MB: few enough distinct words, and bounded memory.
@@ -182,6 +182,10 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, source_col: str, mode
                     [*(b.column(c).take(of) for c in ("id", "queue", "_row")), pa.array(n[doc]), pa.array(start), blobs],
                     names=["id", "queue", "_row", "n", "start", "ids"])
 
+    def run(batches):
+        yield from segments(batches)
+        pa.default_memory_pool().release_unused()      # a worker that waits for its next task keeps its words only
+
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                       F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("queue"))
     src = src.withColumn("_row", F.monotonically_increasing_id())
