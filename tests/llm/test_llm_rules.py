@@ -53,6 +53,17 @@ def hosts_of(spark, failing, salted, monkeypatch):
     return Q.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect(), rows
 
 
+def test_kept_documents_carry_clashing_columns_and_judge_each_row_by_its_host(spark):
+    good, poor = " ".join(f"w{i}" for i in range(60)), "too short"
+    rows = [(1, good, "a", 10, "x", 0.5, None), (1, good, "b", 11, "y", 1.5, "k")]
+    rows += [(100 + i, poor, "b", i, None, None, "q") for i in range(40)]
+    rows += [(200 + i, f"{good} {i}", "a", i, "z", None, "r") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, id long, host string, _key double, _doc string")
+    kept = Q.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((r for r in rows if r[2] == "a"), key=str)
+
+
 @pytest.mark.parametrize("salted", [False, True])
 def test_a_bad_host_takes_its_documents_along(spark, monkeypatch, salted):
     got, rows = hosts_of(spark, {"good1": (95, 5), "good2": (90, 10), "bad": (10, 90), "few": (0, 1), None: (20, 1)},
