@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
@@ -69,6 +71,27 @@ def test_links_connect_what_all_pairs_connect(spark, radius):
     assert {f: roots.get(f, f) for f in signed} == {f: find(f) for f in signed}
 
 
+def test_a_bucket_is_met_in_bounded_memory():
+    """Variants are made and met in a few times the room of what a bucket holds by default."""
+    masks, weights = S.ball(3)
+    small = int((weights <= 1).sum())
+    rnd = np.random.default_rng(1)
+    fps = rnd.integers(0, 1 << 63, 2 * S.PER_BUCKET // (len(masks) + small), np.uint64)
+    fps[1::2] = fps[::2][:len(fps) // 2] ^ np.uint64(5)
+    tracemalloc.start()
+    try:
+        made = [S.packed_variants(fps[i:i + S.AT_ONCE], masks, small, 1) for i in range(0, len(fps), S.AT_ONCE)]
+        one = S.packed_variants(fps[:S.AT_ONCE], masks, small, 64)
+        packed = pa.chunked_array([b.column(1) for b in made])
+        pairs = S.meetings(packed, masks, weights, 3)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(one) == 64 and sum(map(len, one.column(1).to_pylist())) % S.entry_of(masks).itemsize == 0
+    assert {frozenset(p) for p in pairs.tolist()} >= {frozenset(p) for p in zip(fps[::2].tolist(), fps[1::2].tolist())}
+    assert peak < 120e6
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(200)]
     star = [(1000, 1000 + i) for i in range(1, 300)]

@@ -216,6 +216,7 @@ def redacted(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n
     def run(batches):
         for b in batches:
             yield b.set_column(at, b.schema.field(at), pa.array([clean(t) for t in b.column(at).to_pylist()], b.schema.field(at).type))
+        pa.default_memory_pool().release_unused()      # a worker that waits for its next task keeps no texts
 
     out = docs.mapInArrow(run, docs.schema)
     if chars_col and chars_col in docs.columns:

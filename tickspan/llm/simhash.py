@@ -65,6 +65,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.fromiter((simhash(t, shingle) for t in b.column(2).to_pylist()), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))],
                                              names=["id", "_key", "_fp"])
+        pa.default_memory_pool().release_unused()      # a worker that waits for its next task keeps no texts
 
     src = docs.select(F.col(id_col).alias("id"), text_key(text_col).alias("_key"), F.col(text_col).cast("string").alias("text"))
     out = T.StructType([src.schema["id"], T.StructField("_key", T.LongType()), T.StructField("_fp", T.LongType())])
@@ -86,7 +87,68 @@ def ball(radius: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(masks, np.uint64), np.array(weights, np.int64)
 
 
-def links(distinct: DataFrame, radius: int = 3, per_bucket: int = 4_000_000) -> DataFrame:
+#: Variants that a bucket holds (10 bytes each; meeting takes about eight times that).
+PER_BUCKET = 1_000_000
+#: Fingerprints whose variants are made at a time.
+AT_ONCE = 1024
+
+
+def packed_variants(fps: np.ndarray, masks: np.ndarray, small: int, n_buckets: int) -> pa.RecordBatch:
+    """The variants of ``fps``, packed: a row per bucket that gets any."""
+    odd = np.bitwise_count(fps) % 2 == 1
+    few = masks[:small]
+    packed = np.empty(int((~odd).sum()) * len(masks) + int(odd.sum()) * small, entry_of(masks))
+    cut = int((~odd).sum()) * len(masks)
+    for rows, which, to in ((fps[~odd], masks, packed[:cut]), (fps[odd], few, packed[cut:])):
+        to["key"] = (rows[:, None] ^ which[None, :]).ravel()
+        to["mask"] = np.tile(np.arange(len(which), dtype=packed.dtype["mask"]), len(rows))
+    mixed = packed["key"] * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    mixed %= np.uint64(n_buckets)
+    bucket = mixed.astype(np.int32)
+    del mixed
+    order = np.argsort(bucket, kind="stable")
+    packed, bucket = packed[order], bucket[order]
+    del order
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    edges = (np.append(first, len(packed)) * packed.itemsize).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[first].astype(np.int64)),
+         pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edges), pa.py_buffer(packed)])],
+        names=["bucket", "packed"])
+
+
+def entry_of(masks: np.ndarray) -> np.dtype:
+    """A variant: its value and the number of the mask that made it."""
+    return np.dtype([("key", "<u8"), ("mask", "<u2" if len(masks) < 1 << 16 else "<u4")])
+
+
+def meetings(packed, masks: np.ndarray, weights: np.ndarray, radius: int) -> np.ndarray:
+    """Distinct pairs ``hub, other`` of fingerprints that meet in a bucket."""
+    every = np.concatenate([np.frombuffer(x.as_buffer(), entry_of(masks)) for x in packed])
+    keys, which = every["key"].copy(), every["mask"].copy()
+    del every
+    order = np.argsort(keys, kind="stable")
+    keys, which = keys[order], which[order]
+    del order
+    same = keys[1:] == keys[:-1]
+    mine = np.zeros(len(keys), bool)
+    mine[1:] |= same
+    mine[:-1] |= same
+    keys, which = keys[mine], which[mine]
+    if not len(keys):
+        return np.empty((0, 2), np.uint64)
+    fps, near = keys ^ masks[which], weights[which] <= radius // 2
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    group = np.repeat(np.arange(len(starts)), np.diff([*starts, len(keys)]))
+    top = np.uint64(0xFFFFFFFFFFFFFFFF)
+    hub = np.minimum.reduceat(np.where(near, fps, top), starts)[group]
+    has = np.logical_or.reduceat(near, starts)[group]
+    ok = has & (fps != hub) & (np.bitwise_count(fps ^ hub) <= radius)
+    return np.unique(np.stack([hub[ok], fps[ok]], axis=1), axis=0)
+
+
+def links(distinct: DataFrame, radius: int = 3, per_bucket: int = PER_BUCKET) -> DataFrame:
     """Links ``a, b`` between the distinct fingerprints in ``_fp``, whose
     components are those of all pairs at ``radius`` bits or fewer.
 
@@ -96,50 +158,17 @@ def links(distinct: DataFrame, radius: int = 3, per_bucket: int = 4_000_000) ->
     small = int((weights <= radius // 2).sum())
     total = distinct.count() * (len(masks) + small) // 2
     n_buckets = max(1, -(-total // per_bucket), distinct.sparkSession.sparkContext.defaultParallelism if total else 1)
-    entry = np.dtype([("key", "<u8"), ("mask", "<u2" if len(masks) < 1 << 16 else "<u4")])
 
     def emit(batches):
         for b in batches:
             every = np.asarray(b.column(0).to_numpy(zero_copy_only=False)).view(np.uint64)
-            for part in range(0, len(every), 2048):
-                fps = every[part:part + 2048]
-                odd = np.bitwise_count(fps) % 2 == 1
-                keys = np.concatenate([(fps[~odd][:, None] ^ masks[None, :]).ravel(),
-                                       (fps[odd][:, None] ^ masks[None, :small]).ravel()])
-                which = np.concatenate([np.tile(np.arange(len(masks)), int((~odd).sum())),
-                                        np.tile(np.arange(small), int(odd.sum()))])
-                mixed = keys * np.uint64(0x9E3779B97F4A7C15)
-                bucket = ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(n_buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                packed = np.empty(len(keys), entry)
-                packed["key"], packed["mask"] = keys[order], which[order]
-                ids, first = np.unique(bucket[order], return_index=True)
-                cuts = [*first.tolist(), len(keys)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array([packed[x:y].tobytes() for x, y in zip(cuts, cuts[1:])], pa.binary())],
-                    names=["bucket", "packed"])
+            for part in range(0, len(every), AT_ONCE):
+                yield packed_variants(every[part:part + AT_ONCE], masks, small, n_buckets)
+        pa.default_memory_pool().release_unused()
 
     def meet(table: pa.Table) -> pa.Table:
-        every = np.concatenate([np.frombuffer(x, entry) for x in table.column("packed").to_pylist()])
-        order = np.argsort(every["key"], kind="stable")
-        keys, which = every["key"][order], every["mask"][order].astype(np.int64)
-        same = keys[1:] == keys[:-1]
-        mine = np.zeros(len(keys), bool)
-        mine[1:] |= same
-        mine[:-1] |= same
-        keys, which = keys[mine], which[mine]
-        a = b = np.empty(0, np.uint64)
-        if len(keys):
-            fps, near = keys ^ masks[which], weights[which] <= radius // 2
-            starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            group = np.repeat(np.arange(len(starts)), np.diff([*starts, len(keys)]))
-            top = np.uint64(0xFFFFFFFFFFFFFFFF)
-            hub = np.minimum.reduceat(np.where(near, fps, top), starts)[group]
-            has = np.logical_or.reduceat(near, starts)[group]
-            ok = has & (fps != hub) & (np.bitwise_count(fps ^ hub) <= radius)
-            pair = np.unique(np.stack([hub[ok], fps[ok]], axis=1), axis=0)
-            a, b = pair[:, 0].copy(), pair[:, 1].copy()
-        return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
+        pair = meetings(table.column("packed"), masks, weights, radius)
+        return pa.table({x: pa.array(pair[:, i].copy().view(np.int64)) for i, x in enumerate("ab")})
 
     return (distinct.select("_fp").mapInArrow(emit, "bucket long, packed binary")
             .groupBy("bucket").applyInArrow(meet, "a long, b long").distinct())
