@@ -27,7 +27,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tickspan.functions import decimal_mean, safe_divide
+from tickspan.functions import safe_divide
 
 # Fixed window lengths (rows, not calendar days) and the annualisation factor.
 MA_SHORT, MA_MEDIUM, MA_LONG = 7, 20, 50
@@ -37,7 +37,10 @@ TRADING_DAYS_PER_YEAR = 252
 # volatility needs 19 returns, each needing one earlier close (20 rows).
 HALO_ROWS = max(MA_LONG - 1, VOL_ROWS)
 
+MA_FRAMES = {MA_SHORT: "moving_average_7d", MA_MEDIUM: "moving_average_20d", MA_LONG: "moving_average_50d"}
+
 _BUCKET, _IS_HALO, _POS, _CNT = "_bucket", "_is_halo", "_pos", "_cnt"
+_SUM, _N = "_sum", "_n"
 
 
 def _year_bucket(date_col: str = "trading_date"):
@@ -79,13 +82,16 @@ def halo_rows(d: DataFrame, key: str = "ticker_symbol", halo: int = HALO_ROWS) -
 
 
 def _with_indicators(df: DataFrame, w) -> DataFrame:
-    prev_close = F.lag("close_price").over(w)
+    """Means come from running sums: the sum of a frame is the running sum less
+    that of the row before the frame. Decimal sums are exact, so the difference is
+    the frame's own sum, and a row costs two terms a mean however long the frame
+    (a moving frame adds up all its rows anew for every row)."""
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
     df = df.select(
         "*",
-        prev_close.alias("previous_close_price"),
-        decimal_mean("close_price", w.rowsBetween(-(MA_SHORT - 1), 0)).alias("moving_average_7d"),
-        decimal_mean("close_price", w.rowsBetween(-(MA_MEDIUM - 1), 0)).alias("moving_average_20d"),
-        decimal_mean("close_price", w.rowsBetween(-(MA_LONG - 1), 0)).alias("moving_average_50d"),
+        F.lag("close_price").over(w).alias("previous_close_price"),
+        F.coalesce(F.sum("close_price").over(upto), F.lit(0)).alias(_SUM),
+        F.count("close_price").over(upto).alias(_N),
     )
     df = df.select(
         "*",
@@ -94,11 +100,16 @@ def _with_indicators(df: DataFrame, w) -> DataFrame:
                     F.col("previous_close_price")).alias("daily_return_pct"),
     )
     # Second window over the same partitioning and order: no extra exchange/sort.
-    df = df.withColumn("volatility_20d",
-                       F.stddev_samp("daily_return_pct").over(w.rowsBetween(-(VOL_ROWS - 1), 0)))
+    df = df.select(
+        "*",
+        *[(F.col(_SUM) - F.coalesce(F.lag(_SUM, n).over(w), F.lit(0))).alias(f"{_SUM}{n}") for n in MA_FRAMES],
+        *[(F.col(_N) - F.coalesce(F.lag(_N, n).over(w), F.lit(0))).alias(f"{_N}{n}") for n in MA_FRAMES],
+        F.stddev_samp("daily_return_pct").over(w.rowsBetween(-(VOL_ROWS - 1), 0)).alias("volatility_20d"))
     # The stddev is evaluated once; annualising is a plain projection.
-    return df.withColumn("annualized_volatility_20d",
-                         F.col("volatility_20d") * F.lit(math.sqrt(TRADING_DAYS_PER_YEAR)))
+    return df.select(
+        "*",
+        *[safe_divide(f"{_SUM}{n}", f"{_N}{n}").alias(name) for n, name in MA_FRAMES.items()],
+        (F.col("volatility_20d") * F.lit(math.sqrt(TRADING_DAYS_PER_YEAR))).alias("annualized_volatility_20d"))
 
 
 INDICATOR_COLUMNS = ["previous_close_price", "price_change", "daily_return_pct",
@@ -134,19 +145,24 @@ def daily_indicators(prices: DataFrame, split_by_year: bool = False,
 
     wb = Window.partitionBy(key, _BUCKET).orderBy(day)
     # Position as a running count (dates are unique per ticker): unlike
-    # row_number it is not rewritten into a group limit below the exchange,
-    # so the body, head and tail branches all reuse one shuffle.
+    # row_number it is not rewritten into a group limit below the exchange.
     d = (prices.withColumn(_BUCKET, _year_bucket(day))
          .withColumn(_POS, F.count(F.lit(1)).over(wb.rowsBetween(Window.unboundedPreceding, 0)))
          .withColumn(_CNT, F.count(F.lit(1)).over(Window.partitionBy(key, _BUCKET))))
+    # The windows of a year run where its rows are numbered, on the same sort;
+    # what the first rows of a year lack is not kept.
+    exact = F.col(_POS) > HALO_ROWS
+    d = _with_indicators(d, wb).select(*prices.columns, *[F.when(exact, F.col(c)).alias(c) for c in INDICATOR_COLUMNS],
+                                       _BUCKET, _POS, _CNT)
     if share_numbered:
         # Body, head and tail branches all read `d`; Spark would recompute it
         # (dedup and the bucket shuffle) per branch, so write it once to the
         # shared checkpoint folder instead.
-        from tickspan.session import cut_lineage
-        d = cut_lineage(d)
-    body = _with_indicators(d, wb).where(F.col(_POS) > HALO_ROWS).select(*out)
-    head = d.where(F.col(_POS) <= HALO_ROWS).withColumn(_IS_HALO, F.lit(False))
-    ctx = halo_rows(d, key).select(*head.columns)
+        from tickspan.session import stored
+        d = stored(d, "year-buckets")
+    body = d.where(F.col(_POS) > HALO_ROWS).select(*out)
+    numbered = d.drop(*INDICATOR_COLUMNS)
+    head = numbered.where(F.col(_POS) <= HALO_ROWS).withColumn(_IS_HALO, F.lit(False))
+    ctx = halo_rows(numbered, key).select(*head.columns)
     head_done = _with_indicators(head.unionByName(ctx), wb).where(~F.col(_IS_HALO)).select(*out)
     return body.unionByName(head_done)
