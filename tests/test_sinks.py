@@ -1,3 +1,4 @@
+import re
 import os
 
 import pytest
@@ -76,6 +77,14 @@ def test_shared_intermediates_give_same_marts(spark):
         assert sorted(plain.model(name).collect()) == sorted(shared.model(name).collect()), name
 
 
+def test_facts_read_their_own_columns_of_what_is_shared(spark):
+    m = PriceModels(testfeeds.feed_a_raw_prices(spark, SF_SMALL), testfeeds.feed_a_watchlist(spark, SF_SMALL), calendar=None)
+    m.share_intermediates()
+    plan = m.fact_stock_price_daily._jdf.queryExecution().executedPlan().toString()
+    assert "open_price" in plan and "moving_average_50d" not in plan and "Window" not in plan
+    assert "trading_date" in re.findall(r"ReadSchema: struct<([^>]*)", plan)[0]
+
+
 def test_build_then_check_written_tables(spark, scratch):
     from tickspan.plans.build import build
     m = PriceModels(testfeeds.feed_a_raw_prices(spark, SF_SMALL), testfeeds.feed_a_watchlist(spark, SF_SMALL),

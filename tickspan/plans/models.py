@@ -130,7 +130,7 @@ class PriceModels:
     @property
     def _keys(self) -> DataFrame:
         """(ticker_symbol, trading_date) of every price row: from the raw scan, or
-        from the shared checkpoint once there is one (the same pairs, deduplicated)."""
+        from the shared table once there is one (the same pairs, deduplicated)."""
         src = self.__dict__.get("_shared")
         if src is None:
             src = staging.renamed_prices(self.raw_prices)
@@ -214,16 +214,17 @@ class PriceModels:
 
     def share_intermediates(self) -> None:
         """Compute dedup and the indicator pass once and cut their lineage with
-        one reliable checkpoint in the shared checkpoint folder. The indicator
+        one table written to the shared checkpoint folder. The indicator
         rows carry every staged column (one row per staged row), so the staged
-        prices become a projection of the same checkpoint. Every later model
+        prices become a projection of the same table, of which a reader takes
+        only its own columns. Every later model
         (facts, marts, checks) reads it instead of re-running dedup and
         windows. Call before building several models from one graph."""
         from tickspan.schemas import STG_STOCK_PRICES_COLUMNS
-        from tickspan.session import cut_lineage
+        from tickspan.session import stored
         if "_shared" in self.__dict__:
             return
-        shared = cut_lineage(self.indicators)
+        shared = stored(self.indicators, "indicators")
         for name in ("stg_market__stock_prices", "int_stock_daily_returns", "int_stock_moving_averages",
                      "int_stock_volatility", "fact_stock_price_daily", "performance_with_volume",
                      "fact_stock_performance_daily", "mart_watchlist_performance",
