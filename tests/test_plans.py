@@ -57,3 +57,9 @@ def test_active_mart_drops_other_tickers_before_dedup(spark):
     lines = QUERIES["mart_active_performance"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     dedup = max(i for i, x in enumerate(lines) if "WindowGroupLimit" in x or "row_number" in x)
     assert any("LeftSemi" in x for x in lines[dedup:])
+
+
+@pytest.mark.parametrize("name", ["ticker_history_90d", "ticker_history_all"])
+def test_ordering_a_history_does_not_run_its_windows_again(spark, name):
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert "rangepartitioning" in plan and "Window" not in plan

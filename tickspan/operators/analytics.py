@@ -15,6 +15,7 @@ from tickspan.functions import safe_divide
 from tickspan.operators.joins import join_small
 from tickspan.operators.periods import history_start
 
+HISTORY_ORDER = ["ticker_symbol", "trading_date"]
 HISTORY_COLUMNS = ["trading_date", "close_price", "moving_average_7d", "moving_average_20d",
                    "moving_average_50d", "daily_return_pct", "volume", "volatility_20d",
                    "annualized_volatility_20d"]
@@ -64,7 +65,7 @@ def ticker_history(mart: DataFrame, period: str = "ALL_AVAILABLE", symbol: str |
     for c in HISTORY_COLUMNS[1:]:
         cols.append(F.col(c).try_cast("double").alias(c) if numeric else F.col(c))
     df = df.select(*cols)
-    return df.orderBy("ticker_symbol", "trading_date") if ordered else df
+    return df.orderBy(*HISTORY_ORDER) if ordered else df
 
 
 def _last(cols: list[str], order: str = "trading_date") -> list[Column]:

@@ -186,10 +186,14 @@ class PriceModels:
 
     def history(self, period: str = "ALL_AVAILABLE", symbol: str | None = None,
                 ordered: bool = True) -> DataFrame:
-        """Ticker history view over the active mart (numeric)."""
-        from tickspan.operators.analytics import ticker_history
-        return ticker_history(self.mart_watchlist_performance, period, symbol,
-                              anchor_dates=self.active_dates, ordered=ordered)
+        """Ticker history view over the active mart (numeric). Where it is ordered
+        its rows are stored first: sorting reads its input twice (once for the
+        range bounds), which would run dedup's second half and the windows twice."""
+        from tickspan.operators.analytics import HISTORY_ORDER, ticker_history
+        from tickspan.session import stored
+        rows = ticker_history(self.mart_watchlist_performance, period, symbol,
+                              anchor_dates=self.active_dates, ordered=False)
+        return stored(rows, "history").orderBy(*HISTORY_ORDER) if ordered else rows
 
     def benchmark_comparison(self, period: str = "90D", benchmark: str | None = None) -> DataFrame:
         """Cumulative returns of every active ticker next to ``benchmark``'s
