@@ -74,6 +74,14 @@ def test_untouched_base_rows_are_not_shuffled(spark, scratch):
     assert "BroadcastHashJoin" in untouched and "LeftAnti" in untouched
 
 
+def test_stored_indicators_meet_first_changes_without_a_shuffle(spark, scratch):
+    staged = stage_renamed(renamed_prices(raw(spark, _loads(random.Random(5), 100))))
+    daily_indicators(staged).write.parquet(f"{scratch}/indicators")
+    stored = spark.read.parquet(f"{scratch}/indicators")
+    plan = inc.refreshed_indicators(stored, staged.limit(20), dedup_order())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 3 and "SortMergeJoin" not in plan
+
+
 def test_checks_counted_while_writing_equal_the_suite(spark, scratch):
     from tickspan.plans.build import build
     from tickspan.sources.sinks import materialize

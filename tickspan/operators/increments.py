@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tickspan.operators.dedup import latest_per_key
 from tickspan.operators.indicators import HALO_ROWS, INDICATOR_COLUMNS, daily_indicators
 from tickspan.operators.joins import broadcast_row_cap, fits
-from tickspan.session import cut_lineage
+from tickspan.session import cut_lineage, stored as write_stored
 
 KEY = ["ticker_symbol", "trading_date"]
 
@@ -66,9 +66,11 @@ def refreshed_indicators(stored: DataFrame, landed: DataFrame, order_by: list) -
     (not deduplicated): rows before a ticker's first changed date stay as they
     are, the rest is made anew from there and the halo before it."""
     prices = [c for c in stored.columns if c not in INDICATOR_COLUMNS]
-    landed = cut_lineage(latest_per_key(landed.select(*prices), KEY, order_by))
+    landed = write_stored(latest_per_key(landed.select(*prices), KEY, order_by), "landed")
     first = cut_lineage(landed.groupBy("ticker_symbol").agg(F.min("trading_date").alias("_from")))
     bounds = first.withColumnRenamed("ticker_symbol", "_t")
+    # Three parts are read from this join: no stored row is shuffled for it where the tickers are few.
+    bounds = F.broadcast(bounds) if fits(bounds, broadcast_row_cap(bounds)) else bounds
     joined = stored.join(bounds, F.col("ticker_symbol").eqNullSafe(F.col("_t")), "left").drop("_t")
     later = F.coalesce(F.col("trading_date") >= F.col("_from"), F.lit(False))
     keep = joined.where(F.col("_from").isNull() | ~later).drop("_from")
