@@ -51,8 +51,8 @@ def materialize(models, root: str | None = None, target_schema: str = "PUBLIC",
     not by every task.
 
     With ``share_intermediates`` dedup and the indicator pass are computed
-    once and checkpointed (reliably, into ``spark.checkpoint.dir``; the staged
-    prices are a projection of the same checkpoint) before the tables that
+    once and stored (as Parquet, in ``spark.checkpoint.dir``; the staged
+    prices are a projection of the same table) before the tables that
     read them are written, instead of being recomputed for every fact and
     mart. With ``rebind`` each
     written table replaces the model's lazy definition, so later readers (the
