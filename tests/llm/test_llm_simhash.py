@@ -100,6 +100,51 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert got == {**{i: 0 for i in range(201)}, **{1000 + i: 1000 for i in range(300)}}
 
 
+def stored_files(monkeypatch):
+    """Files of every checkpoint of the components from here on."""
+    files, keep = [], common.cut_lineage
+
+    def kept(df, *args):
+        out = keep(df, *args)
+        files.append(out.rdd.getNumPartitions())
+        return out
+    monkeypatch.setattr(common, "cut_lineage", kept)
+    return files
+
+
+def test_components_of_few_edges_take_few_files(spark, monkeypatch):
+    """As many tasks as hold the edges, not as the shuffle has; a task that holds them all needs no round."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    want = {i: 0 for i in range(301)}
+    files = stored_files(monkeypatch)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for partitions, most in (1, 1), (16, 16 + 4):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            del files[:]
+            assert {r.node: r.root for r in common.connected_components(edges).collect()} == want
+            assert sum(files) <= most
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("at_once", [1, 2, 7, 50])
+def test_components_when_tasks_hold_few_nodes(spark, monkeypatch, at_once):
+    monkeypatch.setattr(common, "ROWS_AT_ONCE", at_once)
+    rnd = random.Random(at_once)
+    edges = [(rnd.randrange(-60, 60), rnd.randrange(-60, 60)) for _ in range(70)]
+    edges += [(i, i + 1) for i in range(100, 140)] + [(300, 300 + i) for i in range(1, 30)] + [(None, 5), (400, 400), edges[0]]
+    least = {x: x for e in edges if None not in e and e[0] != e[1] for x in e}
+    for _ in least:
+        for a, b in edges:
+            if a in least and b in least:
+                least[a] = least[b] = min(least[a], least[b])
+    got = common.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(5)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(least.items())
+
+
 def corpus():
     rnd = random.Random(3)
     words = ["w%d" % i for i in range(300)]

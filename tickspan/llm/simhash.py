@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tickspan.llm.common import connected_components, stored, text_key
+from tickspan.llm.common import connected_components, few_files, stored, text_key
 from tickspan.session import cut_lineage
 
 SEED = 42
@@ -174,23 +174,24 @@ def links(distinct: DataFrame, radius: int = 3, per_bucket: int = PER_BUCKET) ->
             .groupBy("bucket").applyInArrow(meet, "a long, b long").distinct())
 
 
-def classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame, int]:
     """The stored fingerprints, and ``_fp, _least, _root``: the least id and the
-    component of every distinct one."""
+    component of every distinct one, and how many are distinct."""
     fps = stored(fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
     distinct = stored(fps.groupBy("_fp").agg(F.min("id").alias("_least")), "simhash-distinct")
     roots = connected_components(links(distinct, radius))
-    return fps, cut_lineage(distinct.join(roots, distinct["_fp"] == roots["node"], "left").select(
-        "_fp", "_least", F.coalesce("root", "_fp").alias("_root")))
+    n = distinct.count()
+    return fps, few_files(distinct.join(roots, distinct["_fp"] == roots["node"], "left").select(
+        "_fp", "_least", F.coalesce("root", "_fp").alias("_root")), n), n
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     radius: int = 3) -> DataFrame:
     """One row per document: ``<id>, fingerprint`` (16 hex digits) and
     ``component_id``, the smallest id reachable over links."""
-    fps, rooted = classes(docs, id_col, text_col, shingle, radius)
-    names = cut_lineage(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")))
-    named = cut_lineage(rooted.join(names, "_root").select("_fp", "component_id"))
+    fps, rooted, n = classes(docs, id_col, text_col, shingle, radius)
+    names = few_files(rooted.groupBy("_root").agg(F.min("_least").alias("component_id")), n)
+    named = few_files(rooted.join(names, "_root").select("_fp", "component_id"), n)
     return fps.join(named, "_fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -200,11 +201,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One document of each component, with all its columns: that of the least
     id (null last) and, where rows share it, the least text key; one of rows
     that are equal in both."""
-    fps, rooted = classes(docs, id_col, text_col, shingle, radius)
+    fps, rooted, n = classes(docs, id_col, text_col, shingle, radius)
     first = F.struct(F.col("id").isNull().alias("null"), "id", "_key")
     best = cut_lineage(fps.groupBy("_fp").agg(F.min(first).alias("_best")))
-    kept = cut_lineage(best.join(rooted, "_fp").groupBy("_root").agg(F.min("_best").alias("b"))
-                       .select(F.col("b.id").alias("_kept_id"), F.col("b._key").alias("_kept_key")).distinct())
+    kept = few_files(best.join(rooted, "_fp").groupBy("_root").agg(F.min("_best").alias("b"))
+                     .select(F.col("b.id").alias("_kept_id"), F.col("b._key").alias("_kept_key")).distinct(), n)
     same = F.col("id").eqNullSafe(F.col("_kept_id")) & (F.col("_key") == F.col("_kept_key"))
     again = cut_lineage(fps.join(kept, same).groupBy("_kept_id", "_kept_key").count().where("count > 1").drop("count"))
 
